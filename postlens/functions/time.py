@@ -8,9 +8,14 @@ from pyspark.sql.types import DataType, TimestampNTZType
 
 
 def seconds(n) -> Column:
-    """A day-time interval of ``n`` seconds (``n`` may be a column)."""
-    c = n if isinstance(n, Column) else F.lit(n)
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), c.cast("decimal(18,6)"))
+    """A day-time interval of ``n`` seconds (``n`` may be a column).
+
+    A number gives an interval *literal*, which stream-stream joins need to
+    recognise a time-range condition.
+    """
+    if isinstance(n, Column):
+        return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
+    return F.expr(f"INTERVAL '{float(n):.6f}' SECOND")
 
 
 def epoch_seconds(ts: Column, dtype: DataType) -> Column:
