@@ -65,11 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unique sub-folder of the shared checkpoint folder."""
+    """A new, unique (not yet created) sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)
     sub = f"{purpose}-{uuid.uuid4().hex[:12]}"
     if "://" in root and not root.startswith("file:"):
         return root.rstrip("/") + "/" + sub
-    path = os.path.join(root.replace("file:", "", 1) if root.startswith("file:") else root, sub)
-    os.makedirs(path, exist_ok=True)
-    return path
+    return os.path.join(root.replace("file:", "", 1) if root.startswith("file:") else root, sub)
