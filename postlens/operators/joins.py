@@ -19,8 +19,9 @@ Two scale-minded building blocks:
     ``(key, bucket)`` plus the exact time test.  A hot key -- including the
     null key of a null-safe join -- is therefore spread over its time buckets
     instead of landing in one task, and each pair is found exactly once.
-    Stream form: Spark's stream-stream join with the same condition, so state
-    is evicted by watermark.
+    Stream form: Spark's stream-stream join on the same (key, bucket) plus
+    range condition, so the state store is split per bucket too and is
+    still evicted by watermark.
 """
 
 from __future__ import annotations
@@ -125,6 +126,32 @@ def _time_match(lt: Column, rt: Column, lower: float, upper: float) -> Column:
     return (lt >= rt + seconds(lower)) & (lt <= rt + seconds(upper))
 
 
+class _Buckets:
+    """Time buckets of width ``w`` seconds for one interval condition."""
+
+    def __init__(self, lower: float, upper: float, bucket_seconds: float | None):
+        self.lower, self.upper = lower, upper
+        self.w = max(1, int(bucket_seconds or max(upper - lower, 1.0)))
+
+    def own(self, df: DataFrame, tcol: str) -> DataFrame:
+        e = epoch_seconds(F.col(tcol), df.schema[tcol].dataType)
+        return df.withColumn("__b", F.floor(e / self.w))
+
+    def spread_right(self, df: DataFrame, tcol: str) -> DataFrame:
+        # a right row at t matches left times in [t + lower, t + upper]
+        e = epoch_seconds(F.col(tcol), df.schema[tcol].dataType)
+        lo = F.floor((e + F.lit(self.lower) - 1) / self.w).cast("bigint")
+        hi = F.floor((e + F.lit(self.upper) + 1) / self.w).cast("bigint")
+        return df.withColumn("__b", F.explode(F.sequence(lo, hi)))
+
+    def spread_left(self, df: DataFrame, tcol: str) -> DataFrame:
+        # a left row at t matches right times in [t - upper, t - lower]
+        e = epoch_seconds(F.col(tcol), df.schema[tcol].dataType)
+        lo = F.floor((e - F.lit(self.upper) - 1) / self.w).cast("bigint")
+        hi = F.floor((e - F.lit(self.lower) + 1) / self.w).cast("bigint")
+        return df.withColumn("__b", F.explode(F.sequence(lo, hi)))
+
+
 def interval_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
                   left_time: str, right_time: str, lower=0, upper=60, how: str = "left",
                   null_safe: bool = False, bucket_seconds: float | None = None) -> DataFrame:
@@ -140,28 +167,7 @@ def interval_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key
     if upper < lower:
         raise ValueError("upper bound must not be below lower bound")
     h = _norm_how(how)
-    width = float(bucket_seconds or max(upper - lower, 1.0))
-    width = max(1, int(width))
-
-    def bucket(df: DataFrame, tcol: str) -> Column:
-        return F.floor(epoch_seconds(F.col(tcol), df.schema[tcol].dataType) / width)
-
-    def own_bucket(df: DataFrame, tcol: str) -> DataFrame:
-        return df.withColumn("__b", bucket(df, tcol))
-
-    def spread_right(df: DataFrame) -> DataFrame:
-        # right row at t matches left times in [t + lower, t + upper]
-        e = epoch_seconds(F.col(right_time), df.schema[right_time].dataType)
-        lo = F.floor((e + F.lit(lower) - 1) / width)
-        hi = F.floor((e + F.lit(upper) + 1) / width)
-        return df.withColumn("__b", F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"))))
-
-    def spread_left(df: DataFrame) -> DataFrame:
-        # left row at t matches right times in [t - upper, t - lower]
-        e = epoch_seconds(F.col(left_time), df.schema[left_time].dataType)
-        lo = F.floor((e - F.lit(upper) - 1) / width)
-        hi = F.floor((e - F.lit(lower) + 1) / width)
-        return df.withColumn("__b", F.explode(F.sequence(lo.cast("bigint"), hi.cast("bigint"))))
+    bk = _Buckets(lower, upper, bucket_seconds)
 
     def cond(l: DataFrame, r: DataFrame) -> Column:
         return (_key_match(l[left_key], r[right_key], null_safe)
@@ -172,29 +178,49 @@ def interval_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key
         return l.join(r, cond(l, r), kind).drop(l["__b"]).drop(r["__b"])
 
     if h in ("inner", "left"):
-        return joined(own_bucket(left, left_time), spread_right(right), h)
+        return joined(bk.own(left, left_time), bk.spread_right(right, right_time), h)
     if h == "right":
-        return joined(spread_left(left), own_bucket(right, right_time), "right")
+        return joined(bk.spread_left(left, left_time), bk.own(right, right_time), "right")
     # full: every left row once (left join), plus right rows that match nothing
-    lpart = joined(own_bucket(left, left_time), spread_right(right), "left")
-    l2, r2 = spread_left(left), own_bucket(right, right_time)
+    lpart = joined(bk.own(left, left_time), bk.spread_right(right, right_time), "left")
+    l2, r2 = bk.spread_left(left, left_time), bk.own(right, right_time)
     unmatched = r2.join(l2, cond(l2, r2), "left_anti").drop("__b")
     return lpart.unionByName(unmatched, allowMissingColumns=True)
 
 
 def stream_interval_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
                          left_time: str, right_time: str, lower=0, upper=60, how: str = "left",
-                         null_safe: bool = False) -> DataFrame:
+                         null_safe: bool = False, bucket_seconds: float | None = None,
+                         bucketed: bool = True) -> DataFrame:
     """Stream-stream interval join (both sides need watermarks).
 
+    The state store keeps rows per join key, and every arriving row is
+    compared with all stored rows of its key; a hot key (the null key of a
+    null-safe join, a viral media item) makes that quadratic.  For inner /
+    left / right joins the time bucket joins the key, as in the batch form,
+    so state is split per (key, bucket); the range condition still drives
+    watermark eviction.  A full outer join cannot replicate either side
+    without duplicating unmatched rows, so it stays on the plain key.
+
     With plain ``=`` the condition gets ``IS NOT NULL`` on both keys: a
-    stream-stream full outer join would otherwise pair null keys.
+    stream-stream outer join would otherwise pair null keys.
     """
     lower, upper = _secs(lower), _secs(upper)
     h = _norm_how(how)
+    use_buckets = bucketed and h != "full"
+    if use_buckets:
+        bk = _Buckets(lower, upper, bucket_seconds)
+        if h == "right":
+            left, right = bk.spread_left(left, left_time), bk.own(right, right_time)
+        else:
+            left, right = bk.own(left, left_time), bk.spread_right(right, right_time)
+        right = right.withColumnRenamed("__b", "__rb")
     c = _key_match(left[left_key], right[right_key], null_safe)
     if not null_safe:
         c = c & left[left_key].isNotNull() & right[right_key].isNotNull()
+    if use_buckets:
+        c = c & (left["__b"] == right["__rb"])
     c = c & _time_match(left[left_time], right[right_time], lower, upper)
-    return left.join(right, c, {"inner": "inner", "left": "left_outer", "right": "right_outer",
-                                "full": "full_outer"}[h])
+    out = left.join(right, c, {"inner": "inner", "left": "left_outer", "right": "right_outer",
+                               "full": "full_outer"}[h])
+    return out.drop("__b", "__rb") if use_buckets else out
