@@ -1,25 +1,90 @@
-"""Event-time window aggregations (the same functions serve batch and streams)."""
+"""Event-time window aggregations (the same functions serve batch and streams).
+
+Batch sliding windows are computed by pre-aggregating: every window
+boundary is a multiple of g = gcd(length, slide), so all rows of one
+g-bucket fall in exactly the same windows.  Counting per (keys, g-bucket)
+first and then spreading each bucket's partial count over its
+ceil(length/slide) windows turns "Expand every row x5, then aggregate"
+into "aggregate, Expand the much smaller partials, aggregate"; all the
+words of one post share a bucket, so the first aggregation already folds
+repeats map-side.  Streams keep ``window()`` so the watermark can evict
+state.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from .aggregates import MEDIA_TYPE_COLUMNS
 
+_UNITS = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
+          "hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
+
+
+def duration_micros(text: str) -> int:
+    """'25 seconds' / '1 minute' / '2 hours' -> microseconds."""
+    m = re.fullmatch(r"\s*(\d+)\s*([a-z]+?)s?\s*", text.lower())
+    if not m or m.group(2) not in _UNITS:
+        raise ValueError(f"unsupported duration {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2)]
+
+
+def _to_micros(ts: Column, ntz: bool) -> Column:
+    if ntz:
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts)
+    return F.unix_micros(ts)
+
+
+def _from_micros(us: Column, ntz: bool) -> Column:
+    if ntz:
+        return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return F.timestamp_micros(us)
+
+
+def sliding_agg(df: DataFrame, keys: tuple[str, ...], time_col: str, length: str, slide: str,
+                partials: dict[str, Column]) -> DataFrame:
+    """Batch sliding-window aggregation of additive partials.
+
+    ``partials`` maps output names to aggregate expressions whose results
+    add up across buckets (counts, sums).  Output: keys, ``window`` struct
+    (start, end) like ``window()``, and one column per partial.  Rows with
+    a null time fall out, as with ``window()``.
+    """
+    L, S = duration_micros(length), duration_micros(slide)
+    g = math.gcd(L, S)
+    n = -(-L // S)
+    ntz = isinstance(df.schema[time_col].dataType, TimestampNTZType)
+    us = _to_micros(F.col(time_col), ntz)
+    pre = (df.where(F.col(time_col).isNotNull())
+           .groupBy(*keys, (us - F.pmod(us, F.lit(g))).alias("_b"))
+           .agg(*[e.alias(name) for name, e in partials.items()]))
+    spread = (pre.select(*keys, "_b", *partials, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i"))
+              .withColumn("_s", F.col("_b") - F.pmod("_b", F.lit(S)) - F.col("_i") * S)
+              .where(F.col("_s") + L > F.col("_b")))
+    out = spread.groupBy(*keys, "_s").agg(*[F.sum(name).cast("bigint").alias(name) for name in partials])
+    window = F.struct(_from_micros(F.col("_s"), ntz).alias("start"),
+                      _from_micros(F.col("_s") + L, ntz).alias("end")).alias("window")
+    return out.select(*keys, window, *partials)
+
 
 def sliding_counts(df: DataFrame, keys: tuple[str, ...], time_col: str,
                    length: str = "25 seconds", slide: str = "5 seconds",
                    watermark: str | None = None) -> DataFrame:
     """``groupBy(*keys, window(time, length, slide)).count()``.
 
-    Each row lands in length/slide windows (an Expand); the partial
-    aggregate runs before the shuffle.  Rows with a null time fall out.
-    With ``watermark`` (streams) state older than the watermark is dropped.
+    Streams: ``window()`` with the watermark (if any) so old state is
+    dropped.  Batch: the pre-aggregated form of :func:`sliding_agg`.
     """
-    src = df.withWatermark(time_col, watermark) if watermark else df
-    return src.groupBy(*keys, F.window(time_col, length, slide).alias("window")).agg(
-        F.count(F.lit(1)).alias("count"))
+    if df.isStreaming:
+        src = df.withWatermark(time_col, watermark) if watermark else df
+        return src.groupBy(*keys, F.window(time_col, length, slide).alias("window")).agg(
+            F.count(F.lit(1)).alias("count"))
+    return sliding_agg(df, keys, time_col, length, slide, {"count": F.count(F.lit(1))})
 
 
 def flatten_window(df: DataFrame, window_col: str = "window") -> DataFrame:
@@ -33,14 +98,19 @@ def rewindow(counts: DataFrame, keys: tuple[str, ...], length: str = "1 minute",
              slide: str = "30 seconds", window_col: str = "window",
              count_col: str = "count") -> DataFrame:
     """Window over window: re-bucket each first-level window by its event
-    time (``window_time`` = end - 1 microsecond) and add up the counts."""
-    return (counts.withColumn("_wt", F.window_time(window_col))
-            .groupBy(*keys, F.window("_wt", length, slide).alias("window"))
-            .agg(F.sum(count_col).cast("bigint").alias("count")))
+    time (end - 1 microsecond, as ``window_time``) and add up the counts."""
+    wt = counts.withColumn("_wt", F.col(f"{window_col}.end") - F.expr("INTERVAL '0.000001' SECOND"))
+    if counts.isStreaming:
+        return (wt.groupBy(*keys, F.window("_wt", length, slide).alias("window"))
+                .agg(F.sum(count_col).cast("bigint").alias("count")))
+    return sliding_agg(wt, keys, "_wt", length, slide, {"count": F.sum(count_col)})
 
 
 def windowed_media_counts(rows: DataFrame, time_col: str, keys: tuple[str, ...] = ("username",),
                           length: str = "5 minutes", slide: str = "2 minutes") -> DataFrame:
     """Photo / video / gif counts per (window, keys)."""
-    return rows.groupBy(F.window(time_col, length, slide).alias("window"), *keys).agg(*[
-        F.count_if(F.col("media_type") == t).alias(c) for t, c in MEDIA_TYPE_COLUMNS])
+    parts = {c: F.count_if(F.col("media_type") == t) for t, c in MEDIA_TYPE_COLUMNS}
+    if rows.isStreaming:
+        return rows.groupBy(F.window(time_col, length, slide).alias("window"), *keys).agg(
+            *[e.alias(c) for c, e in parts.items()])
+    return sliding_agg(rows, keys, time_col, length, slide, parts)
