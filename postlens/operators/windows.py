@@ -35,14 +35,19 @@ def duration_micros(text: str) -> int:
 
 
 def _to_micros(ts: Column, ntz: bool) -> Column:
+    """Microseconds since 1970-01-01; a TIMESTAMP_NTZ is read field by field
+    (date, hour, minute, second) so no session time zone is involved."""
     if ntz:
-        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts)
+        return (F.unix_date(F.to_date(ts)).cast("bigint") * 86_400_000_000
+                + F.hour(ts).cast("bigint") * 3_600_000_000 + F.minute(ts).cast("bigint") * 60_000_000
+                + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
     return F.unix_micros(ts)
 
 
 def _from_micros(us: Column, ntz: bool) -> Column:
-    if ntz:
-        return F.timestamp_add("MICROSECOND", us, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    if ntz:   # TIMESTAMP_NTZ + day-time interval is plain arithmetic
+        return (F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+                + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (us / 1_000_000).cast("decimal(18,6)")))
     return F.timestamp_micros(us)
 
 

@@ -109,3 +109,27 @@ def test_null_key_split_left_join(spark):
     out = J.left_join_null_split(ex, media, "media_key")
     native = ex.join(media, "media_key", "left")
     assert rows(out, "tweet_id", "media_key", "media_type") == rows(native, "tweet_id", "media_key", "media_type")
+
+
+def test_batch_sliding_windows_equal_window_function_in_any_zone(spark):
+    """The pre-aggregated batch windows equal ``window()``, also for
+    TIMESTAMP_NTZ across a daylight-saving change in the session zone."""
+    from datetime import datetime, timedelta
+    from postlens.operators import windows as W
+    base = datetime(2024, 3, 10, 1, 58, 0)
+    data = [(f"w{i % 3}", base + timedelta(seconds=7 * i + 0.25 * (i % 4))) for i in range(60)]
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/New_York", "Asia/Kolkata", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            for typ in ("timestamp_ntz", "timestamp"):
+                df = spark.createDataFrame(data, f"word string, ts {typ}")
+                for length, slide in (("25 seconds", "5 seconds"), ("5 minutes", "2 minutes")):
+                    ours = W.flatten_window(W.sliding_agg(df, ("word",), "ts", length, slide,
+                                                          {"count": F.count(F.lit(1))}))
+                    native = W.flatten_window(df.groupBy("word", F.window("ts", length, slide).alias("window"))
+                                              .agg(F.count(F.lit(1)).alias("count")))
+                    assert rows(ours, "word", "window_start", "window_end", "count") == \
+                        rows(native, "word", "window_start", "window_end", "count"), (tz, typ, length)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
