@@ -54,19 +54,40 @@ def media_stream(decoded: DataFrame) -> DataFrame:
     return msg.parse_media(decoded)
 
 
+def _words(posts_decoded: DataFrame, clean: bool, per_media_rows: bool) -> DataFrame:
+    p = posts_stream(posts_decoded, explode_media=per_media_rows)
+    fn = WD.clean_words if clean else WD.raw_words
+    return fn(p, keep=("created_at",))
+
+
 def word_count_job(posts_decoded: DataFrame, watermark: str = WATERMARK, length: str = "25 seconds",
                    slide: str = "5 seconds", clean: bool = False, per_media_rows: bool = False) -> DataFrame:
-    """Sliding-window word count on the post time.
+    """Sliding-window word count on the post time (any output mode).
 
     ``per_media_rows=True`` explodes media keys first, as the original job
     did (each word then counts once per media key).
     """
-    p = posts_stream(posts_decoded, explode_media=per_media_rows)
-    fn = WD.clean_words if clean else WD.raw_words
-    words = fn(p, keep=("created_at",))
+    words = _words(posts_decoded, clean, per_media_rows)
     return W.sliding_counts(words, ("word",), "created_at", length, slide, watermark)
 
 
+def word_count_partials_job(posts_decoded: DataFrame, watermark: str = WATERMARK,
+                            length: str = "25 seconds", slide: str = "5 seconds", clean: bool = False,
+                            per_media_rows: bool = False):
+    """Complete-mode word count as (stream of bucket partials, finisher).
+
+    Start the stream in complete mode with ``foreachBatch`` and apply the
+    finisher to each result table: it yields exactly the rows of
+    :func:`word_count_job`, from a state that is length/slide times smaller.
+    """
+    words = _words(posts_decoded, clean, per_media_rows)
+    partials = W.bucket_counts(words, ("word",), "created_at", length, slide, watermark)
+
+    def finish(batch: DataFrame) -> DataFrame:
+        return W.expand_buckets(batch, ("word",), length, slide)
+    return partials, finish
+
+
 def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
                    user_bound: int | None = None, watermark: str | None = None) -> DataFrame:
     """Posts INNER users on author, then the distinct projection.
@@ -164,9 +185,9 @@ class Replay:
         return self._open("media", msg.media_records(self.t.media_messages), _closing_media)
 
 
-def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", finish=None) -> DataFrame:
     out, ckpt = work_dir(spark, f"stream-out-{name}"), work_dir(spark, f"stream-ckpt-{name}")
-    run_available_now(df, out, ckpt, mode)
+    run_available_now(df, out, ckpt, mode, finish=finish)
     return spark.read.parquet(out)
 
 
@@ -193,5 +214,6 @@ def stream_join_users_media(spark, sf):
 @query("stream_word_count_sliding")
 def stream_word_count_sliding(spark, sf):
     r = Replay(spark, sf)
-    out = _run(spark, word_count_job(r.posts()), "word-count", mode="complete")
+    partials, finish = word_count_partials_job(r.posts())
+    out = _run(spark, partials, "word-count", mode="complete", finish=finish)
     return ntz(W.flatten_window(out))

@@ -31,11 +31,16 @@ def append_records(records: DataFrame, path: str) -> None:
 
 
 def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
-                      timeout_s: float = 900.0, query_name: str | None = None) -> None:
-    """Start ``df`` with ``trigger(availableNow=True)`` and wait for it."""
+                      timeout_s: float = 900.0, query_name: str | None = None,
+                      finish=None) -> None:
+    """Start ``df`` with ``trigger(availableNow=True)`` and wait for it.
+
+    Complete mode rewrites ``out_path`` with each result table, after
+    ``finish`` (a batch DataFrame -> DataFrame function) if given.
+    """
     if mode == "complete":
         def overwrite(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(out_path)
+            (finish(batch) if finish else batch).write.mode("overwrite").parquet(out_path)
         writer = (df.writeStream.outputMode("complete").foreachBatch(overwrite))
     else:
         writer = df.writeStream.outputMode(mode).format("parquet").option("path", out_path)

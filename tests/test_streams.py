@@ -212,3 +212,18 @@ def test_windowed_two_level_matches_direct(spark):
     first = W.sliding_counts(df, ("word",), "created_at", "25 seconds", "5 seconds")
     second = W.rewindow(first, ("word",), "1 minute", "30 seconds")
     assert second.agg(F.sum("count")).first()[0] == 5 * 5 * 2
+
+
+def test_partials_word_count_equals_window_word_count(spark, scratch):
+    items = [(f"p{i}", "x y x z" if i % 2 else "y q", 3 * i) for i in range(40)] + LATE
+    path = _one_file_each(spark, scratch, items[:5])
+    append_records(_post_rows(spark, items[5:]), path)
+    src = lambda: msg.decode_records(read_stream(spark, "files", path=path, max_files_per_trigger=2))
+    out1, ck1 = scratch("wc1"), scratch("wc1c")
+    run_available_now(jobs.word_count_job(src()), out1, ck1, "complete")
+    partials, finish = jobs.word_count_partials_job(src())
+    out2, ck2 = scratch("wc2"), scratch("wc2c")
+    run_available_now(partials, out2, ck2, "complete", finish=finish)
+    a = W.flatten_window(spark.read.parquet(out1))
+    b = W.flatten_window(spark.read.parquet(out2))
+    assert rows(a, "word", "window_start", "window_end", "count") == rows(b, "word", "window_start", "window_end", "count")
