@@ -41,10 +41,21 @@ def posts_stream(decoded: DataFrame, explode_media: bool = True) -> DataFrame:
     return fl.explode_media(p, outer=True) if explode_media else p
 
 
-def users_stream(decoded: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
+def users_stream(decoded: DataFrame, watermark: str | None = WATERMARK,
+                 within_watermark: bool = False) -> DataFrame:
     """Parsed users, distinct.  The watermark comes first so the dedupe
-    state (keyed by the message time as well) is evicted."""
+    state (keyed by the message time as well) is evicted.
+
+    ``within_watermark=True`` is the bounded form: a user re-sent at another
+    time is a duplicate if it arrives within the watermark delay
+    (``dropDuplicatesWithinWatermark`` on the four user columns).
+    """
     u = msg.parse_users(decoded)
+    if within_watermark:
+        if not watermark:
+            raise ValueError("within_watermark needs a watermark")
+        return (u.withWatermark("userTimestamp", watermark)
+                .dropDuplicatesWithinWatermark(["username", "description", "users_id", "name"]))
     if watermark:
         u = u.withWatermark("userTimestamp", watermark)
     return u.dropDuplicates()

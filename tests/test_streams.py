@@ -227,3 +227,62 @@ def test_partials_word_count_equals_window_word_count(spark, scratch):
     a = W.flatten_window(spark.read.parquet(out1))
     b = W.flatten_window(spark.read.parquet(out2))
     assert rows(a, "word", "window_start", "window_end", "count") == rows(b, "word", "window_start", "window_end", "count")
+
+
+def _user_records(spark, items):
+    df = spark.createDataFrame([(u, "d", "n", name, T0 + timedelta(seconds=s)) for u, name, s in items],
+                               "users_id string, description string, name string, username string, user_ts timestamp")
+    return msg.user_records(df)
+
+
+def test_users_distinct_within_watermark(spark, scratch):
+    path = scratch("uw")
+    append_records(_user_records(spark, [("u1", "alice", 0), ("u1", "alice", 5), ("u2", "bob", 6)]), path)
+    src = msg.decode_records(read_stream(spark, "files", path=path))
+    exact = jobs.users_stream(src)
+    bounded = jobs.users_stream(msg.decode_records(read_stream(spark, "files", path=path)),
+                                within_watermark=True)
+    o1, c1, o2, c2 = scratch("o1"), scratch("c1"), scratch("o2"), scratch("c2")
+    run_available_now(exact, o1, c1)
+    run_available_now(bounded, o2, c2)
+    assert spark.read.parquet(o1).count() == 3          # time is part of the key
+    assert spark.read.parquet(o2).count() == 2          # re-send within 30 s is a duplicate
+
+
+def test_join_users_bound_limits_matches(spark, scratch):
+    pp, pu = scratch("jp"), scratch("ju")
+    append_records(_post_rows(spark, [("1", "early", 5), ("2", "late", 500)]), pp)
+    append_records(_user_records(spark, [("u1", "alice", 0)]), pu)
+    posts = lambda: msg.decode_records(read_stream(spark, "files", path=pp))
+    users = lambda: msg.decode_records(read_stream(spark, "files", path=pu))
+    o1, c1, o2, c2 = scratch("jo1"), scratch("jc1"), scratch("jo2"), scratch("jc2")
+    run_available_now(jobs.join_users_job(posts(), users()), o1, c1)
+    run_available_now(jobs.join_users_job(posts(), users(), user_bound=60, watermark="30 seconds"), o2, c2)
+    assert {r.text for r in spark.read.parquet(o1).collect()} == {"early", "late"}
+    assert {r.text for r in spark.read.parquet(o2).collect()} == {"early"}
+
+
+def test_per_media_rows_counts_words_once_per_media_key(spark, scratch):
+    df = spark.createDataFrame([("1", T0, "hello world", 0, 0, 0, 0, "u1", ["m1", "m2"])],
+                               "tweet_id string, created_at timestamp, text string, retweet_count int, "
+                               "reply_count int, like_count int, quote_count int, author_id string, "
+                               "data_media_keys array<string>")
+    path = scratch("pm")
+    append_records(msg.post_records(df), path)
+    for per_media, expect in ((False, 5), (True, 10)):
+        src = msg.decode_records(read_stream(spark, "files", path=path))
+        out, ck = scratch("pmo"), scratch("pmc")
+        run_available_now(jobs.word_count_job(src, per_media_rows=per_media), out, ck, "complete")
+        got = spark.read.parquet(out).where("word = 'hello'").agg(F.sum("count")).first()[0]
+        assert got == expect
+
+
+def test_processing_time_trigger(spark, scratch):
+    sa, _ = _two_streams(spark, scratch)
+    q = sinks.start_stream(sa, "memory", query_name="ptrigger", trigger_seconds=1)
+    try:
+        q.processAllAvailable()
+        assert spark.sql("select * from ptrigger").count() == 1
+        assert q.lastProgress is not None
+    finally:
+        q.stop()
