@@ -61,15 +61,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     a fresh folder of its own, as in tests.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect has no SparkContext)
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     root = tempfile.mkdtemp(prefix="postlens-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
+    try:
+        spark.conf.set("spark.checkpoint.dir", root)
+    except Exception:  # noqa: BLE001  (core settings may be read-only at runtime)
+        pass
     return root
 
 
