@@ -27,14 +27,23 @@ def write_envelopes(envelopes: DataFrame, path: str, fmt: str = "parquet", mode:
     envelopes.write.format(fmt).mode(mode).save(path)
 
 
+def _envelope_id(numeric_id: F.Column, per_envelope: int) -> F.Column:
+    """``floor(id / per_envelope)`` for numeric ids; other ids are packed
+    ``per_envelope`` at a time in scan order (negative envelope ids), so no
+    envelope grows with the data either way."""
+    by_id = F.floor(numeric_id.try_cast("bigint") / per_envelope)
+    by_position = -1 - F.floor(F.monotonically_increasing_id() / per_envelope)
+    return F.coalesce(by_id, by_position)
+
+
 def build_envelopes(posts: DataFrame, users: DataFrame, media: DataFrame,
                     posts_per_envelope: int = 100, media_per_envelope: int = 100) -> DataFrame:
     """Pack flat tables into envelopes of at most ``posts_per_envelope`` posts.
 
     Each envelope carries its posts (``data``), the distinct users who wrote
     them and a slice of at most ``media_per_envelope`` media items, so every
-    collected group is bounded whatever the data size.  Post and media ids
-    are numeric strings after a one-letter prefix for media.
+    collected group is bounded whatever the data size.  Numeric post ids
+    (and media keys after their one-letter prefix) pick the envelope.
     """
     post_struct = F.struct(
         F.col("tweet_id").alias("id"),
@@ -44,14 +53,13 @@ def build_envelopes(posts: DataFrame, users: DataFrame, media: DataFrame,
         F.struct(*[F.col(m).cast("bigint").alias(m) for m in METRIC_NAMES]).alias("public_metrics"),
         F.struct(F.col("data_media_keys").alias("media_keys")).alias("attachments"),
     )
-    env = F.floor(F.col("tweet_id").cast("bigint") / posts_per_envelope)
-    keyed = posts.withColumn("env", env)
+    keyed = posts.withColumn("env", _envelope_id(F.col("tweet_id"), posts_per_envelope))
     data = keyed.groupBy("env").agg(F.collect_list(post_struct).alias("data"))
     u = (keyed.select("env", "author_id").distinct()
          .join(users, F.col("author_id") == F.col("users_id"))
          .groupBy("env").agg(F.collect_set(F.struct(
              "username", "description", F.col("users_id").alias("id"), "name")).alias("users")))
-    m = (media.withColumn("env", F.floor(F.substring("media_key", 2, 64).cast("bigint") / media_per_envelope))
+    m = (media.withColumn("env", _envelope_id(F.substring("media_key", 2, 64), media_per_envelope))
          .groupBy("env").agg(F.collect_list(F.struct(
              "media_key", F.col("media_type").alias("type"))).alias("media")))
     out = data.join(u, "env", "left").join(m, "env", "full")

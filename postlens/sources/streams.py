@@ -16,7 +16,11 @@ from ..schemas import KAFKA_RECORD
 def read_stream(spark: SparkSession, kind: str = "kafka", *, topic: str | None = None,
                 servers: str | None = None, path: str | None = None, fmt: str = "parquet",
                 starting_offsets: str = "latest", fail_on_data_loss: bool = True,
-                max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
+                options: dict | None = None) -> DataFrame:
+    """A record stream.  ``max_offsets_per_trigger`` (Kafka) and
+    ``max_files_per_trigger`` (files) bound each micro-batch, so a backlog
+    is consumed in batches of a known size instead of one huge batch."""
     reader = spark.readStream
     if kind == "kafka":
         if not (topic and servers):
@@ -27,6 +31,8 @@ def read_stream(spark: SparkSession, kind: str = "kafka", *, topic: str | None =
                   .option("startingOffsets", starting_offsets)
                   # a reader option: on the writer it has no effect
                   .option("failOnDataLoss", str(bool(fail_on_data_loss)).lower()))
+        if max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     elif kind == "files":
         if not path:
             raise ValueError("file source needs path")

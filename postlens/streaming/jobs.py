@@ -35,6 +35,19 @@ CLOSE = "__close"
 
 # -- jobs --------------------------------------------------------------------
 
+def distinct_by_text_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``distinct()`` whose dedupe state holds a SHA-256 digest of the text
+    instead of the text itself (whole documents can be 100 KB each).
+
+    Rows are equal exactly when their digests and other columns are, barring
+    a SHA-256 collision; a null text keeps a null digest.
+    """
+    others = [c for c in df.columns if c != text_col]
+    return (df.withColumn("_text_digest", F.sha2(F.col(text_col), 256))
+            .dropDuplicates(["_text_digest", *others])
+            .drop("_text_digest"))
+
+
 def posts_stream(decoded: DataFrame, explode_media: bool = True) -> DataFrame:
     """Parsed posts; by default one row per media key (``explode_outer``)."""
     p = msg.parse_posts(decoded)
@@ -115,10 +128,9 @@ def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
     if user_bound is not None:
         cond = cond & (b["dataTimestamp"] >= a["userTimestamp"]) & (
             b["dataTimestamp"] <= a["userTimestamp"] + seconds(user_bound))
-    return (b.join(a, cond, "inner")
-            .select("username", "text", "retweet_count", "reply_count", "like_count", "quote_count",
-                    "created_at")
-            .dropDuplicates())
+    out = b.join(a, cond, "inner").select("username", "text", "retweet_count", "reply_count", "like_count",
+                                          "quote_count", "created_at")
+    return distinct_by_text_digest(out)
 
 
 def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame, media_decoded: DataFrame,
@@ -138,7 +150,7 @@ def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame, med
     abc = J.stream_interval_join(ab, c, left_key="media_key", right_key="c_media_key",
                                  left_time="dataTimestamp", right_time="mediaTimestamp",
                                  lower=0, upper=bound, how="left", null_safe=null_safe)
-    return abc.select("text", "username", F.col("c_media_key").alias("media_key")).dropDuplicates()
+    return distinct_by_text_digest(abc.select("text", "username", F.col("c_media_key").alias("media_key")))
 
 
 # -- replay of the test tables -------------------------------------------------
