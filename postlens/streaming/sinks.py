@@ -53,14 +53,9 @@ def batch_table_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame,
     ``batch_id=N`` partition with dynamic partition overwrite: a replayed
     batch replaces its earlier attempt instead of adding to it."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-             .write.format(fmt).mode("overwrite").partitionBy("batch_id").save(path))
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").save(path))
     return write
 
 
