@@ -133,20 +133,33 @@ def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
     return distinct_by_text_digest(out)
 
 
-def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame, media_decoded: DataFrame,
+def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame | None, media_decoded: DataFrame,
                          watermark: str = WATERMARK, bound: int = INTERVAL_SECONDS,
-                         null_safe: bool = True, user_bound: int | None = None) -> DataFrame:
+                         null_safe: bool = True, user_bound: int | None = None,
+                         users_snapshot: DataFrame | None = None) -> DataFrame:
     """Posts INNER users, then LEFT OUTER media messages of the minute before
-    the post (null-safe key), then distinct (text, username, media_key)."""
-    a = users_stream(users_decoded, watermark)
+    the post (null-safe key), then distinct (text, username, media_key).
+
+    ``users_snapshot`` (a batch DataFrame with ``users_id`` and ``username``)
+    replaces the users stream by a stream-static join: no users state at all,
+    where a snapshot of the users table exists.
+    """
     b = posts_stream(posts_decoded).withWatermark("dataTimestamp", watermark)
-    c = (media_stream(media_decoded).withWatermark("mediaTimestamp", watermark)
-         .withColumnRenamed("media_key", "c_media_key"))
+    if users_snapshot is not None:
+        ab = b.join(users_snapshot.select("users_id", "username"), b["author_id"] == F.col("users_id"), "inner")
+        return _media_join_distinct(ab, media_decoded, watermark, bound, null_safe)
+    a = users_stream(users_decoded, watermark)
     cond = b["author_id"] == a["users_id"]
     if user_bound is not None:
         cond = cond & (b["dataTimestamp"] >= a["userTimestamp"]) & (
             b["dataTimestamp"] <= a["userTimestamp"] + seconds(user_bound))
-    ab = b.join(a, cond, "inner")
+    return _media_join_distinct(b.join(a, cond, "inner"), media_decoded, watermark, bound, null_safe)
+
+
+def _media_join_distinct(ab: DataFrame, media_decoded: DataFrame, watermark: str, bound: int,
+                         null_safe: bool) -> DataFrame:
+    c = (media_stream(media_decoded).withWatermark("mediaTimestamp", watermark)
+         .withColumnRenamed("media_key", "c_media_key"))
     abc = J.stream_interval_join(ab, c, left_key="media_key", right_key="c_media_key",
                                  left_time="dataTimestamp", right_time="mediaTimestamp",
                                  lower=0, upper=bound, how="left", null_safe=null_safe)

@@ -315,3 +315,15 @@ def test_bucketed_stream_interval_join_equals_batch(spark, scratch, how):
     want = rows(J.interval_join(l, r, left_key="lk", right_key="rk", left_time="lt", right_time="rt",
                                 lower=0, upper=60, how=how, null_safe=True), "lid", "rid")
     assert got == want
+
+
+def test_three_way_join_with_users_snapshot_equals_stream(spark, scratch):
+    from conftest import SF_SMALL
+    r = jobs.Replay(spark, SF_SMALL, closing=True)
+    snap = r.t.user_messages.select("users_id", "username")
+    static_job = jobs.join_users_media_job(r.posts(), None, r.media(), users_snapshot=snap)
+    out, ck = scratch("snap"), scratch("snapc")
+    run_available_now(static_job, out, ck)
+    got = rows(spark.read.parquet(out).where("username is null or username != '__close'"))
+    want = rows(jobs.stream_join_users_media(spark, SF_SMALL))
+    assert got == want
