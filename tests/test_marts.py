@@ -36,3 +36,13 @@ def test_flatten_once_options(spark, scratch):
     flat = flatten_once(spark, env, scratch("flat2"), dedupe_media=True, latest_user=True)
     assert flat["media"].count() == t.media.count()
     assert flat["users"].count() == flat["users"].select("users_id").distinct().count()
+
+
+def test_cli_marts_to_files(spark, scratch):
+    from postlens import cli
+    t = Tables(spark, SF_SMALL)
+    env_path, out = scratch("cli-env"), scratch("cli-out")
+    write_envelopes(build_envelopes(t.posts, t.users, t.media), env_path, "parquet")
+    cli.main(["marts", "--envelopes", env_path, "--format", "parquet", "--out", out])
+    assert spark.read.parquet(f"{out}/df5").count() > 0
+    assert spark.read.parquet(f"{out}/df8").count() > 0
