@@ -21,9 +21,9 @@ from pyspark.sql import SparkSession
 
 
 def _marts(spark: SparkSession, a: argparse.Namespace) -> None:
-    from .plans.marts import build_marts, flatten_once, write_marts
-    from .sources.envelopes import read_envelopes
-    from .streaming.sinks import jdbc_options, jdbc_write, write_table
+    from postlens.plans.marts import build_marts, flatten_once, write_marts
+    from postlens.sources.envelopes import read_envelopes
+    from postlens.streaming.sinks import jdbc_options, jdbc_write, write_table
 
     env = read_envelopes(spark, a.envelopes, a.format)
     flat = flatten_once(spark, env, dedupe_media=a.dedupe_media, latest_user=a.latest_user)
@@ -37,8 +37,8 @@ def _marts(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, topic: str):
-    from .operators.messages import decode_records
-    from .sources.streams import read_stream
+    from postlens.operators.messages import decode_records
+    from postlens.sources.streams import read_stream
     return decode_records(read_stream(spark, "kafka", topic=topic, servers=a.servers,
                                       starting_offsets=a.starting_offsets,
                                       fail_on_data_loss=not a.tolerate_data_loss,
@@ -46,7 +46,7 @@ def _source(spark: SparkSession, a: argparse.Namespace, topic: str):
 
 
 def _word_count(spark: SparkSession, a: argparse.Namespace) -> None:
-    from .streaming import jobs, sinks
+    from postlens.streaming import jobs, sinks
     posts = _source(spark, a, a.topic)
     partials, finish = jobs.word_count_partials_job(posts, a.watermark, a.length, a.slide)
     if a.out:
@@ -62,7 +62,7 @@ def _word_count(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _join_users_media(spark: SparkSession, a: argparse.Namespace) -> None:
-    from .streaming import jobs, sinks
+    from postlens.streaming import jobs, sinks
     job = jobs.join_users_media_job(_source(spark, a, a.posts_topic), _source(spark, a, a.users_topic),
                                     _source(spark, a, a.media_topic), watermark=a.watermark)
     q = sinks.start_stream(job, "parquet", path=a.out, checkpoint=a.checkpoint,
