@@ -106,3 +106,17 @@ def likes_total(posts: DataFrame) -> DataFrame:
 def posts_per_day(posts: DataFrame, time_col: str = "created_at") -> DataFrame:
     return (posts.groupBy(F.to_date(time_col).alias("day"))
             .agg(F.count(F.lit(1)).alias("n_posts")))
+
+
+def posts_by_time(joined: DataFrame) -> DataFrame:
+    """Posts FULL OUTER users, eight columns, ordered by post time.
+
+    The global sort is range-partitioned on its keys.  Users without posts
+    all have a null time and a null post id; ``users_id`` and
+    ``description`` break that tie so those rows spread over ranges
+    instead of forming one partition.
+    """
+    return (joined.orderBy(F.asc_nulls_first("created_at"), F.asc_nulls_first("tweet_id"),
+                           F.asc_nulls_first("users_id"), F.asc_nulls_first("description"))
+            .select("tweet_id", "created_at", "username", "text", "retweet_count", "reply_count",
+                    "like_count", "quote_count"))

@@ -417,10 +417,7 @@ def likes_total(spark, sf):
 @query("posts_by_time")
 def posts_by_time(spark, sf):
     t = Tables(spark, sf)
-    return (J.join_users(t.posts, t.users, "full")
-            .select("tweet_id", "created_at", "username", "text", "retweet_count", "reply_count",
-                    "like_count", "quote_count")
-            .orderBy(F.asc_nulls_first("created_at"), F.asc_nulls_first("tweet_id")))
+    return agg.posts_by_time(J.join_users(t.posts, t.users, "full"))
 
 
 @query("posts_per_day")

@@ -46,10 +46,7 @@ def build_marts(posts: DataFrame, users: DataFrame, media: DataFrame,
         "df1": agg.media_counts(posts, media, by=("tweet_id",)),
         "df2": agg.media_counts(posts, media, users, by=("tweet_id", "username", "text")),
         "df3": agg.media_counts(posts, media, users, by=("username",)),
-        "df4": (J.join_users(posts, users, "full")
-                .select("tweet_id", "created_at", "username", "text", "retweet_count", "reply_count",
-                        "like_count", "quote_count")
-                .orderBy(F.asc_nulls_first("created_at"), F.asc_nulls_first("tweet_id"))),
+        "df4": agg.posts_by_time(J.join_users(posts, users, "full")),
         "df5": agg.interaction_totals(posts, users),
         "df6": agg.topic_mentions(posts, users, topics[0]),
         "df7": J.join_users(
