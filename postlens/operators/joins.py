@@ -57,7 +57,7 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     if rk == left_on or rk in left.columns:
         rk = f"__r_{right_on}"
         right = right.withColumnRenamed(right_on, rk)
-    matched = left.join(right, left[left_on] == right[rk], "left")
+    matched = _left_join_nulls_around(left, right, left_on, rk)
     left_keys = left.select(F.col(left_on).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
     orphans = right.join(left_keys, right[rk] == left_keys["__lk"], "left_anti")
     out = matched.unionByName(orphans, allowMissingColumns=True)
@@ -70,9 +70,22 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     return out
 
 
+def _left_join_nulls_around(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_on = right_on`` (distinct column names).
+
+    A null key never matches ``=``, but in a shuffle all null keys hash to
+    one task; those rows skip the join and are added back with null right
+    columns.
+    """
+    keyed, unkeyed = split_null_keys(left, left_on)
+    joined = keyed.join(right, keyed[left_on] == right[right_on], "left")
+    return joined.unionByName(unkeyed, allowMissingColumns=True)
+
+
 def equi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None = None,
               how: str = "full", coalesce_key: bool = False) -> DataFrame:
-    """Equi-join dispatch; ``full`` uses :func:`full_outer_join`."""
+    """Equi-join dispatch; ``full`` uses :func:`full_outer_join`, ``left``
+    sends null keys around the join."""
     h = _norm_how(how)
     right_on = right_on or left_on
     if h == "full":
@@ -80,7 +93,11 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str | N
     if coalesce_key and right_on == left_on:
         if h == "right":
             return right.join(left, left_on, "left")
+        if h == "left":
+            return left_join_null_split(left, right, left_on)
         return left.join(right, left_on, h)
+    if h == "left" and right_on not in left.columns:
+        return _left_join_nulls_around(left, right, left_on, right_on)
     return left.join(right, left[left_on] == right[right_on], h)
 
 
