@@ -52,7 +52,7 @@ def media_counts(posts: DataFrame, media: DataFrame, users: DataFrame | None = N
                  by: tuple[str, ...] = ("tweet_id",)) -> DataFrame:
     """Photo / video / gif counts grouped by ``by``.
 
-    Row set (as in the reference marts): posts exploded on their media keys
+    Row set (as in the original marts): posts exploded on their media keys
     (posts without keys drop out) FULL OUTER media, then FULL OUTER users on
     ``author_id = users_id`` when ``users`` is given.
     """

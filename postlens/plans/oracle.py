@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for every batch-expressible query.
+"""Oracle SQL (DuckDB dialect) for every registered query.
 
 The driver registers only the base tables, so each statement starts with
 the adapter views as CTEs.  Window bounds are rebuilt with

@@ -6,7 +6,7 @@ from :mod:`postlens.streaming.sinks`.  The ``stream_*`` entries of the
 query registry replay the test tables through these jobs with
 ``availableNow`` and return the written result as a batch DataFrame.
 
-Guards the library adds to the reference jobs: watermark set *before* a
+Guards the library adds to the original jobs: watermark set *before* a
 stream distinct (so its state can shrink), TIMESTAMP_NTZ cast to
 TIMESTAMP before ``withWatermark``, ``IS NOT NULL`` on both keys of an
 ``=`` outer interval join, and an optional time bound for the users join.
