@@ -77,6 +77,39 @@ def sliding_agg(df: DataFrame, keys: tuple[str, ...], time_col: str, length: str
     return out.select(*keys, window, *partials)
 
 
+def two_level_agg(df: DataFrame, keys: tuple[str, ...], time_col: str, length1: str, slide1: str,
+                  length2: str, slide2: str, partials: dict[str, Column]) -> DataFrame:
+    """Window over window in one pass (batch).
+
+    Equal to :func:`sliding_agg` at (length1, slide1) followed by
+    :func:`rewindow` at (length2, slide2): a bucket's partial belongs to
+    each first-level window containing it, and that window's time
+    (end - 1 microsecond) to each second-level window containing it.  One
+    aggregation per bucket, one Expand of the (few) partials, one final
+    aggregation -- the first-level table is never built.
+    """
+    L1, S1 = duration_micros(length1), duration_micros(slide1)
+    L2, S2 = duration_micros(length2), duration_micros(slide2)
+    g = math.gcd(L1, S1)
+    n1, n2 = -(-L1 // S1), -(-L2 // S2)
+    ntz = isinstance(df.schema[time_col].dataType, TimestampNTZType)
+    us = _to_micros(F.col(time_col), ntz)
+    pre = (df.where(F.col(time_col).isNotNull())
+           .groupBy(*keys, (us - F.pmod(us, F.lit(g))).alias("_b"))
+           .agg(*[e.alias(name) for name, e in partials.items()]))
+    lvl1 = (pre.select(*keys, "_b", *partials, F.explode(F.sequence(F.lit(0), F.lit(n1 - 1))).alias("_i"))
+            .withColumn("_s1", F.col("_b") - F.pmod("_b", F.lit(S1)) - F.col("_i") * S1)
+            .where(F.col("_s1") + L1 > F.col("_b"))
+            .select(*keys, *partials, (F.col("_s1") + (L1 - 1)).alias("_wt")))
+    lvl2 = (lvl1.select(*keys, *partials, "_wt", F.explode(F.sequence(F.lit(0), F.lit(n2 - 1))).alias("_j"))
+            .withColumn("_s", F.col("_wt") - F.pmod("_wt", F.lit(S2)) - F.col("_j") * S2)
+            .where(F.col("_s") + L2 > F.col("_wt")))
+    out = lvl2.groupBy(*keys, "_s").agg(*[F.sum(name).cast("bigint").alias(name) for name in partials])
+    window = F.struct(_from_micros(F.col("_s"), ntz).alias("start"),
+                      _from_micros(F.col("_s") + L2, ntz).alias("end")).alias("window")
+    return out.select(*keys, window, *partials)
+
+
 def sliding_counts(df: DataFrame, keys: tuple[str, ...], time_col: str,
                    length: str = "25 seconds", slide: str = "5 seconds",
                    watermark: str | None = None) -> DataFrame:

@@ -472,5 +472,5 @@ def word_count_sliding_clean(spark, sf):
 @query("word_count_two_level")
 def word_count_two_level(spark, sf):
     words = WD.clean_words(Tables(spark, sf).posts, keep=("created_at",))
-    first = W.sliding_counts(words, ("word",), "created_at", "25 seconds", "5 seconds")
-    return W.flatten_window(W.rewindow(first, ("word",), "1 minute", "30 seconds"))
+    return W.flatten_window(W.two_level_agg(words, ("word",), "created_at", "25 seconds", "5 seconds",
+                                            "1 minute", "30 seconds", {"count": F.count(F.lit(1))}))

@@ -133,3 +133,21 @@ def test_batch_sliding_windows_equal_window_function_in_any_zone(spark):
                         rows(native, "word", "window_start", "window_end", "count"), (tz, typ, length)
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_two_level_in_one_pass_equals_rewindow(spark):
+    import random
+    from datetime import datetime, timedelta
+    from postlens.operators import windows as W
+    rnd = random.Random(5)
+    data = [(f"w{rnd.randrange(3)}", datetime(2024, 1, 1) + timedelta(seconds=rnd.uniform(0, 600)))
+            for _ in range(300)]
+    for typ in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame(data, f"word string, ts {typ}")
+        for l1, s1, l2, s2 in (("25 seconds", "5 seconds", "1 minute", "30 seconds"),
+                               ("5 minutes", "2 minutes", "7 minutes", "3 minutes")):
+            first = W.sliding_counts(df, ("word",), "ts", l1, s1)
+            two_step = W.flatten_window(W.rewindow(first, ("word",), l2, s2))
+            one_pass = W.flatten_window(W.two_level_agg(df, ("word",), "ts", l1, s1, l2, s2,
+                                                        {"count": F.count(F.lit(1))}))
+            assert rows(one_pass) == rows(two_step), (typ, l1, l2)
