@@ -59,3 +59,14 @@ def test_interval_join_is_an_equi_join_on_key_and_bucket(spark):
 
 def test_stop_words_become_a_hash_set(spark):
     assert "INSET" in _optimized(E.queries()["word_frequency"](spark, SF_SMALL)).upper()
+
+
+def test_equality_filter_reaches_the_scan_through_the_outer_join(spark):
+    plan = _plan(E.queries()["filter_equals"](spark, SF_SMALL))
+    assert "EqualTo(c_name,Customer#000000007)" in plan
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = _plan(E.queries()["interaction_totals"](spark, SF_SMALL))
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
+    assert "ReadSchema: struct<doc_id:bigint>" in plan            # no text read for sums
