@@ -21,7 +21,8 @@ Two scale-minded building blocks:
     instead of landing in one task, and each pair is found exactly once.
     Stream form: Spark's stream-stream join on the same (key, bucket) plus
     range condition, so the state store is split per bucket too and is
-    still evicted by watermark.
+    still evicted by watermark (full outer: two such joins, see
+    :func:`stream_interval_join`).
 """
 
 from __future__ import annotations
@@ -213,31 +214,46 @@ def stream_interval_join(left: DataFrame, right: DataFrame, *, left_key: str, ri
 
     The state store keeps rows per join key, and every arriving row is
     compared with all stored rows of its key; a hot key (the null key of a
-    null-safe join, a viral media item) makes that quadratic.  For inner /
-    left / right joins the time bucket joins the key, as in the batch form,
-    so state is split per (key, bucket); the range condition still drives
-    watermark eviction.  A full outer join cannot replicate either side
-    without duplicating unmatched rows, so it stays on the plain key.
+    null-safe join, a viral media item) makes that quadratic.  So the time
+    bucket joins the key, as in the batch form: state is split per
+    (key, bucket), and the range condition still drives watermark eviction.
+    Inner / left / right joins replicate the side that cannot come out
+    unmatched.  A full outer join is the bucketed left join plus the
+    right-only rows of the bucketed right join (two joins, each side kept
+    exactly once where it may be unmatched).
 
     With plain ``=`` the condition gets ``IS NOT NULL`` on both keys: a
     stream-stream outer join would otherwise pair null keys.
     """
     lower, upper = _secs(lower), _secs(upper)
     h = _norm_how(how)
-    use_buckets = bucketed and h != "full"
-    if use_buckets:
-        bk = _Buckets(lower, upper, bucket_seconds)
-        if h == "right":
-            left, right = bk.spread_left(left, left_time), bk.own(right, right_time)
-        else:
-            left, right = bk.own(left, left_time), bk.spread_right(right, right_time)
-        right = right.withColumnRenamed("__b", "__rb")
-    c = _key_match(left[left_key], right[right_key], null_safe)
-    if not null_safe:
-        c = c & left[left_key].isNotNull() & right[right_key].isNotNull()
-    if use_buckets:
-        c = c & (left["__b"] == right["__rb"])
-    c = c & _time_match(left[left_time], right[right_time], lower, upper)
-    out = left.join(right, c, {"inner": "inner", "left": "left_outer", "right": "right_outer",
-                               "full": "full_outer"}[h])
-    return out.drop("__b", "__rb") if use_buckets else out
+
+    def one(l: DataFrame, r: DataFrame, kind: str, replicate: str | None) -> DataFrame:
+        if replicate is not None:
+            bk = _Buckets(lower, upper, bucket_seconds)
+            if replicate == "left":
+                l, r = bk.spread_left(l, left_time), bk.own(r, right_time)
+            else:
+                l, r = bk.own(l, left_time), bk.spread_right(r, right_time)
+            r = r.withColumnRenamed("__b", "__rb")
+        c = _key_match(l[left_key], r[right_key], null_safe)
+        if not null_safe:
+            c = c & l[left_key].isNotNull() & r[right_key].isNotNull()
+        if replicate is not None:
+            c = c & (l["__b"] == r["__rb"])
+        c = c & _time_match(l[left_time], r[right_time], lower, upper)
+        out = l.join(r, c, {"inner": "inner", "left": "left_outer", "right": "right_outer",
+                            "full": "full_outer"}[kind])
+        return out.drop("__b", "__rb") if replicate is not None else out
+
+    if not bucketed:
+        return one(left, right, h, None)
+    if h in ("inner", "left"):
+        return one(left, right, h, "right")
+    if h == "right":
+        return one(left, right, "right", "left")
+    matched_and_left = one(left, right, "left", "right")
+    marked = left.withColumn("__lpresent", F.lit(True))
+    right_only = (one(marked, right, "right", "left")
+                  .where(F.col("__lpresent").isNull()).drop("__lpresent"))
+    return matched_and_left.unionByName(right_only)
