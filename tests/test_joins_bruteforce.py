@@ -66,3 +66,23 @@ def test_full_outer_using_key(spark):
     assert out.columns == ["k", "a", "b"]
     assert rows(out) == sorted([("x", 1, 10), ("y", 2, None), (None, 3, None), ("z", None, 30),
                                 (None, None, 40)], key=repr)
+
+
+@pytest.mark.parametrize("tz", ["America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("typ", ["timestamp_ntz", "timestamp"])
+def test_interval_join_across_dst_in_any_zone(spark, tz, typ):
+    """Buckets come from zone-free epoch seconds: a daylight-saving jump in
+    the session zone (the fixtures straddle 2024-03-10 02:00) loses no pair."""
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        l, r = _random_sides(spark, 9)
+        l = l.withColumn("lt", l.lt.cast(typ))
+        r = r.withColumn("rt", r.rt.cast(typ))
+        out = J.interval_join(l, r, left_key="lk", right_key="rk", left_time="lt", right_time="rt",
+                              lower=0, upper=60, how="full", null_safe=True)
+        from postlens.functions.time import seconds
+        cond = l.lk.eqNullSafe(r.rk) & (l.lt >= r.rt + seconds(0)) & (l.lt <= r.rt + seconds(60))
+        assert rows(out, "lid", "rid") == rows(l.join(r, cond, "full_outer"), "lid", "rid")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
