@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,11 +10,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from postlens.session import build_session
+    from postlens.session import build_session, checkpoint_root
 
-    scratch = tempfile.mkdtemp(prefix="postlens-test-")
     s = build_session(master="local[4]", app="postlens-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": scratch, "spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g"})
+    checkpoint_root(s)   # the configured spark.checkpoint.dir, or a temporary one if unset
     yield s
     s.stop()
 
