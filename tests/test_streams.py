@@ -327,3 +327,22 @@ def test_three_way_join_with_users_snapshot_equals_stream(spark, scratch):
     got = rows(spark.read.parquet(out).where("username is null or username != '__close'"))
     want = rows(jobs.stream_join_users_media(spark, SF_SMALL))
     assert got == want
+
+
+def test_kafka_sink_needs_the_connector_here(spark, scratch):
+    """No Kafka connector on this classpath: the sink fails at start with a
+    data-source error instead of silently doing nothing."""
+    sa, _ = _two_streams(spark, scratch)
+    with pytest.raises(Exception) as err:
+        q = sinks.kafka_sink(sa, "localhost:1", "t", scratch("kck"), key_col="k", available_now=True)
+        q.awaitTermination(30)
+    assert "kafka" in str(err.value).lower()
+
+
+def test_batch_jdbc_writer_without_a_database_raises(spark):
+    """The JDBC path is wired (the write is attempted) but no database is
+    started here, so it must fail loudly rather than drop the batch."""
+    write = sinks.batch_jdbc_writer(sinks.jdbc_options("jdbc:nosuchdb://nowhere/x", "wc"))
+    df = spark.createDataFrame([("a", 1)], "word string, count int")
+    with pytest.raises(Exception):
+        write(df, 0)
