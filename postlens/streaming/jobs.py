@@ -23,7 +23,7 @@ from ..operators import messages as msg
 from ..operators import windows as W
 from ..operators import words as WD
 from ..plans.catalog import INTERVAL_SECONDS, ntz, query
-from ..session import work_dir
+from ..session import checkpoint_root, work_dir
 from ..sources.streams import read_stream
 from ..sources.tables import Tables
 from ..functions.time import seconds
@@ -189,11 +189,19 @@ def _closing_media(mx: DataFrame) -> DataFrame:
         (F.col("t") + F.expr("INTERVAL 1 HOUR")).alias("media_ts")))
 
 
+# Staged record folders by (shared folder, data folder, stream, closing rows).
+# The input tables are read-only, so a folder staged once is replayed by
+# every later run of the same stream query; each run still gets its own
+# checkpoint and output.
+_STAGED: dict[tuple, tuple[str, int]] = {}
+
+
 class Replay:
-    """Stage record files for the tables of one data folder and open them as streams."""
+    """Stage record files for the tables of one data folder (once) and open
+    them as streams."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, closing: bool = False):
-        self.spark, self.t = spark, Tables(spark, sf_dir)
+        self.spark, self.t, self.sf_dir = spark, Tables(spark, sf_dir), sf_dir
         self.closing = closing
         self._mx = None
 
@@ -205,9 +213,13 @@ class Replay:
         return self._mx
 
     def _open(self, name: str, records: DataFrame, closing_fn) -> DataFrame:
-        path, n = stage_records(self.spark, records, f"stream-in-{name}")
-        if self.closing:
-            append_records(closing_fn(self._max()), path)
+        key = (checkpoint_root(self.spark), self.sf_dir, name, self.closing)
+        if key not in _STAGED:
+            path, n = stage_records(self.spark, records, f"stream-in-{name}")
+            if self.closing:
+                append_records(closing_fn(self._max()), path)
+            _STAGED[key] = (path, n)
+        path, n = _STAGED[key]
         raw = read_stream(self.spark, "files", path=path, max_files_per_trigger=n)
         return msg.decode_records(raw)
 
