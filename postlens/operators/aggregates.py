@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import METRIC_NAMES
 from .flatten import explode_media
-from .joins import full_outer_join
+from .joins import full_outer_join, left_join_null_split
 
 # The media types counted and the output column for each.
 MEDIA_TYPE_COLUMNS = (("photo", "photo_count"), ("video", "video_count"), ("animated_gif", "gif_count"))
@@ -35,7 +35,7 @@ def _counted_rows(exploded: DataFrame, media: DataFrame) -> DataFrame:
     ever land in the all-null group of any grouping below.
     """
     totals = media_type_totals(media)
-    post_side = exploded.join(totals, "media_key", "left")
+    post_side = left_join_null_split(exploded, totals, "media_key")
     used = exploded.select("media_key").where(F.col("media_key").isNotNull()).distinct()
     orphans = (totals.join(used, "media_key", "left_anti")
                .agg(*[F.sum(c).alias(c) for _, c in MEDIA_TYPE_COLUMNS])

@@ -51,7 +51,9 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     """Full outer equi-join (``=``, nulls never match) in skew-tolerant form.
 
     ``coalesce_key=True`` gives USING semantics: a single key column named
-    ``left_on`` holding whichever side's key is present.
+    ``left_on`` holding whichever side's key is present.  Apart from the
+    keys, the two sides' column names must be distinct (as for any join
+    whose result is used by name).
     """
     right_on = right_on or left_on
     rk = right_on
