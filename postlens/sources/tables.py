@@ -110,11 +110,34 @@ def user_messages(spark: SparkSession, sf_dir: str, posts_df: DataFrame | None =
                     (F.col("first_ts") - _seconds(F.lit(USER_SHIFT_SECONDS))).alias("user_ts")))
 
 
+# Written posts tables by (shared folder, data folder).  The input tables are
+# read-only, so the posts view -- the only adapter view with a join -- is
+# written once, like the flattened tables of the mart job, and every later
+# query scans it instead of joining events to documents again.
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def written_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts view as a table in the shared folder (written on first use)."""
+    from ..session import checkpoint_root, work_dir
+
+    key = (checkpoint_root(spark), sf_dir.rstrip("/"))
+    if key not in _WRITTEN:
+        path = work_dir(spark, "adapter-posts")
+        posts(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])
+
+
 class Tables:
-    """Lazily built adapter views for one data folder (each built once)."""
+    """Lazily built adapter views for one data folder (each built once).
+
+    ``written=True`` (default) reads posts from :func:`written_posts`;
+    ``written=False`` derives them from events and documents in the query.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = True):
+        self.spark, self.sf_dir, self.written = spark, sf_dir, written
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, fn):
@@ -124,6 +147,8 @@ class Tables:
 
     @property
     def posts(self):
+        if self.written:
+            return self._get("posts", lambda: written_posts(self.spark, self.sf_dir))
         return self._get("posts", lambda: posts(self.spark, self.sf_dir))
 
     @property
