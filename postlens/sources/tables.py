@@ -122,11 +122,15 @@ def written_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import checkpoint_root, work_dir
 
     key = (checkpoint_root(spark), sf_dir.rstrip("/"))
-    if key not in _WRITTEN:
-        path = work_dir(spark, "adapter-posts")
-        posts(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
+    if key in _WRITTEN:
+        try:
+            return spark.read.parquet(_WRITTEN[key])
+        except Exception:  # noqa: BLE001  (folder removed since: write it again)
+            del _WRITTEN[key]
+    path = work_dir(spark, "adapter-posts")
+    posts(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _WRITTEN[key] = path
+    return spark.read.parquet(path)
 
 
 class Tables:

@@ -214,6 +214,11 @@ class Replay:
 
     def _open(self, name: str, records: DataFrame, closing_fn) -> DataFrame:
         key = (checkpoint_root(self.spark), self.sf_dir, name, self.closing)
+        if key in _STAGED:
+            try:
+                self.spark.read.parquet(_STAGED[key][0]).schema
+            except Exception:  # noqa: BLE001  (folder removed since: stage it again)
+                del _STAGED[key]
         if key not in _STAGED:
             path, n = stage_records(self.spark, records, f"stream-in-{name}")
             if self.closing:
