@@ -222,7 +222,11 @@ class Replay:
         if key not in _STAGED:
             path, n = stage_records(self.spark, records, f"stream-in-{name}")
             if self.closing:
+                # closing rows go in the same first micro-batch: the watermark
+                # moves past every real row when that batch ends, and the
+                # following no-data batch emits the unmatched outer rows
                 append_records(closing_fn(self._max()), path)
+                n = len(self.spark.read.parquet(path).inputFiles())
             _STAGED[key] = (path, n)
         path, n = _STAGED[key]
         raw = read_stream(self.spark, "files", path=path, max_files_per_trigger=n)
