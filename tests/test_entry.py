@@ -40,3 +40,14 @@ def test_oracle_matches_spark_on_small_data(spark):
         idx = sorted(range(len(cols)), key=lambda i: cols[i])
         d = sorted((tuple(r[i] for i in idx) for r in res.fetchall()), key=repr)
         assert s == d, name
+
+
+def test_written_posts_are_rewritten_when_their_folder_is_gone(spark):
+    from postlens.session import checkpoint_root
+    from postlens.sources import tables
+    first = tables.written_posts(spark, SF_SMALL).count()
+    key = (checkpoint_root(spark), SF_SMALL)
+    tables._WRITTEN[key] = key[0] + "/no-such-folder"
+    assert tables.written_posts(spark, SF_SMALL).count() == first
+    assert tables._WRITTEN[key] != key[0] + "/no-such-folder"
+    assert first == tables.posts(spark, SF_SMALL).count()
