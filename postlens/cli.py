@@ -37,8 +37,11 @@ def _marts(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, topic: str):
+    """Kafka topic, or ``--files DIR/<topic>`` holding files with the Kafka record schema."""
     from postlens.operators.messages import decode_records
     from postlens.sources.streams import read_stream
+    if a.files:
+        return decode_records(read_stream(spark, "files", path=f"{a.files.rstrip('/')}/{topic}"))
     return decode_records(read_stream(spark, "kafka", topic=topic, servers=a.servers,
                                       starting_offsets=a.starting_offsets,
                                       fail_on_data_loss=not a.tolerate_data_loss,
@@ -53,11 +56,12 @@ def _word_count(spark: SparkSession, a: argparse.Namespace) -> None:
         def write(batch, batch_id):
             finish(batch).write.mode("overwrite").parquet(a.out)
         q = sinks.start_stream(partials, "foreachBatch", mode="complete", checkpoint=a.checkpoint,
-                               foreach_batch=write, trigger_seconds=a.trigger_seconds)
+                               foreach_batch=write, trigger_seconds=a.trigger_seconds,
+                               available_now=a.available_now)
     else:
         q = sinks.start_stream(jobs.word_count_job(posts, a.watermark, a.length, a.slide), "console",
                                mode="complete", checkpoint=a.checkpoint, trigger_seconds=a.trigger_seconds,
-                               options={"truncate": "false"})
+                               available_now=a.available_now, options={"truncate": "false"})
     q.awaitTermination()
 
 
@@ -66,7 +70,7 @@ def _join_users_media(spark: SparkSession, a: argparse.Namespace) -> None:
     job = jobs.join_users_media_job(_source(spark, a, a.posts_topic), _source(spark, a, a.users_topic),
                                     _source(spark, a, a.media_topic), watermark=a.watermark)
     q = sinks.start_stream(job, "parquet", path=a.out, checkpoint=a.checkpoint,
-                           trigger_seconds=a.trigger_seconds)
+                           trigger_seconds=a.trigger_seconds, available_now=a.available_now)
     q.awaitTermination()
 
 
@@ -88,7 +92,9 @@ def main(argv: list[str] | None = None) -> None:
 
     for name in ("word-count", "join-users-media"):
         s = sub.add_parser(name)
-        s.add_argument("--servers", required=True)
+        s.add_argument("--servers")
+        s.add_argument("--files", help="folder with one sub-folder of record files per topic")
+        s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--out")
         s.add_argument("--starting-offsets", default="latest")
@@ -110,6 +116,8 @@ def main(argv: list[str] | None = None) -> None:
         p.error("marts needs --out or --jdbc-url")
     if a.cmd == "join-users-media" and not a.out:
         p.error("join-users-media needs --out")
+    if a.cmd != "marts" and not (a.servers or a.files):
+        p.error("streams need --servers (Kafka) or --files")
     spark = SparkSession.builder.appName(f"postlens-{a.cmd}").getOrCreate()
     {"marts": _marts, "word-count": _word_count, "join-users-media": _join_users_media}[a.cmd](spark, a)
 

@@ -46,3 +46,15 @@ def test_cli_marts_to_files(spark, scratch):
     cli.main(["marts", "--envelopes", env_path, "--format", "parquet", "--out", out])
     assert spark.read.parquet(f"{out}/df5").count() > 0
     assert spark.read.parquet(f"{out}/df8").count() > 0
+
+
+def test_cli_word_count_from_record_files(spark, scratch):
+    from postlens import cli
+    from postlens.operators import messages as msg
+    from postlens.streaming.runner import append_records
+    t = Tables(spark, SF_SMALL)
+    root, out, ck = scratch("cli-rec"), scratch("cli-wc"), scratch("cli-ck")
+    append_records(msg.post_records(t.posts), f"{root}/posts")
+    cli.main(["word-count", "--files", root, "--checkpoint", ck, "--out", out, "--available-now"])
+    got = spark.read.parquet(out)
+    assert got.count() > 0 and set(got.columns) == {"word", "window", "count"}
