@@ -44,3 +44,44 @@ def test_interval_join_properties(spark, left, right, null_safe, how, upper):
     cond = key & (l.lt >= r.rt + seconds(0)) & (l.lt <= r.rt + seconds(upper))
     kind = {"full": "full_outer", "left": "left_outer", "right": "right_outer", "inner": "inner"}[how]
     assert rows(out, "lid", "rid") == rows(l.join(r, cond, kind), "lid", "rid")
+
+
+KEYS = st.lists(st.one_of(st.none(), st.sampled_from(["m1", "m2", "m3"])), max_size=3)
+POSTS = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3", None]), st.one_of(st.none(), KEYS),
+                           st.one_of(st.none(), st.integers(0, 9))), max_size=12)
+MEDIA = st.lists(st.tuples(st.sampled_from(["m1", "m2", "m4"]),
+                           st.sampled_from(["photo", "video", "animated_gif", "other"])), max_size=6)
+USERS = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u5"]), st.sampled_from(["ann", "bob", None])),
+                 max_size=5)
+
+
+def _mart_frames(spark, posts, media, users):
+    from pyspark.sql import functions as F
+    p = spark.createDataFrame([(f"p{i}", a, k, v) for i, (a, k, v) in enumerate(posts)],
+                              "tweet_id string, author_id string, data_media_keys array<string>, like_count int")
+    for m in ("retweet_count", "reply_count", "quote_count"):
+        p = p.withColumn(m, F.col("like_count"))
+    m = spark.createDataFrame(media, "media_key string, media_type string")
+    u = spark.createDataFrame(users, "users_id string, username string")
+    return p, m, u
+
+
+@SETTINGS
+@given(posts=POSTS, media=MEDIA, users=USERS)
+def test_pre_aggregated_marts_equal_row_level_joins(spark, posts, media, users):
+    """Counting before joining gives the row-level full-outer-join answer,
+    fan-out (duplicate media and users) and orphans included."""
+    from pyspark.sql import functions as F
+    from postlens.operators import aggregates as agg
+    p, m, u = _mart_frames(spark, posts, media, users)
+    ex = p.select("tweet_id", "author_id", F.explode("data_media_keys").alias("media_key"))
+    pm = ex.join(m, "media_key", "full_outer")
+    pmu = pm.join(u, pm.author_id == u.users_id, "full_outer")
+    counts = [F.count(F.when(F.col("media_type") == t, 1)).alias(c)
+              for t, c in (("photo", "photo_count"), ("video", "video_count"), ("animated_gif", "gif_count"))]
+    assert rows(agg.media_counts(p, m, by=("tweet_id",))) == rows(pm.groupBy("tweet_id").agg(*counts))
+    assert rows(agg.media_counts(p, m, u, by=("username",))) == rows(pmu.groupBy("username").agg(*counts))
+    pu = p.join(u, p.author_id == u.users_id, "full_outer")
+    sums = [F.sum(c).cast("bigint").alias(f"sum_{c}")
+            for c in ("retweet_count", "reply_count", "like_count", "quote_count")]
+    assert rows(agg.interaction_totals(p, u)) == rows(pu.groupBy("author_id", "username").agg(*sums))
