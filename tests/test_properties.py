@@ -85,3 +85,21 @@ def test_pre_aggregated_marts_equal_row_level_joins(spark, posts, media, users):
     sums = [F.sum(c).cast("bigint").alias(f"sum_{c}")
             for c in ("retweet_count", "reply_count", "like_count", "quote_count")]
     assert rows(agg.interaction_totals(p, u)) == rows(pu.groupBy("author_id", "username").agg(*sums))
+
+
+TEXTS = st.lists(st.tuples(st.sampled_from(["u1", "u2", "u3", None]),
+                           st.one_of(st.none(), st.sampled_from(["the cat", "abide", "licence", "Bide", "x"]))),
+                 max_size=12)
+
+
+@SETTINGS
+@given(posts=TEXTS, users=USERS)
+def test_topic_mentions_equal_filter_after_full_outer(spark, posts, users):
+    from pyspark.sql import functions as F
+    from postlens.operators import aggregates as agg
+    p = spark.createDataFrame(posts, "author_id string, text string")
+    u = spark.createDataFrame(users, "users_id string, username string")
+    for pattern in ("(?i)biden?", "(?i)licen[cs]e?", "(?i)the"):
+        naive = (p.join(u, p.author_id == u.users_id, "full_outer").where(F.col("text").rlike(pattern))
+                 .groupBy("username").agg(F.count(F.lit(1)).alias("count")))
+        assert rows(agg.topic_mentions(p, u, pattern)) == rows(naive)
