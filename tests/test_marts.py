@@ -58,3 +58,17 @@ def test_cli_word_count_from_record_files(spark, scratch):
     cli.main(["word-count", "--files", root, "--checkpoint", ck, "--out", out, "--available-now"])
     got = spark.read.parquet(out)
     assert got.count() > 0 and set(got.columns) == {"word", "window", "count"}
+
+
+def test_cli_join_users_media_from_record_files(spark, scratch):
+    from postlens import cli
+    from postlens.operators import messages as msg
+    from postlens.streaming.runner import append_records
+    t = Tables(spark, SF_SMALL)
+    root, out, ck = scratch("cli-j"), scratch("cli-jo"), scratch("cli-jc")
+    append_records(msg.post_records(t.posts), f"{root}/posts")
+    append_records(msg.user_records(t.user_messages), f"{root}/users")
+    append_records(msg.media_records(t.media_messages), f"{root}/media")
+    cli.main(["join-users-media", "--files", root, "--checkpoint", ck, "--out", out, "--available-now"])
+    got = spark.read.parquet(out)
+    assert got.count() > 0 and set(got.columns) == {"text", "username", "media_key"}
