@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, simhash
+from . import bpe, mixing, quality, simhash
 from .common import table
 
 
@@ -26,8 +26,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(table(spark, sf_dir, "documents"),
+                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op5_simhash, op8_quality)
+    f.__name__: f for f in (op1_mix_sources, op5_simhash, op8_quality, op9_bpe)
 }
 
 _OP1 = """
