@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, simhash
+from . import bpe, mixing, pii, quality, simhash
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data pseudonymised."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,7 +39,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op5_simhash, op8_quality, op9_bpe)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op5_simhash, op8_quality, op9_bpe)
 }
 
 _OP1 = """
