@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pii, quality, simhash
+from . import bpe, mixing, pii, quality, simhash, toxicity
 from .common import table
 
 
@@ -38,8 +38,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii, op5_simhash, op8_quality, op9_bpe)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op5_simhash, op8_quality, op9_bpe, op10_toxicity)
 }
 
 _OP1 = """
