@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pii, quality, simhash, toxicity
+from . import bpe, html_extract, mixing, pii, quality, simhash, toxicity
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,7 +47,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii, op5_simhash, op8_quality, op9_bpe, op10_toxicity)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op5_simhash, op6_html, op8_quality, op9_bpe, op10_toxicity)
 }
 
 _OP1 = """
