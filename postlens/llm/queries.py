@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, mixing, pii, quality, simhash, toxicity
+from . import ann, bpe, html_extract, mixing, pii, quality, simhash, toxicity
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii, op5_simhash, op6_html, op8_quality, op9_bpe, op10_toxicity)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op4_ann, op5_simhash, op6_html, op8_quality, op9_bpe, op10_toxicity)
 }
 
 _OP1 = """
