@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, html_extract, mixing, pii, quality, simhash, toxicity
+from . import ann, bpe, html_extract, mixing, pii, quality, simhash, toxicity, url_filter
 from .common import table
 
 
@@ -23,6 +23,15 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [url_filter.Rule("net/", False), url_filter.Rule("example.net/en/", True),
+             url_filter.Rule("example.com/de/", False), url_filter.Rule("org/fr/", True)]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page url; the templates learn from the urls that the rules decide."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -51,7 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii, op4_ann, op5_simhash, op6_html, op8_quality, op9_bpe, op10_toxicity)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op8_quality, op9_bpe, op10_toxicity)
 }
 
 _OP1 = """
