@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, html_extract, mixing, pii, quality, simhash, toxicity, url_filter
+from . import ann, bm25, bpe, html_extract, mixing, pii, quality, simhash, toxicity, url_filter
 from .common import table
 
 
@@ -44,6 +44,11 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other documents for each document whose id is divisible by 100."""
+    return bm25.search(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,7 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op8_quality, op9_bpe, op10_toxicity)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op7_bm25, op8_quality, op9_bpe, op10_toxicity)
 }
 
 _OP1 = """
@@ -88,4 +93,22 @@ SELECT doc_id, text, lang, source, n_chars, r.copy::INT AS copy,
 FROM counts, unnest(range(1, n + 1)) AS r(copy)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": _OP1}
+_OP7 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+len AS (SELECT d.doc_id, coalesce(sum(tf), 0)::DOUBLE AS len FROM documents d LEFT JOIN tf USING (doc_id) GROUP BY ALL),
+totals AS (SELECT count(*)::DOUBLE AS n, avg(len) AS mean FROM len),
+df AS (SELECT term, count(*)::DOUBLE AS df FROM tf GROUP BY term),
+scores AS (
+  SELECT q.doc_id AS query_id, t.doc_id,
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * t.tf * 2.2 / (t.tf + 1.2 * (0.25 + 0.75 * len / mean))), 9) AS score
+  FROM tf q JOIN tf t USING (term) JOIN df USING (term) JOIN len ON len.doc_id = t.doc_id, totals
+  WHERE q.doc_id % 100 = 0 AND t.doc_id <> q.doc_id GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": _OP1, "op7_bm25": _OP7}
