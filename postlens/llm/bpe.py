@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import col, free
+from .common import by_place, col, free
 
 #: Bytes of text that go through one round of the SQL query.
 ROUND_BYTES = 2_000_000
@@ -213,8 +213,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | Non
     kept = docs.select(*[col(c) for c in keep])
     schema = StructType([*[docs.schema[k] for k in keep], StructField(free(ids, kept), BinaryType()),
                          StructField(free(decoded, kept), BinaryType())])
-    raw = free("__text", docs)
-    inner = docs.select(*[col(k) for k in keep], F.coalesce(col(text), F.lit("")).alias(raw))
+    inner = by_place(docs, keep, F.coalesce(col(text), F.lit("")))
     names = schema.names
 
     def run(batches: Iterator) -> Iterator:

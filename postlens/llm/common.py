@@ -48,3 +48,8 @@ def lower_ascii(c: Column) -> Column:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; -1 for a null id (never a held-out remainder)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(-1))
+
+
+def by_place(docs: DataFrame, names: list[str], *more: Column) -> DataFrame:
+    """Columns ``names`` and ``more`` as c0, c1, ...: safe for Arrow functions whatever the names (dots included)."""
+    return docs.select(*[c.alias(f"c{i}") for i, c in enumerate([*map(col, names), *more])])

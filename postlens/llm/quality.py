@@ -19,8 +19,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import col, fold, free, stored
+from .common import by_place, col, fold, free, stored
 
 #: At most this many labelled documents (the first by hash) train the ranking.
 TRAIN_ROWS = 40_000
@@ -139,20 +140,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[R
 
 def raw_scores(docs: DataFrame, ranking: Ranking, keep: list[str], into: str) -> DataFrame:
     """``docs`` columns ``keep`` plus the raw score of the whole text in column ``into``."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     schema = StructType([*[docs.schema[k] for k in keep], StructField(into, DoubleType())])
-    inner = docs.select(*[col(k) for k in dict.fromkeys([*keep, "text"])])
+    inner = by_place(docs, keep, col("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            t = b.column(b.schema.get_field_index("text")).to_pylist()
+            t = b.column(b.num_columns - 1).to_pylist()
             f = np.array([features(x) for x in t], dtype=float).reshape(-1, len(FEATURES))
             score = pa.array(ranking.raw(f))
-            yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(k)) for k in keep], score],
-                                             names=[*keep, into])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], score], names=[*keep, into])
 
     return inner.mapInArrow(run, schema)
 
@@ -160,7 +158,7 @@ def raw_scores(docs: DataFrame, ranking: Ranking, keep: list[str], into: str) ->
 def threshold(all_scores: DataFrame, into: str, raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """(threshold, steepness): the corpus quantile with the best balanced accuracy on the training rows."""
     q = all_scores.agg(F.percentile_approx(into, [i / QUANTILES for i in range(1, QUANTILES)], 20_000)).first()[0]
-    spread = float(np.std(raw)) or 1.0
+    spread = (float(np.std(raw)) if len(raw) else 0.0) or 1.0
     if not q or not len(y) or y.min() == y.max():
         low = float(np.min(raw)) - 1.0 if len(y) and y.min() == 1 else 0.0     # no bad example: keep everything
         return low, 2.0 / spread

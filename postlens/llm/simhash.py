@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import col, free, stored
+from .common import by_place, col, free, stored
 from .graph import components
 
 SHINGLE_WORDS = 4
@@ -63,8 +63,7 @@ def with_fingerprints(docs: DataFrame, keep: list[str], into: str, text: str = "
     import pyarrow as pa
 
     schema = StructType([*[docs.schema[k] for k in keep], StructField(into, LongType())])
-    raw = free("__raw", docs)
-    inner = docs.select(*[col(k) for k in keep], col(text).cast("binary").alias(raw))
+    inner = by_place(docs, keep, col(text).cast("binary"))
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:

@@ -1,0 +1,70 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from postlens.llm import ann
+
+
+def brute(ids, x, every, k):
+    s = x[ids % every == 0] @ x.T
+    out = {}
+    for q, row in zip(ids[ids % every == 0], s):
+        row = np.where(ids == q, -np.inf, row)
+        o = np.lexsort((ids, -row))[:min(k, len(ids) - 1)]
+        out[int(q)] = (ids[o].tolist(), row[o])
+    return out
+
+
+def recall(rows, want, k):
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    hit = 0
+    for q, (ids, _) in want.items():
+        assert sorted(got[q]) == list(range(1, len(ids) + 1))
+        order = [got[q][i] for i in sorted(got[q])]
+        assert order == sorted(order, key=lambda t: (-t[1], t[0]))
+        hit += len({v for v, _ in order} & set(ids))
+    return hit / sum(len(i) for i, _ in want.values())
+
+
+@pytest.mark.parametrize("clusters,spread", [(40, 0.3), (1, 1.0)])
+def test_recall_with_a_small_sample(spark, monkeypatch, clusters, spread):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 1_500)
+    monkeypatch.setattr(ann, "SHARD_ROWS", 1_000)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 100)
+    r = np.random.default_rng(clusters)
+    centres = r.standard_normal((clusters, 24))
+    x = centres[r.integers(0, clusters, 5_000)] + spread * r.standard_normal((5_000, 24))
+    x *= r.uniform(0.5, 2.0, (5_000, 1))                       # norms differ: inner product, not cosine
+    x[3_000:4_500] = x[3_000]                                  # a third of the rows are one vector
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = ann.search(df.repartition(6)).collect()
+    want = brute(np.arange(5_000), x, 20, 20)
+    assert recall(rows, want, 20) >= 0.9
+    for row in rows[:200]:
+        assert row["score"] == pytest.approx(float(x[row["query_id"]] @ x[row["vec_id"]]), abs=1e-9)
+
+
+def test_scan_keeps_what_is_near():
+    r = np.random.default_rng(0)
+    x, q = r.standard_normal((3_000, 64)), r.standard_normal(64)
+    d = ((x - q) ** 2).sum(axis=1)
+    kept = ann.scan(q, float(np.sort(d)[19]), np.ascontiguousarray(x.T))
+    assert len(set(np.argsort(d)[:20]) & set(kept.tolist())) >= 19 and len(kept) < 300
+
+
+def test_edge_rows(spark):
+    v = [[1.0, 0.0], [0.0, 1.0], [1.0, 1.0]]
+    rows = [(0, v[0]), (20, v[0]), (1, v[1]), (2, v[2]), (3, v[2]), (4, None), (5, [0.0, 0.0]), (6, [1.0, None]),
+            (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, []), (10, [1.0, 2.0, 3.0]), (None, v[0]), (40, None), (2, v[2])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for c in ("list", "v", "score", "rank", "query_id", "shard"):
+        df = df.withColumn(c, F.lit("x"))
+    out = ann.search(df).collect()
+    assert sorted({r["query_id"] for r in out}) == [0, 20]
+    first = sorted((r["rank"], r["vec_id"], r["score"]) for r in out if r["query_id"] == 0)
+    assert first == [(1, 2, 1.0), (2, 3, 1.0), (3, 20, 1.0), (4, 1, 0.0)]
+    assert ann.search(df.limit(0)).count() == 0
+    assert ann.search(df.filter("vec_id = 4")).count() == 0
+    assert ann.search(df.filter("vec_id = 20")).count() == 0

@@ -1,0 +1,83 @@
+import hashlib
+import math
+from collections import Counter
+
+import duckdb
+import pytest
+
+from postlens.llm import mixing
+from postlens.llm.queries import ORACLE_SQL, QUERIES
+
+from .util import clashing, documents
+
+
+def test_matches_sql(spark):
+    d = "/root/testdata/sf0.01"
+    got = QUERIES["op1_mix_sources"](spark, d).toPandas()
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    want = c.execute(ORACLE_SQL["op1_mix_sources"]).df()
+    key = lambda x: sorted(zip(x["doc_id"], x["copy"], x["shuffle_key"], x["text"]))
+    assert key(got) == key(want)
+
+
+def _count(rate, digest, seed=42):
+    n, parts = 0, math.ceil(rate / 32)
+    for i in range(1, parts + 1):
+        mean = rate / parts
+        u = int(hashlib.md5(f"{seed}|{i}|{digest}".encode()).hexdigest()[:13], 16) / 2 ** 52
+        p = c = math.exp(-mean)
+        k = 0
+        while c < u and k < mixing.TERMS:
+            k += 1
+            p *= mean / k
+            c += p
+            n += 1
+    return n
+
+
+def test_counts_by_hand_and_shares(spark):
+    texts = [f"text number {i} " * (1 + i % 3) for i in range(3000)]
+    sources = ["big" if i % 3 else "small" for i in range(3000)]
+    docs = documents(spark, texts, sources)
+    out = mixing.mix(docs, {"big": 1, "small": 3}, epochs=2.0).toPandas()
+    units = Counter()
+    for t, s in zip(texts, sources):
+        units[s] += len(t) + 1
+    total = sum(units.values())
+    got = Counter(out["doc_id"])
+    for i in range(0, 3000, 7):
+        rate = round({"big": .25, "small": .75}[sources[i]] * 2 * total / units[sources[i]], 9)
+        assert got[i] == _count(rate, f"{i}|{hashlib.md5(texts[i].encode()).hexdigest()}")
+    mass = out.assign(u=out["text"].str.len() + 1).groupby("source")["u"].sum()
+    assert mass["small"] / mass.sum() == pytest.approx(0.75, abs=0.03)
+    assert mass.sum() == pytest.approx(2 * total, rel=0.05)
+    assert sorted(out["copy"].unique())[0] == 1
+
+
+def test_large_rate_is_a_sum_of_draws(spark):
+    docs = documents(spark, ["x" * 10] * 400, ["one"] * 4 + ["rest"] * 396)
+    out = mixing.mix(docs, {"one": 1.0, "rest": 1.0})
+    n = out.filter("source = 'one'").count()
+    assert 150 < n < 260                                   # mean 200, each of four documents about 50
+
+
+def test_order_is_mixed_and_stable(spark):
+    docs = documents(spark, [f"t{i}" for i in range(500)], ["a"] * 250 + ["b"] * 250)
+    one, two = (mixing.mix(docs).collect() for _ in range(2))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+    firsts = [r["source"] for r in sorted(one, key=lambda r: r["shuffle_key"])][:100]
+    assert 25 < firsts.count("a") < 75
+
+
+def test_edge_rows(spark):
+    docs = documents(spark, [None, "", "a" * 200_000, "same", "same"], [None, "a", "a", "a", "a"], [None, 1, 2, 3, 3])
+    out = mixing.mix(docs, epochs=3.0)
+    rows = out.collect()
+    same = Counter(r["copy"] for r in rows if r["doc_id"] == 3)
+    assert set(same.values()) <= {2}                        # repeated rows get equal counts
+    assert out.columns == [*docs.columns, "copy", "shuffle_key"]
+    assert mixing.mix(docs.limit(0)).count() == 0
+    assert mixing.mix(docs, {"zzz": 1.0}).count() == 0      # no named source present
+    many = mixing.mix(clashing(docs), epochs=3.0)
+    assert many.columns[-2:] == ["copy_", "shuffle_key_"] and many.count() == len(rows)
