@@ -148,7 +148,7 @@ class _Loaded:
         rows = rows[rows >= 0]
         size = self.size[rare]
         post = np.repeat(self.start[rare] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        part = np.bincount(self.doc[post], self.value[post], self.blocks * BLOCK)
+        part = np.bincount(self.doc[post], self.value[post], self.blocks * BLOCK).astype(float)
         part[:self.n][self.ids == own] = -np.inf
         part[self.n:] = -np.inf
         part = part.reshape(self.blocks, BLOCK)
