@@ -1,8 +1,7 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Terms are lower-cased words and their short prefixes; the vocabulary keeps
-those that the labelled training documents associate with toxicity (or with
-its absence).  Document frequencies are counted over all documents.  Labelled
+those that the labelled training documents associate with toxicity.  Document frequencies are counted over all documents.  Labelled
 examples form an inverted index whose posting lists carry the largest weight
 of each block; a search skips the blocks of examples that cannot reach the k
 nearest found so far.  The nearest examples vote by similarity, and the votes
@@ -28,81 +27,105 @@ from .quality import labelled
 
 FOLDS, HELD_OUT = 3, 1
 ACCEPT = 0.7
-#: Bounds of the fitted model: labelled documents that choose the vocabulary, its size, and indexed examples.
-TRAIN_ROWS, VOCABULARY, EXAMPLES = 40_000, 4_096, 40_000
-#: A term needs this many labelled documents and this signed chi score.
-MIN_DOCUMENTS, MIN_CHI = 5, 6.0
-NEIGHBOURS = 15
+#: Bounds of the fitted model: labelled documents (they choose the vocabulary and are the indexed examples),
+#: terms that are tried, and terms that are kept.
+TRAIN_ROWS, CANDIDATES, VOCABULARY = 16_000, 100_000, 4_096
+#: A term needs this many toxic documents, this share of them, and this chi score.
+MIN_TOXIC, MIN_SHARE, MIN_CHI = 4, 0.02, 6.0
+#: Examples whose own votes calibrate the scores, at most.
+CALIBRATED = 6_000
+NEIGHBOURS = 25
 #: Examples in a block of the index.
 BLOCK = 64
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W_]+")
 
 
+def dense_levels(n: int, words: int) -> int:
+    """How densely a prefix occurs in a text of so many words: 0, 1 (twice and 0.4 %) or 2 (three times and 1 %)."""
+    return (n >= 2 and n >= 0.004 * words) + (n >= 3 and n >= 0.01 * words)
+
+
 def terms(text: str | None) -> Counter:
-    """Term frequencies of a whole text: words, and their prefixes marked with an asterisk."""
+    """Term frequencies of a whole text: words, prefixes marked ``*``, and dense prefixes marked ``*+``, ``*++``."""
     words = Counter(_WORD.findall((text or "").lower()))
-    out = Counter(words)
+    prefixes: Counter = Counter()
     for w, n in words.items():
         for k in PREFIXES:
             if len(w) > k:
-                out[w[:k] + "*"] += n
-    return out
+                prefixes[w[:k] + "*"] += n
+    total = sum(words.values())
+    dense = {p + "+" * level: 1 for p, n in prefixes.items() if n > 1 for level in range(1, dense_levels(n, total) + 1)}
+    return words + prefixes + Counter(dense)
 
 
 def choose_vocabulary(rows: DataFrame) -> list[str]:
-    """Terms of labelled rows (text, y) tied to the label, strongest first.
+    """Terms of labelled rows (doc_id, text, y) that go with toxicity, strongest first.
 
-    The chi score of a term is the difference between its documents that are
-    toxic and those expected, in standard deviations.  Per partition only
-    counts leave the task; they are added up before the choice.
+    The chi score of a term is the number of its documents that are toxic less
+    those expected, in standard deviations.  Terms in enough toxic documents
+    are the candidates; they are then counted in all labelled documents.  Only
+    counts leave the tasks.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        toxic: Counter = Counter()
-        for x in batches:
-            for t, y in zip(x["text"], x["y"]):
-                found = terms(t).keys()
-                seen.update(found)
-                if y == 1:
-                    toxic.update(found)
-        yield pd.DataFrame({"term": list(seen), "n": list(seen.values()), "bad": [toxic[t] for t in seen]})
-
     total = rows.agg(F.count("*"), F.sum("y")).first()
     n, bad = total[0], total[1] or 0
     if not bad or bad == n:
         return []
     p = bad / n
-    counts = (rows.select("text", "y").mapInPandas(run, "term string, n bigint, bad bigint")
-              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-              .filter(F.col("n") >= MIN_DOCUMENTS))
-    chi = (F.col("bad") - F.col("n") * p) / F.sqrt(F.col("n") * F.lit(p * (1 - p)))
-    best = counts.withColumn("chi", chi).filter(F.abs("chi") >= MIN_CHI) \
-        .orderBy(F.desc(F.abs("chi")), "term").limit(VOCABULARY).select("term").collect()
-    return [r[0] for r in best]
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        seen: Counter = Counter()
+        for b in batches:
+            for t in b.column(0):
+                seen.update(terms(t.as_py()).keys())
+        names, n = list(seen), list(seen.values())
+        for i in range(0, len(names), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(names[i:i + 100_000], pa.string()),
+                                              pa.array(n[i:i + 100_000], pa.int64())], names=["term", "n"])
+
+    toxic = (rows.filter("y = 1").select("text").mapInArrow(run, "term string, n bigint").groupBy("term")
+             .agg(F.sum("n").alias("n")).filter(F.col("n") >= max(MIN_TOXIC, MIN_SHARE * bad))
+             .orderBy(F.desc("n"), "term").limit(CANDIDATES).collect())
+    candidates = [r[0] for r in toxic]
+    among = dict(count_terms(rows, candidates).select(F.explode("ids").alias("t")).groupBy("t").count().collect())
+    chi = {r[0]: (r[1] - among[i] * p) / math.sqrt(among[i] * p * (1 - p)) for i, r in enumerate(toxic)}
+    return sorted((t for t, c in chi.items() if c >= MIN_CHI), key=lambda t: (-chi[t], t))[:VOCABULARY]
 
 
 def count_terms(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     """doc_id, ids (positions in the vocabulary), tf: one row per row of ``docs``."""
-    place = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(vocabulary)})
-    known = {t for t in vocabulary if t.endswith("*")}
-    kept = docs.sparkSession.sparkContext.broadcast(known)
+    words = {t: i for i, t in enumerate(vocabulary) if "*" not in t}
+    prefixes: dict[str, list[int]] = {}                       # prefix: places of its three levels
+    for i, t in enumerate(vocabulary):
+        if "*" in t:
+            stem, level = t.split("*")
+            prefixes.setdefault(stem, [-1, -1, -1])[len(level)] = i
+    shared = docs.sparkSession.sparkContext.broadcast((words, prefixes))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        at, prefixes = place.value, kept.value
-        lengths = sorted({len(t) - 1 for t in prefixes})
+        at, stems = shared.value
+        lengths = sorted({len(t) for t in stems})
         for b in batches:
             all_ids, all_tf = [], []
             for value in b.column(1):
-                found: Counter = Counter()
-                for w, n in Counter(_WORD.findall((value.as_py() or "").lower())).items():
+                found: dict[int, int] = {}
+                dense: Counter = Counter()
+                counts = Counter(_WORD.findall((value.as_py() or "").lower()))
+                for w, n in counts.items():
                     if w in at:
-                        found[at[w]] += n
+                        found[at[w]] = n
                     for k in lengths:
-                        if len(w) > k and (p := w[:k] + "*") in at:
-                            found[at[p]] += n
+                        if len(w) > k and (p := w[:k]) in stems:
+                            dense[p] += n
+                total = sum(counts.values()) if dense else 0
+                for p, n in dense.items():
+                    for level, i in enumerate(stems[p][:1 + dense_levels(n, total)]):
+                        if i >= 0:
+                            found[i] = 1 if level else n
                 ids = sorted(found)
                 all_ids.append(ids)
                 all_tf.append([found[i] for i in ids])
@@ -243,17 +266,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
     """The model, and the stored term counts of all documents."""
     chosen = stored(labelled(labels, "toxic", FOLDS, HELD_OUT, TRAIN_ROWS), "toxic-labels")
     x = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
-    vocabulary = choose_vocabulary(x.join(F.broadcast(chosen), "doc_id"))
+    vocabulary = choose_vocabulary(stored(x.join(F.broadcast(chosen), "doc_id"), "toxic-examples"))
     counted = stored(count_terms(x, vocabulary), "toxic-terms")
     total = counted.count()
     df = dict(counted.select(F.explode("ids").alias("t")).groupBy("t").count().collect())   # at most VOCABULARY rows
     idf = np.array([math.log((1 + total) / (1 + df.get(i, 0))) + 0.05 for i in range(len(vocabulary))])
     rows = (counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES).toPandas().sort_values("doc_id"))
+            .toPandas().sort_values("doc_id"))                            # at most TRAIN_ROWS rows
     index = build_index(rows, idf)
     used = rows[rows["ids"].map(len) > 0]
-    votes = np.array([index.vote(i, t, NEIGHBOURS, e)[0] for e, (i, t) in enumerate(zip(used["ids"], used["tf"]))])
-    return ToxicityModel(vocabulary, index, calibrate(votes, used["y"].to_numpy(dtype=float))), counted
+    picked = np.arange(0, len(used), max(1, -(-len(used) // CALIBRATED)))
+    votes = np.array([index.vote(used["ids"].iloc[e], used["tf"].iloc[e], NEIGHBOURS, e)[0] for e in picked])
+    return ToxicityModel(vocabulary, index, calibrate(votes, used["y"].to_numpy(dtype=float)[picked])), counted
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

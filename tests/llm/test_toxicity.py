@@ -64,12 +64,16 @@ def test_vocabulary_and_counts(spark):
     r = random.Random(1)
     words = [f"w{i}" for i in range(200)]
     rows = [(" ".join(r.choices(words, k=30) + (["Vile" + "abcdefghij"[i % 10]] if i % 4 == 0 else [])), int(i % 4 == 0)) for i in range(400)]
-    found = T.choose_vocabulary(spark.createDataFrame(rows, "text string, y int"))
+    found = T.choose_vocabulary(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, y int"))
     assert "vile*" in found and not any(t.startswith("w") for t in found)
     docs = documents(spark, ["vilea VILEB x", None])
     got = T.count_terms(docs, ["vile*", "x"]).orderBy("doc_id").collect()
     assert got[0]["ids"] == [0, 1] and got[0]["tf"] == [2, 1] and got[1]["ids"] == []
-    assert T.terms("Abcdef abcdef é") == Counter({"abcdef": 2, "abcd*": 2, "abcde*": 2, "é": 1})
+    assert T.terms("Abcdef abcdef é") == Counter({"abcdef": 2, "abcd*": 2, "abcde*": 2, "é": 1, "abcd*+": 1, "abcde*+": 1})
+    both = ["vile*", "vile*+", "vile*++", "x"]
+    texts = ["vilea VILEB x", "vilea " * 3 + "x " * 600, "vilea vileb vilec"]
+    for text, row in zip(texts, T.count_terms(documents(spark, texts), both).orderBy("doc_id").collect()):
+        assert {both[i]: n for i, n in zip(row["ids"], row["tf"])} == {t: n for t, n in T.terms(text).items() if t in both}
 
 
 def test_edge_rows(spark):
