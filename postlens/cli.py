@@ -2,6 +2,9 @@
 
   spark-submit --py-files postlens.zip postlens/cli.py marts --envelopes hdfs:///out/ --format avro \
       --out hdfs:///marts/            (or --jdbc-url ... --jdbc-user u --jdbc-password-file f)
+  spark-submit --py-files postlens.zip postlens/cli.py posts --servers kafka:9092 --checkpoint hdfs:///ck/p \
+      --jdbc-url jdbc:postgresql://host/db --jdbc-table posts --jdbc-user u --jdbc-password-file f
+      (likewise users, media, join-users; --out DIR or --out-topic T instead of --jdbc-url)
   spark-submit --py-files postlens.zip postlens/cli.py word-count --servers kafka:9092 --topic posts \
       --checkpoint hdfs:///ck/wc
   spark-submit --py-files postlens.zip postlens/cli.py join-users-media --servers kafka:9092 \
@@ -19,6 +22,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from postlens.session import build_session
+
 
 def _marts(spark: SparkSession, a: argparse.Namespace) -> None:
     from postlens.plans.marts import build_marts, flatten_once, write_marts
@@ -29,8 +34,7 @@ def _marts(spark: SparkSession, a: argparse.Namespace) -> None:
     flat = flatten_once(spark, env, dedupe_media=a.dedupe_media, latest_user=a.latest_user)
     marts = build_marts(flat["posts"], flat["users"], flat["media"])
     if a.jdbc_url:
-        password = open(a.jdbc_password_file).read().strip() if a.jdbc_password_file else None
-        write_marts(marts, lambda n, df: jdbc_write(df, jdbc_options(a.jdbc_url, n, a.jdbc_user, password,
+        write_marts(marts, lambda n, df: jdbc_write(df, jdbc_options(a.jdbc_url, n, a.jdbc_user, _password(a),
                                                                     a.jdbc_driver)))
     else:
         write_marts(marts, lambda n, df: write_table(df, f"{a.out.rstrip('/')}/{n}", a.out_format))
@@ -48,30 +52,75 @@ def _source(spark: SparkSession, a: argparse.Namespace, topic: str):
                                       max_offsets_per_trigger=a.max_offsets_per_trigger))
 
 
-def _word_count(spark: SparkSession, a: argparse.Namespace) -> None:
-    from postlens.streaming import jobs, sinks
-    posts = _source(spark, a, a.topic)
-    partials, finish = jobs.word_count_partials_job(posts, a.watermark, a.length, a.slide)
+def _start(a: argparse.Namespace, df, mode: str = "append", key: str | None = None, write=None):
+    """The job's sink: JDBC table, Kafka topic, files or console."""
+    from postlens.streaming import sinks
+    common = {"mode": mode, "trigger_seconds": a.trigger_seconds, "available_now": a.available_now}
+    if a.jdbc_url:
+        writer = sinks.batch_jdbc_writer(sinks.jdbc_options(a.jdbc_url, a.jdbc_table, a.jdbc_user,
+                                                           _password(a), a.jdbc_driver))
+        return sinks.start_stream(df, "foreachBatch", checkpoint=a.checkpoint, foreach_batch=writer, **common)
+    if a.out_topic:
+        return sinks.kafka_sink(df, a.servers, a.out_topic, a.checkpoint, key_col=key, **common)
+    if write is not None:
+        return sinks.start_stream(df, "foreachBatch", checkpoint=a.checkpoint, foreach_batch=write, **common)
     if a.out:
-        def write(batch, batch_id):
-            finish(batch).write.mode("overwrite").parquet(a.out)
-        q = sinks.start_stream(partials, "foreachBatch", mode="complete", checkpoint=a.checkpoint,
-                               foreach_batch=write, trigger_seconds=a.trigger_seconds,
-                               available_now=a.available_now)
-    else:
-        q = sinks.start_stream(jobs.word_count_job(posts, a.watermark, a.length, a.slide), "console",
-                               mode="complete", checkpoint=a.checkpoint, trigger_seconds=a.trigger_seconds,
-                               available_now=a.available_now, options={"truncate": "false"})
-    q.awaitTermination()
+        return sinks.start_stream(df, a.out_format, path=a.out, checkpoint=a.checkpoint, **common)
+    return sinks.start_stream(df, "console", checkpoint=a.checkpoint, options={"truncate": "false"}, **common)
+
+
+def _password(a: argparse.Namespace) -> str | None:
+    if not a.jdbc_password_file:
+        return None
+    with open(a.jdbc_password_file) as f:
+        return f.read().strip()
+
+
+def _posts(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.streaming import jobs
+    df = jobs.posts_stream(_source(spark, a, a.posts_topic)).drop("data_media_keys")
+    _start(a, df, key="tweet_id").awaitTermination()
+
+
+def _users(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.streaming import jobs
+    _start(a, jobs.users_stream(_source(spark, a, a.users_topic)), key="users_id").awaitTermination()
+
+
+def _media(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.streaming import jobs
+    _start(a, jobs.media_stream(_source(spark, a, a.media_topic)), key="media_key").awaitTermination()
+
+
+def _join_users(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.streaming import jobs
+    job = jobs.join_users_job(_source(spark, a, a.posts_topic), _source(spark, a, a.users_topic),
+                              user_bound=a.user_bound, watermark=a.watermark if a.user_bound else None)
+    _start(a, job).awaitTermination()
 
 
 def _join_users_media(spark: SparkSession, a: argparse.Namespace) -> None:
-    from postlens.streaming import jobs, sinks
+    from postlens.streaming import jobs
     job = jobs.join_users_media_job(_source(spark, a, a.posts_topic), _source(spark, a, a.users_topic),
-                                    _source(spark, a, a.media_topic), watermark=a.watermark)
-    q = sinks.start_stream(job, "parquet", path=a.out, checkpoint=a.checkpoint,
-                           trigger_seconds=a.trigger_seconds, available_now=a.available_now)
-    q.awaitTermination()
+                                    _source(spark, a, a.media_topic), watermark=a.watermark, user_bound=a.user_bound)
+    _start(a, job).awaitTermination()
+
+
+def _word_count(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.operators.windows import flatten_window
+    from postlens.streaming import jobs, sinks
+    posts = _source(spark, a, a.topic)
+    if a.mode == "complete" and a.out:
+        partials, finish = jobs.word_count_partials_job(posts, a.watermark, a.length, a.slide)
+
+        def write(batch, batch_id):
+            finish(batch).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/batch_id={batch_id}")
+        _start(a, partials, "complete", write=write).awaitTermination()
+        return
+    counts = flatten_window(jobs.word_count_job(posts, a.watermark, a.length, a.slide))
+    keys = ("word", "window_start", "window_end")
+    write = sinks.batch_upsert_writer(a.out, keys) if a.mode == "update" and a.out else None
+    _start(a, counts, a.mode, key="word", write=write).awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -90,36 +139,49 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--dedupe-media", action="store_true")
     m.add_argument("--latest-user", action="store_true")
 
-    for name in ("word-count", "join-users-media"):
+    streams = {"posts": _posts, "users": _users, "media": _media, "join-users": _join_users,
+               "join-users-media": _join_users_media, "word-count": _word_count}
+    for name in streams:
         s = sub.add_parser(name)
         s.add_argument("--servers")
         s.add_argument("--files", help="folder with one sub-folder of record files per topic")
         s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--out")
+        s.add_argument("--out-format", default="parquet")
+        s.add_argument("--out-topic", help="Kafka topic for the result")
+        s.add_argument("--jdbc-url")
+        s.add_argument("--jdbc-table")
+        s.add_argument("--jdbc-user")
+        s.add_argument("--jdbc-password-file")
+        s.add_argument("--jdbc-driver")
         s.add_argument("--starting-offsets", default="latest")
         s.add_argument("--tolerate-data-loss", action="store_true")
         s.add_argument("--max-offsets-per-trigger", type=int)
         s.add_argument("--trigger-seconds", type=float)
         s.add_argument("--watermark", default="30 seconds")
+        s.add_argument("--posts-topic", default="posts")
+        s.add_argument("--users-topic", default="users")
+        s.add_argument("--media-topic", default="media")
+        if name.startswith("join"):
+            s.add_argument("--user-bound", type=int, help="seconds a user message may be older than the post")
         if name == "word-count":
             s.add_argument("--topic", default="posts")
             s.add_argument("--length", default="25 seconds")
             s.add_argument("--slide", default="5 seconds")
-        else:
-            s.add_argument("--posts-topic", default="posts")
-            s.add_argument("--users-topic", default="users")
-            s.add_argument("--media-topic", default="media")
+            s.add_argument("--mode", default="complete", choices=("append", "update", "complete"))
 
     a = p.parse_args(argv)
     if a.cmd == "marts" and not (a.out or a.jdbc_url):
         p.error("marts needs --out or --jdbc-url")
-    if a.cmd == "join-users-media" and not a.out:
-        p.error("join-users-media needs --out")
+    if a.cmd == "join-users-media" and not (a.out or a.jdbc_url or a.out_topic):
+        p.error("join-users-media needs --out, --out-topic or --jdbc-url")
     if a.cmd != "marts" and not (a.servers or a.files):
         p.error("streams need --servers (Kafka) or --files")
-    spark = SparkSession.builder.appName(f"postlens-{a.cmd}").getOrCreate()
-    {"marts": _marts, "word-count": _word_count, "join-users-media": _join_users_media}[a.cmd](spark, a)
+    if a.cmd != "marts" and (a.jdbc_url and not a.jdbc_table or a.out_topic and not a.servers):
+        p.error("--jdbc-url needs --jdbc-table, --out-topic needs --servers")
+    spark = build_session(master=None, app=f"postlens-{a.cmd}")
+    ({"marts": _marts} | streams)[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

@@ -34,36 +34,39 @@ from pyspark.sql import functions as F
 
 from ..functions.time import epoch_seconds, seconds
 
-_JOIN_KINDS = {"inner", "left", "right", "full"}
+#: Accepted names after lower-casing and dropping underscores.
+_JOIN_KINDS = {"inner": "inner", "left": "left", "leftouter": "left", "right": "right", "rightouter": "right",
+               "full": "full", "outer": "full", "fullouter": "full"}
+#: A null key is spread over so many stand-ins.
+NULL_SALTS = 64
 
 
 def _norm_how(how: str) -> str:
-    h = how.lower().replace("_outer", "").replace("outer", "full").replace("leftfull", "left")
-    h = {"left_outer": "left", "right_outer": "right", "full_outer": "full", "fullouter": "full",
-         "leftouter": "left", "rightouter": "right"}.get(h, h)
-    if h not in _JOIN_KINDS:
-        raise ValueError(f"unsupported join kind {how!r}")
-    return h
+    try:
+        return _JOIN_KINDS[how.lower().replace("_", "")]
+    except KeyError:
+        raise ValueError(f"unsupported join kind {how!r}") from None
 
 
 def full_outer_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None = None,
-                    coalesce_key: bool = False) -> DataFrame:
+                    coalesce_key: bool = False, left_keys: DataFrame | None = None) -> DataFrame:
     """Full outer equi-join (``=``, nulls never match) in skew-tolerant form.
 
     ``coalesce_key=True`` gives USING semantics: a single key column named
     ``left_on`` holding whichever side's key is present.  Apart from the
     keys, the two sides' column names must be distinct (as for any join
-    whose result is used by name).
+    whose result is used by name).  ``left_keys``: a narrow frame with the
+    column ``left_on`` holding the left side's keys, where one is at hand
+    (a base scan instead of a joined frame).
     """
     right_on = right_on or left_on
     rk = right_on
     if rk == left_on or rk in left.columns:
         rk = f"__r_{right_on}"
         right = right.withColumnRenamed(right_on, rk)
-    matched = _left_join_nulls_around(left, right, left_on, rk)
-    left_keys = left.select(F.col(left_on).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
-    orphans = right.join(left_keys, right[rk] == left_keys["__lk"], "left_anti")
-    out = matched.unionByName(orphans, allowMissingColumns=True)
+    matched = _left_join_spread_nulls(left, right, left_on, rk)
+    out = matched.unionByName(unmatched(right, rk, left if left_keys is None else left_keys, left_on),
+                              allowMissingColumns=True)
     if coalesce_key:
         cols = [F.coalesce(F.col(left_on), F.col(rk)).alias(left_on) if c == left_on else F.col(c)
                 for c in out.columns if c != rk]
@@ -73,22 +76,45 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     return out
 
 
-def _left_join_nulls_around(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """``left LEFT JOIN right ON left_on = right_on`` (distinct column names).
+def unmatched(right: DataFrame, right_on: str, left: DataFrame, left_on: str) -> DataFrame:
+    """Rows of ``right`` whose key ``left`` never has (its distinct keys are reduced map-side)."""
+    keys = left.select(F.col(left_on).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
+    return right.join(keys, right[right_on] == keys["__lk"], "left_anti")
+
+
+def _left_join_spread_nulls(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_on = right_on`` (distinct column names), one evaluation of each side.
 
     A null key never matches ``=``, but in a shuffle all null keys hash to
-    one task; those rows skip the join and are added back with null right
-    columns.
+    one task; a second join column is 0 for every row with a key and a hash
+    of the row for the others, which spreads them.
+    """
+    salt = F.when(F.col(left_on).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(NULL_SALTS)) + 1)
+    spread = left.withColumn("__ls", F.coalesce(salt, F.lit(0)).cast("int"))
+    other = right.withColumn("__rs", F.lit(0))
+    return spread.join(other, (F.col(left_on) == F.col(right_on)) & (F.col("__ls") == F.col("__rs")), "left") \
+        .drop("__ls", "__rs")
+
+
+def join_media_users_full(exploded_posts: DataFrame, media: DataFrame, users: DataFrame) -> DataFrame:
+    """Posts (one row per media key) FULL OUTER media USING ``media_key``, FULL OUTER users on the author.
+
+    Media that no post has carry no author, so they go around the users join,
+    and the users without posts follow from the posts' own authors: each full
+    outer join reads the posts once more, for their keys only.
     """
-    keyed, unkeyed = split_null_keys(left, left_on)
-    joined = keyed.join(right, keyed[left_on] == right[right_on], "left")
-    return joined.unionByName(unkeyed, allowMissingColumns=True)
+    other = media.withColumnRenamed("media_key", "__r_media_key")
+    matched = _left_join_spread_nulls(exploded_posts, other, "media_key", "__r_media_key").drop("__r_media_key")
+    whole = _left_join_spread_nulls(matched, users, "author_id", "users_id")
+    return (whole
+            .unionByName(unmatched(media, "media_key", exploded_posts, "media_key"), allowMissingColumns=True)
+            .unionByName(unmatched(users, "users_id", exploded_posts, "author_id"), allowMissingColumns=True))
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None = None,
               how: str = "full", coalesce_key: bool = False) -> DataFrame:
     """Equi-join dispatch; ``full`` uses :func:`full_outer_join`, ``left``
-    sends null keys around the join."""
+    spreads null keys."""
     h = _norm_how(how)
     right_on = right_on or left_on
     if h == "full":
@@ -100,7 +126,7 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str | N
             return left_join_null_split(left, right, left_on)
         return left.join(right, left_on, h)
     if h == "left" and right_on not in left.columns:
-        return _left_join_nulls_around(left, right, left_on, right_on)
+        return _left_join_spread_nulls(left, right, left_on, right_on)
     return left.join(right, left[left_on] == right[right_on], h)
 
 
@@ -126,8 +152,7 @@ def split_null_keys(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 def left_join_null_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left LEFT JOIN right USING key`` with null-key left rows bypassing the join."""
     keyed, unkeyed = split_null_keys(left, key)
-    joined = keyed.join(right, key, "left")
-    return joined.unionByName(unkeyed, allowMissingColumns=True)
+    return keyed.join(right, key, "left").unionByName(unkeyed, allowMissingColumns=True)
 
 
 # -- interval joins ---------------------------------------------------------

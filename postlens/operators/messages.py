@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import JSON_OPTIONS, MEDIA_JSON, METRIC_NAMES, POST_JSON, USER_JSON
+from ..schemas import JSON_WRITE_OPTIONS, MEDIA_JSON, METRIC_NAMES, POST_JSON, USER_JSON
 
 
 def decode_records(records: DataFrame, with_time: bool = True) -> DataFrame:
@@ -33,7 +33,7 @@ def parse_posts(decoded: DataFrame, time_alias: str | None = "dataTimestamp") ->
     ]
     if time_alias and "timestamp" in decoded.columns:
         cols.append(F.col("timestamp").alias(time_alias))
-    return decoded.select(F.from_json("value", POST_JSON, JSON_OPTIONS).alias("d"), *(
+    return decoded.select(F.from_json("value", POST_JSON).alias("d"), *(
         ["timestamp"] if "timestamp" in decoded.columns else [])).select(*cols)
 
 
@@ -43,7 +43,7 @@ def parse_users(decoded: DataFrame, time_alias: str | None = "userTimestamp") ->
             u["id"].alias("users_id"), u["name"].alias("name")]
     if time_alias and "timestamp" in decoded.columns:
         cols.append(F.col("timestamp").alias(time_alias))
-    return decoded.select(F.from_json("value", USER_JSON, JSON_OPTIONS).alias("u"), *(
+    return decoded.select(F.from_json("value", USER_JSON).alias("u"), *(
         ["timestamp"] if "timestamp" in decoded.columns else [])).select(*cols)
 
 
@@ -52,7 +52,7 @@ def parse_media(decoded: DataFrame, time_alias: str | None = "mediaTimestamp") -
     cols = [m["media_key"].alias("media_key"), m["type"].alias("media_type")]
     if time_alias and "timestamp" in decoded.columns:
         cols.append(F.col("timestamp").alias(time_alias))
-    return decoded.select(F.from_json("value", MEDIA_JSON, JSON_OPTIONS).alias("m"), *(
+    return decoded.select(F.from_json("value", MEDIA_JSON).alias("m"), *(
         ["timestamp"] if "timestamp" in decoded.columns else [])).select(*cols)
 
 
@@ -62,7 +62,7 @@ def encode(df: DataFrame, key_col: str | None = None) -> DataFrame:
     Without ``key_col`` only ``value`` is produced.  Nulls are omitted from
     the JSON; timestamps keep microseconds.
     """
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS).alias("value")
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_WRITE_OPTIONS).alias("value")
     if key_col is None:
         return df.select(value)
     return df.select(F.col(key_col).cast("string").alias("key"), value)
@@ -77,7 +77,7 @@ def encode_counts(counts: DataFrame, key_col: str = "word", value_col: str = "co
 def decode_json(encoded: DataFrame, schema, keep_key: bool = True) -> DataFrame:
     """Parse an encoded ``value`` back into columns (inverse of :func:`encode`)."""
     cols = (["key"] if keep_key and "key" in encoded.columns else [])
-    return (encoded.select(*cols, F.from_json("value", schema, JSON_OPTIONS).alias("_v"))
+    return (encoded.select(*cols, F.from_json("value", schema).alias("_v"))
             .select(*cols, "_v.*"))
 
 
@@ -97,25 +97,30 @@ def _records(df: DataFrame, key: F.Column | None, value: F.Column, ts: F.Column,
     )
 
 
-def post_records(posts: DataFrame, topic: str = "posts", time_col: str = "created_at") -> DataFrame:
-    """Posts -> records with the nested post JSON as value, keyed by id."""
+def post_records(posts: DataFrame, topic: str = "posts", time_col: str = "created_at",
+                 created: F.Column | None = None) -> DataFrame:
+    """Posts -> records with the nested post JSON as value, keyed by id.
+
+    ``created`` replaces the post time inside the JSON (e.g. by a text in
+    another form).
+    """
     value = F.to_json(F.struct(
         F.struct(*[F.col(m) for m in METRIC_NAMES]).alias("public_metrics"),
         F.col("author_id"),
         F.struct(F.col("data_media_keys").alias("media_keys")).alias("attachments"),
         F.col("tweet_id").alias("id"),
-        F.col("created_at").cast("timestamp").alias("created_at"),
+        (F.col("created_at").cast("timestamp") if created is None else created).alias("created_at"),
         F.col("text"),
-    ), JSON_OPTIONS)
+    ), JSON_WRITE_OPTIONS)
     return _records(posts, F.col("tweet_id"), value, F.col(time_col), topic)
 
 
 def user_records(users: DataFrame, topic: str = "users", time_col: str = "user_ts") -> DataFrame:
     value = F.to_json(F.struct(F.col("description"), F.col("username"), F.col("name"),
-                               F.col("users_id").alias("id")), JSON_OPTIONS)
+                               F.col("users_id").alias("id")), JSON_WRITE_OPTIONS)
     return _records(users, F.col("users_id"), value, F.col(time_col), topic)
 
 
 def media_records(media: DataFrame, topic: str = "media", time_col: str = "media_ts") -> DataFrame:
-    value = F.to_json(F.struct(F.col("media_key"), F.col("media_type").alias("type")), JSON_OPTIONS)
+    value = F.to_json(F.struct(F.col("media_key"), F.col("media_type").alias("type")), JSON_WRITE_OPTIONS)
     return _records(media, None, value, F.col(time_col), topic)

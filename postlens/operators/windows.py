@@ -156,11 +156,13 @@ def rewindow(counts: DataFrame, keys: tuple[str, ...], length: str = "1 minute",
              slide: str = "30 seconds", window_col: str = "window",
              count_col: str = "count") -> DataFrame:
     """Window over window: re-bucket each first-level window by its event
-    time (end - 1 microsecond, as ``window_time``) and add up the counts."""
-    wt = counts.withColumn("_wt", F.col(f"{window_col}.end") - F.expr("INTERVAL '0.000001' SECOND"))
+    time (end - 1 microsecond, as ``window_time``) and add up the counts.
+    On a stream ``window_time`` keeps the watermark, so append mode works."""
     if counts.isStreaming:
+        wt = counts.withColumn("_wt", F.window_time(window_col))
         return (wt.groupBy(*keys, F.window("_wt", length, slide).alias("window"))
                 .agg(F.sum(count_col).cast("bigint").alias("count")))
+    wt = counts.withColumn("_wt", F.col(f"{window_col}.end") - F.expr("INTERVAL '0.000001' SECOND"))
     return sliding_agg(wt, keys, "_wt", length, slide, {"count": F.sum(count_col)})
 
 
@@ -172,3 +174,28 @@ def windowed_media_counts(rows: DataFrame, time_col: str, keys: tuple[str, ...]
         return rows.groupBy(F.window(time_col, length, slide).alias("window"), *keys).agg(
             *[e.alias(c) for c, e in parts.items()])
     return sliding_agg(rows, keys, time_col, length, slide, parts)
+
+
+def windowed_media_counts_by_key(posts: DataFrame, media_messages: DataFrame, users: DataFrame,
+                                 length: str = "5 minutes", slide: str = "2 minutes") -> DataFrame:
+    """Photo / video / gif counts per (window, username) of posts LEFT JOIN media messages on the key alone.
+
+    Posts are counted per (media key, author, time bucket) and messages per
+    (media key, type); the join multiplies the counts instead of building
+    the pairs, and what is left is counted per bucket before it is spread
+    over windows.
+    """
+    g = math.gcd(duration_micros(length), duration_micros(slide))
+    ntz = isinstance(posts.schema["created_at"].dataType, TimestampNTZType)
+    us = _to_micros(F.col("created_at"), ntz)
+    rows = posts.where(F.col("created_at").isNotNull()).select(
+        "author_id", F.explode_outer("data_media_keys").alias("media_key"), (us - F.pmod(us, F.lit(g))).alias("_b"))
+    seen = rows.groupBy("media_key", "author_id", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    sums = {c: F.count_if(F.col("media_type") == t) for t, c in MEDIA_TYPE_COLUMNS}
+    sent = media_messages.where(F.col("media_key").isNotNull()).groupBy("media_key").agg(
+        *[e.alias(c) for c, e in sums.items()])
+    met = seen.join(sent, "media_key", "left").groupBy("author_id", "_b").agg(
+        *[F.sum(F.coalesce(F.col(c), F.lit(0)) * F.col("_n")).alias(c) for c in sums])
+    named = met.join(users.select("users_id", "username"), F.col("author_id") == F.col("users_id"), "left")
+    timed = named.withColumn("_t", _from_micros(F.col("_b"), ntz))
+    return sliding_agg(timed, ("username",), "_t", length, slide, {c: F.sum(c) for c in sums})

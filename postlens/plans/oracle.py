@@ -138,6 +138,10 @@ select distinct u.username, u.description, u.users_id, u.name from users u join
     "parse_posts_json": """
 select tweet_id, created_at, text, retweet_count, reply_count, like_count, quote_count, author_id,
        array_to_string(data_media_keys, ',') as media_keys, created_at as dataTimestamp from posts""",
+    "parse_posts_json_times": """
+select tweet_id, case when cast(tweet_id as bigint) % 7 = 4 then date_trunc('day', created_at)
+                      when cast(tweet_id as bigint) % 7 in (1, 2, 3) then date_trunc('second', created_at)
+                      else created_at end::timestamp as created_at from posts""",
     "parse_users_json": """
 select username, description, users_id, name, user_ts as userTimestamp from user_messages""",
     "parse_media_json": "select media_key, media_type, media_ts as mediaTimestamp from media_messages",
@@ -216,6 +220,17 @@ select u.username, {_COUNTS}
 from pe full join media m on pe.media_key = m.media_key full join users u on pe.author_id = u.users_id
 group by u.username""",
     "media_counts_windowed": f"""
+, mc as (select media_key, media_type, count(*) as n from media_messages where media_key is not null group by all),
+bk as (select b.created_at, b.author_id, mc.media_type, coalesce(mc.n, 1) as n
+       from peo b left join mc on b.media_key = mc.media_key),
+bku as (select bk.created_at, bk.media_type, bk.n, u.username from bk left join users u on bk.author_id = u.users_id)
+select username, coalesce(sum(n) filter (where media_type = 'photo'), 0)::bigint as photo_count,
+       coalesce(sum(n) filter (where media_type = 'video'), 0)::bigint as video_count,
+       coalesce(sum(n) filter (where media_type = 'animated_gif'), 0)::bigint as gif_count,
+       window_start, window_start + to_seconds(300) as window_end
+from {_sliding('bku', 'username, media_type, n', 'created_at', 300, 120)}
+group by username, window_start""",
+    "media_counts_windowed_bounded": f"""
 , bc as (select b.created_at, b.author_id, c.media_type from peo b left join media_messages c on {_interval_cond()}),
 bcu as (select bc.created_at, bc.media_type, u.username from bc left join users u on bc.author_id = u.users_id)
 select username, {_COUNTS}, window_start, window_start + to_seconds(300) as window_end
@@ -254,8 +269,11 @@ from {_sliding('clean_words', 'word', 'created_at', 25, 5)} group by word, windo
 select word, sum(cnt)::bigint as count, window_start, window_start + to_seconds(60) as window_end
 from {_sliding('lvl1', 'word, cnt', 'wt', 60, 30)} group by word, window_start""",
     # streams: the batch meaning of each streaming job
+    "stream_ingest_posts": """
+select tweet_id, created_at, text, like_count, author_id, media_key, created_at as dataTimestamp from peo""",
+    "stream_ingest_media": "select media_key, media_type, media_ts as mediaTimestamp from media_messages",
     "stream_distinct_users": """
-select distinct username, description, users_id, name, user_ts as userTimestamp from user_messages""",
+select distinct u.username, u.description, u.users_id, u.name from users u join posts p on p.author_id = u.users_id""",
     "stream_join_users": """
 select distinct u.username, p.text, p.retweet_count, p.reply_count, p.like_count, p.quote_count, p.created_at
 from posts p join user_messages u on p.author_id = u.users_id""",
@@ -263,6 +281,9 @@ from posts p join user_messages u on p.author_id = u.users_id""",
 select distinct b.text, u.username, c.media_key
 from peo b join user_messages u on b.author_id = u.users_id
 left join media_messages c on {_interval_cond(null_safe=True)}""",
+    "stream_word_count_sliding_clean": f"""
+select word, count(*) as count, window_start, window_start + to_seconds(25) as window_end
+from {_sliding('clean_words', 'word', 'created_at', 25, 5)} group by word, window_start""",
     "stream_word_count_sliding": f"""
 select word, count(*) as count, window_start, window_start + to_seconds(25) as window_end
 from {_sliding('raw_words', 'word', 'created_at', 25, 5)} group by word, window_start""",

@@ -81,6 +81,7 @@ POST_COLUMNS = ("tweet_id", "created_at", "text", *METRIC_NAMES, "author_id", "d
 USER_COLUMNS = ("username", "description", "users_id", "name")
 MEDIA_COLUMNS = ("media_key", "media_type")
 
-# Timestamps inside JSON keep microseconds (the JSON default stops at millis).
-JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+# Written timestamps keep microseconds (the JSON default stops at millis).
+# Reading uses no pattern: Spark's own parser takes every ISO form.
+JSON_WRITE_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}

@@ -31,21 +31,22 @@ DEFAULT_CONF = {
 ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def build_session(master: str = "local[*]", app: str = "postlens",
-                  shuffle_partitions: int = 8, extra: dict | None = None,
+def build_session(master: str | None = "local[*]", app: str = "postlens",
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
                   state_store: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
     On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to the data (about 128-256 MB per shuffle partition),
-    AQE coalesces the small ones.  ``state_store="rocksdb"`` keeps streaming
+    ``shuffle_partitions`` to the data (about 128-256 MB per shuffle partition;
+    left as the cluster has it unless given), AQE coalesces the small ones.  ``state_store="rocksdb"`` keeps streaming
     state off the heap (set before the first streaming query starts).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if state_store == "rocksdb":
         # stream state kept on local disk (RocksDB) instead of the JVM heap:
         # the choice for large join / dedupe / window state

@@ -28,12 +28,12 @@ def write_envelopes(envelopes: DataFrame, path: str, fmt: str = "parquet", mode:
 
 
 def _envelope_id(numeric_id: F.Column, per_envelope: int) -> F.Column:
-    """``floor(id / per_envelope)`` for numeric ids; other ids are packed
-    ``per_envelope`` at a time in scan order (negative envelope ids), so no
-    envelope grows with the data either way."""
-    by_id = F.floor(numeric_id.try_cast("bigint") / per_envelope)
-    by_position = -1 - F.floor(F.monotonically_increasing_id() / per_envelope)
-    return F.coalesce(by_id, by_position)
+    """Whole-number ``id div per_envelope`` for numeric ids; another id gets an
+    envelope by its hash (negative numbers), in effect its own."""
+    n = numeric_id.try_cast("bigint")
+    by_id = (n - F.pmod(n, F.lit(per_envelope))).cast("decimal(38,0)")
+    by_hash = F.lit(-1) - F.pmod(F.xxhash64(numeric_id), F.lit(1 << 62)).cast("decimal(38,0)") - F.lit(1 << 62)
+    return F.coalesce(by_id, by_hash)
 
 
 def build_envelopes(posts: DataFrame, users: DataFrame, media: DataFrame,

@@ -110,38 +110,22 @@ def user_messages(spark: SparkSession, sf_dir: str, posts_df: DataFrame | None =
                     (F.col("first_ts") - _seconds(F.lit(USER_SHIFT_SECONDS))).alias("user_ts")))
 
 
-# Written posts tables by (shared folder, data folder).  The input tables are
-# read-only, so the posts view -- the only adapter view with a join -- is
-# written once, like the flattened tables of the mart job, and every later
-# query scans it instead of joining events to documents again.
-_WRITTEN: dict[tuple[str, str], str] = {}
-
-
-def written_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The posts view as a table in the shared folder (written on first use)."""
-    from ..session import checkpoint_root, work_dir
-
-    key = (checkpoint_root(spark), sf_dir.rstrip("/"))
-    if key in _WRITTEN:
-        try:
-            return spark.read.parquet(_WRITTEN[key])
-        except Exception:  # noqa: BLE001  (folder removed since: write it again)
-            del _WRITTEN[key]
-    path = work_dir(spark, "adapter-posts")
-    posts(spark, sf_dir).write.mode("overwrite").parquet(path)
-    _WRITTEN[key] = path
-    return spark.read.parquet(path)
+def user_messages_per_post(spark: SparkSession, sf_dir: str, posts_df: DataFrame | None = None,
+                           users_df: DataFrame | None = None) -> DataFrame:
+    """Users that posted, sent 10 s before each of their posts."""
+    p = posts_df if posts_df is not None else posts(spark, sf_dir)
+    u = users_df if users_df is not None else users(spark, sf_dir)
+    sent = p.select("author_id", "created_at")
+    return (u.join(sent, u.users_id == sent.author_id)
+            .select("users_id", "username", "description", "name",
+                    (F.col("created_at") - _seconds(F.lit(USER_SHIFT_SECONDS))).alias("user_ts")))
 
 
 class Tables:
-    """Lazily built adapter views for one data folder (each built once).
-
-    ``written=True`` (default) reads posts from :func:`written_posts`;
-    ``written=False`` derives them from events and documents in the query.
-    """
+    """Lazily built adapter views of the given tables of one data folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = True):
-        self.spark, self.sf_dir, self.written = spark, sf_dir, written
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, fn):
@@ -151,8 +135,6 @@ class Tables:
 
     @property
     def posts(self):
-        if self.written:
-            return self._get("posts", lambda: written_posts(self.spark, self.sf_dir))
         return self._get("posts", lambda: posts(self.spark, self.sf_dir))
 
     @property
@@ -168,6 +150,11 @@ class Tables:
         return self._get("media_messages",
                          lambda: media_messages(self.spark, self.sf_dir, self.posts, self.media))
 
+    @property
+    def user_messages_per_post(self):
+        return self._get("user_messages_per_post",
+                         lambda: user_messages_per_post(self.spark, self.sf_dir, self.posts, self.users))
+
     @property
     def user_messages(self):
         return self._get("user_messages",

@@ -7,7 +7,7 @@ query registry replay the test tables through these jobs with
 ``availableNow`` and return the written result as a batch DataFrame.
 
 Guards the library adds to the original jobs: watermark set *before* a
-stream distinct (so its state can shrink), TIMESTAMP_NTZ cast to
+stream distinct where one is asked for, TIMESTAMP_NTZ cast to
 TIMESTAMP before ``withWatermark``, ``IS NOT NULL`` on both keys of an
 ``=`` outer interval join, and an optional time bound for the users join.
 """
@@ -23,29 +23,33 @@ from ..operators import messages as msg
 from ..operators import windows as W
 from ..operators import words as WD
 from ..plans.catalog import INTERVAL_SECONDS, ntz, query
-from ..session import checkpoint_root, work_dir
+from ..session import work_dir
 from ..sources.streams import read_stream
 from ..sources.tables import Tables
-from ..functions.time import seconds
-from .runner import append_records, max_time, run_available_now, stage_records
+from .runner import FILES_PER_BATCH, max_time, run_available_now, stage_records, time_cuts
 
 WATERMARK = "30 seconds"
 CLOSE = "__close"
+#: Micro-batches of data that a replay of the test tables is cut into.
+REPLAY_BATCHES = 5
 
 
 # -- jobs --------------------------------------------------------------------
 
-def distinct_by_text_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
+def distinct_by_text_digest(df: DataFrame, text_col: str = "text", time_col: str | None = None) -> DataFrame:
     """``distinct()`` whose dedupe state holds a SHA-256 digest of the text
     instead of the text itself (whole documents can be 100 KB each).
 
     Rows are equal exactly when their digests and other columns are, barring
-    a SHA-256 collision; a null text keeps a null digest.
+    a SHA-256 collision; a null text keeps a null digest.  The state is kept
+    for good, unless ``time_col`` names a watermarked column: then the
+    columns but that one are the key, and it is forgotten after the watermark
+    delay (``dropDuplicatesWithinWatermark``).
     """
-    others = [c for c in df.columns if c != text_col]
-    return (df.withColumn("_text_digest", F.sha2(F.col(text_col), 256))
-            .dropDuplicates(["_text_digest", *others])
-            .drop("_text_digest"))
+    others = [c for c in df.columns if c not in (text_col, time_col)]
+    keyed = df.withColumn("_text_digest", F.sha2(F.col(text_col), 256))
+    drop = keyed.dropDuplicatesWithinWatermark if time_col else keyed.dropDuplicates
+    return drop(["_text_digest", *others]).drop("_text_digest")
 
 
 def posts_stream(decoded: DataFrame, explode_media: bool = True) -> DataFrame:
@@ -54,21 +58,29 @@ def posts_stream(decoded: DataFrame, explode_media: bool = True) -> DataFrame:
     return fl.explode_media(p, outer=True) if explode_media else p
 
 
-def users_stream(decoded: DataFrame, watermark: str | None = WATERMARK,
-                 within_watermark: bool = False) -> DataFrame:
-    """Parsed users, distinct.  The watermark comes first so the dedupe
-    state (keyed by the message time as well) is evicted.
+USER_KEY = ["username", "description", "users_id", "name"]
 
-    ``within_watermark=True`` is the bounded form: a user re-sent at another
-    time is a duplicate if it arrives within the watermark delay
+
+def users_stream(decoded: DataFrame, watermark: str | None = None, within_watermark: bool = False,
+                 with_time: bool = False) -> DataFrame:
+    """Parsed users, distinct on their four columns; late users count too.
+
+    ``with_time=True`` keeps the message time and makes it part of the key
+    (a user sent at two times stays twice); with a ``watermark`` that state
+    is evicted.  ``within_watermark=True`` is the bounded form: a user re-sent
+    at another time is a duplicate if it arrives within the watermark delay
     (``dropDuplicatesWithinWatermark`` on the four user columns).
     """
-    u = msg.parse_users(decoded)
     if within_watermark:
         if not watermark:
             raise ValueError("within_watermark needs a watermark")
-        return (u.withWatermark("userTimestamp", watermark)
-                .dropDuplicatesWithinWatermark(["username", "description", "users_id", "name"]))
+        return (msg.parse_users(decoded).withWatermark("userTimestamp", watermark)
+                .dropDuplicatesWithinWatermark(USER_KEY))
+    if not with_time:
+        if watermark:
+            raise ValueError("a watermark bounds the state only within_watermark or with_time")
+        return msg.parse_users(decoded, time_alias=None).dropDuplicates(USER_KEY)
+    u = msg.parse_users(decoded)
     if watermark:
         u = u.withWatermark("userTimestamp", watermark)
     return u.dropDuplicates()
@@ -112,58 +124,76 @@ def word_count_partials_job(posts_decoded: DataFrame, watermark: str = WATERMARK
     return partials, finish
 
 
+def _with_users(b: DataFrame, users_decoded: DataFrame, user_bound: int | None,
+                watermark: str | None) -> DataFrame:
+    """Post rows (with ``dataTimestamp``) INNER users on author.
+
+    With ``user_bound`` (seconds) a post meets user messages at most so much
+    older; the join is bucketed by time, so a hot author is spread and both
+    sides' state is evicted by the watermark.  Without it the join keeps all
+    posts and users in state, as the original job does.
+    """
+    if user_bound is None:
+        a = users_stream(users_decoded)
+        return b.join(a, b["author_id"] == a["users_id"], "inner")
+    a = users_stream(users_decoded, watermark or WATERMARK, with_time=True)
+    return J.stream_interval_join(b, a, left_key="author_id", right_key="users_id", left_time="dataTimestamp",
+                                  right_time="userTimestamp", lower=0, upper=user_bound, how="inner")
+
+
 def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
-                   user_bound: int | None = None, watermark: str | None = None) -> DataFrame:
+                   user_bound: int | None = None, watermark: str | None = None,
+                   distinct_within: bool = False) -> DataFrame:
     """Posts INNER users on author, then the distinct projection.
 
-    Without ``user_bound`` the join keeps all users in state (the original
-    behaviour); with it a post only meets user messages at most
-    ``user_bound`` seconds older, and watermarks bound the state.
+    ``user_bound`` bounds the join state (see ``_with_users``).  The distinct
+    keeps every row's digest for good unless ``distinct_within``: then equal
+    rows are dropped only within the watermark delay, the post's message time
+    stays in the result, and the distinct's state is bounded too.
     """
     b = posts_stream(posts_decoded)
-    a = users_stream(users_decoded, watermark)
-    if watermark:
-        b = b.withWatermark("dataTimestamp", watermark)
-    cond = b["author_id"] == a["users_id"]
-    if user_bound is not None:
-        cond = cond & (b["dataTimestamp"] >= a["userTimestamp"]) & (
-            b["dataTimestamp"] <= a["userTimestamp"] + seconds(user_bound))
-    out = b.join(a, cond, "inner").select("username", "text", "retweet_count", "reply_count", "like_count",
-                                          "quote_count", "created_at")
-    return distinct_by_text_digest(out)
+    if watermark or user_bound is not None or distinct_within:
+        b = b.withWatermark("dataTimestamp", watermark or WATERMARK)
+    cols = ["username", "text", "retweet_count", "reply_count", "like_count", "quote_count", "created_at"]
+    out = _with_users(b, users_decoded, user_bound, watermark).select(
+        *cols, *(["dataTimestamp"] if distinct_within else []))
+    return distinct_by_text_digest(out, time_col="dataTimestamp" if distinct_within else None)
 
 
 def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame | None, media_decoded: DataFrame,
                          watermark: str = WATERMARK, bound: int = INTERVAL_SECONDS,
                          null_safe: bool = True, user_bound: int | None = None,
-                         users_snapshot: DataFrame | None = None) -> DataFrame:
-    """Posts INNER users, then LEFT OUTER media messages of the minute before
+                         users_snapshot: DataFrame | None = None, distinct_within: bool = False) -> DataFrame:
+    """Posts INNER users and LEFT OUTER media messages of the minute before
     the post (null-safe key), then distinct (text, username, media_key).
 
+    A post without a media key gives the same row whether or not it meets a
+    media message without one (both media keys are null), so such posts go
+    around the media join and the others join with ``=``: no pairing of all
+    null posts with all null media of a minute.  ``null_safe`` therefore does
+    not change the result; it is accepted for callers that state it.
+
     ``users_snapshot`` (a batch DataFrame with ``users_id`` and ``username``)
     replaces the users stream by a stream-static join: no users state at all,
     where a snapshot of the users table exists.
     """
-    b = posts_stream(posts_decoded).withWatermark("dataTimestamp", watermark)
-    if users_snapshot is not None:
-        ab = b.join(users_snapshot.select("users_id", "username"), b["author_id"] == F.col("users_id"), "inner")
-        return _media_join_distinct(ab, media_decoded, watermark, bound, null_safe)
-    a = users_stream(users_decoded, watermark)
-    cond = b["author_id"] == a["users_id"]
-    if user_bound is not None:
-        cond = cond & (b["dataTimestamp"] >= a["userTimestamp"]) & (
-            b["dataTimestamp"] <= a["userTimestamp"] + seconds(user_bound))
-    return _media_join_distinct(b.join(a, cond, "inner"), media_decoded, watermark, bound, null_safe)
-
-
-def _media_join_distinct(ab: DataFrame, media_decoded: DataFrame, watermark: str, bound: int,
-                         null_safe: bool) -> DataFrame:
+    b = posts_stream(posts_decoded).withWatermark("dataTimestamp", watermark) \
+        .select("text", "author_id", "media_key", "dataTimestamp")
     c = (media_stream(media_decoded).withWatermark("mediaTimestamp", watermark)
          .withColumnRenamed("media_key", "c_media_key"))
-    abc = J.stream_interval_join(ab, c, left_key="media_key", right_key="c_media_key",
-                                 left_time="dataTimestamp", right_time="mediaTimestamp",
-                                 lower=0, upper=bound, how="left", null_safe=null_safe)
-    return distinct_by_text_digest(abc.select("text", "username", F.col("c_media_key").alias("media_key")))
+    keyed = J.stream_interval_join(b.where(F.col("media_key").isNotNull()), c.where(F.col("c_media_key").isNotNull()),
+                                   left_key="media_key", right_key="c_media_key", left_time="dataTimestamp",
+                                   right_time="mediaTimestamp", lower=0, upper=bound, how="left")
+    plain = b.where(F.col("media_key").isNull()).withColumn("c_media_key", F.lit(None).cast("string"))
+    cols = ["text", "author_id", "c_media_key", "dataTimestamp"]
+    bc = keyed.select(*cols).unionByName(plain.select(*cols))
+    if users_snapshot is not None:
+        abc = bc.join(users_snapshot.select("users_id", "username"), F.col("author_id") == F.col("users_id"), "inner")
+    else:
+        abc = _with_users(bc, users_decoded, user_bound, watermark)
+    out = abc.select("text", "username", F.col("c_media_key").alias("media_key"),
+                     *(["dataTimestamp"] if distinct_within else []))
+    return distinct_by_text_digest(out, time_col="dataTimestamp" if distinct_within else None)
 
 
 # -- replay of the test tables -------------------------------------------------
@@ -189,54 +219,39 @@ def _closing_media(mx: DataFrame) -> DataFrame:
         (F.col("t") + F.expr("INTERVAL 1 HOUR")).alias("media_ts")))
 
 
-# Staged record folders by (shared folder, data folder, stream, closing rows).
-# The input tables are read-only, so a folder staged once is replayed by
-# every later run of the same stream query; each run still gets its own
-# checkpoint and output.
-_STAGED: dict[tuple, tuple[str, int]] = {}
-
-
 class Replay:
-    """Stage record files for the tables of one data folder (once) and open
-    them as streams."""
+    """Record files for the tables of one data folder, staged in the order of
+    event time and opened as streams of several micro-batches."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, closing: bool = False):
         self.spark, self.t, self.sf_dir = spark, Tables(spark, sf_dir), sf_dir
         self.closing = closing
-        self._mx = None
+        self._cuts = None
+
+    def _max(self) -> DataFrame:
+        t = self.t
+        return max_time((t.posts, "created_at"), (t.user_messages, "user_ts"), (t.media_messages, "media_ts"))
 
-    def _max(self):
-        if self._mx is None:
-            t = self.t
-            self._mx = max_time((t.posts, "created_at"), (t.user_messages, "user_ts"),
-                                (t.media_messages, "media_ts"))
-        return self._mx
+    def cuts(self) -> list:
+        """Times that cut the posts into equal micro-batches; all streams use the same."""
+        if self._cuts is None:
+            self._cuts = time_cuts(self.t.posts, "created_at", REPLAY_BATCHES)
+        return self._cuts
 
     def _open(self, name: str, records: DataFrame, closing_fn) -> DataFrame:
-        key = (checkpoint_root(self.spark), self.sf_dir, name, self.closing)
-        if key in _STAGED:
-            try:
-                self.spark.read.parquet(_STAGED[key][0]).schema
-            except Exception:  # noqa: BLE001  (folder removed since: stage it again)
-                del _STAGED[key]
-        if key not in _STAGED:
-            path, n = stage_records(self.spark, records, f"stream-in-{name}")
-            if self.closing:
-                # closing rows go in the same first micro-batch: the watermark
-                # moves past every real row when that batch ends, and the
-                # following no-data batch emits the unmatched outer rows
-                append_records(closing_fn(self._max()), path)
-                n = len(self.spark.read.parquet(path).inputFiles())
-            _STAGED[key] = (path, n)
-        path, n = _STAGED[key]
-        raw = read_stream(self.spark, "files", path=path, max_files_per_trigger=n)
+        path = stage_records(self.spark, records, f"stream-in-{name}", self.cuts(),
+                             # the last rows push the watermark past every real row
+                             closing_fn(self._max()) if self.closing else None)
+        raw = read_stream(self.spark, "files", path=path, max_files_per_trigger=FILES_PER_BATCH)
         return msg.decode_records(raw)
 
     def posts(self) -> DataFrame:
         return self._open("posts", msg.post_records(self.t.posts), _closing_posts)
 
-    def users(self) -> DataFrame:
-        return self._open("users", msg.user_records(self.t.user_messages), _closing_users)
+    def users(self, per_post: bool = False) -> DataFrame:
+        """Users stamped before their first post, or once for each of their posts."""
+        sent = self.t.user_messages_per_post if per_post else self.t.user_messages
+        return self._open("users", msg.user_records(sent), _closing_users)
 
     def media(self) -> DataFrame:
         return self._open("media", msg.media_records(self.t.media_messages), _closing_media)
@@ -244,14 +259,26 @@ class Replay:
 
 def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", finish=None) -> DataFrame:
     out, ckpt = work_dir(spark, f"stream-out-{name}"), work_dir(spark, f"stream-ckpt-{name}")
-    run_available_now(df, out, ckpt, mode, finish=finish)
-    return spark.read.parquet(out)
+    final = run_available_now(df, out, ckpt, mode, finish=finish)
+    return spark.read.parquet(final)
+
+
+@query("stream_ingest_posts")
+def stream_ingest_posts(spark, sf):
+    """The posts job: parsed posts, one row per media key."""
+    out = _run(spark, posts_stream(Replay(spark, sf).posts()), "ingest-posts")
+    return ntz(out.select("tweet_id", "created_at", "text", "like_count", "author_id", "media_key", "dataTimestamp"))
+
+
+@query("stream_ingest_media")
+def stream_ingest_media(spark, sf):
+    return ntz(_run(spark, media_stream(Replay(spark, sf).media()), "ingest-media"))
 
 
 @query("stream_distinct_users")
 def stream_distinct_users(spark, sf):
-    r = Replay(spark, sf)
-    return ntz(_run(spark, users_stream(r.users()), "distinct-users"))
+    """The users job: each user is sent once per post and comes out once."""
+    return _run(spark, users_stream(Replay(spark, sf).users(per_post=True)), "distinct-users")
 
 
 @query("stream_join_users")
@@ -268,9 +295,16 @@ def stream_join_users_media(spark, sf):
     return out.where((F.col("username") != CLOSE) | F.col("username").isNull())
 
 
+def _stream_counts(spark, sf, name: str, clean: bool) -> DataFrame:
+    partials, finish = word_count_partials_job(Replay(spark, sf).posts(), clean=clean)
+    return ntz(W.flatten_window(_run(spark, partials, name, mode="complete", finish=finish)))
+
+
 @query("stream_word_count_sliding")
 def stream_word_count_sliding(spark, sf):
-    r = Replay(spark, sf)
-    partials, finish = word_count_partials_job(r.posts())
-    out = _run(spark, partials, "word-count", mode="complete", finish=finish)
-    return ntz(W.flatten_window(out))
+    return _stream_counts(spark, sf, "word-count", clean=False)
+
+
+@query("stream_word_count_sliding_clean")
+def stream_word_count_sliding_clean(spark, sf):
+    return _stream_counts(spark, sf, "word-count-clean", clean=True)

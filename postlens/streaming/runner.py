@@ -2,7 +2,7 @@
 
 Results go to files in the shared checkpoint folder (never to driver
 memory): append mode writes through the exactly-once file sink; complete
-mode rewrites a table per micro-batch from ``foreachBatch``.
+mode writes each result table to a folder of its own from ``foreachBatch``.
 """
 
 from __future__ import annotations
@@ -12,17 +12,38 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 
+#: Files that each micro-batch of a staged replay consists of.
+FILES_PER_BATCH = 4
 
-def stage_records(spark: SparkSession, records: DataFrame, purpose: str) -> tuple[str, int]:
-    """Write Kafka-shaped records as files a file stream can replay.
 
-    Returns (folder, number of data files).  Read the folder with
-    ``maxFilesPerTrigger`` = that number to get all of it as batch 0.
+def time_cuts(df: DataFrame, time_col: str, batches: int) -> list:
+    """``batches - 1`` times that cut the rows into about equal parts."""
+    times = df.select(F.col(time_col).cast("timestamp").cast("double").alias("t"))
+    at = times.agg(F.percentile_approx("t", [i / batches for i in range(1, batches)], 1000)).first()[0]
+    return sorted(set(at or []))
+
+
+def stage_records(spark: SparkSession, records: DataFrame, purpose: str, cuts: list | None = None,
+                  last: DataFrame | None = None) -> str:
+    """Write Kafka-shaped records as files a file stream can replay; returns the folder.
+
+    The records are written one time slice after another, FILES_PER_BATCH
+    files each, so a stream reading so many files per trigger gets the slices
+    as ordered micro-batches.  ``last``: records of one more slice at the end.
     """
     path = work_dir(spark, purpose)
-    records.write.mode("overwrite").parquet(path)
-    n = len(spark.read.parquet(path).inputFiles())
-    return path, max(n, 1)
+    bounds = [None, *(cuts or []), None]
+    t = F.col("timestamp").cast("double")
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        part = records
+        if low is not None:
+            part = part.where(t >= low)
+        if high is not None:
+            part = part.where((t < high) | t.isNull() if low is None else t < high)
+        part.repartition(FILES_PER_BATCH, "offset").write.mode("append").parquet(path)
+    if last is not None:
+        append_records(last, path)
+    return path
 
 
 def append_records(records: DataFrame, path: str) -> None:
@@ -31,17 +52,22 @@ def append_records(records: DataFrame, path: str) -> None:
 
 
 def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
-                      timeout_s: float = 900.0, query_name: str | None = None,
-                      finish=None) -> None:
-    """Start ``df`` with ``trigger(availableNow=True)`` and wait for it.
+                      timeout_s: float | None = None, query_name: str | None = None,
+                      finish=None) -> str:
+    """Run ``df`` with ``trigger(availableNow=True)`` to its end (no time limit unless given).
 
-    Complete mode rewrites ``out_path`` with each result table, after
-    ``finish`` (a batch DataFrame -> DataFrame function) if given.
+    Returns the folder of the result.  Complete mode writes the result table
+    of each micro-batch, after ``finish`` (a batch DataFrame -> DataFrame
+    function) if given, to ``out_path/batch_id=N``; the last one is the
+    result, and a failure half-way leaves the earlier tables whole.
     """
+    done: list[str] = []
     if mode == "complete":
-        def overwrite(batch: DataFrame, batch_id: int) -> None:
-            (finish(batch) if finish else batch).write.mode("overwrite").parquet(out_path)
-        writer = (df.writeStream.outputMode("complete").foreachBatch(overwrite))
+        def write(batch: DataFrame, batch_id: int) -> None:
+            to = f"{out_path}/batch_id={batch_id}"
+            (finish(batch) if finish else batch).write.mode("overwrite").parquet(to)
+            done.append(to)
+        writer = (df.writeStream.outputMode("complete").foreachBatch(write))
     else:
         writer = df.writeStream.outputMode(mode).format("parquet").option("path", out_path)
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -49,7 +75,7 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
         writer = writer.queryName(query_name)
     q = writer.start()
     try:
-        finished = q.awaitTermination(timeout_s)
+        finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination() or True)
         if not finished:
             raise TimeoutError(f"stream did not finish within {timeout_s}s")
     finally:
@@ -57,6 +83,7 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return done[-1] if done else out_path
 
 
 def max_time(*frames_and_cols: tuple[DataFrame, str]) -> DataFrame:

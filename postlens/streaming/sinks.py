@@ -59,26 +59,75 @@ def batch_table_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame,
     return write
 
 
-def batch_jdbc_writer(options: dict) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function appending each micro-batch over JDBC with
-    a ``batch_id`` column.  Before writing it asks the table for the highest
-    stored ``batch_id`` and skips a batch that is already there (a replay
-    after a restart)."""
+def jdbc_delete(spark, options: dict, batch_id: int) -> None:
+    """Deletes the rows of one batch over the JVM's JDBC driver; a missing table is no error.
+
+    Nothing but SQL state 42S02 / 42P01 (and Derby's 42X05) means "no such table"; other errors are raised.
+    """
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k in ("user", "password"):
+        if options.get(k) is not None:
+            props.setProperty(k, options[k])
+    if options.get("driver"):
+        jvm.java.lang.Class.forName(options["driver"])
+    con = jvm.java.sql.DriverManager.getConnection(options["url"], props)
+    try:
+        statement = con.prepareStatement(f"DELETE FROM {options['dbtable']} WHERE batch_id = ?")
+        statement.setLong(1, batch_id)
+        statement.executeUpdate()
+        if not con.getAutoCommit():
+            con.commit()
+    except Exception as e:  # noqa: BLE001  (Py4J wraps the SQLException)
+        state = getattr(getattr(e, "java_exception", None), "getSQLState", lambda: None)()
+        if state not in ("42S02", "42P01", "42X05"):
+            raise
+    finally:
+        con.close()
+
+
+def jdbc_append(batch: DataFrame, options: dict) -> None:
+    jdbc_write(batch, options, "append")
+
+
+def batch_jdbc_writer(options: dict, delete: Callable = jdbc_delete,
+                      append: Callable = jdbc_append) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function storing each micro-batch with its ``batch_id``.
+
+    A JDBC append commits partition by partition, so a failed batch may be
+    stored in part.  The writer therefore deletes the batch's rows first and
+    then appends all of them: after a retry the batch is whole and single.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            done = (spark.read.format("jdbc").options(**{k: v for k, v in options.items() if k != "dbtable"})
-                    .option("query", f"select max(batch_id) as m from {options['dbtable']}")
-                    .load().first()[0])
-        except Exception:  # noqa: BLE001  (table not created yet)
-            done = None
-        if done is not None and batch_id <= done:
-            return
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.format("jdbc").mode("append").options(**options).save())
+        delete(batch.sparkSession, options, batch_id)
+        append(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), options)
     return write
 
 
+def batch_upsert_writer(path: str, keys: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for update mode: the newest row per key.
+
+    Each trigger adds its changed rows as ``batch_id=N`` only; the current
+    table is :func:`read_upserts`, so nothing that was written is rewritten.
+    """
+    plain = batch_table_writer(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        missing = [k for k in keys if k not in batch.columns]
+        if missing:
+            raise ValueError(f"no key columns {missing}")
+        plain(batch, batch_id)
+    return write
+
+
+def read_upserts(spark, path: str, keys: tuple[str, ...]) -> DataFrame:
+    """The newest row per key of a folder written by :func:`batch_upsert_writer`."""
+    rows = spark.read.parquet(path)
+    others = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_id").alias("_row"))
+    return newest.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
+
+
 # -- streaming -----------------------------------------------------------------
 
 def start_stream(df: DataFrame, sink: str = "parquet", *, mode: str = "append", path: str | None = None,
