@@ -72,9 +72,7 @@ def users_stream(decoded: DataFrame, watermark: str | None = None, within_waterm
     (``dropDuplicatesWithinWatermark`` on the four user columns).
     """
     if within_watermark:
-        if not watermark:
-            raise ValueError("within_watermark needs a watermark")
-        return (msg.parse_users(decoded).withWatermark("userTimestamp", watermark)
+        return (msg.parse_users(decoded).withWatermark("userTimestamp", watermark or WATERMARK)
                 .dropDuplicatesWithinWatermark(USER_KEY))
     if not with_time:
         if watermark:

@@ -86,3 +86,12 @@ def test_interval_join_across_dst_in_any_zone(spark, tz, typ):
         assert rows(out, "lid", "rid") == rows(l.join(r, cond, "full_outer"), "lid", "rid")
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_every_spelling_of_a_join_kind():
+    for kind, names in {"inner": ["inner", "INNER"], "left": ["left", "left_outer", "leftOuter", "leftouter"],
+                        "right": ["right", "rightOuter", "right_outer", "rightouter"],
+                        "full": ["full", "outer", "fullOuter", "full_outer", "fullouter"]}.items():
+        assert {J._norm_how(n) for n in names} == {kind}
+    with pytest.raises(ValueError):
+        J._norm_how("anti")

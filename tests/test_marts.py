@@ -56,8 +56,45 @@ def test_cli_word_count_from_record_files(spark, scratch):
     root, out, ck = scratch("cli-rec"), scratch("cli-wc"), scratch("cli-ck")
     append_records(msg.post_records(t.posts), f"{root}/posts")
     cli.main(["word-count", "--files", root, "--checkpoint", ck, "--out", out, "--available-now"])
-    got = spark.read.parquet(out)
+    got = spark.read.parquet(f"{out}/batch_id=0")
     assert got.count() > 0 and set(got.columns) == {"word", "window", "count"}
+    up, ck2 = scratch("cli-wu"), scratch("cli-wuc")
+    cli.main(["word-count", "--files", root, "--checkpoint", ck2, "--out", up, "--available-now", "--mode", "update"])
+    from postlens.streaming.sinks import read_upserts
+    newest = read_upserts(spark, up, ("word", "window_start", "window_end"))
+    assert newest.count() == got.count() and newest.agg({"count": "sum"}).first() == got.agg({"count": "sum"}).first()
+
+
+def test_cli_ingest_and_join_users_from_record_files(spark, scratch):
+    from postlens import cli
+    from postlens.operators import messages as msg
+    from postlens.streaming.runner import append_records
+    t = Tables(spark, SF_SMALL)
+    root = scratch("cli-i")
+    append_records(msg.post_records(t.posts), f"{root}/posts")
+    append_records(msg.user_records(t.user_messages_per_post), f"{root}/users")
+    append_records(msg.media_records(t.media_messages), f"{root}/media")
+    found = {}
+    for cmd, more in (("posts", ()), ("users", ()), ("media", ()), ("join-users", ())):
+        out = scratch(f"cli-{cmd}")
+        cli.main([cmd, "--files", root, "--checkpoint", scratch(f"ck-{cmd}"), "--out", out, "--available-now", *more])
+        found[cmd] = spark.read.parquet(out)
+    assert found["users"].count() == t.user_messages.count()
+    assert found["media"].count() == t.media_messages.count()
+    assert found["posts"].select("tweet_id").distinct().count() == t.posts.count()
+    assert found["join-users"].count() > 0
+
+
+def test_session_settings_in_a_fresh_process():
+    import subprocess
+    import sys
+    code = ("from postlens.session import build_session, DEFAULT_CONF\n"
+            "s = build_session(master='local[1]')\n"
+            "assert all(s.conf.get(k) == v for k, v in DEFAULT_CONF.items() if k.startswith('spark.sql'))\n"
+            "assert s.conf.get('spark.sql.shuffle.partitions') == '200'\n"
+            "import inspect, postlens.cli as c\n"
+            "assert 'build_session(master=None' in inspect.getsource(c.main)\n")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
 
 
 def test_cli_join_users_media_from_record_files(spark, scratch):

@@ -19,6 +19,20 @@ def _decoded(spark, values):
     return spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "key string, value string")
 
 
+FORMS = ["2022-05-01T12:00:00Z", "2022-05-01T12:00:00+02:00", "2022-05-01 12:00:00", "2022-05-01",
+         "2022-05-01T12:00:00.123456789Z", "2022-05-01T12:00:00.123456", "2022-05-01T12:00:00.000Z"]
+
+
+def test_times_are_read_as_plain_from_json_reads_them(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.schemas import POST_JSON
+    df = _decoded(spark, ['{"id": "p%d", "created_at": "%s"}' % x for x in enumerate(FORMS)])
+    got = [r.created_at for r in msg.parse_posts(df).orderBy("tweet_id").collect()]
+    want = df.select(F.from_json("value", POST_JSON).alias("d")).orderBy("d.id").select("d.created_at").collect()
+    assert got == [r[0] for r in want] and None not in got
+
+
 def test_parse_posts_is_permissive(spark):
     values = [
         GOOD,

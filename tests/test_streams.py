@@ -11,6 +11,7 @@ from conftest import rows
 from postlens.operators import joins as J
 from postlens.operators import messages as msg
 from postlens.operators import windows as W
+from postlens.operators import words as WD
 from postlens.sources.streams import read_stream
 from postlens.streaming import jobs, sinks
 from postlens.streaming.runner import append_records, run_available_now
@@ -43,8 +44,7 @@ def _word_counts_complete(spark, scratch):
     path = _one_file_each(spark, scratch, LATE)
     src = msg.decode_records(read_stream(spark, "files", path=path, max_files_per_trigger=1))
     out, ck = scratch("late-out"), scratch("late-ck")
-    run_available_now(jobs.word_count_job(src), out, ck, "complete")
-    return spark.read.parquet(out)
+    return spark.read.parquet(run_available_now(jobs.word_count_job(src), out, ck, "complete"))
 
 
 def test_late_rows_kept_in_complete_mode(spark, scratch):
@@ -220,10 +220,10 @@ def test_partials_word_count_equals_window_word_count(spark, scratch):
     append_records(_post_rows(spark, items[5:]), path)
     src = lambda: msg.decode_records(read_stream(spark, "files", path=path, max_files_per_trigger=2))
     out1, ck1 = scratch("wc1"), scratch("wc1c")
-    run_available_now(jobs.word_count_job(src()), out1, ck1, "complete")
+    out1 = run_available_now(jobs.word_count_job(src()), out1, ck1, "complete")
     partials, finish = jobs.word_count_partials_job(src())
     out2, ck2 = scratch("wc2"), scratch("wc2c")
-    run_available_now(partials, out2, ck2, "complete", finish=finish)
+    out2 = run_available_now(partials, out2, ck2, "complete", finish=finish)
     a = W.flatten_window(spark.read.parquet(out1))
     b = W.flatten_window(spark.read.parquet(out2))
     assert rows(a, "word", "window_start", "window_end", "count") == rows(b, "word", "window_start", "window_end", "count")
@@ -239,7 +239,7 @@ def test_users_distinct_within_watermark(spark, scratch):
     path = scratch("uw")
     append_records(_user_records(spark, [("u1", "alice", 0), ("u1", "alice", 5), ("u2", "bob", 6)]), path)
     src = msg.decode_records(read_stream(spark, "files", path=path))
-    exact = jobs.users_stream(src)
+    exact = jobs.users_stream(src, with_time=True)
     bounded = jobs.users_stream(msg.decode_records(read_stream(spark, "files", path=path)),
                                 within_watermark=True)
     o1, c1, o2, c2 = scratch("o1"), scratch("c1"), scratch("o2"), scratch("c2")
@@ -249,6 +249,85 @@ def test_users_distinct_within_watermark(spark, scratch):
     assert spark.read.parquet(o2).count() == 2          # re-send within 30 s is a duplicate
 
 
+def test_users_distinct_on_four_columns_keeps_late_users(spark, scratch):
+    path, out, ck = scratch("ul"), scratch("ulo"), scratch("ulc")
+    for u in (("u1", "alice", 5000), ("u1", "alice", 5001), ("u2", "bob", 0), ("u3", "carl", 9000), ("u2", "bob", 1)):
+        append_records(_user_records(spark, [u]).coalesce(1), path)
+    src = msg.decode_records(read_stream(spark, "files", path=path, max_files_per_trigger=1))
+    run_available_now(jobs.users_stream(src), out, ck)
+    assert rows(spark.read.parquet(out), "users_id") == [("u1",), ("u2",), ("u3",)]
+
+
+def test_replay_comes_in_ordered_batches(spark):
+    from conftest import SF_SMALL
+    r = jobs.Replay(spark, SF_SMALL)
+    assert len(r.cuts()) == jobs.REPLAY_BATCHES - 1
+    seen = []
+    q = (r.posts().writeStream.foreachBatch(lambda b, i: seen.append(tuple(b.agg(
+        F.min("timestamp"), F.max("timestamp"), F.count("*")).first())))
+        .trigger(availableNow=True).start())
+    q.awaitTermination()
+    data = [x for x in seen if x[2]]
+    assert len(data) == jobs.REPLAY_BATCHES
+    assert all(a[1] < b[0] for a, b in zip(data, data[1:]))
+    assert sum(x[2] for x in data) == r.t.posts.count()
+
+
+def test_rewindow_runs_on_a_stream_in_append_mode(spark, scratch):
+    path, out, ck = scratch("rw"), scratch("rwo"), scratch("rwc")
+    items = [(f"p{i}", "x y", 7 * i) for i in range(40)] + [("end", "end", 100_000), ("end2", "end2", 200_000)]
+    append_records(_post_rows(spark, items[:40]), path)
+    append_records(_post_rows(spark, items[40:41]).coalesce(1), path)
+    append_records(_post_rows(spark, items[41:]).coalesce(1), path)
+    src = lambda: msg.decode_records(read_stream(spark, "files", path=path, max_files_per_trigger=50))
+    run_available_now(W.rewindow(jobs.word_count_job(src()), ("word",)), out, ck, "append")
+    got = W.flatten_window(spark.read.parquet(out)).where("word in ('x', 'y')")
+    static = msg.parse_posts(msg.decode_records(spark.read.parquet(path)))
+    once = W.sliding_counts(WD.raw_words(static, keep=("created_at",)), ("word",), "created_at")
+    want = W.flatten_window(W.rewindow(once, ("word",))).where("word in ('x', 'y')")
+    assert rows(got, "word", "window_start", "count") == rows(want, "word", "window_start", "count")
+    assert got.count() > 0
+
+
+def test_jdbc_writer_repairs_a_batch_that_failed_half_way(spark):
+    """A fake table that fails after its first partition, as an appending JDBC job can.  No database is run."""
+    table, fail = [], [True]
+
+    def delete(_, options, batch_id):
+        table[:] = [r for r in table if r["batch_id"] != batch_id]
+
+    def append(batch, options):
+        got = batch.collect()
+        if fail[0]:
+            table.extend(got[:1])
+            raise RuntimeError("lost")
+        table.extend(got)
+
+    write = sinks.batch_jdbc_writer({"dbtable": "t"}, delete, append)
+    one = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "word string, count int")
+    with pytest.raises(RuntimeError):
+        write(one, 0)
+    assert len(table) == 1
+    fail[0] = False
+    for batch_id in (0, 0, 1, 0):                        # retry, replays
+        write(one, batch_id)
+    assert sorted((r["word"], r["batch_id"]) for r in table) == [(w, i) for w in "abc" for i in (0, 1)]
+
+    def broken(*_):
+        raise PermissionError("no rights")
+
+    with pytest.raises(PermissionError):
+        sinks.batch_jdbc_writer({"dbtable": "t"}, broken, append)(one, 2)
+
+
+def test_upserts_keep_the_newest_row_per_key(spark, scratch):
+    path, keys = scratch("ups"), ("word",)
+    write = sinks.batch_upsert_writer(path, keys)
+    for i, counts in enumerate(({"a": 1, "b": 1}, {"a": 2}, {"b": 5, "c": 1})):
+        write(spark.createDataFrame(list(counts.items()), "word string, count int"), i)
+    assert rows(sinks.read_upserts(spark, path, keys), "word", "count") == [("a", 2), ("b", 5), ("c", 1)]
+
+
 def test_join_users_bound_limits_matches(spark, scratch):
     pp, pu = scratch("jp"), scratch("ju")
     append_records(_post_rows(spark, [("1", "early", 5), ("2", "late", 500)]), pp)
@@ -272,7 +351,7 @@ def test_per_media_rows_counts_words_once_per_media_key(spark, scratch):
     for per_media, expect in ((False, 5), (True, 10)):
         src = msg.decode_records(read_stream(spark, "files", path=path))
         out, ck = scratch("pmo"), scratch("pmc")
-        run_available_now(jobs.word_count_job(src, per_media_rows=per_media), out, ck, "complete")
+        out = run_available_now(jobs.word_count_job(src, per_media_rows=per_media), out, ck, "complete")
         got = spark.read.parquet(out).where("word = 'hello'").agg(F.sum("count")).first()[0]
         assert got == expect
 
