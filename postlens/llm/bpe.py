@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from .common import by_place, col, free
 
 #: Bytes of text that go through one round of the SQL query.
-ROUND_BYTES = 2_000_000
+ROUND_BYTES = 1_500_000
 #: Words remembered within a partition; beyond it the memory starts afresh (results stay the same).
 REMEMBERED = 300_000
 #: Words of more bytes than this are merged with a heap, as the query's work on one word grows with its square.
@@ -63,16 +64,35 @@ def parse_ranks(packed: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (x.split() for x in packed.split(b"\n") if x.strip())}
 
 
-class Codec:
-    """One vocabulary in DuckDB; used inside a Spark task."""
+#: Fixed value: the usual pattern of byte-level vocabularies.
+USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def splitter(pattern: str):
+    """Function from a text to the matches of ``pattern``.
+
+    For the usual pattern, texts of Latin characters on which Python's own
+    classes agree with the pattern's are split by the faster ``re`` module.
+    """
+    import regex
+
+    general = regex.compile(pattern).findall
+    if pattern != USUAL:
+        return general
+    plain = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:[stmd]|re|ve|ll)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
+    kinds = [(regex.compile(a), re.compile(b)) for a, b in ((r"\p{L}", r"[^\W\d_]"), (r"\p{N}", r"\d"), (r"\s", r"\s"))]
+    same = [c for c in map(chr, range(0x250)) if all(bool(a.match(c)) == bool(b.match(c)) for a, b in kinds)]
+    other = re.compile("[^" + "".join(map(re.escape, same)) + "]").search
+    return lambda text: general(text) if other(text) else plain(text)
+
+
+class Tables:
+    """A vocabulary as Arrow tables: what a worker keeps between tasks."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import duckdb
         import pyarrow as pa
-        import regex
 
-        self.ranks, self.find = ranks, regex.compile(pattern).findall
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.ranks, self.find = ranks, splitter(pattern)
         pair, tok = [], []
         for b, r in ranks.items():
             for i in range(1, len(b)):
@@ -80,16 +100,31 @@ class Codec:
                 if left is not None and right is not None:
                     pair.append(left * 16777216 + right)
                     tok.append(r)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        merges = pa.table({"pair": pa.array(pair, pa.int64()), "tok": pa.array(tok, pa.int64())})
+        self.merges = pa.table({"pair": pa.array(pair, pa.int64()), "tok": pa.array(tok, pa.int64())})
         # each byte is one Latin-1 character, so any bytes are valid text for the aggregation
-        vocabulary = pa.table({"tok": pa.array(list(ranks.values()), pa.int64()),
-                               "piece": pa.array([b.decode("latin-1") for b in ranks])})
-        for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
-            self.db.register("given", rows)
+        self.vocabulary = pa.table({"tok": pa.array(list(ranks.values()), pa.int64()),
+                                    "piece": pa.array([b.decode("latin-1") for b in ranks])})
+        self.of_byte = [ranks[bytes([i])] for i in range(256)]
+
+
+class Codec:
+    """One vocabulary in DuckDB, for the length of a Spark task."""
+
+    def __init__(self, tables: Tables):
+        import duckdb
+
+        self.ranks, self.find, self.of_byte = tables.ranks, tables.find, tables.of_byte
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        for name in ("merges", "vocabulary"):
+            self.db.register("given", getattr(tables, name))
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.of_byte = [ranks[bytes([i])] for i in range(256)]
+
+    def close(self) -> None:
+        """Gives the memory back to the worker."""
+        self.known.clear()
+        self.db.close()
 
     def learn(self, words: list[str]) -> None:
         """Encodes and decodes words (each one match of the pattern) that are not known yet."""
@@ -183,16 +218,16 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-_CODECS: dict[str, Codec] = {}
+_TABLES: dict[str, Tables] = {}
 
 
-def _codec(packed: bytes, pattern: str) -> Codec:
-    """The worker's codec for a vocabulary file's contents; kept for later tasks of the same worker."""
+def _tables(packed: bytes, pattern: str) -> Tables:
+    """The worker's tables for a vocabulary file's contents; kept for later tasks of the same worker."""
     key = hashlib.sha256(packed + pattern.encode()).hexdigest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(parse_ranks(packed), pattern)
-    return _CODECS[key]
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = Tables(parse_ranks(packed), pattern)
+    return _TABLES[key]
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | None = None, text: str = "text",
@@ -217,20 +252,23 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | Non
     names = schema.names
 
     def run(batches: Iterator) -> Iterator:
-        codec = _codec(packed.value, pattern)
-        for b in batches:
-            column, i = b.column(b.num_columns - 1), 0
-            while i < b.num_rows:                      # rounds of bounded text
-                texts, size = [], 0
-                while i + len(texts) < b.num_rows and (not texts or size < ROUND_BYTES):
-                    texts.append(column[i + len(texts)].as_py())
-                    size += len(texts[-1])
-                got = codec.encode(texts)
-                part = b.slice(i, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([x[0] for x in got], pa.binary()),
-                     pa.array([x[1] for x in got], pa.binary())], names=names)
-                i += len(texts)
+        codec = Codec(_tables(packed.value, pattern))
+        try:
+            for b in batches:
+                column, i = b.column(b.num_columns - 1), 0
+                while i < b.num_rows:                      # rounds of bounded text
+                    texts, size = [], 0
+                    while i + len(texts) < b.num_rows and (not texts or size < ROUND_BYTES):
+                        texts.append(column[i + len(texts)].as_py())
+                        size += len(texts[-1])
+                    got = codec.encode(texts)
+                    part = b.slice(i, len(texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns[:-1], pa.array([x[0] for x in got], pa.binary()),
+                         pa.array([x[1] for x in got], pa.binary())], names=names)
+                    i += len(texts)
+        finally:
+            codec.close()
 
     return inner.mapInArrow(run, schema)
 

@@ -49,7 +49,7 @@ def test_encode_keeps_columns_and_round_trips(spark):
 def test_rounds_equal_heap_and_decode(plain):
     with open(PATH, "rb") as f:
         ranks = bpe.parse_ranks(f.read())
-    codec = bpe.Codec(ranks, P.PATTERN)
+    codec = bpe.Codec(bpe.Tables(ranks, P.PATTERN))
     r = random.Random(8)
     words = ["".join(r.choice("theraniongstdlyüé") for _ in range(r.randint(1, 60))) for _ in range(400)]
     codec.learn(words)
@@ -61,6 +61,17 @@ def test_rounds_equal_heap_and_decode(plain):
     assert codec.decode(lists) == [t.encode() for t in texts()]
 
 
+def test_split_is_the_pattern(plain):
+    import regex
+
+    general, quick = regex.compile(P.PATTERN).findall, bpe.splitter(P.PATTERN)
+    assert bpe.USUAL == P.PATTERN
+    every = [chr(i) for i in range(0x300) if not 0xD800 <= i < 0xE000]
+    r = random.Random(6)
+    for t in [*texts(), *every, *("a" + c + "1" + c + " " + c for c in every), *("".join(r.choices(every, k=30)) for _ in range(2000))]:
+        assert quick(t) == general(t)
+
+
 def test_empty_and_repeated(spark):
     docs = documents(spark, ["a b", "a b"], ids=[None, None])
     out = bpe.digests(docs, PATH, P.PATTERN).collect()
