@@ -10,10 +10,15 @@ not lift a document alone, carry their largest contribution per block: a block
 whose best partial score plus the sum of those maxima stays below the
 threshold is skipped, the others are completed best bound first while the
 threshold rises.
+
+Shards are searched in rounds, each of as many shards as all rounds before it:
+a query's k-th score so far is the threshold that it takes into the next round.
+So a round returns about k documents a query, not k for each shard.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +40,8 @@ BLOCK = 64
 COMMON = 1 / 16
 #: Queries that go through the index together.
 QUERY_ROWS = 4_096
+#: Shards of the first round.
+FIRST_SHARDS = 8
 
 # Tokens are runs of ASCII letters and digits (A-Z lower-cased) and of all characters beyond ASCII.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -44,7 +51,8 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).split()
 
 
-_INDEX = ("shard string, n_docs int, n_terms bigint, total bigint, ids binary, lengths binary, terms binary, "
+#: ``turn`` in [0, 1) is the shard's place in the rounds.
+_INDEX = ("shard string, turn double, n_docs int, n_terms bigint, total bigint, ids binary, lengths binary, terms binary, "
           "starts binary, docs binary, tfs binary")
 
 
@@ -77,7 +85,7 @@ class _Shard:
         doc = np.repeat(np.arange(len(self.ids), dtype=np.uint16), self.sizes)[by]
         tf = np.concatenate(self.tfs)[by] if names else np.zeros(0, np.uint32)
         starts = np.searchsorted(term[by], np.arange(len(names) + 1)).astype(np.int32)
-        return (name, len(self.ids), len(names), int(sum(self.lengths)), np.array(self.ids, dtype=np.int64).tobytes(),
+        return (name, zlib.crc32(name.encode()) / 2 ** 32, len(self.ids), len(names), int(sum(self.lengths)), np.array(self.ids, dtype=np.int64).tobytes(),
                 np.array(self.lengths, dtype=np.int32).tobytes(), b" ".join(names[i] for i in order), starts.tobytes(),
                 doc.tobytes(), tf.tobytes())
 
@@ -93,7 +101,7 @@ def build(docs: DataFrame) -> DataFrame:
 
         def close():
             values = shard.row(f"{part}-{n}")
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6)
+            kinds = (pa.string(), pa.float64(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=columns)
 
         for b in batches:
@@ -141,8 +149,8 @@ class _Loaded:
         self.row_of = np.full(len(idf), -1, dtype=np.int64)
         self.row_of[common] = np.arange(len(common))
 
-    def best(self, terms: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(doc ids, scores) of the k best documents with a positive score, own id left out."""
+    def best(self, terms: np.ndarray, own: int, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """(doc ids, scores) of the k best documents with a positive score of at least ``least``, own id left out."""
         rows = self.row_of[terms]
         rare = terms[(rows < 0) & (self.size[terms] > 0)]
         rows = rows[rows >= 0]
@@ -154,7 +162,7 @@ class _Loaded:
         part = part.reshape(self.blocks, BLOCK)
         bound = part.max(axis=1) + self.block_max[rows].sum(axis=0)
         # partial scores are lower bounds already
-        floor = np.partition(part.ravel(), -k)[-k] if part.size > k else -np.inf
+        floor = max(least, np.partition(part.ravel(), -k)[-k]) if part.size > k else least
         order = np.argsort(-bound, kind="stable")
         found, score = np.zeros(0, dtype=np.int64), np.zeros(0)
         done, step = 0, 4
@@ -191,7 +199,7 @@ def search(docs: DataFrame, every: int = 100, k: int = 10, doc_id: str = "doc_id
     x = docs.select(col(doc_id).cast("bigint").alias("doc_id"), col(text).cast("binary").alias("text")) \
         .filter(F.col("doc_id").isNotNull())
     index = stored(build(x), "bm25-index")
-    sums = index.agg(F.sum("n_docs"), F.sum("total")).first()
+    sums = index.agg(F.sum("n_docs"), F.sum("total"), F.count("*")).first()
     result = "query_id bigint, rank int, doc_id bigint, score double"
     if not sums[0] or not sums[1]:
         return spark.createDataFrame([], result)
@@ -207,17 +215,18 @@ def search(docs: DataFrame, every: int = 100, k: int = 10, doc_id: str = "doc_id
     found = None
     for block in range(blocks):                       # bounded blocks of the stated query set
         mine = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toPandas()
-        part = _search_block(index, mine, n, mean, k)
+        part = _search_block(index, mine, n, mean, k, sums[2])
         found = part if found is None else found.unionByName(part)
-    each = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("c")) \
-        .select("query_id", F.col("c.ids").alias("doc_id"), F.col("c.scores").alias("score"))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return each.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k) \
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+    return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
 
 
-def _search_block(index: DataFrame, queries: pd.DataFrame, n: int, mean: float, k: int) -> DataFrame:
-    """(query_id, ids, scores): each shard's best for every query of the block."""
+def _search_block(index: DataFrame, queries: pd.DataFrame, n: int, mean: float, k: int, shards: int) -> DataFrame:
+    """(query_id, doc_id, score, rank): the best of all shards for every query of the block."""
     sc = index.sparkSession.sparkContext
     place: dict[bytes, int] = {}
     asked = [np.array([place.setdefault(t, len(place)) for t in (bytes(b).split(b" ") if len(b) else [])], dtype=np.int64)
@@ -229,31 +238,50 @@ def _search_block(index: DataFrame, queries: pd.DataFrame, n: int, mean: float,
         import pyarrow as pa
 
         at = shared_place.value
+        sums = np.zeros(len(at), dtype=np.int64)
         for b in batches:
             for names, starts in zip(b.column(0), b.column(1)):
                 here = np.array([at.get(t, -1) for t in names.as_py().split(b" ")], dtype=np.int64)
                 df = np.diff(np.frombuffer(starts.as_py(), dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(here[here >= 0]), pa.array(df[here >= 0].astype(np.int64))],
-                                                 names=["term", "df"])
+                sums[here[here >= 0]] += df[here >= 0]             # a shard has a term once
+        seen = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["term", "df"])
 
-    counted = index.filter("n_terms > 0").select("terms", "starts").mapInArrow(count, "term bigint, df bigint") \
+    # a task adds up many shards before anything is shuffled: a row per task and asked term at most
+    counted = index.filter("n_terms > 0").select("terms", "starts").coalesce(sc.defaultParallelism) \
+        .mapInArrow(count, "term bigint, df bigint") \
         .groupBy("term").agg(F.sum("df").alias("df")).toPandas()                  # at most the block's terms
     df = np.zeros(len(place))
     df[counted["term"].to_numpy(dtype=np.int64)] = counted["df"].to_numpy()
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    shared = sc.broadcast((ids, asked, idf))
-
+    rounds = max(0, int(np.ceil(np.log2(shards / FIRST_SHARDS))))
+    best, least = None, np.full(len(ids), -np.inf)
+    for i in range(rounds + 1):
+        low, high = (0.0 if i == 0 else 2.0 ** (i - 1 - rounds)), 2.0 ** (i - rounds)
+        part = _search_round(index.filter((F.col("turn") >= low) & (F.col("turn") < high)), shared_place,
+                             sc.broadcast((ids, asked, idf, least)), mean, k)
+        best = _ranked(part if best is None else part.unionByName(best.drop("rank")), k)
+        if i < rounds:
+            best = stored(best, "bm25-round")
+            kth = dict(best.filter(F.col("rank") == k).select("query_id", "score").collect())   # one row per query
+            least = np.array([kth.get(q, -np.inf) for q in ids.tolist()])
+    return best
+
+
+def _search_round(index: DataFrame, shared_place, shared, mean: float, k: int) -> DataFrame:
+    """(query_id, doc_id, score): of each shard the best that reach their query's threshold."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        at, (qid, terms, weight) = shared_place.value, shared.value
+        at, (qid, terms, weight, floor) = shared_place.value, shared.value
         for b in batches:
             for i in range(b.num_rows):
                 row = {c: b.column(j)[i].as_py() for j, c in enumerate(b.schema.names)}
                 shard = _Loaded(row, at, weight, mean)
-                got = [shard.best(t, q, k) for t, q in zip(terms, qid.tolist())]
+                got = [shard.best(t, q, k, f) for t, q, f in zip(terms, qid.tolist(), floor.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(qid), pa.array([g[0] for g in got], pa.list_(pa.int64())),
-                     pa.array([g[1] for g in got], pa.list_(pa.float64()))], names=["query_id", "ids", "scores"])
+                    [pa.array(np.repeat(qid, [len(g[0]) for g in got])),
+                     pa.array(np.concatenate([g[0] for g in got])), pa.array(np.concatenate([g[1] for g in got]))],
+                    names=["query_id", "doc_id", "score"])
 
-    return index.mapInArrow(run, "query_id bigint, ids array<bigint>, scores array<double>")
+    return index.mapInArrow(run, "query_id bigint, doc_id bigint, score double")

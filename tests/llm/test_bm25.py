@@ -33,7 +33,7 @@ def plain(texts, ids, every, k):
 
 @pytest.mark.parametrize("shard,common,block,queries", [(8192, 1 / 16, 64, 4096), (37, 0.3, 4, 5), (50, 2.0, 8, 4096)])
 def test_equals_brute_force(spark, monkeypatch, shard, common, block, queries):
-    for name, v in (("SHARD_DOCS", shard), ("COMMON", common), ("BLOCK", block), ("QUERY_ROWS", queries)):
+    for name, v in (("SHARD_DOCS", shard), ("COMMON", common), ("BLOCK", block), ("QUERY_ROWS", queries), ("FIRST_SHARDS", 2)):
         monkeypatch.setattr(bm25, name, v)
     r = random.Random(shard)
     vocabulary = ["the", "of", "And", "É", "x1"] + [f"w{i}" for i in range(400)]
