@@ -15,7 +15,7 @@ def test_held_out_accuracy(spark):
     out = T.score_documents(docs, labels)
     x = out.join(labels, "doc_id").filter("held_out").toPandas()
     bad, clean = x[x["toxic"] == 1], x[x["toxic"] == 0]
-    assert bad["predicted"].mean() > 0.95 and clean["predicted"].mean() < 0.01
+    assert bad["predicted"].mean() > 0.9 and clean["predicted"].mean() < 0.01
     assert out.count() == docs.count() and out.filter("score < 0 OR score > 1").count() == 0
 
 
