@@ -1,24 +1,28 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased words and their short prefixes; the vocabulary keeps
-those that the labelled training documents associate with toxicity.  Document frequencies are counted over all documents.  Labelled
-examples form an inverted index whose posting lists carry the largest weight
-of each block; a search skips the blocks of examples that cannot reach the k
-nearest found so far.  The nearest examples vote by similarity, and the votes
-are calibrated on the training examples themselves, each left out of its own
-search.
+Terms are all lower-cased words of the labelled training documents, and the
+words and prefixes among them that go with toxicity or with its absence: these
+signal terms count in full, plain words with a smaller weight, so a rare kind
+of toxicity is near its own examples and a clean text near clean ones.
+Document frequencies are counted over all documents.  All labelled examples
+are searched: common terms by a matrix product, the others by posting lists,
+and the best are scored again in double precision.  The nearest examples vote
+by similarity, and the votes are calibrated on the training examples
+themselves, each left out of its own search.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +31,16 @@ from .quality import labelled
 
 FOLDS, HELD_OUT = 3, 1
 ACCEPT = 0.7
-#: Bounds of the fitted model: labelled documents (they choose the vocabulary and are the indexed examples),
-#: terms that are tried, and terms that are kept.
-TRAIN_ROWS, CANDIDATES, VOCABULARY = 16_000, 100_000, 4_096
-#: A term needs this many toxic documents, this share of them, and this chi score.
-MIN_TOXIC, MIN_SHARE, MIN_CHI = 4, 0.02, 6.0
-#: Examples whose own votes calibrate the scores, at most.
-CALIBRATED = 6_000
+#: Bounds of the fitted model: labelled documents (they choose the signal terms and are the indexed examples)
+#: and signal terms of each sign.
+TRAIN_ROWS, VOCABULARY = 40_000, 4_096
+#: A signal term needs this many training documents of its label and this chi score; from the strong one on it has weight 1.
+MIN_DOCUMENTS, MIN_CHI, STRONG_CHI = 4, 6.0, 12.0
+#: Weight of a plain word.
+PLAIN = 0.03
 NEIGHBOURS = 25
-#: Examples in a block of the index.
-BLOCK = 64
+#: Terms of the matrix product, queries searched at once, and what single precision may be off.
+COMMON, BATCH, SLACK = 256, 64, 1e-4
 PREFIXES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -59,79 +63,119 @@ def terms(text: str | None) -> Counter:
     return words + prefixes + Counter(dense)
 
 
-def choose_vocabulary(rows: DataFrame) -> list[str]:
-    """Terms of labelled rows (doc_id, text, y) that go with toxicity, strongest first.
+def choose_vocabulary(rows: DataFrame) -> dict[str, float]:
+    """Signal terms of labelled rows (doc_id, text, y) and their weights, strongest first.
 
     The chi score of a term is the number of its documents that are toxic less
-    those expected, in standard deviations.  Terms in enough toxic documents
-    are the candidates; they are then counted in all labelled documents.  Only
-    counts leave the tasks.
+    those expected, in standard deviations; its weight grows with the score up
+    to 1.  Only counts leave the tasks.
     """
     total = rows.agg(F.count("*"), F.sum("y")).first()
     n, bad = total[0], total[1] or 0
     if not bad or bad == n:
-        return []
+        return {}
     p = bad / n
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        seen: Counter = Counter()
+        def counts(seen: Counter, toxic: Counter) -> Iterator:
+            names = list(seen)
+            for i in range(0, len(names), 100_000):
+                part = names[i:i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([seen[t] for t in part], pa.int64()),
+                                                  pa.array([toxic[t] for t in part], pa.int64())], names=["term", "n", "bad"])
+
+        seen, toxic = Counter(), Counter()
         for b in batches:
+            for t, y in zip(b.column(0), b.column(1).to_pylist()):
+                found = terms(t.as_py()).keys()
+                seen.update(found)
+                if y == 1:
+                    toxic.update(found)
+                if len(seen) > 500_000:
+                    yield from counts(seen, toxic)
+                    seen, toxic = Counter(), Counter()
+        yield from counts(seen, toxic)
+
+    chi = (F.col("bad") - F.col("n") * p) / F.sqrt(F.col("n") * F.lit(p * (1 - p)))
+    scored = stored(rows.select("text", "y").mapInArrow(run, "term string, n bigint, bad bigint").groupBy("term")
+                    .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("chi", chi)
+                    .filter((F.abs("chi") >= MIN_CHI) & (F.when(F.col("chi") > 0, F.col("bad")).otherwise(F.col("n") - F.col("bad"))
+                                                   >= MIN_DOCUMENTS)), "toxic-signals")
+    found = [r for sign in (1, -1) for r in scored.filter(F.col("chi") * sign > 0).orderBy(F.desc(F.col("chi") * sign), "term")
+             .limit(VOCABULARY).collect()]
+    return {r["term"]: min(1.0, abs(r["chi"]) / STRONG_CHI) for r in sorted(found, key=lambda r: (-abs(r["chi"]), r["term"]))}
+
+
+def word_keys(words: list[str]) -> np.ndarray:
+    """64-bit hashes, the same in every process."""
+    return pd.util.hash_array(np.array(words, dtype=object), categorize=False).view(np.int64)
+
+
+def plain_words(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of all words of labelled rows."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            words = set()
             for t in b.column(0):
-                seen.update(terms(t.as_py()).keys())
-        names, n = list(seen), list(seen.values())
-        for i in range(0, len(names), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(names[i:i + 100_000], pa.string()),
-                                              pa.array(n[i:i + 100_000], pa.int64())], names=["term", "n"])
-
-    toxic = (rows.filter("y = 1").select("text").mapInArrow(run, "term string, n bigint").groupBy("term")
-             .agg(F.sum("n").alias("n")).filter(F.col("n") >= max(MIN_TOXIC, MIN_SHARE * bad))
-             .orderBy(F.desc("n"), "term").limit(CANDIDATES).collect())
-    candidates = [r[0] for r in toxic]
-    among = dict(count_terms(rows, candidates).select(F.explode("ids").alias("t")).groupBy("t").count().collect())
-    chi = {r[0]: (r[1] - among[i] * p) / math.sqrt(among[i] * p * (1 - p)) for i, r in enumerate(toxic)}
-    return sorted((t for t, c in chi.items() if c >= MIN_CHI), key=lambda t: (-chi[t], t))[:VOCABULARY]
-
-
-def count_terms(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """doc_id, ids (positions in the vocabulary), tf: one row per row of ``docs``."""
+                words.update(_WORD.findall((t.as_py() or "").lower()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(word_keys(list(words))), pa.int64())], names=["word"])
+
+    return np.sort(rows.select("text").mapInArrow(run, "word bigint").distinct().toPandas()["word"].to_numpy(dtype=np.int64))
+
+
+def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None = None) -> DataFrame:
+    """doc_id, ids (positions in the vocabulary, then in ``plain``), tf: one row per row of ``docs``."""
     words = {t: i for i, t in enumerate(vocabulary) if "*" not in t}
     prefixes: dict[str, list[int]] = {}                       # prefix: places of its three levels
     for i, t in enumerate(vocabulary):
         if "*" in t:
             stem, level = t.split("*")
             prefixes.setdefault(stem, [-1, -1, -1])[len(level)] = i
-    shared = docs.sparkSession.sparkContext.broadcast((words, prefixes))
+    shared = docs.sparkSession.sparkContext.broadcast((words, prefixes, np.zeros(0, np.int64) if plain is None else plain, len(vocabulary)))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        at, stems = shared.value
+        at, stems, plain, signals = shared.value
         lengths = sorted({len(t) for t in stems})
         for b in batches:
-            all_ids, all_tf = [], []
-            for value in b.column(1):
+            rows, all_ids, all_tf, others, other_rows, other_tf = [], [], [], [], [], []
+            for row, value in enumerate(b.column(1)):
                 found: dict[int, int] = {}
                 dense: Counter = Counter()
                 counts = Counter(_WORD.findall((value.as_py() or "").lower()))
                 for w, n in counts.items():
                     if w in at:
                         found[at[w]] = n
+                    else:
+                        others.append(w)
+                        other_tf.append(n)
                     for k in lengths:
                         if len(w) > k and (p := w[:k]) in stems:
                             dense[p] += n
+                other_rows += [row] * (len(others) - len(other_rows))
                 total = sum(counts.values()) if dense else 0
                 for p, n in dense.items():
                     for level, i in enumerate(stems[p][:1 + dense_levels(n, total)]):
                         if i >= 0:
                             found[i] = 1 if level else n
-                ids = sorted(found)
-                all_ids.append(ids)
-                all_tf.append([found[i] for i in ids])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_tf, pa.list_(pa.int32()))],
-                names=["doc_id", "ids", "tf"])
+                rows += [row] * len(found)
+                all_ids += found
+                all_tf += found.values()
+            keys = word_keys(others) if len(plain) else np.zeros(0, np.int64)
+            place = np.minimum(np.searchsorted(plain, keys), len(plain) - 1)
+            known = np.flatnonzero(plain[place] == keys)
+            row = np.r_[np.array(rows, np.int32), np.array(other_rows, np.int32)[known]]
+            ids = np.r_[np.array(all_ids, np.int32), (signals + place[known]).astype(np.int32)]
+            tf = np.r_[np.array(all_tf, np.int32), np.array(other_tf, np.int32)[known]]
+            order = np.lexsort((ids, row))
+            ends = pa.array(np.r_[0, np.cumsum(np.bincount(row, minlength=b.num_rows))].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.ListArray.from_arrays(ends, pa.array(v[order])) for v in (ids, tf))],
+                                             names=["doc_id", "ids", "tf"])
 
     x = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
     return x.mapInArrow(run, "doc_id bigint, ids array<int>, tf array<int>")
@@ -139,16 +183,12 @@ def count_terms(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Unit vectors of labelled examples as posting lists by term, with the largest weight per block of examples."""
-
-    idf: np.ndarray
-    start: np.ndarray          # postings of term t: start[t]:start[t + 1]
-    example: np.ndarray
-    weight: np.ndarray
-    block_start: np.ndarray    # blocks of term t: block_start[t]:block_start[t + 1]
-    block: np.ndarray          # block number
-    block_max: np.ndarray      # largest weight of the term in that block
-    block_from: np.ndarray     # first posting of the term in that block
+    """Unit vectors of labelled examples, by example; the postings by term are made where they are used."""
+
+    idf: np.ndarray            # weight of each term
+    start: np.ndarray          # entries of example e: start[e]:start[e + 1]
+    term: np.ndarray
+    tf: np.ndarray
     doc_id: np.ndarray
     label: np.ndarray
     empty_rate: float          # share of toxic among training documents without any term
@@ -160,56 +200,81 @@ class Index:
         norm = np.sqrt((w * w).sum())
         return ids, w / norm if norm > 0 else w
 
-    def nearest(self, ids, tf, k: int, leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, exact cosines) of the k nearest, ties to the smaller id.
-
-        The bound of a block is the sum of its block maxima.  Blocks are scored
-        best bound first, a few at a time, until no bound left reaches the
-        k-th cosine found.
+    @cached_property
+    def weight(self) -> np.ndarray:
+        w = (1 + np.log(self.tf.astype(float))) * self.idf[self.term]
+        example = np.repeat(np.arange(len(self.doc_id)), np.diff(self.start))
+        return w / np.maximum(np.sqrt(np.bincount(example, w * w, len(self.doc_id))), 1e-300)[example]
+
+    @cached_property
+    def postings(self) -> tuple:
+        """Row of each common term or -1, rows of the common terms, and the other terms' postings."""
+        n = np.bincount(self.term, minlength=len(self.idf))
+        common = np.argsort(-n, kind="stable")[:COMMON]
+        place = np.full(len(self.idf), -1)
+        place[common] = np.arange(len(common))
+        who = np.repeat(np.arange(len(self.doc_id), dtype=np.int32), np.diff(self.start))
+        at = place[self.term]
+        matrix = np.zeros((len(common), len(self.doc_id)), dtype=np.float32)
+        matrix[at[at >= 0], who[at >= 0]] = self.weight[at >= 0]
+        rest = np.flatnonzero(at < 0)
+        rest = rest[np.argsort(self.term[rest], kind="stable")]
+        n[common] = 0
+        return place, matrix, np.r_[0, np.cumsum(n)], who[rest], self.weight[rest].astype(np.float32), np.zeros(len(self.idf))
+
+    def search(self, queries: list[tuple], k: int, leave_out: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(examples, exact cosines) of the k nearest of each query (ids, tf), ties to the smaller id.
+
+        All examples are scored in single precision; those that could be among
+        the k nearest are scored again in double precision.
         """
-        ids, q = self.vector(ids, tf)
-        if not len(ids):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        spans = [np.arange(self.block_start[t], self.block_start[t + 1]) for t in ids]
-        which = np.concatenate(spans)
-        weight = np.repeat(q, [len(s) for s in spans])
-        blocks, at = np.unique(self.block[which], return_inverse=True)
-        bound = np.bincount(at, weight * self.block_max[which], len(blocks))
-        order = np.argsort(-bound, kind="stable")
-        # entries (term, block) grouped by block, in order of bound
-        rank = np.empty(len(blocks), dtype=np.int64)
-        rank[order] = np.arange(len(blocks))
-        entry = np.argsort(rank[at], kind="stable")
-        upto = np.cumsum(np.bincount(rank[at], minlength=len(blocks)))
-        found, score = np.zeros(0, dtype=np.int64), np.zeros(0)
-        done, step = 0, 8
-        while done < len(blocks):
-            if len(score) >= k and bound[order[done]] < score[k - 1] - 1e-12:
-                break
-            to = min(done + step, len(blocks))
-            use = entry[upto[done - 1] if done else 0:upto[to - 1]]
-            first = self.block_from[which[use]]
-            n = self.block_from[which[use] + 1] - first
-            post = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-            who, back = np.unique(self.example[post], return_inverse=True)
-            cosine = np.bincount(back, np.repeat(weight[use], n) * self.weight[post], len(who))
+        place, matrix, start, example, weight, scratch = self.postings
+        vectors = [self.vector(*q) for q in queries]
+        dense = np.zeros((len(queries), len(matrix)), dtype=np.float32)
+        for row, (ids, w) in zip(dense, vectors):
+            row[place[ids[place[ids] >= 0]]] = w[place[ids] >= 0]
+        out = []
+        for i, (score, (ids, w)) in enumerate(zip(dense @ matrix, vectors)):
+            rest = place[ids] < 0
+            post, n = _spans(start, ids[rest])
+            score = score + np.bincount(example[post], np.repeat(w[rest], n) * weight[post], len(score))
             if leave_out is not None:
-                cosine[who == leave_out] = -1.0
-            found, score = np.concatenate([found, who]), np.concatenate([score, cosine])
-            best = np.lexsort((self.doc_id[found], -np.round(score, 12)))[:k]
-            found, score = found[best], score[best]
-            done, step = to, step * 2
-        keep = score > 0
-        return found[keep], score[keep]
-
-    def vote(self, ids, tf, k: int, leave_out: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+                score[leave_out[i]] = -1.0
+            least = np.partition(score, -k)[-k] - SLACK if len(score) > k else 0.0
+            found = np.flatnonzero((score >= least) & (score > 0))
+            post, n = _spans(self.start, found)
+            scratch[ids] = w
+            cosine = np.bincount(np.repeat(np.arange(len(found)), n), scratch[self.term[post]] * self.weight[post], len(found))
+            scratch[ids] = 0.0
+            best = np.lexsort((self.doc_id[found], -np.round(cosine, 12)))[:k]
+            out.append((found[best], cosine[best]))
+        return out
+
+    def nearest(self, ids, tf, k: int, leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``search`` of one query."""
+        return self.search([(ids, tf)], k, None if leave_out is None else [leave_out])[0]
+
+    def vote(self, who: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic among the nearest, each weighted by closeness, drawn to the base rate by one far neighbour."""
-        who, cosine = self.nearest(ids, tf, k, leave_out)
         if not len(who):
-            return self.empty_rate, who, cosine
-        w = 1.0 / (1.05 - np.minimum(cosine, 1.0))
+            return self.empty_rate
+        w = 1.0 / (1.05 - np.minimum(cosine, 1.0)) ** 2
         prior = 1.0
-        return float((w @ self.label[who] + prior * self.rate) / (w.sum() + prior)), who, cosine
+        return float((w @ self.label[who] + prior * self.rate) / (w.sum() + prior))
+
+
+def _lists(ids, tf) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows of two Arrow columns of lists."""
+    at, to = ids.offsets.to_numpy(), tf.offsets.to_numpy()
+    i, t = ids.values.to_numpy(), tf.values.to_numpy()
+    return [(i[at[r]:at[r + 1]], t[to[r]:to[r + 1]]) for r in range(len(ids))]
+
+
+def _spans(start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions start[i]:start[i + 1] of all ``which`` in a row, and how many each has."""
+    first = start[which]
+    n = start[which + 1] - first
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), n
 
 
 def build_index(rows: pd.DataFrame, idf: np.ndarray) -> Index:
@@ -222,20 +287,10 @@ def build_index(rows: pd.DataFrame, idf: np.ndarray) -> Index:
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     rows, y = rows.iloc[order], y[order]
     n = rows["ids"].map(len).to_numpy(dtype=np.int64)
-    term = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows["ids"]] or [np.zeros(0, np.int64)])
-    tf = np.concatenate([np.asarray(x, dtype=float) for x in rows["tf"]] or [np.zeros(0)])
-    example = np.repeat(np.arange(len(rows)), n)
-    w = (1 + np.log(np.maximum(tf, 1))) * idf[term]
-    norm = np.sqrt(np.bincount(example, w * w, len(rows)))
-    w = w / np.maximum(norm[example], 1e-300)
-    by = np.lexsort((example, term))
-    term, example, w = term[by], example[by], w[by]
-    block = example // BLOCK
-    new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
-    terms_ = np.arange(len(idf) + 1)
-    return Index(idf, np.searchsorted(term, terms_), example, w, np.searchsorted(term[new], terms_), block[new],
-                 np.maximum.reduceat(w, new) if len(new) else np.zeros(0), np.r_[new, len(term)],
-                 rows["doc_id"].to_numpy(), y, empty_rate, rate)
+    term = np.concatenate([np.asarray(x, dtype=np.int32) for x in rows["ids"]] or [np.zeros(0, np.int32)])
+    tf = np.concatenate([np.maximum(x, 1) for x in rows["tf"]] or [np.ones(0, np.int32)])
+    tf = tf.astype(np.min_scalar_type(tf.max(initial=1)))
+    return Index(idf, np.r_[0, np.cumsum(n)], term, tf, rows["doc_id"].to_numpy(), y, empty_rate, rate)
 
 
 def calibrate(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,59 +310,65 @@ def calibrate(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.array([e for e, _ in knots]), value
 
 
-@dataclass(frozen=True)
-class ToxicityModel:
-    vocabulary: list[str]
-    index: Index
-    knots: tuple[np.ndarray, np.ndarray]
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[ToxicityModel, DataFrame]:
-    """The model, and the stored term counts of all documents."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, tuple[np.ndarray, np.ndarray], DataFrame]:
+    """The index, the knots of the calibration, and the stored term counts of all documents."""
+    context = docs.sparkSession.sparkContext
     chosen = stored(labelled(labels, "toxic", FOLDS, HELD_OUT, TRAIN_ROWS), "toxic-labels")
     x = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
-    vocabulary = choose_vocabulary(stored(x.join(F.broadcast(chosen), "doc_id"), "toxic-examples"))
-    counted = stored(count_terms(x, vocabulary), "toxic-terms")
+    texts = stored(x.join(F.broadcast(chosen), "doc_id"), "toxic-examples")
+    signals, plain = choose_vocabulary(texts), plain_words(texts)
+    counted = stored(count_terms(x, list(signals), plain), "toxic-terms")
     total = counted.count()
-    df = dict(counted.select(F.explode("ids").alias("t")).groupBy("t").count().collect())   # at most VOCABULARY rows
-    idf = np.array([math.log((1 + total) / (1 + df.get(i, 0))) + 0.05 for i in range(len(vocabulary))])
-    rows = (counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-            .toPandas().sort_values("doc_id"))                            # at most TRAIN_ROWS rows
-    index = build_index(rows, idf)
-    used = rows[rows["ids"].map(len) > 0]
-    picked = np.arange(0, len(used), max(1, -(-len(used) // CALIBRATED)))
-    votes = np.array([index.vote(used["ids"].iloc[e], used["tf"].iloc[e], NEIGHBOURS, e)[0] for e in picked])
-    return ToxicityModel(vocabulary, index, calibrate(votes, used["y"].to_numpy(dtype=float)[picked])), counted
+    df = counted.select(F.explode("ids").alias("t")).groupBy("t").count().toPandas()     # at most one row per training term
+    n = np.zeros(len(signals) + len(plain))
+    n[df["t"].to_numpy(dtype=np.int64)] = df["count"].to_numpy()
+    idf = (np.log((1 + total) / (1 + n)) + 0.05) * np.r_[list(signals.values()), np.full(len(plain), PLAIN)]
+    examples = stored(counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "toxic-index")
+    shared = context.broadcast(build_index(examples.toPandas(), idf))                     # at most TRAIN_ROWS rows
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        m = shared.value
+        for b in batches:
+            for part in (b.slice(i, BATCH) for i in range(0, b.num_rows, BATCH)):
+                found = m.search(_lists(part.column(1), part.column(2)), NEIGHBOURS,
+                                 np.searchsorted(m.doc_id, part.column(0).to_numpy()).tolist())
+                yield pa.RecordBatch.from_arrays([pa.array([m.vote(*f) for f in found], pa.float64()), part.column(3)],
+                                                 names=["vote", "y"])
+
+    votes = (examples.filter(F.size("ids") > 0).select("doc_id", "ids", "tf", "y")
+             .mapInArrow(run, "vote double, y int").toPandas())                           # at most TRAIN_ROWS rows
+    return shared, calibrate(votes["vote"].to_numpy(), votes["y"].to_numpy(dtype=float)), counted
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (up to three nearest example ids), one row per row of ``docs``.
 
-    Null and empty texts, and texts without any term of the vocabulary, score
+    Null and empty texts, and texts without any training word, score
     the smoothed share of toxic among such training documents; a null id is
     never held out; repeated rows get equal rows; without toxic labels every
     score is the base rate; no documents give no rows.
     """
-    model, counted = fit(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, knots, counted = fit(docs, labels)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         m = shared.value
-        seen: dict[tuple, tuple] = {}
+        seen: dict[bytes, tuple] = {}
         for b in batches:
-            scores, evidence = [], []
-            for i, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                key = (tuple(i), tuple(t))
-                if key not in seen:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    vote, who, _ = m.index.vote(i, t, NEIGHBOURS)
-                    s = float(np.interp(vote, *m.knots)) if len(who) else vote
-                    seen[key] = (min(max(s, 0.0), 1.0), m.index.doc_id[who[:3]].tolist())
-                scores.append(seen[key][0])
-                evidence.append(seen[key][1])
+            if len(seen) > 50_000:
+                seen.clear()
+            pairs = _lists(b.column(1), b.column(2))
+            keys = [blake2b(np.concatenate([i, t]).tobytes(), digest_size=16).digest() for i, t in pairs]
+            new = list({k: p for k, p in zip(keys, pairs) if k not in seen}.items())
+            for part in (new[i:i + BATCH] for i in range(0, len(new), BATCH)):
+                for (key, _), (who, cosine) in zip(part, m.search([p for _, p in part], NEIGHBOURS)):
+                    vote = m.vote(who, cosine)
+                    s = float(np.interp(vote, *knots)) if len(who) else vote
+                    seen[key] = (min(max(s, 0.0), 1.0), m.doc_id[who[:3]].tolist())
+            scores, evidence = [seen[k][0] for k in keys], [seen[k][1] for k in keys]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()),
                                               pa.array(evidence, pa.list_(pa.int64()))],
                                              names=["doc_id", "score", "evidence"])

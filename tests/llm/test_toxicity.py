@@ -89,3 +89,19 @@ def test_edge_rows(spark):
     assert T.score_documents(docs.limit(0), labels).count() == 0
     none = T.score_documents(docs, labels.limit(0)).collect()
     assert {r["predicted"] for r in none} == {0}
+
+
+def test_rare_kind_and_clean_neighbours(spark):
+    r = random.Random(3)
+    text = lambda i: " ".join(r.choices([f"w{j}" for j in range(300)], k=25))
+    kinds = [f"{text(i)} {'blackguard knave' if i % 200 == 0 else 'vile wretch'}" if i % 4 == 0 else text(i) for i in range(1200)]
+    copies = {i: kinds[i] for i in range(0, 1200, 200)}                      # 2 % of the toxic texts
+    kinds += list(copies.values()) + [kinds[1]]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(1200)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, kinds)
+    by = {x["doc_id"]: x for x in T.score_documents(docs, labels).collect()}
+    trained = {x["doc_id"] for x in T.labelled(labels, "toxic", T.FOLDS, T.HELD_OUT, T.TRAIN_ROWS).collect()}
+    hit = [(by[1200 + at], i) for at, i in enumerate(copies) if i in trained]
+    assert hit and all(x["evidence"][0] == i and x["predicted"] == 1 for x, i in hit)
+    clean = by[1200 + len(copies)]
+    assert clean["evidence"] and clean["predicted"] == 0
