@@ -2,8 +2,9 @@
 
 Explicit rules come first.  Every other url is judged by its template: per
 host, path segments are generalised level by level (numbers, hashes and dates
-by their form, other segments where a branch has many rare ones), branches
-whose labels are statistically alike are merged, and a template is rejected
+by their form), branches whose labels are statistically alike are merged, and
+so are rare ones with too few labels to tell; what was merged is tested against
+the merged ones again, and a template is rejected
 when the smoothed share of bad among its labelled urls is high.
 """
 
@@ -18,7 +19,8 @@ from .common import col, lower_ascii, stored
 
 #: Levels of the tree; what lies deeper is one last segment.
 DEPTH = 8
-#: A branch with more kinds of segments than this has its rare ones generalised: those below this share of it.
+#: A branch with more kinds of segments than this has rare ones, those below this share of it: without enough labels
+#: to test they are generalised.
 KINDS, RARE = 8, 0.05
 #: Branches are alike below this chi-square (2 degrees of freedom, 5 %).
 ALIKE = 5.99
@@ -83,6 +85,14 @@ def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "bad", "good")]
 
 
+def _chi(of: str) -> Column:
+    """Chi-square of a child's labels (bad, good, none) against the shares in columns ``of``_n, _bad, _good."""
+    n, bad, good = (F.col(f"{of}_{c}") for c in ("n", "bad", "good"))
+    seen = [F.col("bad"), F.col("good"), F.col("n") - F.col("bad") - F.col("good")]
+    return sum((F.when(p > 1e-12, (o - F.col("n") * p) ** 2 / (F.col("n") * p)).otherwise(F.lit(0.0))
+                for p, o in zip((bad / n, good / n, 1 - (bad + good) / n), seen)), F.lit(0.0))
+
+
 def tree(urls: DataFrame) -> DataFrame:
     """(host, shape, template) for each kind of path of ``urls`` (host, shape, n, bad, good; one row per kind)."""
     state = stored(urls.withColumn("template", F.lit("")), "url-tree")
@@ -93,18 +103,16 @@ def tree(urls: DataFrame) -> DataFrame:
         child = here.groupBy("host", "template", "segment").agg(*_sums())
         branch = child.groupBy("host", "template").agg(
             F.count("*").alias("kinds"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "bad", "good")])
-        # labels of a child against its branch: bad, good and unlabelled
-        share = [F.col("all_bad") / F.col("all_n"), F.col("all_good") / F.col("all_n"),
-                 1 - (F.col("all_bad") + F.col("all_good")) / F.col("all_n")]
-        seen = [F.col("bad"), F.col("good"), F.col("n") - F.col("bad") - F.col("good")]
-        chi = sum((F.when(p > 1e-12, (o - F.col("n") * p) ** 2 / (F.col("n") * p)).otherwise(F.lit(0.0))
-                   for p, o in zip(share, seen)), F.lit(0.0))
+        few = F.col("bad") + F.col("good") < MIN_LABELLED
         rare = (F.col("kinds") > KINDS) & (F.col("n") < RARE * F.col("all_n"))
-        alike = (F.col("kinds") > 1) & (chi < ALIKE)
+        alike = (F.col("kinds") > 1) & (_chi("all") < ALIKE)
         # a form is general already; its merged branches keep its name
-        token = F.when(F.col("segment").contains("{") | (F.col("segment") == "**"), F.col("segment")) \
-            .when(rare | alike, F.lit("*")).otherwise(F.col("segment"))
-        named = child.join(branch, ["host", "template"]).select("host", "template", "segment", token.alias("token"))
+        form = F.col("segment").contains("{") | (F.col("segment") == "**")
+        seen = child.join(branch, ["host", "template"]).withColumn("merged", ~form & (alike | (rare & few)))
+        pool = seen.filter("merged").groupBy("host", "template").agg(*[F.sum(c).alias(f"pool_{c}") for c in ("n", "bad", "good")])
+        apart = ~few & (_chi("pool") >= ALIKE)
+        token = F.when(F.col("merged") & ~apart, F.lit("*")).otherwise(F.col("segment"))
+        named = seen.join(pool, ["host", "template"], "left").select("host", "template", "segment", token.alias("token"))
         state = stored(
             state.withColumn("segment", F.get("shape", F.lit(level - 1)))
             .join(named, ["host", "template", "segment"], "left")

@@ -122,3 +122,14 @@ def test_edge_tables(spark):
     rows = U.judge(more, URL_RULES).collect()
     assert len(rows) == 4 and sum(r["verdict"] == "block" for r in rows) == 3
     assert not re.search("Python|Pandas|Arrow", U.judge(frame(spark, ["x"]), URL_RULES)._jdf.queryExecution().toString())
+
+
+def test_small_bad_section_of_a_large_host(spark):
+    sizes = {f"s{'abcdefghijklmnopqrst'[i]}": 50 for i in range(20)} | {"sa": 40}            # 20 sections, one of 4 % bad
+    urls = [f"https://big.site/{s}/{i}" for s, n in sizes.items() for i in range(n)]
+    lab = spark.createDataFrame([(u, int("/sa/" in u)) for u in urls], "url string, bad int")
+    out = {urls[r["page_id"]] for r in U.judge(frame(spark, urls), [], lab).collect() if r["verdict"] == "block"}
+    assert out == {u for u in urls if "/sa/" in u}
+    ruled_urls = [u.replace("big.site", "x.example.com").replace("/sa/", "/de/") for u in urls]
+    rows = U.judge(frame(spark, ruled_urls), [U.Rule("example.com/de/", False)]).collect()
+    assert {ruled_urls[r["page_id"]] for r in rows if r["verdict"] == "block"} == {u for u in ruled_urls if "/de/" in u}
