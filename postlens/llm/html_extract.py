@@ -6,6 +6,10 @@ edge potentials couple parent and child.  Messages go upward and downward once
 (sum-product, exact on a tree) and give each text run's marginal.  The
 potentials are trained on labelled pages by the conditional likelihood, whose
 gradient uses the same messages.
+
+Not shown as text, and dropped before the model: scripts, styles, titles,
+templates, text areas and the fallback of frames.  Text in svg and math is part
+of the line it stands in; their own elements are no nodes.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ TRAIN_PAGES, STEPS = 500, 140
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|template|svg|math|object|canvas|noembed|noframes|xmp)\b"
-    r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?:/>|>.*?(?:</(?P=raw)\s*+[^>]*+>|\Z)|\Z)"
+    r"|<(?P<raw>script|style|textarea|title|iframe|template|noembed|noframes)(?=[\s/>])"
+    r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?:>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*)(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE)
@@ -39,7 +43,9 @@ _ATTR = re.compile(r"""\b(class|id|role|itemprop|data-y|hidden|aria-hidden|style
 # Fixed facts of the markup language.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp "
-              "small span strike strong sub sup time tt u var wbr label input link meta".split())
+              "small span strike strong sub sup time tt u var wbr label input link meta canvas object noscript svg math".split())
+#: Roots of foreign markup, which an element of the page's own kind ends.
+_FOREIGN = {"svg", "math"}
 _CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                 "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -50,9 +56,10 @@ _SCOPE = set("table td th button ul ol dl select body html".split())
 _TAG_GROUPS = [["article"], ["main"], ["section"], ["div", "center"], ["p"], ["h1"], ["h2", "h3", "h4", "h5", "h6"],
                ["ul", "ol", "dl", "menu"], ["li", "dt", "dd"], ["nav"], ["header", "hgroup"], ["footer"], ["aside"],
                ["form", "fieldset", "search", "dialog"], ["button", "select", "option", "optgroup", "legend"],
-               ["table", "tbody", "thead", "tfoot", "tr", "caption"], ["td", "th"], ["blockquote", "pre", "figure", "figcaption"],
+               ["table", "tbody", "thead", "tfoot", "tr", "caption"], ["td", "th"], ["blockquote", "pre", "figure", "figcaption", "xmp"],
                ["body", "html"]]
 _GROUP = {t: i for i, g in enumerate(_TAG_GROUPS) for t in g}
+_BREAKS_OUT = (set(_GROUP) | _VOID | _INLINE) - {"a", "cite", "data", "link", "meta", "q", "source", "time"} - _FOREIGN
 _OTHER, _TEXT = len(_TAG_GROUPS), len(_TAG_GROUPS) + 1
 #: Words in names of elements that speak for a kind of part.
 _NAMES = [named.MENU + ["crumbs", "pager", "skip", "tabs"], named.HEADER + ["head", "logo"], named.FOOTER + ["foot", "credits"],
@@ -114,6 +121,10 @@ def parse(page: str | None) -> Tree:
             if stack[i][0] in stop:
                 return
 
+    def leave(i: int) -> None:
+        state[0] = max(0, state[0] - sum(t == "a" for t, _ in stack[i:]))
+        del stack[i:]
+
     at = 0
     page = page or ""
     for m in _TOKEN.finditer(page):
@@ -130,6 +141,16 @@ def parse(page: str | None) -> Tree:
                 run.append(m[0][9:].removesuffix("]]>"))
             continue
         tag, attrs = tag.lower(), m["attrs"] or m["attrs2"] or ""
+        if stack[-1][0] in _FOREIGN:                               # elements of svg and math are no nodes
+            if tag == stack[-1][0] and (m["end"] or m["end2"]):
+                leave(len(stack) - 1)
+                continue
+            if tag not in _BREAKS_OUT and (not (m["end"] or m["end2"]) or all(t != tag for t, _ in stack)):
+                if tag in _FOREIGN and not (m["end"] or m["end2"] or attrs.endswith("/")):
+                    stack.append((tag, stack[-1][1]))
+                continue
+            while stack[-1][0] in _FOREIGN:
+                leave(len(stack) - 1)
         if m["end"] or m["end2"]:
             if tag == "br":
                 run.append(" ")
@@ -147,7 +168,7 @@ def parse(page: str | None) -> Tree:
                     pop_to({tag}, {"td", "th", "table"} - {tag} if tag not in ("tr", "tbody", "table", "thead", "tfoot") else set())
             continue
         if tag in _INLINE:
-            if tag in _VOID:
+            if tag in _VOID or tag in _FOREIGN and attrs.endswith("/"):
                 run.append(" " if tag == "br" else "")
             else:
                 stack.append((tag, stack[-1][1]))

@@ -89,3 +89,16 @@ def test_edge_rows(spark, model):
     assert X.extract(df.limit(0), model).count() == 0
     twice = X.extract(df.unionAll(df), model)
     assert twice.count() == 2 * len(odd) and twice.distinct().count() == len(odd)
+
+
+def test_foreign_and_custom_elements():
+    def texts(page):
+        return [t for t in X.parse(page).text if t]
+
+    assert texts('<svg class="i"/><p>b</p><p>c</p>') == ["b", "c"]
+    assert texts("<p>a <math/> b <svg viewBox='0 0 1 1'><path d='m'/></svg> c</p><p>d</p>") == ["a b c", "d"]
+    assert texts("<title-card>one</title-card><object-list><p>two</p></object-list><template-x>three</template-x>") == ["one", "two", "three"]
+    assert texts("<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds</p><p>x</p>") == ["so E=m holds", "x"]
+    assert texts("<p>see <object data=f>fallback</object> <canvas>chart</canvas> <noscript>still</noscript></p>") == ["see fallback chart still"]
+    assert texts("<xmp>code</xmp><svg><path><p>out</p><p>again</p>") == ["code", "out", "again"]
+    assert texts("<title>t</title><script>1</script ><style/>p{}</style><textarea>x</textarea><p>y</p>") == ["y"]
