@@ -21,7 +21,24 @@ FIRST_DAY, DAY_HIGH, DAY_LOW = "1900-01-01", 17, 4297
 
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
          r"(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+#: Countries by the length of their IBANs (SWIFT registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _spaced_iban(n: int, countries: str) -> str:
+    """In groups of four, of just this length: what follows is not part of it."""
+    last = f" [A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}{last}"
+
+
+#: A group that starts an IBAN of a known country ends what other countries' IBANs take.
+_NOT_NEXT = f"(?!(?:{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[0-9]{{2}} )"
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:[A-Z0-9]{15,34}|" + "|".join(_spaced_iban(*x) for x in IBAN_LENGTHS.items())
+        + rf"|[A-Z0-9]{{4}}(?: {_NOT_NEXT}[A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])")
 IP = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 DATE_Y = r"(?<![0-9A-Za-z/.-])[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}(?![0-9A-Za-z]|[/.-][0-9])"
 DATE_D = r"(?<![0-9A-Za-z/.-])[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4}(?![0-9A-Za-z]|[/.-][0-9])"

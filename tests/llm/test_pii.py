@@ -135,3 +135,28 @@ def test_edge_rows(spark):
 def test_plan_has_no_python(spark):
     plan = pii.pseudonymise(documents(spark, ["x"]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_spaced_iban_before_words_and_numbers(spark):
+    def check(bban, country):
+        return str(98 - int("".join(str(int(c, 36)) for c in bban + country + "00")) % 97).zfill(2)
+
+    def made(country, n):
+        bban = "".join(str((7 * i + n) % 10) for i in range(n - 4))
+        text = country + check(bban, country) + bban
+        return " ".join(text[i:i + 4] for i in range(0, n, 4))
+
+    values = ["ES91 2100 0418 4502 0005 1332"] + [made(c, n) for n, cs in pii.IBAN_LENGTHS.items() for c in cs.split()[:2]]
+    assert all(iban_ok(v) for v in values)
+    ends = ["", " BY noon", " 2024", " 2024 AND MORE 1234", " A", " NEXT WEEK", ", THEN"]
+    texts = [f"{start}{v}{end}" for v in values for start in ("PAY ", "REF XY12 3456 7890 ") for end in ends]
+    rows = {r["doc_id"]: r["text"] for r in pii.pseudonymise(documents(spark, texts)).collect()}
+    i = 0
+    for v in values:
+        for start in ("PAY ", "REF XY12 3456 7890 "):
+            for end in ends:
+                got = rows[i]
+                assert got.startswith(start) and got.endswith(end), (texts[i], got)
+                new = got[len(start):len(got) - len(end)]
+                assert new != v and iban_ok(new) and new[:2] == v[:2] and len(new) == len(v), (texts[i], got)
+                i += 1
