@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from .common import col, lower_ascii, stored
 
-#: Levels of the tree; what lies deeper is one last segment.
-DEPTH = 8
 #: A branch with more kinds of segments than this has rare ones, those below this share of it: without enough labels
 #: to test they are generalised.
 KINDS, RARE = 8, 0.05
@@ -64,7 +62,7 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def shapes(path: Column) -> Column:
-    """Path segments, with numbers, hashes and dates replaced by their form; those beyond DEPTH in one."""
+    """Path segments, with numbers, hashes and dates replaced by their form."""
     def shape(s):
         ext = F.regexp_extract(s, r"(\.[A-Za-z]{1,5})$", 1)
         stem = F.substr(s, F.lit(1), F.length(s) - F.length(ext))
@@ -77,8 +75,7 @@ def shapes(path: Column) -> Column:
         return F.concat(kind, ext)
 
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    shown = F.transform(F.slice(segments, 1, DEPTH - 1), shape)
-    return F.when(F.size(segments) < DEPTH, shown).otherwise(F.concat(shown, F.array(F.lit("**"))))
+    return F.transform(segments, shape)
 
 
 def _sums() -> list[Column]:
@@ -107,7 +104,7 @@ def tree(urls: DataFrame) -> DataFrame:
         rare = (F.col("kinds") > KINDS) & (F.col("n") < RARE * F.col("all_n"))
         alike = (F.col("kinds") > 1) & (_chi("all") < ALIKE)
         # a form is general already; its merged branches keep its name
-        form = F.col("segment").contains("{") | (F.col("segment") == "**")
+        form = F.col("segment").contains("{")
         seen = child.join(branch, ["host", "template"]).withColumn("merged", ~form & (alike | (rare & few)))
         pool = seen.filter("merged").groupBy("host", "template").agg(*[F.sum(c).alias(f"pool_{c}") for c in ("n", "bad", "good")])
         apart = ~few & (_chi("pool") >= ALIKE)

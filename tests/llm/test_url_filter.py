@@ -133,3 +133,10 @@ def test_small_bad_section_of_a_large_host(spark):
     ruled_urls = [u.replace("big.site", "x.example.com").replace("/sa/", "/de/") for u in urls]
     rows = U.judge(frame(spark, ruled_urls), [U.Rule("example.com/de/", False)]).collect()
     assert {ruled_urls[r["page_id"]] for r in rows if r["verdict"] == "block"} == {u for u in ruled_urls if "/de/" in u}
+
+
+def test_templates_beyond_eight_segments(spark):
+    urls = [f"https://deep.site/a/b/c/d/e/f/g/h/{kind}/{i}" for kind in ("spam", "news") for i in range(20)]
+    lab = spark.createDataFrame([(u, int("/spam/" in u)) for u in urls], "url string, bad int")
+    out = {urls[r["page_id"]] for r in U.judge(frame(spark, urls), [], lab).collect() if r["verdict"] == "block"}
+    assert out == {u for u in urls if "/spam/" in u}
