@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, bm25, bpe, html_extract, mixing, pii, quality, simhash, toxicity, url_filter
+from . import ann, bm25, bpe, hard_negatives, html_extract, mixing, pii, quality, simhash, toxicity, url_filter
 from .common import table
 
 
@@ -64,8 +65,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector; every seventh row gets the next label, as the contract has it."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op7_bm25, op8_quality, op9_bpe, op10_toxicity)
+    f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op7_bm25, op8_quality,
+                            op9_bpe, op10_toxicity, op11_hard_negatives)
 }
 
 _OP1 = """
