@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bm25, bpe, hard_negatives, html_extract, mixing, pii, quality, simhash, toxicity, url_filter
+from . import ann, bm25, bpe, hard_negatives, html_extract, mixing, pii, quality, runs, simhash, toxicity, url_filter
 from .common import table
 
 
@@ -71,9 +71,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, a tenth of them with the repetition that the contract plants."""
+    docs = table(spark, sf_dir, "documents")
+    return runs.digests(runs.find_runs(docs.select("doc_id", runs.planted(F.col("text"), F.col("doc_id")).alias("text"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op7_bm25, op8_quality,
-                            op9_bpe, op10_toxicity, op11_hard_negatives)
+                            op9_bpe, op10_toxicity, op11_hard_negatives, op12_periodic_runs)
 }
 
 _OP1 = """
