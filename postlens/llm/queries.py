@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bm25, bpe, hard_negatives, html_extract, mixing, pii, quality, runs, simhash, toxicity, url_filter
+from . import (ann, bm25, bpe, hard_negatives, html_extract, mixing, pii, quality, runs, secret_scan, simhash, toxicity,
+               url_filter)
 from .common import table
 
 
@@ -77,9 +78,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(runs.find_runs(docs.select("doc_id", runs.planted(F.col("text"), F.col("doc_id")).alias("text"))))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the kinds of the contract and well-known key formats."""
+    return secret_scan.digests(secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pii, op3_url_filter, op4_ann, op5_simhash, op6_html, op7_bm25, op8_quality,
-                            op9_bpe, op10_toxicity, op11_hard_negatives, op12_periodic_runs)
+                            op9_bpe, op10_toxicity, op11_hard_negatives, op12_periodic_runs, op13_secret_scan)
 }
 
 _OP1 = """

@@ -1,0 +1,122 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from postlens.llm import secret_scan as S
+
+from .util import clashing, documents
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+PLAIN = [("assign", ASSIGN, lambda m: len(m[2]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+         ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)]
+PLAIN_MORE = [("github", re.compile("gh[pousr]_([A-Za-z0-9]+)"), lambda m: len(m[1]) >= 36),
+              ("slack", re.compile("xox[abprs]-([A-Za-z0-9-]+)"), lambda m: len(m[1]) >= 10),
+              ("google", re.compile("AIza([A-Za-z0-9_-]+)"), lambda m: len(m[1]) >= 35),
+              ("private_key", re.compile("-----BEGIN(?: [A-Z0-9]+)* PRIVATE KEY-----"), lambda m: True)]
+
+
+def plain(text, rules=PLAIN + PLAIN_MORE):
+    found = [(m.start(), r, kind, m.end()) for r, (kind, x, ok) in enumerate(rules) for m in x.finditer(text or "") if ok(m)]
+    return [(kind, s, e) for s, _, kind, e in sorted(found)]
+
+
+def texts():
+    r = random.Random(3)
+    parts = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "apikey", '"', "'", " ", "   ", ":", "=", "==", "abc", "abcdef",
+             "Ab+/_.=-9", "AKIA", "AKIAAKIA", "A1B2C3D4E5F6G7H8", "0123456789abcdef", "deadbeefcafe", "f", "é", "日本", "\n", "x", "ghp_",
+             "xoxb-12-", "AIza", "Zz09_-" * 6, "a1B2" * 9, "-----BEGIN", " RSA", " PRIVATE KEY-----", "ſecret", "toKen"]
+    out = ["", "token=token':abcdefgh", "password=xxtoken" + " " * 900 + "=" + "abcdefgh" * 90, "password=token=abcdef", "secret = 'abcde' secret='abcdef'",
+           "AKIA" + "B" * 15, "AKIA" + "B" * 16, "ab" * 12, "ab" * 11 + "a", "0" * 1000, "é" * 300 + "token: abcdefg", "TOKEN" + " " * 3000 + ":" + " " * 3000 + "value99",
+           "xAKIAKIA" + "Z" * 30, "tokentoken:abcdef:secret=abcdefg", "-----BEGIN PRIVATE KEY-----\n-----BEGIN A B PRIVATE KEY-----"]
+    return out + ["".join(r.choices(parts, k=r.randrange(1, 60))) for _ in range(800)]
+
+
+def scan(scanner, ts):
+    raw = [t.encode() for t in ts]
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    out = [[] for _ in ts]
+    for i, s, e, r in scanner.scan(np.frombuffer(b"".join(raw), dtype=np.uint8), edges[:-1], edges[1:]):
+        out[i].append((scanner.rules[r].kind, s, e))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [256, 7, 1])
+def test_spans_equal_the_regexes(monkeypatch, chunk):
+    monkeypatch.setattr(S, "CHUNK", chunk)
+    ts = texts()
+    got = scan(S.Scanner(S.BASE + S.MORE), ts)
+    for t, spans in zip(ts, got):
+        assert spans == plain(t)
+    assert {k for x in got for k, _, _ in x} == {r.kind for r in S.BASE + S.MORE}
+
+
+def test_automaton_is_minimal_and_right():
+    """Every pair of states is told apart by some text, and the language is the regex's."""
+    d = S.Dfa(["a(b|cd)*e{2,3}[^x]?"], False).by_byte()
+    x = re.compile("a(b|cd)*e{2,3}[^x]?", re.S)
+    r = random.Random(1)
+    for _ in range(4000):
+        t = "".join(r.choices("abcdex", k=r.randrange(0, 9)))
+        state = 0
+        for b in t.encode():
+            state = d.rows[state][b]
+        assert (state >= d.first) == bool(x.fullmatch(t))
+    n = len(d.table)
+    apart = (d.ends[:, None] != d.ends[None, :])
+    for _ in range(n):
+        for c in range(d.table.shape[1]):
+            apart |= apart[d.table[:, c][:, None], d.table[:, c][None, :]]
+    assert (apart | np.eye(n, dtype=bool)).all()
+
+
+def test_rules_that_cannot_be():
+    for bad in (S.Rule("a", "", "x*"), S.Rule("a", "", r"x\b"), S.Rule("a", "", "(?=x)x")):
+        with pytest.raises(ValueError):
+            S.Scanner([bad])
+    with pytest.raises(ValueError):
+        S.Scanner([S.BASE[0], S.BASE[0]])
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    hard = ["token" + " " * 3_000_000 + "=" + "a.b" * 100_000, "0123456789abcdef" * 200_000,
+            ("password=xxtoken" + " " * 200 + "=" + "zz") * 5_000, "AKIA" * 500_000]
+    scanner = S.Scanner(S.BASE + S.MORE)
+    began = time.process_time()
+    got = scan(scanner, hard)
+    assert time.process_time() - began < 60
+    assert got[0] == [("assign", 0, 3_300_006)] and got[3] == [("access", 0, 2_000_000)]
+    assert ("hex", 0, 3_200_000) in got[1]
+
+
+def test_columns_nulls_and_repeats(spark):
+    ts = [None, "", "token=abcdefg", "token=abcdefg", "é token=abcdefg"]
+    docs = clashing(documents(spark, ts).repartition(2))
+    out = S.find_secrets(docs)
+    assert set(docs.columns) - {"text"} <= set(out.columns)
+    got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in out.collect()}
+    assert got == {0: [], 1: [], 2: [("assign", 0, 13)], 3: [("assign", 0, 13)], 4: [("assign", 2, 15)]}
+    assert S.digests(S.find_secrets(documents(spark, ts).limit(0))).count() == 0
+    twice = documents(spark, ts, ids=[None] * 5)
+    assert S.digests(S.find_secrets(twice)).where("n_assign = 1").count() == 3
+
+
+def test_query_on_the_given_table(spark):
+    from postlens.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    out = QUERIES["op13_secret_scan"](spark, sf)
+    assert out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    join = lambda spans: ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+    got = {r["doc_id"]: tuple(r)[1:] for r in out.collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        base = plain(d["text"], PLAIN)
+        counts = [sum(k == kind for k, _, _ in base) for kind in ("assign", "access", "hex")]
+        assert got[d["doc_id"]] == (*counts, hashlib.sha256(join(base).encode()).hexdigest(), join(plain(d["text"])))
+    assert any(g[0] for g in got.values()) and any(g[2] for g in got.values())
