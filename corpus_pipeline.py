@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlens.llm import bpe, mixing, pii, quality, simhash
 from postlens.llm.common import col, stored, table
+from postlens.llm.queries import PII_KEY
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +24,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(docs, found=None)
+    return pii.pseudonymise(docs, PII_KEY, found=None)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
