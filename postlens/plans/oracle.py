@@ -103,6 +103,22 @@ _INTERVAL_LEFT_COLS = "b.tweet_id, b.author_id, b.text, b.media_key, c.media_typ
 _PM_FULL = ("(select coalesce(pe.media_key, m.media_key) as media_key, pe.* exclude (media_key), m.media_type "
             "from pe full join media m on pe.media_key = m.media_key)")
 
+#: Users sent 10 s before each of their posts, and the posts that met media and users.
+_SENT = f"""
+, um as (select u.users_id, u.username, p.created_at - interval 10 second as user_ts
+         from users u join posts p on p.author_id = u.users_id),
+bc as (select b.tweet_id, b.author_id, b.created_at, b.media_key, c.media_type
+       from peo b left join media_messages c on {_interval_cond()}),
+bca as (select bc.*, a.username from bc left join um a
+        on {_interval_cond('bc', 'a', 'author_id', 'users_id', ctime='user_ts')})"""
+
+_RIGHT_X2 = f"""
+, ab as (select b.tweet_id, b.author_id, b.created_at, b.media_key, a.username
+         from peo b left join user_messages a
+           on {_interval_cond('b', 'a', 'author_id', 'users_id', ctime='user_ts')})
+select ab.username, ab.tweet_id, ab.created_at, c.media_key as c_media_key, c.media_type, c.media_ts
+from ab right join media_messages c on {_interval_cond('ab', 'c')}"""
+
 BODIES: dict[str, str] = {
     "envelope_scan": """
 , d as (select floor(cast(tweet_id as bigint) / 100) as env, min(tweet_id) as first_post_id, count(*) as n_posts
@@ -198,12 +214,7 @@ select {_INTERVAL_LEFT_COLS} from peo b left join media_messages c on {_interval
 select {_INTERVAL_COLS} from peo b right join media_messages c on {_interval_cond()}""",
     "interval_join_full_outer": f"""
 select {_INTERVAL_COLS} from peo b full join media_messages c on {_interval_cond()}""",
-    "interval_join_right_x2": f"""
-, ab as (select b.tweet_id, b.author_id, b.created_at, b.media_key, a.username
-         from peo b left join user_messages a
-           on {_interval_cond('b', 'a', 'author_id', 'users_id', ctime='user_ts')})
-select ab.username, ab.tweet_id, ab.created_at, c.media_key as c_media_key, c.media_type, c.media_ts
-from ab right join media_messages c on {_interval_cond('ab', 'c')}""",
+    "interval_join_right_x2": _RIGHT_X2,
     "interval_join_window_count": f"""
 , r as (select b.text, b.created_at from peo b left join media_messages c on {_interval_cond(null_safe=True)})
 select text, count(*) as count, window_start, window_start + to_seconds(20) as window_end
@@ -281,6 +292,19 @@ from posts p join user_messages u on p.author_id = u.users_id""",
 select distinct b.text, u.username, c.media_key
 from peo b join user_messages u on b.author_id = u.users_id
 left join media_messages c on {_interval_cond(null_safe=True)}""",
+    "stream_full_outer": f"""{_SENT}
+select tweet_id, created_at, media_key, media_type, username from bca
+union all
+select null, null, c.media_key, c.media_type, null from media_messages c
+where not exists (select 1 from pe b where {_interval_cond()})
+union all
+select null, null, null, null, a.username from um a
+where not exists (select 1 from posts b where {_interval_cond('b', 'a', 'author_id', 'users_id', ctime='user_ts')})""",
+    "stream_media_counts_full_outer": f"""{_SENT}
+select username, {_COUNTS}, window_start, window_start + to_seconds(300) as window_end
+from {_sliding('bca', 'username, media_type', 'created_at', 300, 120)}
+group by username, window_start""",
+    "stream_right_outer_x2": _RIGHT_X2,
     "stream_word_count_sliding_clean": f"""
 select word, count(*) as count, window_start, window_start + to_seconds(25) as window_end
 from {_sliding('clean_words', 'word', 'created_at', 25, 5)} group by word, window_start""",

@@ -194,6 +194,110 @@ def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame | No
     return distinct_by_text_digest(out, time_col="dataTimestamp" if distinct_within else None)
 
 
+def _posts_left_media(posts: DataFrame, media: DataFrame, bound: int) -> DataFrame:
+    """Posts LEFT OUTER the media messages of the ``bound`` seconds before them (``=``); event time: the post's.
+
+    Posts without a media key can meet nothing and go around the join's state.
+    """
+    c = media.withColumnRenamed("media_key", "c_media_key")
+    keyed = J.stream_interval_join(posts.where(F.col("media_key").isNotNull()), c.where(F.col("c_media_key").isNotNull()),
+                                   left_key="media_key", right_key="c_media_key", left_time="dataTimestamp",
+                                   right_time="mediaTimestamp", lower=0, upper=bound, how="left")
+    cols = [*posts.columns, "c_media_key", "media_type"]
+    plain = posts.where(F.col("media_key").isNull()).select(
+        *posts.columns, *[F.lit(None).cast("string").alias(x) for x in ("c_media_key", "media_type")])
+    return keyed.select(*cols).unionByName(plain)
+
+
+def _left_users(rows: DataFrame, users: DataFrame, user_bound: int) -> DataFrame:
+    """Rows with a post time LEFT OUTER the messages of their author in the ``user_bound`` seconds before."""
+    out = J.stream_interval_join(rows, users, left_key="author_id", right_key="users_id", left_time="dataTimestamp",
+                                 right_time="userTimestamp", lower=0, upper=user_bound, how="left")
+    return out.select(*rows.columns, "username")
+
+
+def _three(posts_decoded: DataFrame, users_decoded: DataFrame, media_decoded: DataFrame, watermark: str):
+    b = posts_stream(posts_decoded).withWatermark("dataTimestamp", watermark).select(
+        "tweet_id", "author_id", "media_key", "dataTimestamp")
+    a = msg.parse_users(users_decoded).withWatermark("userTimestamp", watermark).select(
+        "users_id", "username", "userTimestamp")
+    c = media_stream(media_decoded).withWatermark("mediaTimestamp", watermark)
+    return b, a, c
+
+
+def full_outer_job(posts_decoded: DataFrame, users_decoded: DataFrame, media_decoded: DataFrame,
+                   watermark: str = WATERMARK, bound: int = INTERVAL_SECONDS,
+                   user_bound: int = INTERVAL_SECONDS) -> DataFrame:
+    """Posts FULL OUTER media messages FULL OUTER user messages, each of the seconds before the post.
+
+    A media message that met no post has no author and no post time, so it can
+    meet no user: it leaves after the first join instead of sitting in the
+    second one's state, where a null event time would never be evicted.  What
+    users meet are posts, and the first join keeps every post, so the users
+    without one follow from the posts themselves.  Every part is released by
+    the watermark of its preserved side.
+    """
+    b, a, c = _three(posts_decoded, users_decoded, media_decoded, watermark)
+    rows = _left_users(_posts_left_media(b, c, bound), a, user_bound)
+    cols = ["tweet_id", "dataTimestamp", "media_key", "media_type", "username"]
+    met = rows.select("tweet_id", "dataTimestamp", F.coalesce("media_key", "c_media_key").alias("media_key"), "media_type", "username")
+    none = {"tweet_id": "string", "dataTimestamp": "timestamp", "media_key": "string", "media_type": "string", "username": "string"}
+
+    def alone(side: DataFrame, key: str, time: str, left_key: str, upper: int, have: tuple[str, ...]) -> DataFrame:
+        """Messages of one side that met no post."""
+        marked = b.select(F.col(left_key).alias("__k"), "dataTimestamp", F.lit(True).alias("__post"))
+        keyed = J.stream_interval_join(marked.where(F.col("__k").isNotNull()), side.where(F.col(key).isNotNull()),
+                                       left_key="__k", right_key=key, left_time="dataTimestamp", right_time=time,
+                                       lower=0, upper=upper, how="right").where(F.col("__post").isNull())
+        both = keyed.select(key, *have).unionByName(side.where(F.col(key).isNull()).select(key, *have))
+        both = both.withColumnRenamed(key, "media_key") if left_key == "media_key" else both
+        return both.select(*[F.col(x) if x in both.columns else F.lit(None).cast(none[x]).alias(x) for x in cols])
+
+    media_only = alone(c.withColumnRenamed("media_key", "c_media_key"), "c_media_key", "mediaTimestamp", "media_key", bound,
+                       ("media_type",))
+    users_only = alone(a, "users_id", "userTimestamp", "author_id", user_bound, ("username",))
+    return met.unionByName(media_only).unionByName(users_only)
+
+
+def media_counts_full_outer_job(posts_decoded: DataFrame, users_decoded: DataFrame, media_decoded: DataFrame,
+                                watermark: str = WATERMARK, bound: int = INTERVAL_SECONDS,
+                                user_bound: int = INTERVAL_SECONDS, length: str = "5 minutes",
+                                slide: str = "2 minutes") -> DataFrame:
+    """Media types per (window of the post time, username) over :func:`full_outer_job`, in append mode.
+
+    Two chained outer joins, then a window aggregation: each operator's
+    watermark is the one before it less what its join may still release, so a
+    window closes once no join can add to it.  Messages that met no post have
+    no time to be counted at and fall out of every window; of the full outer
+    joins the posts' side is what remains, and only that is kept in state.
+    """
+    b, a, c = _three(posts_decoded, users_decoded, media_decoded, watermark)
+    rows = _left_users(_posts_left_media(b, c, bound), a, user_bound)
+    return W.windowed_media_counts(rows, "dataTimestamp", ("username",), length, slide)
+
+
+def right_outer_job(posts_decoded: DataFrame, users_decoded: DataFrame, media_decoded: DataFrame,
+                    watermark: str = WATERMARK, bound: int = INTERVAL_SECONDS,
+                    user_bound: int = INTERVAL_SECONDS) -> DataFrame:
+    """(User messages RIGHT OUTER posts) RIGHT OUTER media messages, each post in the seconds after the message.
+
+    The event time is the preserved side's: the post's after the first join,
+    the media message's after the second.  Media messages without a key meet
+    nothing and go around the state of the second join; posts without one can
+    meet no media message and are not preserved, so they need not enter it.
+    """
+    b, a, c = _three(posts_decoded, users_decoded, media_decoded, watermark)
+    ab = _left_users(b.where(F.col("media_key").isNotNull()), a, user_bound)
+    c = c.withColumnRenamed("media_key", "c_media_key")
+    out = J.stream_interval_join(ab, c.where(F.col("c_media_key").isNotNull()), left_key="media_key", right_key="c_media_key",
+                                 left_time="dataTimestamp", right_time="mediaTimestamp", lower=0, upper=bound, how="right")
+    cols = ["username", "tweet_id", "dataTimestamp", "c_media_key", "media_type", "mediaTimestamp"]
+    plain = c.where(F.col("c_media_key").isNull()).select(
+        *[F.lit(None).cast(t).alias(x) for x, t in (("username", "string"), ("tweet_id", "string"), ("dataTimestamp", "timestamp"))],
+        "c_media_key", "media_type", "mediaTimestamp")
+    return out.select(*cols).unionByName(plain)
+
+
 # -- replay of the test tables -------------------------------------------------
 
 def _closing_posts(mx: DataFrame) -> DataFrame:
@@ -293,6 +397,32 @@ def stream_join_users_media(spark, sf):
     return out.where((F.col("username") != CLOSE) | F.col("username").isNull())
 
 
+@query("stream_full_outer")
+def stream_full_outer(spark, sf):
+    """J10's rows: posts FULL OUTER media messages FULL OUTER user messages (users sent before each post)."""
+    r = Replay(spark, sf, closing=True)
+    out = _run(spark, full_outer_job(r.posts(), r.users(per_post=True), r.media()), "full-outer")
+    close = [F.coalesce(F.col(x), F.lit("")) == CLOSE for x in ("tweet_id", "media_key", "username")]
+    return ntz(out.where(~(close[0] | close[1] | close[2])).withColumnRenamed("dataTimestamp", "created_at"))
+
+
+@query("stream_media_counts_full_outer")
+def stream_media_counts_full_outer(spark, sf):
+    """J10: media types per window and user, over posts FULL OUTER media FULL OUTER users."""
+    r = Replay(spark, sf, closing=True)
+    out = _run(spark, media_counts_full_outer_job(r.posts(), r.users(per_post=True), r.media()), "media-counts-full")
+    return ntz(W.flatten_window(out))
+
+
+@query("stream_right_outer_x2")
+def stream_right_outer_x2(spark, sf):
+    """J11: users RIGHT OUTER posts RIGHT OUTER media messages."""
+    r = Replay(spark, sf, closing=True)
+    out = _run(spark, right_outer_job(r.posts(), r.users(), r.media()), "right-x2")
+    out = out.where((F.col("c_media_key") != CLOSE) | F.col("c_media_key").isNull())
+    return ntz(out.withColumnsRenamed({"dataTimestamp": "created_at", "mediaTimestamp": "media_ts"}))
+
+
 def _stream_counts(spark, sf, name: str, clean: bool) -> DataFrame:
     partials, finish = word_count_partials_job(Replay(spark, sf).posts(), clean=clean)
     return ntz(W.flatten_window(_run(spark, partials, name, mode="complete", finish=finish)))
