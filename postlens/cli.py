@@ -4,7 +4,8 @@
       --out hdfs:///marts/            (or --jdbc-url ... --jdbc-user u --jdbc-password-file f)
   spark-submit --py-files postlens.zip postlens/cli.py posts --servers kafka:9092 --checkpoint hdfs:///ck/p \
       --jdbc-url jdbc:postgresql://host/db --jdbc-table posts --jdbc-user u --jdbc-password-file f
-      (likewise users, media, join-users; --out DIR or --out-topic T instead of --jdbc-url)
+      (likewise users, media, join-users, join-users-media, full-outer, media-counts, right-outer;
+      --out DIR or --out-topic T instead of --jdbc-url)
   spark-submit --py-files postlens.zip postlens/cli.py word-count --servers kafka:9092 --topic posts \
       --checkpoint hdfs:///ck/wc
   spark-submit --py-files postlens.zip postlens/cli.py join-users-media --servers kafka:9092 \
@@ -57,8 +58,7 @@ def _start(a: argparse.Namespace, df, mode: str = "append", key: str | None = No
     from postlens.streaming import sinks
     common = {"mode": mode, "trigger_seconds": a.trigger_seconds, "available_now": a.available_now}
     if a.jdbc_url:
-        writer = sinks.batch_jdbc_writer(sinks.jdbc_options(a.jdbc_url, a.jdbc_table, a.jdbc_user,
-                                                           _password(a), a.jdbc_driver))
+        writer = sinks.batch_jdbc_writer(_jdbc(a))
         return sinks.start_stream(df, "foreachBatch", checkpoint=a.checkpoint, foreach_batch=writer, **common)
     if a.out_topic:
         return sinks.kafka_sink(df, a.servers, a.out_topic, a.checkpoint, key_col=key, **common)
@@ -69,6 +69,11 @@ def _start(a: argparse.Namespace, df, mode: str = "append", key: str | None = No
     return sinks.start_stream(df, "console", checkpoint=a.checkpoint, options={"truncate": "false"}, **common)
 
 
+def _jdbc(a: argparse.Namespace) -> dict:
+    from postlens.streaming.sinks import jdbc_options
+    return jdbc_options(a.jdbc_url, a.jdbc_table, a.jdbc_user, _password(a), a.jdbc_driver)
+
+
 def _password(a: argparse.Namespace) -> str | None:
     if not a.jdbc_password_file:
         return None
@@ -106,23 +111,69 @@ def _join_users_media(spark: SparkSession, a: argparse.Namespace) -> None:
     _start(a, job).awaitTermination()
 
 
+def _three(spark: SparkSession, a: argparse.Namespace):
+    return [_source(spark, a, t) for t in (a.posts_topic, a.users_topic, a.media_topic)]
+
+
+def _full_outer(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.streaming import jobs
+    job = jobs.full_outer_job(*_three(spark, a), watermark=a.watermark, bound=a.media_bound, user_bound=a.user_bound or a.media_bound)
+    _start(a, job, key="tweet_id").awaitTermination()
+
+
+def _media_counts(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.operators.windows import flatten_window
+    from postlens.streaming import jobs
+    job = jobs.media_counts_full_outer_job(*_three(spark, a), watermark=a.watermark, bound=a.media_bound,
+                                           user_bound=a.user_bound or a.media_bound, length=a.length, slide=a.slide)
+    _start(a, flatten_window(job), key="username").awaitTermination()
+
+
+def _right_outer(spark: SparkSession, a: argparse.Namespace) -> None:
+    from postlens.streaming import jobs
+    job = jobs.right_outer_job(*_three(spark, a), watermark=a.watermark, bound=a.media_bound, user_bound=a.user_bound or a.media_bound)
+    _start(a, job, key="tweet_id").awaitTermination()
+
+
 def _word_count(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Sliding word counts.
+
+    To files, complete mode keeps its result in a maintained table (read it
+    with ``word-count-result``), update mode the newest row per key, append
+    mode closed windows.  To JDBC, complete mode replaces the table's rows,
+    the other modes add each trigger's.  To Kafka, key and count as text.
+    """
     from postlens.operators.windows import flatten_window
     from postlens.streaming import jobs, sinks
     posts = _source(spark, a, a.topic)
+    more = {"clean": a.clean, "per_media_rows": a.per_media}
     if a.mode == "complete" and a.out:
-        partials, finish = jobs.word_count_partials_job(posts, a.watermark, a.length, a.slide)
-
-        def write(batch, batch_id):
-            finish(batch).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/batch_id={batch_id}")
-        _start(a, partials, "complete", write=write).awaitTermination()
+        partials, writer, _ = jobs.word_count_updates(posts, length=a.length, slide=a.slide, **more)
+        _start(a, partials, "update", write=writer(jobs.word_count_table(spark, a.out))).awaitTermination()
+        return
+    counts = flatten_window(jobs.word_count_job(posts, a.watermark, a.length, a.slide, **more))
+    common = {"mode": a.mode, "trigger_seconds": a.trigger_seconds, "available_now": a.available_now}
+    if a.out_topic:
+        sinks.kafka_counts_sink(counts, a.servers, a.out_topic, a.checkpoint, **common).awaitTermination()
+        return
+    if a.jdbc_url and a.mode == "complete":
+        write = sinks.jdbc_complete_writer(_jdbc(a))
+        sinks.start_stream(counts, "foreachBatch", checkpoint=a.checkpoint, foreach_batch=write, **common).awaitTermination()
         return
-    counts = flatten_window(jobs.word_count_job(posts, a.watermark, a.length, a.slide))
     keys = ("word", "window_start", "window_end")
     write = sinks.batch_upsert_writer(a.out, keys) if a.mode == "update" and a.out else None
     _start(a, counts, a.mode, key="word", write=write).awaitTermination()
 
 
+def _word_count_result(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The sliding counts of a table that ``word-count --mode complete --out`` maintains, as of its last batch."""
+    from postlens.operators.windows import expand_bucket_rows, flatten_window
+    from postlens.streaming import jobs
+    from postlens.streaming.sinks import write_table
+    rows = jobs.word_count_table(spark, a.table).read()
+    write_table(flatten_window(expand_bucket_rows(rows, ("word",), a.length, a.slide)), a.out, a.out_format)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="postlens")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -140,7 +191,8 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--latest-user", action="store_true")
 
     streams = {"posts": _posts, "users": _users, "media": _media, "join-users": _join_users,
-               "join-users-media": _join_users_media, "word-count": _word_count}
+               "join-users-media": _join_users_media, "full-outer": _full_outer, "media-counts": _media_counts,
+               "right-outer": _right_outer, "word-count": _word_count}
     for name in streams:
         s = sub.add_parser(name)
         s.add_argument("--servers")
@@ -163,25 +215,41 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--posts-topic", default="posts")
         s.add_argument("--users-topic", default="users")
         s.add_argument("--media-topic", default="media")
-        if name.startswith("join"):
+        if name in ("full-outer", "media-counts", "right-outer"):
+            s.add_argument("--media-bound", type=int, default=60, help="seconds a media message may be older than the post")
+        if name == "media-counts":
+            s.add_argument("--length", default="5 minutes")
+            s.add_argument("--slide", default="2 minutes")
+        if name.startswith("join") or name in ("full-outer", "media-counts", "right-outer"):
             s.add_argument("--user-bound", type=int, help="seconds a user message may be older than the post")
         if name == "word-count":
             s.add_argument("--topic", default="posts")
             s.add_argument("--length", default="25 seconds")
             s.add_argument("--slide", default="5 seconds")
             s.add_argument("--mode", default="complete", choices=("append", "update", "complete"))
+            s.add_argument("--clean", action="store_true", help="count cleaned words")
+            s.add_argument("--per-media", action="store_true", help="count a post's words once per media key")
+
+    r = sub.add_parser("word-count-result", help="the counts of a table that word-count --mode complete --out maintains")
+    r.add_argument("--table", required=True)
+    r.add_argument("--out", required=True)
+    r.add_argument("--out-format", default="parquet")
+    r.add_argument("--length", default="25 seconds")
+    r.add_argument("--slide", default="5 seconds")
 
     a = p.parse_args(argv)
     if a.cmd == "marts" and not (a.out or a.jdbc_url):
         p.error("marts needs --out or --jdbc-url")
     if a.cmd == "join-users-media" and not (a.out or a.jdbc_url or a.out_topic):
         p.error("join-users-media needs --out, --out-topic or --jdbc-url")
-    if a.cmd != "marts" and not (a.servers or a.files):
+    if a.cmd in streams and not (a.servers or a.files):
         p.error("streams need --servers (Kafka) or --files")
-    if a.cmd != "marts" and (a.jdbc_url and not a.jdbc_table or a.out_topic and not a.servers):
+    if a.cmd in streams and sum(bool(x) for x in (a.out, a.jdbc_url, a.out_topic)) > 1:
+        p.error("give one of --out, --jdbc-url and --out-topic")
+    if a.cmd in streams and (a.jdbc_url and not a.jdbc_table or a.out_topic and not a.servers):
         p.error("--jdbc-url needs --jdbc-table, --out-topic needs --servers")
     spark = build_session(master=None, app=f"postlens-{a.cmd}")
-    ({"marts": _marts} | streams)[a.cmd](spark, a)
+    ({"marts": _marts, "word-count-result": _word_count_result} | streams)[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 
 from ..schemas import METRIC_NAMES
 from .flatten import explode_media
-from .joins import full_outer_join, left_join_null_split
+from .joins import full_outer_join, left_join_null_split, left_join_spread_nulls
+from .order import with_positions
 
 # The media types counted and the output column for each.
 MEDIA_TYPE_COLUMNS = (("photo", "photo_count"), ("video", "video_count"), ("animated_gif", "gif_count"))
 
 
+TIME_COLUMNS = ("tweet_id", "created_at", "username", "text", "retweet_count", "reply_count", "like_count", "quote_count")
+TIME_ORDER = ("created_at", "tweet_id", "users_id", "description")
+
+
 def media_type_totals(media: DataFrame) -> DataFrame:
     """One row per media key with the number of media rows of each type."""
     return media.groupBy("media_key").agg(*[
@@ -58,6 +63,8 @@ def media_counts(posts: DataFrame, media: DataFrame, users: DataFrame | None = N
     """
     by = list(by)
     post_cols = [c for c in by if c in posts.columns]
+    if "text" in post_cols:
+        return _with_late_text(posts, media, users, by, post_cols)
     need = list(dict.fromkeys(post_cols + (["author_id"] if users is not None else [])))
     exploded = explode_media(posts, outer=False, keep=tuple(need + ["data_media_keys"]))
     rows = _counted_rows(exploded, media)
@@ -66,10 +73,31 @@ def media_counts(posts: DataFrame, media: DataFrame, users: DataFrame | None = N
     # one row per (post-side group, author) before meeting the users
     pre = _finish(rows, need)
     user_cols = [c for c in by if c in users.columns and c not in need]
-    joined = full_outer_join(pre, users.select("users_id", *user_cols), "author_id", "users_id")
+    joined = full_outer_join(pre, users.select("users_id", *user_cols), "author_id", "users_id",
+                             left_keys=exploded.select("author_id"))
     return _finish(joined, by)
 
 
+def _with_late_text(posts: DataFrame, media: DataFrame, users: DataFrame | None, by: list[str],
+                    post_cols: list[str]) -> DataFrame:
+    """Counts by a digest of the grouping columns of the posts; the columns, whole texts among them, join at the end.
+
+    The texts meet one exchange, the one that brings each group's columns
+    together, and the counts join them there.  Groups without a post (media
+    and users alone) have a null digest and null columns.
+    """
+    parts = [F.coalesce(F.concat(F.lit("v"), F.sha2(F.col(c).cast("string"), 256)), F.lit("n")) for c in post_cols]
+    # a post of which all these columns are null is in one group with the rows without a post
+    some = F.coalesce(*[F.col(c).cast("string") for c in post_cols]).isNotNull()
+    keyed = posts.withColumn("__group", F.when(some, F.sha2(F.concat(*parts), 256)))
+    narrow = keyed.select("__group", "data_media_keys", *(["author_id"] if users is not None else []))
+    counts = media_counts(narrow, media, users, tuple(["__group", *[c for c in by if c not in post_cols]]))
+    groups = (keyed.where((F.size("data_media_keys") > 0) & F.col("__group").isNotNull()).select(F.col("__group").alias("__g"), *post_cols)
+              .dropDuplicates(["__g"]))
+    out = left_join_spread_nulls(counts, groups, "__group", "__g")
+    return out.select(*by, *[c for _, c in MEDIA_TYPE_COLUMNS])
+
+
 def interaction_totals(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Sum of the four metrics per (author_id, username) over posts FULL OUTER users.
 
@@ -116,7 +144,12 @@ def posts_by_time(joined: DataFrame) -> DataFrame:
     ``description`` break that tie so those rows spread over ranges
     instead of forming one partition.
     """
-    return (joined.orderBy(F.asc_nulls_first("created_at"), F.asc_nulls_first("tweet_id"),
-                           F.asc_nulls_first("users_id"), F.asc_nulls_first("description"))
-            .select("tweet_id", "created_at", "username", "text", "retweet_count", "reply_count",
-                    "like_count", "quote_count"))
+    return joined.orderBy(*[F.asc_nulls_first(c) for c in TIME_ORDER]).select(*TIME_COLUMNS)
+
+
+def posts_by_time_numbered(joined: DataFrame) -> DataFrame:
+    """:func:`posts_by_time` with each row's place in that order (``position``, from 1)."""
+    ties = [c for c in TIME_COLUMNS if c not in (*TIME_ORDER, "text")]
+    order = [*[F.asc_nulls_first(c) for c in (*TIME_ORDER, *ties)], F.xxhash64("text").asc()]
+    rows = joined.select(*dict.fromkeys([*TIME_COLUMNS, "users_id", "description"]))
+    return with_positions(rows, order).select("position", *TIME_COLUMNS)

@@ -64,7 +64,7 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     if rk == left_on or rk in left.columns:
         rk = f"__r_{right_on}"
         right = right.withColumnRenamed(right_on, rk)
-    matched = _left_join_spread_nulls(left, right, left_on, rk)
+    matched = left_join_spread_nulls(left, right, left_on, rk)
     out = matched.unionByName(unmatched(right, rk, left if left_keys is None else left_keys, left_on),
                               allowMissingColumns=True)
     if coalesce_key:
@@ -82,7 +82,7 @@ def unmatched(right: DataFrame, right_on: str, left: DataFrame, left_on: str) ->
     return right.join(keys, right[right_on] == keys["__lk"], "left_anti")
 
 
-def _left_join_spread_nulls(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """``left LEFT JOIN right ON left_on = right_on`` (distinct column names), one evaluation of each side.
 
     A null key never matches ``=``, but in a shuffle all null keys hash to
@@ -104,8 +104,8 @@ def join_media_users_full(exploded_posts: DataFrame, media: DataFrame, users: Da
     outer join reads the posts once more, for their keys only.
     """
     other = media.withColumnRenamed("media_key", "__r_media_key")
-    matched = _left_join_spread_nulls(exploded_posts, other, "media_key", "__r_media_key").drop("__r_media_key")
-    whole = _left_join_spread_nulls(matched, users, "author_id", "users_id")
+    matched = left_join_spread_nulls(exploded_posts, other, "media_key", "__r_media_key").drop("__r_media_key")
+    whole = left_join_spread_nulls(matched, users, "author_id", "users_id")
     return (whole
             .unionByName(unmatched(media, "media_key", exploded_posts, "media_key"), allowMissingColumns=True)
             .unionByName(unmatched(users, "users_id", exploded_posts, "author_id"), allowMissingColumns=True))
@@ -126,7 +126,7 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str | N
             return left_join_null_split(left, right, left_on)
         return left.join(right, left_on, h)
     if h == "left" and right_on not in left.columns:
-        return _left_join_spread_nulls(left, right, left_on, right_on)
+        return left_join_spread_nulls(left, right, left_on, right_on)
     return left.join(right, left[left_on] == right[right_on], h)
 
 

@@ -16,11 +16,12 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from .aggregates import MEDIA_TYPE_COLUMNS
+from .joins import left_join_spread_nulls
 
 _UNITS = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
           "hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
@@ -145,6 +146,23 @@ def expand_buckets(partials: DataFrame, keys: tuple[str, ...], length: str = "25
     return sliding_agg(src, keys, "_bs", length, slide, {"count": F.sum(count_col)})
 
 
+def bucket_rows(partials: DataFrame, keys: tuple[str, ...], count_col: str = "count") -> DataFrame:
+    """:func:`bucket_counts` as plain rows: keys, bucket start in microseconds, count."""
+    return partials.select(*keys, F.unix_micros("bucket.start").alias("bucket_us"), count_col)
+
+
+def expand_bucket_rows(rows: DataFrame, keys: tuple[str, ...], length: str = "25 seconds", slide: str = "5 seconds",
+                       count_col: str = "count") -> DataFrame:
+    """Sliding-window counts from one row per (keys, bucket), as :func:`bucket_rows` gives them: one shuffle."""
+    L, S = duration_micros(length), duration_micros(slide)
+    b = F.col("bucket_us")
+    out = (rows.select(*keys, "bucket_us", count_col, F.explode(F.sequence(F.lit(0), F.lit(-(-L // S) - 1))).alias("_i"))
+           .withColumn("_s", b - F.pmod(b, F.lit(S)) - F.col("_i") * S).where(F.col("_s") + L > b)
+           .groupBy(*keys, "_s").agg(F.sum(count_col).cast("bigint").alias("count")))
+    window = F.struct(_from_micros(F.col("_s"), False).alias("start"), _from_micros(F.col("_s") + L, False).alias("end"))
+    return out.select(*keys, window.alias("window"), "count")
+
+
 def flatten_window(df: DataFrame, window_col: str = "window") -> DataFrame:
     """Replace the window struct with ``window_start`` / ``window_end`` columns."""
     others = [c for c in df.columns if c != window_col]
@@ -199,3 +217,61 @@ def windowed_media_counts_by_key(posts: DataFrame, media_messages: DataFrame, us
     named = met.join(users.select("users_id", "username"), F.col("author_id") == F.col("users_id"), "left")
     timed = named.withColumn("_t", _from_micros(F.col("_b"), ntz))
     return sliding_agg(timed, ("username",), "_t", length, slide, {c: F.sum(c) for c in sums})
+
+
+def interval_pair_counts(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str, left_time: str,
+                         right_time: str, lower: int = 0, upper: int = 60, null_safe: bool = False,
+                         carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of ``left LEFT JOIN right`` on the key and the interval, counted without building them (batch).
+
+    One row per (``left_time``, ``carry``...) of a key with ``n_rows``, the
+    number of joined rows.  A sweep over the merged times of each key: the
+    right rows are summed up to both ends of a left row's interval, and the
+    difference is the number it meets.  A key is cut into time buckets as
+    wide as the interval, each with the right rows of the bucket before, so a
+    hot key (the null key of a null-safe join too) is spread over time and a
+    task's sums start anew.  Rows of ``left`` without a time meet nothing and
+    have no bucket; they come out too.
+    """
+    ntz = isinstance(left.schema[left_time].dataType, TimestampNTZType)
+    rntz = isinstance(right.schema[right_time].dataType, TimestampNTZType)
+    low, high = int(lower * 1_000_000), int(upper * 1_000_000)
+    width = max(1_000_000, high - low)
+    bucket = lambda us: us - F.pmod(us, F.lit(width))  # noqa: E731  (its start)
+    t, r = _to_micros(F.col(left_time), ntz), _to_micros(F.col(right_time), rntz)
+
+    nothing = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in (left_time, *carry)]
+    rights = right.where(F.col(right_time).isNotNull())
+    if not null_safe:
+        rights = rights.where(F.col(right_key).isNotNull())
+    # a right row at r is met by left times from r + low to r + high
+    rights = rights.select(F.col(right_key).alias("_k"), r.alias("_at"),
+                           F.explode(F.sequence(bucket(r + low), bucket(r + high), F.lit(width))).alias("_b"),
+                           F.lit(1).alias("_side"), F.lit(1).alias("_one"), *nothing)
+    probes = left.where(F.col(left_time).isNotNull()).select(
+        F.col(left_key).alias("_k"), left_time, *carry, t.alias("_t"),
+        # before the right rows at t - high, behind those at t - low
+        F.explode(F.array(F.struct((t - high).alias("at"), F.lit(0).alias("side")),
+                          F.struct((t - low).alias("at"), F.lit(2).alias("side")))).alias("_p"))
+    probes = probes.select("_k", F.col("_p.at").alias("_at"), bucket(F.col("_t")).alias("_b"),
+                           F.col("_p.side").alias("_side"), F.lit(0).alias("_one"), left_time, *carry)
+    upto = Window.partitionBy("_k", "_b").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rights.unionByName(probes).withColumn("_sum", F.sum("_one").over(upto)).where(F.col("_side") != 1)
+    met = summed.groupBy("_k", "_b", left_time, *carry).agg(
+        F.sum(F.col("_sum") * (F.col("_side") - 1)).alias("_pairs"), F.count_if(F.col("_side") == 2).alias("_rows"))
+    # equal left rows meet equally many: either all of them stand for pairs, or each comes out once
+    counted = met.select(left_time, *carry, F.greatest("_pairs", "_rows").cast("bigint").alias("n_rows"))
+    timeless = left.where(F.col(left_time).isNull()).select(left_time, *carry, F.lit(1).cast("bigint").alias("n_rows"))
+    return counted.unionByName(timeless)
+
+
+def interval_text_window_counts(posts: DataFrame, media: DataFrame, *, left_key: str, right_key: str, left_time: str,
+                                right_time: str, upper: int = 60, null_safe: bool = True, text: str = "text",
+                                length: str = "20 seconds", slide: str = "5 seconds") -> DataFrame:
+    """Rows of the interval join per (text, window of the post time): texts are grouped by digest and join at the end."""
+    keyed = posts.withColumn("_digest", F.sha2(F.col(text), 256))
+    pairs = interval_pair_counts(keyed, media, left_key=left_key, right_key=right_key, left_time=left_time,
+                                 right_time=right_time, upper=upper, null_safe=null_safe, carry=("_digest",))
+    counts = sliding_agg(pairs, ("_digest",), left_time, length, slide, {"count": F.sum("n_rows")})
+    texts = keyed.where(F.col(text).isNotNull()).select(F.col("_digest").alias("_d"), text).dropDuplicates(["_d"])
+    return left_join_spread_nulls(counts, texts, "_digest", "_d").select(text, "window", "count")

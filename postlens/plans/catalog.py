@@ -371,8 +371,12 @@ def interval_join_right_x2(spark, sf):
 
 @query("interval_join_window_count")
 def interval_join_window_count(spark, sf):
-    rows = _interval(spark, sf, "left", True, ("text", "created_at"))
-    return W.flatten_window(W.sliding_counts(rows, ("text",), "created_at", "20 seconds", "5 seconds"))
+    """Rows of the null-safe interval join per text and window, by a sweep over times: no pair is built."""
+    t = Tables(spark, sf)
+    b = fl.explode_media(t.posts, outer=True, keep=("text", "created_at", "data_media_keys"))
+    return W.flatten_window(W.interval_text_window_counts(
+        b, t.media_messages, left_key="media_key", right_key="media_key", left_time="created_at", right_time="media_ts",
+        upper=INTERVAL_SECONDS, null_safe=True, length="20 seconds", slide="5 seconds"))
 
 
 # -- aggregates ---------------------------------------------------------------
@@ -445,8 +449,9 @@ def likes_total(spark, sf):
 
 @query("posts_by_time")
 def posts_by_time(spark, sf):
+    """The order itself is part of the result: position 1 is the earliest row."""
     t = Tables(spark, sf)
-    return agg.posts_by_time(J.join_users(t.posts, t.users, "full"))
+    return agg.posts_by_time_numbered(J.join_users(t.posts, t.users, "full"))
 
 
 @query("posts_per_day")

@@ -49,10 +49,9 @@ def build_marts(posts: DataFrame, users: DataFrame, media: DataFrame,
         "df4": agg.posts_by_time(J.join_users(posts, users, "full")),
         "df5": agg.interaction_totals(posts, users),
         "df6": agg.topic_mentions(posts, users, topics[0]),
-        "df7": J.join_users(
-            J.join_media(fl.explode_media(posts, outer=False), media, "full"), users, "full")
-        .select("tweet_id", "created_at", "username", "text", "retweet_count", "reply_count", "like_count",
-                "quote_count", "media_key", "media_type", "author_id", "name", "description"),
+        "df7": J.join_media_users_full(fl.explode_media(posts, outer=False), media, users).select(
+            "tweet_id", "created_at", "username", "text", "retweet_count", "reply_count", "like_count",
+            "quote_count", "media_key", "media_type", "author_id", "name", "description"),
         "df8": WD.word_frequency(WD.clean_words(posts)).orderBy(F.desc("count"), F.asc("word")),
         "df9": agg.topic_mentions(posts, users, topics[1]),
     }

@@ -257,8 +257,10 @@ select author_id, sum(like_count)::bigint as sum_like_count, round(avg(like_coun
 from posts group by author_id""",
     "likes_total": "select sum(like_count)::bigint as sum_like_count from posts",
     "posts_by_time": """
-select p.tweet_id, p.created_at, u.username, p.text, p.retweet_count, p.reply_count, p.like_count, p.quote_count
-from posts p full join users u on p.author_id = u.users_id order by p.created_at nulls first, p.tweet_id nulls first""",
+select row_number() over (order by p.created_at nulls first, p.tweet_id nulls first, u.users_id nulls first,
+                          u.description nulls first) as position,
+       p.tweet_id, p.created_at, u.username, p.text, p.retweet_count, p.reply_count, p.like_count, p.quote_count
+from posts p full join users u on p.author_id = u.users_id""",
     "posts_per_day": "select cast(created_at as date) as day, count(*) as n_posts from posts group by 1",
     "top_words": """
 select word, count(*) as count from clean_words group by word order by count desc, word asc limit 10""",

@@ -137,6 +137,11 @@ class Tables:
     def posts(self):
         return self._get("posts", lambda: posts(self.spark, self.sf_dir))
 
+    @property
+    def post_times(self):
+        """The posts' times alone, without their texts."""
+        return self._get("post_times", lambda: table(self.spark, self.sf_dir, "events").select(F.col("ts").alias("created_at")))
+
     @property
     def users(self):
         return self._get("users", lambda: users(self.spark, self.sf_dir))

@@ -26,7 +26,8 @@ from ..plans.catalog import INTERVAL_SECONDS, ntz, query
 from ..session import work_dir
 from ..sources.streams import read_stream
 from ..sources.tables import Tables
-from .runner import FILES_PER_BATCH, max_time, run_available_now, stage_records, time_cuts
+from .results import ResultTable
+from .runner import max_time, run_available_now, stage_records, time_cuts
 
 WATERMARK = "30 seconds"
 CLOSE = "__close"
@@ -122,6 +123,31 @@ def word_count_partials_job(posts_decoded: DataFrame, watermark: str = WATERMARK
     return partials, finish
 
 
+def word_count_table(spark: SparkSession, path: str, compact_every: int = 10) -> ResultTable:
+    """The maintained result of :func:`word_count_updates`: one row per (word, bucket), whose count only grows."""
+    return ResultTable(spark, path, ("word", "bucket_us"), compact_every, growing=True)
+
+
+def word_count_updates(posts_decoded: DataFrame, watermark: str = WATERMARK, length: str = "25 seconds",
+                       slide: str = "5 seconds", clean: bool = False, per_media_rows: bool = False):
+    """The complete result, kept incrementally: (stream for update mode, batch writer, reader).
+
+    Each micro-batch gives only the (word, bucket) counts it changed; the
+    writer (of a :class:`ResultTable`) adds those rows; the reader merges what
+    was written and spreads it over the sliding windows once.  Late rows count
+    as in complete mode, since the state is kept without a watermark.
+    """
+    words = _words(posts_decoded, clean, per_media_rows)
+    partials = W.bucket_rows(W.bucket_counts(words, ("word",), "created_at", length, slide), ("word",))
+
+    def writer(table: ResultTable):
+        return lambda batch, batch_id: table.write_batch(batch, batch_id)
+
+    def read(table: ResultTable) -> DataFrame:
+        return W.expand_bucket_rows(table.read(partials.schema), ("word",), length, slide)
+    return partials, writer, read
+
+
 def _with_users(b: DataFrame, users_decoded: DataFrame, user_bound: int | None,
                 watermark: str | None) -> DataFrame:
     """Post rows (with ``dataTimestamp``) INNER users on author.
@@ -331,20 +357,21 @@ class Replay:
         self._cuts = None
 
     def _max(self) -> DataFrame:
+        """The latest time: media and user messages are sent before their posts."""
         t = self.t
-        return max_time((t.posts, "created_at"), (t.user_messages, "user_ts"), (t.media_messages, "media_ts"))
+        return max_time((t.post_times, "created_at"))
 
     def cuts(self) -> list:
         """Times that cut the posts into equal micro-batches; all streams use the same."""
         if self._cuts is None:
-            self._cuts = time_cuts(self.t.posts, "created_at", REPLAY_BATCHES)
+            self._cuts = time_cuts(self.t.post_times, "created_at", REPLAY_BATCHES)
         return self._cuts
 
     def _open(self, name: str, records: DataFrame, closing_fn) -> DataFrame:
-        path = stage_records(self.spark, records, f"stream-in-{name}", self.cuts(),
-                             # the last rows push the watermark past every real row
-                             closing_fn(self._max()) if self.closing else None)
-        raw = read_stream(self.spark, "files", path=path, max_files_per_trigger=FILES_PER_BATCH)
+        staged = stage_records(self.spark, records, f"stream-in-{name}", self.cuts(),
+                               # the last rows push the watermark past every real row
+                               closing_fn(self._max()) if self.closing else None)
+        raw = read_stream(self.spark, "files", path=staged.path, max_files_per_trigger=staged.files)
         return msg.decode_records(raw)
 
     def posts(self) -> DataFrame:
@@ -424,8 +451,10 @@ def stream_right_outer_x2(spark, sf):
 
 
 def _stream_counts(spark, sf, name: str, clean: bool) -> DataFrame:
-    partials, finish = word_count_partials_job(Replay(spark, sf).posts(), clean=clean)
-    return ntz(W.flatten_window(_run(spark, partials, name, mode="complete", finish=finish)))
+    partials, writer, read = word_count_updates(Replay(spark, sf).posts(), clean=clean)
+    table = word_count_table(spark, work_dir(spark, f"stream-out-{name}"))
+    run_available_now(partials, table.path, work_dir(spark, f"stream-ckpt-{name}"), "update", write=writer(table))
+    return ntz(W.flatten_window(read(table)))
 
 
 @query("stream_word_count_sliding")

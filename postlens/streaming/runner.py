@@ -2,17 +2,22 @@
 
 Results go to files in the shared checkpoint folder (never to driver
 memory): append mode writes through the exactly-once file sink; complete
-mode writes each result table to a folder of its own from ``foreachBatch``.
+mode writes each result table to a folder of its own from ``foreachBatch``;
+a caller's own writer keeps what update mode changes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..session import work_dir
 
-#: Files that each micro-batch of a staged replay consists of.
+#: Files that each micro-batch of a staged replay has at least.
 FILES_PER_BATCH = 4
 
 
@@ -23,27 +28,39 @@ def time_cuts(df: DataFrame, time_col: str, batches: int) -> list:
     return sorted(set(at or []))
 
 
-def stage_records(spark: SparkSession, records: DataFrame, purpose: str, cuts: list | None = None,
-                  last: DataFrame | None = None) -> str:
-    """Write Kafka-shaped records as files a file stream can replay; returns the folder.
+@dataclass(frozen=True)
+class Staged:
+    """A folder of record files in order, ``files`` of them a micro-batch."""
+
+    path: str
+    files: int
 
-    The records are written one time slice after another, FILES_PER_BATCH
-    files each, so a stream reading so many files per trigger gets the slices
+
+def stage_records(spark: SparkSession, records: DataFrame, purpose: str, cuts: list | None = None,
+                  last: DataFrame | None = None) -> Staged:
+    """Write Kafka-shaped records as files a file stream can replay.
+
+    The records are worked out once, into a folder for each time slice, with
+    Spark's own number of files.  A file stream takes files in the order they
+    were written, so the slices are then copied one after another into the
+    folder of the stream, the same number of files for each (the mean number
+    that Spark wrote for a slice): a stream that reads so many files per trigger gets the slices
     as ordered micro-batches.  ``last``: records of one more slice at the end.
     """
-    path = work_dir(spark, purpose)
-    bounds = [None, *(cuts or []), None]
+    path, sliced = work_dir(spark, purpose), work_dir(spark, f"{purpose}-slices")
     t = F.col("timestamp").cast("double")
-    for low, high in zip(bounds[:-1], bounds[1:]):
-        part = records
-        if low is not None:
-            part = part.where(t >= low)
-        if high is not None:
-            part = part.where((t < high) | t.isNull() if low is None else t < high)
-        part.repartition(FILES_PER_BATCH, "offset").write.mode("append").parquet(path)
+    number = F.lit(0)
+    for cut in cuts or []:
+        number = number + F.coalesce((t >= cut).cast("int"), F.lit(0))
+    records.withColumn("slice", number).write.partitionBy("slice").parquet(sliced)
+    schema = StructType([*records.schema.fields, StructField("slice", IntegerType())])
+    slices = spark.read.schema(schema).parquet(sliced)
+    files = max(FILES_PER_BATCH, -(-len(slices.inputFiles()) // (len(cuts or []) + 1)))
+    for k in range(len(cuts or []) + 1):
+        slices.where(F.col("slice") == k).drop("slice").repartition(files).write.mode("append").parquet(path)
     if last is not None:
         append_records(last, path)
-    return path
+    return Staged(path, files)
 
 
 def append_records(records: DataFrame, path: str) -> None:
@@ -53,21 +70,24 @@ def append_records(records: DataFrame, path: str) -> None:
 
 def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
                       timeout_s: float | None = None, query_name: str | None = None,
-                      finish=None) -> str:
+                      finish=None, write: Callable[[DataFrame, int], None] | None = None) -> str:
     """Run ``df`` with ``trigger(availableNow=True)`` to its end (no time limit unless given).
 
-    Returns the folder of the result.  Complete mode writes the result table
+    Returns the folder of the result.  ``write``: a ``foreachBatch`` function
+    that keeps the result itself (see :class:`.results.ResultTable`).  Complete mode writes the result table
     of each micro-batch, after ``finish`` (a batch DataFrame -> DataFrame
     function) if given, to ``out_path/batch_id=N``; the last one is the
     result, and a failure half-way leaves the earlier tables whole.
     """
     done: list[str] = []
-    if mode == "complete":
-        def write(batch: DataFrame, batch_id: int) -> None:
+    if write is not None:
+        writer = df.writeStream.outputMode(mode).foreachBatch(write)
+    elif mode == "complete":
+        def write_all(batch: DataFrame, batch_id: int) -> None:
             to = f"{out_path}/batch_id={batch_id}"
             (finish(batch) if finish else batch).write.mode("overwrite").parquet(to)
             done.append(to)
-        writer = (df.writeStream.outputMode("complete").foreachBatch(write))
+        writer = df.writeStream.outputMode("complete").foreachBatch(write_all)
     else:
         writer = df.writeStream.outputMode(mode).format("parquet").option("path", out_path)
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)

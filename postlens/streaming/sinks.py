@@ -104,6 +104,17 @@ def batch_jdbc_writer(options: dict, delete: Callable = jdbc_delete,
     return write
 
 
+def jdbc_complete_writer(options: dict, write: Callable = jdbc_write) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for complete mode: each result table replaces the one before.
+
+    The table is emptied and filled (``truncate``), keeping its columns and
+    rights; a batch that is run again leaves the same rows.
+    """
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        write(batch, options | {"truncate": "true"}, "overwrite")
+    return replace
+
+
 def batch_upsert_writer(path: str, keys: tuple[str, ...]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for update mode: the newest row per key.
 

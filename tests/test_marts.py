@@ -1,9 +1,11 @@
 """The batch job end to end: envelopes -> flatten once -> nine marts -> tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from postlens.operators import aggregates as agg
+from postlens.plans import catalog
 from postlens.plans.marts import build_marts, flatten_once, write_marts
 from postlens.sources.envelopes import build_envelopes, read_envelopes, write_envelopes
 from postlens.sources.tables import Tables
@@ -56,8 +58,12 @@ def test_cli_word_count_from_record_files(spark, scratch):
     root, out, ck = scratch("cli-rec"), scratch("cli-wc"), scratch("cli-ck")
     append_records(msg.post_records(t.posts), f"{root}/posts")
     cli.main(["word-count", "--files", root, "--checkpoint", ck, "--out", out, "--available-now"])
-    got = spark.read.parquet(f"{out}/batch_id=0")
-    assert got.count() > 0 and set(got.columns) == {"word", "window", "count"}
+    res = scratch("cli-wr")
+    cli.main(["word-count-result", "--table", out, "--out", res])
+    want = catalog.REGISTRY["word_count_sliding"](spark, SF_SMALL)
+    cols = ("word", "window_start", "count")
+    got = spark.read.parquet(res).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    assert rows(got, *cols) == rows(want, *cols)
     up, ck2 = scratch("cli-wu"), scratch("cli-wuc")
     cli.main(["word-count", "--files", root, "--checkpoint", ck2, "--out", up, "--available-now", "--mode", "update"])
     from postlens.streaming.sinks import read_upserts
@@ -109,3 +115,77 @@ def test_cli_join_users_media_from_record_files(spark, scratch):
     cli.main(["join-users-media", "--files", root, "--checkpoint", ck, "--out", out, "--available-now"])
     got = spark.read.parquet(out)
     assert got.count() > 0 and set(got.columns) == {"text", "username", "media_key"}
+
+
+def test_mart_df7_is_the_catalogs_join(spark):
+    """df7 equals the three-way join built one full outer join at a time, fan-out, unknown authors and repeats included."""
+    from fixtures import frames
+    from postlens.operators import flatten as fl
+    from postlens.operators import joins as J
+    posts, users, media = frames(spark)
+    posts = posts.unionByName(posts.where("tweet_id = 'p1'"))
+    got = build_marts(posts, users, media)["df7"]
+    want = J.join_users(J.join_media(fl.explode_media(posts, outer=False), media, "full"), users, "full")
+    assert rows(got) == rows(want.select(*got.columns))
+
+
+def test_cli_outer_jobs_from_record_files(spark, scratch):
+    from postlens import cli
+    from postlens.operators import messages as msg
+    from postlens.streaming.runner import append_records
+    t = Tables(spark, SF_SMALL)
+    root = scratch("cli-o")
+    append_records(msg.post_records(t.posts), f"{root}/posts")
+    append_records(msg.user_records(t.user_messages), f"{root}/users")
+    append_records(msg.media_records(t.media_messages), f"{root}/media")
+    for cmd, col in (("full-outer", "username"), ("media-counts", "photo_count"), ("right-outer", "c_media_key")):
+        out = scratch(f"cli-{cmd}")
+        cli.main([cmd, "--files", root, "--checkpoint", scratch(f"ck-{cmd}"), "--out", out, "--available-now", "--watermark", "1 second"])
+        assert col in spark.read.parquet(out).columns and spark.read.parquet(out).count() > 0
+
+
+def test_cli_word_count_options_and_sinks(spark, scratch, monkeypatch):
+    from postlens import cli
+    from postlens.operators import messages as msg
+    from postlens.streaming import sinks
+    from postlens.streaming.runner import append_records
+    t = Tables(spark, SF_SMALL)
+    root = scratch("cli-w")
+    append_records(msg.post_records(t.posts), f"{root}/posts")
+    totals = {}
+    for flag in ([], ["--clean"], ["--per-media"]):
+        out, res = scratch("cli-wo"), scratch("cli-wres")
+        cli.main(["word-count", "--files", root, "--checkpoint", scratch("ck"), "--out", out, "--available-now", *flag])
+        cli.main(["word-count-result", "--table", out, "--out", res])
+        totals[tuple(flag)] = spark.read.parquet(res).agg(F.sum("count")).first()[0]
+    assert totals[("--clean",)] < totals[()] < totals[("--per-media",)]
+
+    tables = []
+    monkeypatch.setattr(sinks, "jdbc_complete_writer", lambda o: lambda batch, i: tables.append((o["dbtable"], batch.columns, batch.count())))
+    cli.main(["word-count", "--files", root, "--checkpoint", scratch("ck"), "--available-now", "--jdbc-url", "jdbc:x://y", "--jdbc-table", "wc"])
+    assert tables[-1][0] == "wc" and tables[-1][1] == ["word", "count", "window_start", "window_end"] and tables[-1][2] > 0
+
+    sent = []
+    real = msg.encode_counts
+
+    def kafka(counts, servers, topic, checkpoint, **kw):
+        encoded = real(counts)
+        sent.append((servers, topic, encoded.columns, kw["mode"]))
+        return sinks.start_stream(encoded, "foreachBatch", checkpoint=checkpoint, foreach_batch=lambda b, i: b.write.format("noop").mode("overwrite").save(), **kw)
+
+    monkeypatch.setattr(sinks, "kafka_counts_sink", kafka)
+    cli.main(["word-count", "--files", root, "--servers", "k:1", "--checkpoint", scratch("ck"), "--available-now", "--out-topic", "counts"])
+    assert sent == [("k:1", "counts", ["key", "value"], "complete")]
+    for bad in (["--out", "x", "--jdbc-url", "jdbc:x", "--jdbc-table", "t"], ["--out", "x", "--out-topic", "t", "--servers", "k"]):
+        with pytest.raises(SystemExit):
+            cli.main(["word-count", "--files", root, "--checkpoint", "c", *bad])
+
+
+def test_jdbc_complete_replaces_the_table(spark):
+    from postlens.streaming import sinks
+    calls = []
+    write = sinks.jdbc_complete_writer({"dbtable": "t"}, lambda df, o, mode: calls.append((df.count(), o, mode)))
+    df = spark.createDataFrame([("a", 1)], "word string, n int")
+    write(df, 0)
+    write(df, 0)
+    assert calls == [(1, {"dbtable": "t", "truncate": "true"}, "overwrite")] * 2
