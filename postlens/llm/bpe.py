@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with recursive SQL inside each partition.
 
 A text is split by the vocabulary's pattern.  Per partition, DuckDB holds the
-merge table; every distinct match becomes rows (word, position, token), and a
-recursive query contracts each word's leftmost pair of minimum rank until no
-pair is left.  An ordered aggregation collects the ids and, joined to the
+merge table; every distinct match becomes rows (word, position, token, next),
+and a recursive query contracts each word's leftmost pair of minimum rank until
+no pair is left.  An ordered aggregation collects the ids and, joined to the
 vocabulary, the decoded bytes.  Results of a partition's earlier words are
 remembered (up to a bound), so each is encoded about once.
 """
@@ -29,24 +29,24 @@ REMEMBERED = 300_000
 #: Words of more bytes than this are merged with a heap, as the query's work on one word grows with its square.
 LONG_WORD = 256
 
+#: A row is a part of a word: its place p, token t, the next part's place q and token u, and what the two merge to.
+#: Words of one token go through it too: their bytes are merged like any others.
 _ROUNDS = """
-WITH RECURSIVE state(round, w, p, t, np, nt, merged) AS (
-  SELECT 0, s.*, m.tok FROM (
-    SELECT w, p, t, lead(p) OVER word AS np, lead(t) OVER word AS nt
-    FROM start WINDOW word AS (PARTITION BY w ORDER BY p)) s
-  LEFT JOIN merges m ON m.pair = s.t * 16777216 + s.nt
+WITH RECURSIVE state(w, p, t, q, u, merged, round) AS (
+  SELECT s.w, s.p, s.t, s.q, s.u, m.tok, 0 FROM start s LEFT JOIN merges m ON m.pair = s.t * 16777216 + s.u
   UNION ALL
   (WITH best AS (
-     SELECT w, min(merged * 65536 + p) % 65536 AS p FROM state WHERE merged IS NOT NULL GROUP BY w),
+     SELECT w, min(merged * 65536 + p) AS best FROM state WHERE merged IS NOT NULL GROUP BY w),
    hit AS (
-     SELECT a.w, a.p, a.merged, b.p AS gone, b.np, b.nt
-     FROM best JOIN state a ON a.w = best.w AND a.p = best.p JOIN state b ON b.w = a.w AND b.p = a.np),
+     SELECT b.w, a.p, a.merged, a.q, n.q AS after, n.u AS follower
+     FROM best b JOIN state a ON a.w = b.w AND a.p = b.best % 65536 JOIN state n ON n.w = a.w AND n.p = a.q),
    next AS (
-     SELECT s.round + 1 AS round, s.w, s.p, CASE WHEN s.p = h.p THEN h.merged ELSE s.t END AS t,
-            CASE WHEN s.p = h.p THEN h.np ELSE s.np END AS np,
-            CASE WHEN s.p = h.p THEN h.nt WHEN s.np = h.p THEN h.merged ELSE s.nt END AS nt
-     FROM state s JOIN hit h ON h.w = s.w WHERE s.p <> h.gone)
-   SELECT next.*, m.tok FROM next LEFT JOIN merges m ON m.pair = next.t * 16777216 + next.nt)
+     SELECT s.w, s.p, CASE WHEN s.p = h.p THEN h.merged ELSE s.t END AS t,
+            CASE WHEN s.p = h.p THEN h.after ELSE s.q END AS q,
+            CASE WHEN s.p = h.p THEN h.follower WHEN s.q = h.p THEN h.merged ELSE s.u END AS u, s.round + 1 AS round
+     FROM state s JOIN hit h ON h.w = s.w WHERE s.p <> h.q)
+   SELECT next.w, next.p, next.t, next.q, next.u, m.tok, next.round
+   FROM next LEFT JOIN merges m ON m.pair = next.t * 16777216 + next.u)
 ),
 last AS (SELECT w, max(round) AS round FROM state WHERE p = 0 GROUP BY w)
 SELECT w, list(t ORDER BY p) AS ids, string_agg(piece, '' ORDER BY p) AS decoded
@@ -132,31 +132,30 @@ class Codec:
         import pyarrow as pa
 
         raw = [w.encode("utf-8") for w in words]
-        lists: dict[int, tuple[list[int], bytes]] = {}
         todo = []
         for i, b in enumerate(raw):
-            if b in self.ranks:
-                lists[i] = ([self.ranks[b]], b)
-            elif len(b) > LONG_WORD:
+            if len(b) > LONG_WORD:
                 ids = merge_long(b, self.ranks)
-                lists[i] = (ids, self.decode([ids])[0])
+                self.known[words[i]] = (np.array(ids, dtype="<u4").tobytes(), self.decode([ids])[0])
             else:
                 todo.append(i)
         if todo:
             n = np.array([len(raw[i]) for i in todo])
             flat = np.frombuffer(b"".join(raw[i] for i in todo), dtype=np.uint8)
             ends = np.cumsum(n)
-            start = pa.table({"w": pa.array(np.repeat(np.array(todo, dtype=np.int32), n)),
-                              "p": pa.array((np.arange(len(flat)) - np.repeat(ends - n, n)).astype(np.int32)),
-                              "t": pa.array(np.array(self.of_byte, dtype=np.int64)[flat])})
+            p, t = np.arange(len(flat)) - np.repeat(ends - n, n), np.array(self.of_byte, dtype=np.int64)[flat]
+            last = np.zeros(len(flat), dtype=bool)
+            last[ends - 1] = True
+            start = pa.table({"w": np.repeat(np.array(todo, dtype=np.int64), n), "p": p, "t": t,
+                              "q": pa.array(p + 1, mask=last), "u": pa.array(np.append(t[1:], 0), mask=last)})
             self.db.register("start", start)
-            got = self.db.sql(_ROUNDS).to_arrow_table()
+            got = self.db.sql(_ROUNDS).to_arrow_table().combine_chunks()
             self.db.unregister("start")
-            for i, ids, text in zip(*(got[c].to_pylist() for c in ("w", "ids", "decoded"))):
-                lists[i] = (ids, text.encode("latin-1"))
-        for i, w in enumerate(words):
-            ids, decoded = lists[i]
-            self.known[w] = (np.array(ids, dtype="<u4").tobytes(), decoded)
+            lists = got["ids"].combine_chunks() if got["ids"].num_chunks != 1 else got["ids"].chunk(0)
+            at = (lists.offsets.to_numpy() * 4).tolist()
+            ids = lists.values.to_numpy().astype("<u4").tobytes()
+            for j, (i, text) in enumerate(zip(got["w"].to_pylist(), got["decoded"].to_pylist())):
+                self.known[words[i]] = (ids[at[j]:at[j + 1]], text.encode("latin-1"))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, bytes decoded from them) per text."""
