@@ -32,7 +32,7 @@ def recall(rows, want, k):
 def test_recall_with_a_small_sample(spark, monkeypatch, clusters, spread):
     monkeypatch.setattr(ann, "SAMPLE_ROWS", 1_500)
     monkeypatch.setattr(ann, "SHARD_ROWS", 1_000)
-    monkeypatch.setattr(ann, "QUERY_ROWS", 100)
+    monkeypatch.setattr(ann, "TOGETHER", 30)
     r = np.random.default_rng(clusters)
     centres = r.standard_normal((clusters, 24))
     x = centres[r.integers(0, clusters, 5_000)] + spread * r.standard_normal((5_000, 24))
@@ -48,10 +48,49 @@ def test_recall_with_a_small_sample(spark, monkeypatch, clusters, spread):
 
 def test_scan_keeps_what_is_near():
     r = np.random.default_rng(0)
-    x, q = r.standard_normal((3_000, 64)), r.standard_normal(64)
-    d = ((x - q) ** 2).sum(axis=1)
-    kept = ann.scan(q, float(np.sort(d)[19]), np.ascontiguousarray(x.T))
-    assert len(set(np.argsort(d)[:20]) & set(kept.tolist())) >= 19 and len(kept) < 300
+    x, q = r.standard_normal((3_000, 64)), r.standard_normal((5, 64))
+    d = ((x[None] - q[:, None]) ** 2).sum(axis=2)
+    i, j = ann.scan(q, np.sort(d, axis=1)[:, 19], x, np.ones((5, 3_000), dtype=bool))
+    for n in range(5):
+        kept = set(j[i == n].tolist())
+        assert len(set(np.argsort(d[n])[:20].tolist()) & kept) >= 19 and len(kept) <= 20
+
+
+def test_two_levels_of_lists(monkeypatch):
+    """More lists than the first level may have: cells of coarse lists, their number with the rows, recall as asked."""
+    monkeypatch.setattr(ann, "COARSE", 16)
+    monkeypatch.setattr(ann, "LIST_ROWS", 20)
+    r = np.random.default_rng(3)
+    centres = r.standard_normal((60, 16))
+    x = centres[r.integers(0, 60, 6_000)] + 0.4 * r.standard_normal((6_000, 16))
+    lists = ann.fit(x[:2_000], len(x), float(np.linalg.norm(x, axis=1).max()), 20)
+    assert len(lists.coarse) == 16 and len(lists.fine) == 19 and lists.cells < 19
+    at, cell = lists.home(lists.turned(x))
+    shard = ann.Shard(lists, np.arange(6_000), at, cell, x)
+    q = x[:200]
+    probed = lists.nearest_lists(lists.turned_queries(q)).tolist()
+    who, ids, _ = shard.search(np.arange(200), q, np.full(200, -np.inf), probed, 20)
+    s = q @ x.T
+    s[np.arange(200), np.arange(200)] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    assert np.mean([len(set(ids[who == i].tolist()) & set(want[i].tolist())) / 20 for i in range(200)]) >= 0.9
+
+
+def test_repeated_ids_crowd_nothing_out(spark):
+    rows = [(0, [1.0, 0.0]), *[(1, [2.0, 0.0])] * 60, *[(i, [1.0, i / 100]) for i in range(2, 30)]]
+    out = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()
+    got = sorted((r["rank"], r["vec_id"]) for r in out if r["query_id"] == 0)
+    assert got == [(1, 1), *[(i, i) for i in range(2, 21)]]
+
+
+@pytest.mark.parametrize("table", ["/root/testdata/sf0.1"])
+def test_recall_on_the_given_table_at_ten_times_the_sample(spark, monkeypatch, table):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 200)
+    df = spark.read.parquet(f"{table}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in df.collect() if r["embedding"] is not None]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=float)
+    assert len(ids) >= 10 * 200
+    assert recall(ann.search(df).collect(), brute(ids, x, 20, 20), 20) >= 0.9
 
 
 def test_edge_rows(spark):
