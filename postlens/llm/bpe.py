@@ -114,7 +114,9 @@ class Codec:
         import duckdb
 
         self.ranks, self.find, self.of_byte = tables.ranks, tables.find, tables.of_byte
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        # of the words known so far: ids as little-endian 32-bit integers, and the bytes decoded from them
+        self.ids: dict[str, bytes] = {}
+        self.decoded: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         for name in ("merges", "vocabulary"):
             self.db.register("given", getattr(tables, name))
@@ -123,7 +125,8 @@ class Codec:
 
     def close(self) -> None:
         """Gives the memory back to the worker."""
-        self.known.clear()
+        self.ids.clear()
+        self.decoded.clear()
         self.db.close()
 
     def learn(self, words: list[str]) -> None:
@@ -131,45 +134,50 @@ class Codec:
         import numpy as np
         import pyarrow as pa
 
+        words = [w for w in words if len(w) <= LONG_WORD or self.learn_long(w)]
         raw = [w.encode("utf-8") for w in words]
-        todo = []
-        for i, b in enumerate(raw):
-            if len(b) > LONG_WORD:
-                ids = merge_long(b, self.ranks)
-                self.known[words[i]] = (np.array(ids, dtype="<u4").tobytes(), self.decode([ids])[0])
-            else:
-                todo.append(i)
-        if todo:
-            n = np.array([len(raw[i]) for i in todo])
-            flat = np.frombuffer(b"".join(raw[i] for i in todo), dtype=np.uint8)
-            ends = np.cumsum(n)
-            p, t = np.arange(len(flat)) - np.repeat(ends - n, n), np.array(self.of_byte, dtype=np.int64)[flat]
-            last = np.zeros(len(flat), dtype=bool)
-            last[ends - 1] = True
-            start = pa.table({"w": np.repeat(np.array(todo, dtype=np.int64), n), "p": p, "t": t,
-                              "q": pa.array(p + 1, mask=last), "u": pa.array(np.append(t[1:], 0), mask=last)})
-            self.db.register("start", start)
-            got = self.db.sql(_ROUNDS).to_arrow_table().combine_chunks()
-            self.db.unregister("start")
-            lists = got["ids"].combine_chunks() if got["ids"].num_chunks != 1 else got["ids"].chunk(0)
-            at = (lists.offsets.to_numpy() * 4).tolist()
-            ids = lists.values.to_numpy().astype("<u4").tobytes()
-            for j, (i, text) in enumerate(zip(got["w"].to_pylist(), got["decoded"].to_pylist())):
-                self.known[words[i]] = (ids[at[j]:at[j + 1]], text.encode("latin-1"))
+        if max(map(len, raw), default=0) > LONG_WORD:      # few characters, but many bytes
+            words = [w for w, b in zip(words, raw) if len(b) <= LONG_WORD or self.learn_long(w)]
+            raw = [w.encode("utf-8") for w in words]
+        if not words:
+            return
+        n = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        ends = np.cumsum(n)
+        p, t = np.arange(len(flat)) - np.repeat(ends - n, n), np.array(self.of_byte, dtype=np.int64)[flat]
+        last = np.zeros(len(flat), dtype=bool)
+        last[ends - 1] = True
+        start = pa.table({"w": np.repeat(np.arange(len(n), dtype=np.int64), n), "p": p, "t": t,
+                          "q": pa.array(p + 1, mask=last), "u": pa.array(np.append(t[1:], 0), mask=last)})
+        self.db.register("start", start)
+        got = self.db.sql(_ROUNDS).to_arrow_table().combine_chunks()
+        self.db.unregister("start")
+        lists = got["ids"].chunk(0)
+        at = (lists.offsets.to_numpy() * 4).tolist()
+        ids = lists.values.to_numpy().astype("<u4").tobytes()
+        order = list(map(words.__getitem__, got["w"].to_numpy().tolist()))
+        self.ids.update(zip(order, [ids[a:b] for a, b in zip(at, at[1:])]))
+        self.decoded.update(zip(order, [x.encode("latin-1") for x in got["decoded"].to_pylist()]))
+
+    def learn_long(self, word: str) -> bool:
+        """A word of very many bytes, merged with a heap; False."""
+        import numpy as np
+
+        ids = merge_long(word.encode("utf-8"), self.ranks)
+        self.ids[word], self.decoded[word] = np.array(ids, dtype="<u4").tobytes(), self.decode([ids])[0]
+        return False
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, bytes decoded from them) per text."""
         split = [self.find(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = {w for ws in split for w in ws if w not in self.known}
+        if len(self.ids) > REMEMBERED:
+            self.ids.clear()
+            self.decoded.clear()
+        new = set().union(*split).difference(self.ids)
         if new:
             self.learn(list(new))
-        out = []
-        for ws in split:
-            pairs = [self.known[w] for w in ws]
-            out.append((b"".join([x[0] for x in pairs]), b"".join([x[1] for x in pairs])))
-        return out
+        ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
+        return [(b"".join(map(ids, ws)), b"".join(map(decoded, ws))) for ws in split]
 
     def decode(self, documents: list[list[int]]) -> list[bytes]:
         """Bytes of whole id sequences, by one ordered aggregation."""

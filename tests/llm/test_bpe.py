@@ -54,9 +54,9 @@ def test_rounds_equal_heap_and_decode(plain):
     words = ["".join(r.choice("theraniongstdlyüé") for _ in range(r.randint(1, 60))) for _ in range(400)]
     codec.learn(words)
     for w in words:
-        ids = np.frombuffer(codec.known[w][0], "<u4").tolist()
+        ids = np.frombuffer(codec.ids[w], "<u4").tolist()
         assert ids == plain.encode_ordinary(w) == (bpe.merge_long(w.encode(), ranks) if w.encode() not in ranks else ids)
-        assert codec.known[w][1] == w.encode()
+        assert codec.decoded[w] == w.encode()
     lists = [plain.encode_ordinary(t) for t in texts()]
     assert codec.decode(lists) == [t.encode() for t in texts()]
 
