@@ -32,13 +32,16 @@ def _marts(spark: SparkSession, a: argparse.Namespace) -> None:
     from postlens.streaming.sinks import jdbc_options, jdbc_write, write_table
 
     env = read_envelopes(spark, a.envelopes, a.format)
-    flat = flatten_once(spark, env, dedupe_media=a.dedupe_media, latest_user=a.latest_user)
+    profile: dict[str, dict] = {}
+    flat = flatten_once(spark, env, dedupe_media=a.dedupe_media, latest_user=a.latest_user, profile=profile)
     marts = build_marts(flat["posts"], flat["users"], flat["media"])
     if a.jdbc_url:
         write_marts(marts, lambda n, df: jdbc_write(df, jdbc_options(a.jdbc_url, n, a.jdbc_user, _password(a),
-                                                                    a.jdbc_driver)))
+                                                                    a.jdbc_driver)), profile)
     else:
-        write_marts(marts, lambda n, df: write_table(df, f"{a.out.rstrip('/')}/{n}", a.out_format))
+        write_marts(marts, lambda n, df: write_table(df, f"{a.out.rstrip('/')}/{n}", a.out_format), profile)
+    for name, seen in profile.items():
+        print(f"{name}: {seen['rows']} rows")
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, topic: str):

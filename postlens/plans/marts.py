@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import TOPIC_A, TOPIC_B
@@ -22,8 +22,13 @@ from ..session import work_dir
 
 
 def flatten_once(spark: SparkSession, envelopes: DataFrame, path: str | None = None,
-                 dedupe_media: bool = False, latest_user: bool = False) -> dict[str, DataFrame]:
-    """Flatten and persist posts / users / media as parquet under ``path``."""
+                 dedupe_media: bool = False, latest_user: bool = False,
+                 profile: dict[str, dict] | None = None) -> dict[str, DataFrame]:
+    """Flatten and persist posts / users / media as parquet under ``path``.
+
+    ``profile`` is filled with each table's rows and null counts, observed
+    while it is written: no scan is added.
+    """
     path = path or work_dir(spark, "flat")
     users = fl.flatten_users(envelopes)
     if latest_user:
@@ -34,7 +39,7 @@ def flatten_once(spark: SparkSession, envelopes: DataFrame, path: str | None = N
     frames = {"posts": fl.flatten_posts(envelopes), "users": users, "media": media}
     out = {}
     for name, df in frames.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        observed(df, name, profile, lambda x, n=name: x.write.mode("overwrite").parquet(f"{path}/{n}"))
         out[name] = spark.read.parquet(f"{path}/{name}")
     return out
 
@@ -57,7 +62,19 @@ def build_marts(posts: DataFrame, users: DataFrame, media: DataFrame,
     }
 
 
-def write_marts(marts: dict[str, DataFrame], writer: Callable[[str, DataFrame], None]) -> None:
+def observed(df: DataFrame, name: str, profile: dict[str, dict] | None, write: Callable[[DataFrame], None]) -> None:
+    """Writes ``df``; if ``profile`` is given, its row count and each column's nulls are counted in passing."""
+    if profile is None:
+        write(df)
+        return
+    seen = Observation(f"profile-{name}")
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls))
+    profile[name] = seen.get
+
+
+def write_marts(marts: dict[str, DataFrame], writer: Callable[[str, DataFrame], None],
+                profile: dict[str, dict] | None = None) -> None:
     """Write every mart, e.g. ``writer = lambda n, df: jdbc_write(df, jdbc_options(url, n))``."""
     for name, df in marts.items():
-        writer(name, df)
+        observed(df, name, profile, lambda x, n=name: writer(n, x))

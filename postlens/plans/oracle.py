@@ -289,6 +289,11 @@ select tweet_id, created_at, text, like_count, author_id, media_key, created_at
 select distinct u.username, u.description, u.users_id, u.name from users u join posts p on p.author_id = u.users_id""",
     "stream_join_users": """
 select distinct u.username, p.text, p.retweet_count, p.reply_count, p.like_count, p.quote_count, p.created_at
+from posts p join user_messages u on p.author_id = u.users_id""",
+    "stream_distinct_users_files": """
+select distinct u.username, u.description, u.users_id, u.name from users u join posts p on p.author_id = u.users_id""",
+    "stream_join_users_salted": """
+select distinct u.username, p.text, p.retweet_count, p.reply_count, p.like_count, p.quote_count, p.created_at
 from posts p join user_messages u on p.author_id = u.users_id""",
     "stream_join_users_media": f"""
 select distinct b.text, u.username, c.media_key

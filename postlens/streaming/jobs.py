@@ -25,8 +25,9 @@ from ..operators import words as WD
 from ..plans.catalog import INTERVAL_SECONDS, ntz, query
 from ..session import work_dir
 from ..sources.streams import read_stream
-from ..sources.tables import Tables
+from ..sources.tables import Tables, table
 from .results import ResultTable
+from .seen import DistinctTable
 from .runner import max_time, run_available_now, stage_records, time_cuts
 
 WATERMARK = "30 seconds"
@@ -148,8 +149,34 @@ def word_count_updates(posts_decoded: DataFrame, watermark: str = WATERMARK, len
     return partials, writer, read
 
 
+def heavy_authors(posts: DataFrame, share: float = 0.01, author: str = "author_id") -> list[str]:
+    """Authors of at least ``share`` of the posts (batch), at most 1 / share of them.
+
+    Exact counts, summed per task before they are shuffled: a hot author is one row a task.
+    """
+    n = posts.where(F.col(author).isNotNull()).groupBy(author).agg(F.count(F.lit(1)).alias("n"))
+    total = posts.count()
+    return sorted(r[0] for r in n.where(F.col("n") >= max(1, share * total)).collect())
+
+
+def _salted_users_join(b: DataFrame, a: DataFrame, hot: list[str], salts: int) -> DataFrame:
+    """Posts INNER users on author, the posts of ``hot`` authors dealt over ``salts`` keys.
+
+    Only hot authors' users are copied to each of their salts, everyone else
+    has salt 0: the state of one author is cut into ``salts`` parts and grows
+    by that many user rows.  The set and the number are part of the state's
+    layout and stay as they are for the life of a checkpoint.
+    """
+    salt = F.when(F.col("author_id").isin(hot), F.pmod(F.xxhash64("tweet_id", "media_key"), F.lit(salts))).otherwise(F.lit(0))
+    copies = F.when(F.col("users_id").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = b.withColumn("_salt", salt.cast("int"))
+    right = a.withColumn("_copy", F.explode(copies))
+    return left.join(right, (left["author_id"] == right["users_id"]) & (left["_salt"] == right["_copy"]), "inner") \
+        .drop("_salt", "_copy")
+
+
 def _with_users(b: DataFrame, users_decoded: DataFrame, user_bound: int | None,
-                watermark: str | None) -> DataFrame:
+                watermark: str | None, hot: list[str] | None = None, salts: int = 16) -> DataFrame:
     """Post rows (with ``dataTimestamp``) INNER users on author.
 
     With ``user_bound`` (seconds) a post meets user messages at most so much
@@ -159,6 +186,8 @@ def _with_users(b: DataFrame, users_decoded: DataFrame, user_bound: int | None,
     """
     if user_bound is None:
         a = users_stream(users_decoded)
+        if hot:
+            return _salted_users_join(b, a, hot, salts)
         return b.join(a, b["author_id"] == a["users_id"], "inner")
     a = users_stream(users_decoded, watermark or WATERMARK, with_time=True)
     return J.stream_interval_join(b, a, left_key="author_id", right_key="users_id", left_time="dataTimestamp",
@@ -167,10 +196,14 @@ def _with_users(b: DataFrame, users_decoded: DataFrame, user_bound: int | None,
 
 def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
                    user_bound: int | None = None, watermark: str | None = None,
-                   distinct_within: bool = False) -> DataFrame:
+                   distinct_within: bool = False, hot: list[str] | None = None, salts: int = 16,
+                   distinct: bool = True) -> DataFrame:
     """Posts INNER users on author, then the distinct projection.
 
-    ``user_bound`` bounds the join state (see ``_with_users``).  The distinct
+    ``user_bound`` bounds the join state (see ``_with_users``).  ``hot``
+    (see :func:`heavy_authors`) spreads the state of authors with very many
+    posts over ``salts`` keys.  ``distinct=False`` leaves the distinct to a
+    :class:`.seen.DistinctTable`, which keeps no state for it.  The distinct
     keeps every row's digest for good unless ``distinct_within``: then equal
     rows are dropped only within the watermark delay, the post's message time
     stays in the result, and the distinct's state is bounded too.
@@ -179,8 +212,10 @@ def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
     if watermark or user_bound is not None or distinct_within:
         b = b.withWatermark("dataTimestamp", watermark or WATERMARK)
     cols = ["username", "text", "retweet_count", "reply_count", "like_count", "quote_count", "created_at"]
-    out = _with_users(b, users_decoded, user_bound, watermark).select(
+    out = _with_users(b, users_decoded, user_bound, watermark, hot, salts).select(
         *cols, *(["dataTimestamp"] if distinct_within else []))
+    if not distinct:
+        return out
     return distinct_by_text_digest(out, time_col="dataTimestamp" if distinct_within else None)
 
 
@@ -410,6 +445,26 @@ def stream_distinct_users(spark, sf):
     return _run(spark, users_stream(Replay(spark, sf).users(per_post=True)), "distinct-users")
 
 
+@query("stream_distinct_users_files")
+def stream_distinct_users_files(spark, sf):
+    """The users job with its distinct kept in files instead of a state store."""
+    sent = msg.parse_users(Replay(spark, sf).users(per_post=True), time_alias=None)
+    kept = DistinctTable(spark, work_dir(spark, "stream-out-distinct-files"), USER_KEY, compact_every=3)
+    run_available_now(sent, kept.path, work_dir(spark, "stream-ckpt-distinct-files"), "append", write=kept.write_batch)
+    return kept.read().select(*USER_KEY)
+
+
+@query("stream_join_users_salted")
+def stream_join_users_salted(spark, sf):
+    """The users join with its hot authors spread over salts, and the distinct kept in files."""
+    r = Replay(spark, sf)
+    hot = heavy_authors(table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("author_id")))
+    rows = join_users_job(r.posts(), r.users(), hot=hot, salts=4, distinct=False)
+    kept = DistinctTable(spark, work_dir(spark, "stream-out-join-salted"), rows.columns)
+    run_available_now(rows, kept.path, work_dir(spark, "stream-ckpt-join-salted"), "append", write=kept.write_batch)
+    return ntz(kept.read())
+
+
 @query("stream_join_users")
 def stream_join_users(spark, sf):
     r = Replay(spark, sf)
@@ -452,9 +507,9 @@ def stream_right_outer_x2(spark, sf):
 
 def _stream_counts(spark, sf, name: str, clean: bool) -> DataFrame:
     partials, writer, read = word_count_updates(Replay(spark, sf).posts(), clean=clean)
-    table = word_count_table(spark, work_dir(spark, f"stream-out-{name}"))
-    run_available_now(partials, table.path, work_dir(spark, f"stream-ckpt-{name}"), "update", write=writer(table))
-    return ntz(W.flatten_window(read(table)))
+    kept = word_count_table(spark, work_dir(spark, f"stream-out-{name}"))
+    run_available_now(partials, kept.path, work_dir(spark, f"stream-ckpt-{name}"), "update", write=writer(kept))
+    return ntz(W.flatten_window(read(kept)))
 
 
 @query("stream_word_count_sliding")
