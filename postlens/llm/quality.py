@@ -31,6 +31,8 @@ PAIRS = 100_000
 ACCEPT = 0.7
 #: Grid of corpus quantiles tried as the threshold.
 QUANTILES = 400
+#: Steps of the score that are counted, to one.
+BINS = 1024
 FOLDS, HELD_OUT = 4, 2
 
 _BYTE_GROUPS = {
@@ -86,7 +88,8 @@ class Ranking:
     weights: np.ndarray
 
     def raw(self, rows: np.ndarray) -> np.ndarray:
-        return np.clip((rows - self.centre) / self.scale, -8, 8) @ self.weights
+        # row by row, so that a row's score does not depend on the rows it is batched with
+        return (np.clip((rows - self.centre) / self.scale, -8, 8) * self.weights).sum(axis=1)
 
 
 def fit_pairs(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, seed: int = 7, l2: float = 1e-4,
@@ -155,9 +158,24 @@ def raw_scores(docs: DataFrame, ranking: Ranking, keep: list[str], into: str) ->
     return inner.mapInArrow(run, schema)
 
 
+def quantiles(all_scores: DataFrame, into: str) -> list[float]:
+    """Exact quantiles of the scores in steps of 1 / BINS, the same whatever the partitions.
+
+    Scores are counted by step; as they are sums of clipped features, the
+    number of steps is bounded by the model, not by the documents.
+    """
+    step = F.floor(F.col(into) * BINS).cast("long").alias("step")
+    counts = sorted((r["step"], r["count"]) for r in all_scores.groupBy(step).count().collect() if r["step"] is not None)
+    if not counts:
+        return []
+    at = np.array([c[0] for c in counts]) / BINS
+    upto = np.cumsum([c[1] for c in counts])
+    return [float(at[np.searchsorted(upto, upto[-1] * i / QUANTILES)]) for i in range(1, QUANTILES)]
+
+
 def threshold(all_scores: DataFrame, into: str, raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """(threshold, steepness): the corpus quantile with the best balanced accuracy on the training rows."""
-    q = all_scores.agg(F.percentile_approx(into, [i / QUANTILES for i in range(1, QUANTILES)], 20_000)).first()[0]
+    q = quantiles(all_scores, into)
     spread = (float(np.std(raw)) if len(raw) else 0.0) or 1.0
     if not q or not len(y) or y.min() == y.max():
         low = float(np.min(raw)) - 1.0 if len(y) and y.min() == 1 else 0.0     # no bad example: keep everything
@@ -184,12 +202,11 @@ class QualityModel:
     steep: float
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[QualityModel, DataFrame]:
-    """The model, and the stored raw scores of all documents as (doc_id, raw)."""
+def fit(docs: DataFrame, labels: DataFrame, keep: list[str], into: str) -> tuple[QualityModel, DataFrame]:
+    """The model, and the stored columns ``keep`` of all documents with their raw scores in ``into``."""
     ranking, raw, y = train(docs, labels)
-    ids = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
-    scored = stored(raw_scores(ids, ranking, ["doc_id"], "raw"), "quality-raw")
-    cut, steep = threshold(scored, "raw", raw, y)
+    scored = stored(raw_scores(docs, ranking, keep, into), "quality-raw")
+    cut, steep = threshold(scored, into, raw, y)
     return QualityModel(ranking, cut, steep), scored
 
 
@@ -200,7 +217,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     equal rows; without documents the result is empty; without labels of both
     kinds every document is accepted.
     """
-    model, scored = fit(docs, labels)
+    ids = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
+    model, scored = fit(ids, labels, ["doc_id"], "raw")
     above = F.col("raw") >= F.lit(model.cut)                # the decision, free of rounding in the curve
     score = calibrated(F.col("raw"), model.cut, model.steep)
     score = F.when(above, F.greatest(score, F.lit(ACCEPT))).otherwise(F.least(score, F.lit(ACCEPT - 1e-9)))
@@ -209,8 +227,13 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (all columns) that the ranking accepts."""
-    model, _ = fit(docs, labels)
+    """Rows of ``docs`` (all columns) that the ranking accepts.
+
+    Null texts are scored as empty ones, null ids like any other row; repeated
+    rows stay or go together; no documents give no rows; without labels of
+    both kinds every row stays.  Rows are scored once and stored with their
+    score, from which threshold and decision are read.
+    """
     raw = free("__raw", docs)
-    return (raw_scores(docs, model.ranking, docs.columns, raw).filter(F.col(raw) >= F.lit(model.cut))
-            .select(*[col(c) for c in docs.columns]))
+    model, scored = fit(docs, labels, docs.columns, raw)
+    return scored.filter(col(raw) >= F.lit(model.cut)).select(*[col(c) for c in docs.columns])

@@ -1,5 +1,6 @@
 """The pipeline's stages against plain versions of their decisions, at the smallest size."""
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 
@@ -59,3 +60,42 @@ def test_later_stages(stages):
 
 def test_run_equals_the_stages(spark, stages):
     assert sorted(C.run(spark, D).collect()) == sorted(stages["bpe"].collect())
+
+
+ODD = [(None, None, None, None, None), (None, "", "en", "a", 0), (10**9, None, "en", None, None), (10**9 + 1, " \t\n", "en", "a", 3),
+       (10**9 + 2, "x@" + "a." * 20_000 + "a", "en", "b", 40_003), (10**9 + 3, "w" * 200_000, "en", "b", 200_000),
+       (10**9 + 4, "same few words here", "en", "a", 19), (10**9 + 4, "same few words here", "en", "a", 19)]
+
+
+@pytest.mark.parametrize("name,stage", C.STAGES)
+def test_each_stage_takes_odd_rows_and_empty_tables(spark, name, stage):
+    docs = spark.read.parquet(f"{D}/documents.parquet").limit(60)
+    odd = docs.unionByName(spark.createDataFrame(ODD, docs.schema))
+    for c in ("score", "raw", "__raw", "fp", "copy", "a.b", "n_pii", "root"):
+        odd = odd.withColumn(c, F.lit("x"))
+    out = stage(spark, odd, D)
+    found = out.collect()
+    if name != "bpe":
+        assert out.columns == odd.columns and all(r["a.b"] == "x" for r in found)
+    texts = [r["text"] for r in found] if name != "bpe" else []
+    n = {"pii": odd.count(), "bpe": odd.count()}.get(name)
+    assert n is None or len(found) == n
+    if name == "near_dedup":
+        assert texts.count("same few words here") == 1 and sum(not (t or "").strip() for t in texts) == 1
+    if name == "pii":
+        assert texts.count(None) == 2 and texts.count("same few words here") == 2
+    if name == "quality":
+        assert texts.count("same few words here") in (0, 2)
+    if name == "bpe":
+        assert sum(r["n_tokens"] == 0 for r in found) >= 3
+    assert stage(spark, odd.limit(0), D).count() == 0
+
+
+def test_the_whole_pipeline_over_odd_rows_and_nothing(spark):
+    docs = spark.createDataFrame(ODD, spark.read.parquet(f"{D}/documents.parquet").schema)
+    for start in (docs, docs.limit(0)):
+        x = start
+        for name, stage in C.STAGES:
+            x = C.stored(stage(spark, x, D), f"odd-{name}")
+        assert x.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        assert (x.count() > 0) == (start is docs)

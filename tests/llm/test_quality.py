@@ -51,3 +51,31 @@ def test_edge_rows(spark):
     assert all(r["predicted"] == 1 for r in none)
     twice = quality.score_documents(docs.unionAll(docs), labels)
     assert twice.count() == 10 and twice.select("doc_id", "score").distinct().count() == 5
+
+
+def test_decisions_equal_a_plain_version_whatever_the_partitions(spark):
+    """Features, ranking, exact corpus quantiles and cut once more without Spark; two partitionings give equal rows."""
+    docs, labels = spark.read.parquet(f"{D}/documents.parquet"), spark.read.parquet(f"{D}/labels.parquet")
+    docs = docs.unionByName(documents(spark, [None, "", "a"], ids=[None, 10**9, 10**9]))
+    a = quality.score_documents(docs.repartition(3), labels).select("doc_id", "score", "predicted", "raw_score")
+    b = quality.score_documents(docs.repartition(11, "text"), labels).select("doc_id", "score", "predicted", "raw_score")
+    assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
+
+    given = [(r["doc_id"], quality.features(r["text"])) for r in docs.collect()]
+    y = {r["doc_id"]: r["quality"] for r in quality.labelled(labels.withColumnRenamed("quality", "q").withColumnRenamed("q", "quality"),
+                                                            "quality", quality.FOLDS, quality.HELD_OUT, 10**6)
+         .withColumnRenamed("y", "quality").collect()}
+    train = sorted((i, f) for i, f in given if i in y)
+    x, t = np.array([f for _, f in train]), np.array([y[i] for i, _ in train])
+    ranking = quality.fit_pairs(x[t == 1], x[t == 0])
+    raw = ranking.raw(np.array([f for _, f in given]))
+    steps = np.sort(np.floor(raw * quality.BINS)) / quality.BINS
+    n = len(steps)
+    q = [steps[max(0, int(np.ceil(n * k / quality.QUANTILES)) - 1)] for k in range(1, quality.QUANTILES)]
+    own = ranking.raw(x)
+    grid = np.unique(np.array([*q, *np.quantile(own, np.linspace(0.001, 0.999, 99))]))
+    gain = [(own[t == 1] >= c).mean() + (own[t == 0] < c).mean() for c in grid]
+    best = np.flatnonzero(np.array(gain) >= max(gain) - 1e-12)
+    cut = grid[best[len(best) // 2]]
+    want = sorted((str(i), int(s >= cut)) for (i, _), s in zip(given, raw))
+    assert sorted((str(r["doc_id"]), r["predicted"]) for r in a.collect()) == want
