@@ -115,8 +115,7 @@ class Codec:
 
         self.ranks, self.find, self.of_byte = tables.ranks, tables.find, tables.of_byte
         # of the words known so far: ids as little-endian 32-bit integers, and the bytes decoded from them
-        self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         for name in ("merges", "vocabulary"):
             self.db.register("given", getattr(tables, name))
@@ -125,8 +124,7 @@ class Codec:
 
     def close(self) -> None:
         """Gives the memory back to the worker."""
-        self.ids.clear()
-        self.decoded.clear()
+        self.known.clear()
         self.db.close()
 
     def learn(self, words: list[str]) -> None:
@@ -156,28 +154,30 @@ class Codec:
         at = (lists.offsets.to_numpy() * 4).tolist()
         ids = lists.values.to_numpy().astype("<u4").tobytes()
         order = list(map(words.__getitem__, got["w"].to_numpy().tolist()))
-        self.ids.update(zip(order, [ids[a:b] for a, b in zip(at, at[1:])]))
-        self.decoded.update(zip(order, [x.encode("latin-1") for x in got["decoded"].to_pylist()]))
+        decoded = [x.encode("latin-1") for x in got["decoded"].to_pylist()]
+        self.known.update(zip(order, zip([ids[a:b] for a, b in zip(at, at[1:])], decoded)))
 
     def learn_long(self, word: str) -> bool:
         """A word of very many bytes, merged with a heap; False."""
         import numpy as np
 
         ids = merge_long(word.encode("utf-8"), self.ranks)
-        self.ids[word], self.decoded[word] = np.array(ids, dtype="<u4").tobytes(), self.decode([ids])[0]
+        self.known[word] = np.array(ids, dtype="<u4").tobytes(), self.decode([ids])[0]
         return False
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, bytes decoded from them) per text."""
         split = [self.find(t) for t in texts]
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.decoded.clear()
-        new = set().union(*split).difference(self.ids)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = set().union(*split).difference(self.known)
         if new:
             self.learn(list(new))
-        ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
-        return [(b"".join(map(ids, ws)), b"".join(map(decoded, ws))) for ws in split]
+        out = []
+        for ws in split:
+            pairs = [self.known[w] for w in ws]
+            out.append((b"".join([x[0] for x in pairs]), b"".join([x[1] for x in pairs])))
+        return out
 
     def decode(self, documents: list[list[int]]) -> list[bytes]:
         """Bytes of whole id sequences, by one ordered aggregation."""
