@@ -13,7 +13,7 @@ OWN = sorted(catalog.REGISTRY)
 def test_queries_and_oracles_have_the_same_names():
     assert set(OWN) <= set(E.queries()) and set(OWN) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(OWN) == 63
+    assert len(OWN) == 68
 
 
 def test_entry_runs(spark):
