@@ -23,7 +23,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from .common import by_place, col, free
 
 #: Bytes of text that go through one round of the SQL query.
-ROUND_BYTES = 1_500_000
+ROUND_BYTES = 1_000_000
 #: Words remembered within a partition; beyond it the memory starts afresh (results stay the same).
 REMEMBERED = 300_000
 #: Words of more bytes than this are merged with a heap, as the query's work on one word grows with its square.
