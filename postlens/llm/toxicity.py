@@ -13,17 +13,18 @@ themselves, each left out of its own search.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import col, fold, stored
@@ -31,16 +32,18 @@ from .quality import labelled
 
 FOLDS, HELD_OUT = 3, 1
 ACCEPT = 0.7
-#: Bounds of the fitted model: labelled documents (they choose the signal terms and are the indexed examples)
-#: and signal terms of each sign.
-TRAIN_ROWS, VOCABULARY = 40_000, 4_096
+#: Bounds of the fitted model: labelled documents (they choose the signal terms and are the indexed examples),
+#: bytes of their texts, and signal terms of each sign.
+TRAIN_ROWS, TRAIN_BYTES, VOCABULARY = 40_000, 256 << 20, 4_096
 #: A signal term needs this many training documents of its label and this chi score; from the strong one on it has weight 1.
 MIN_DOCUMENTS, MIN_CHI, STRONG_CHI = 4, 6.0, 12.0
 #: Weight of a plain word.
 PLAIN = 0.03
 NEIGHBOURS = 25
-#: Terms of the matrix product, queries searched at once, and what single precision may be off.
-COMMON, BATCH, SLACK = 256, 64, 1e-4
+#: Plain words in more than this share of the documents are stop words; they count in texts with fewer other terms than FEW.
+MAX_SHARE, FEW = 0.01, 64
+#: Examples of a shard and of a block, and what single precision may be off.
+SHARD, BLOCK, SLACK = 16_384, 64, 1e-6
 PREFIXES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -183,84 +186,150 @@ def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None
 
 @dataclass(frozen=True)
 class Index:
-    """Unit vectors of labelled examples, by example; the postings by term are made where they are used."""
+    """Block-max inverted index over one shard of labelled examples; alike examples stand in the same block."""
 
-    idf: np.ndarray            # weight of each term
+    idf: np.ndarray | None     # weight of each term, negative for stop words; not stored with the shard
     start: np.ndarray          # entries of example e: start[e]:start[e + 1]
     term: np.ndarray
     tf: np.ndarray
+    norm: np.ndarray           # length of each example's vector
     doc_id: np.ndarray
     label: np.ndarray
-    empty_rate: float          # share of toxic among training documents without any term
-    rate: float
+    lists: np.ndarray          # terms that have a posting list, ascending
+    list_start: np.ndarray     # pieces of list l, one per block: list_start[l]:list_start[l + 1]
+    block: np.ndarray          # block and greatest weight of a piece
+    block_max: np.ndarray
+    piece_start: np.ndarray    # postings of a piece
+    example: np.ndarray
+    weight: np.ndarray
 
     def vector(self, ids, tf) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.asarray(ids, dtype=np.int64)
-        w = (1 + np.log(np.asarray(tf, dtype=float))) * self.idf[ids]
-        norm = np.sqrt((w * w).sum())
-        return ids, w / norm if norm > 0 else w
+        return unit(self.idf, ids, tf)
 
     @cached_property
-    def weight(self) -> np.ndarray:
-        w = (1 + np.log(self.tf.astype(float))) * self.idf[self.term]
-        example = np.repeat(np.arange(len(self.doc_id)), np.diff(self.start))
-        return w / np.maximum(np.sqrt(np.bincount(example, w * w, len(self.doc_id))), 1e-300)[example]
+    def scratch(self) -> np.ndarray:
+        return np.zeros(len(self.idf))
 
     @cached_property
-    def postings(self) -> tuple:
-        """Row of each common term or -1, rows of the common terms, and the other terms' postings."""
-        n = np.bincount(self.term, minlength=len(self.idf))
-        common = np.argsort(-n, kind="stable")[:COMMON]
-        place = np.full(len(self.idf), -1)
-        place[common] = np.arange(len(common))
-        who = np.repeat(np.arange(len(self.doc_id), dtype=np.int32), np.diff(self.start))
-        at = place[self.term]
-        matrix = np.zeros((len(common), len(self.doc_id)), dtype=np.float32)
-        matrix[at[at >= 0], who[at >= 0]] = self.weight[at >= 0]
-        rest = np.flatnonzero(at < 0)
-        rest = rest[np.argsort(self.term[rest], kind="stable")]
-        n[common] = 0
-        return place, matrix, np.r_[0, np.cumsum(n)], who[rest], self.weight[rest].astype(np.float32), np.zeros(len(self.idf))
-
-    def search(self, queries: list[tuple], k: int, leave_out: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(examples, exact cosines) of the k nearest of each query (ids, tf), ties to the smaller id.
-
-        All examples are scored in single precision; those that could be among
-        the k nearest are scored again in double precision.
+    def by_id(self) -> np.ndarray:
+        return np.argsort(self.doc_id, kind="stable")
+
+    def place(self, doc_id: int) -> int | None:
+        """Where the example stands, None if it is not in this shard."""
+        at = np.searchsorted(self.doc_id, doc_id, sorter=self.by_id)
+        return int(self.by_id[at]) if at < len(self.doc_id) and self.doc_id[self.by_id[at]] == doc_id else None
+
+    @cached_property
+    def entries(self) -> np.ndarray:
+        """Weights of all examples' terms in double precision."""
+        w = (1 + np.log(self.tf.astype(float))) * np.abs(self.idf[self.term])
+        return w / np.repeat(self.norm, np.diff(self.start))
+
+    def exact(self, found: np.ndarray, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Cosines of some examples in double precision."""
+        post, n = _spans(self.start, found)
+        self.scratch[ids] = w
+        each = self.scratch[self.term[post]] * self.entries[post]
+        self.scratch[ids] = 0.0
+        return np.bincount(np.repeat(np.arange(len(found)), n), each, len(found))
+
+    def search(self, ids: np.ndarray, w: np.ndarray, k: int, least: float = 0.0,
+               leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, exact cosines) of the k nearest of a unit vector, ties to the smaller id.
+
+        Examples below ``least`` need not be found.
         """
-        place, matrix, start, example, weight, scratch = self.postings
-        vectors = [self.vector(*q) for q in queries]
-        dense = np.zeros((len(queries), len(matrix)), dtype=np.float32)
-        for row, (ids, w) in zip(dense, vectors):
-            row[place[ids[place[ids] >= 0]]] = w[place[ids] >= 0]
-        out = []
-        for i, (score, (ids, w)) in enumerate(zip(dense @ matrix, vectors)):
-            rest = place[ids] < 0
-            post, n = _spans(start, ids[rest])
-            score = score + np.bincount(example[post], np.repeat(w[rest], n) * weight[post], len(score))
+        if not len(self.doc_id) or not len(ids):
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.lists, ids), len(self.lists) - 1)
+        known = self.lists[at] == ids
+        pieces, n = _spans(self.list_start, at[known])
+        of = np.repeat(w[known], n)
+        blocks = self.block[pieces]
+        last = (len(self.doc_id) - 1) // BLOCK
+        bound = np.bincount(blocks, of * self.block_max[pieces], last + 1)
+        score = np.zeros(len(self.doc_id))
+
+        def add(chosen: np.ndarray, kth: float) -> tuple[np.ndarray, float]:
+            """Score the examples of the chosen blocks: those that may be among the k nearest so far, and the k-th best."""
+            use = chosen[blocks]
+            post, m = _spans(self.piece_start, pieces[use])
+            score[:] += np.bincount(self.example[post], np.repeat(of[use], m) * self.weight[post], len(score))
             if leave_out is not None:
-                score[leave_out[i]] = -1.0
-            least = np.partition(score, -k)[-k] - SLACK if len(score) > k else 0.0
-            found = np.flatnonzero((score >= least) & (score > 0))
-            post, n = _spans(self.start, found)
-            scratch[ids] = w
-            cosine = np.bincount(np.repeat(np.arange(len(found)), n), scratch[self.term[post]] * self.weight[post], len(found))
-            scratch[ids] = 0.0
-            best = np.lexsort((self.doc_id[found], -np.round(cosine, 12)))[:k]
-            out.append((found[best], cosine[best]))
-        return out
+                score[leave_out] = 0.0
+            found = np.flatnonzero(score > max(kth - SLACK, 0.0))
+            if len(found) > k:
+                kth = max(kth, float(np.partition(score[found], -k)[-k]))
+                found = found[score[found] >= kth - SLACK]
+            return found, kth
+
+        first = np.zeros(last + 1, dtype=bool)
+        seeds = 2 * k // BLOCK + 2
+        first[np.argpartition(bound, -seeds)[-seeds:] if seeds <= last else slice(None)] = True
+        found, kth = add(first, least)
+        rest = ~first & (bound > max(kth - SLACK, 0.0))
+        if rest.any():
+            found, _ = add(rest, kth)
+        cosine = self.exact(found, ids, w)
+        best = np.lexsort((self.doc_id[found], -np.round(cosine, 12)))[:k]
+        return found[best], cosine[best]
 
     def nearest(self, ids, tf, k: int, leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """``search`` of one query."""
-        return self.search([(ids, tf)], k, None if leave_out is None else [leave_out])[0]
+        """``search`` for term frequencies."""
+        return self.search(*self.vector(ids, tf), k, leave_out=leave_out)
+
+
+def unit(idf: np.ndarray, ids, tf) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that count and their entries of the unit vector."""
+    ids = np.asarray(ids, dtype=np.int64)
+    w = (1 + np.log(np.asarray(tf, dtype=float))) * idf[ids]
+    rare = w > 0
+    if rare.sum() >= FEW:
+        ids, w = ids[rare], w[rare]
+    w = np.abs(w)
+    return ids, w / np.sqrt((w * w).sum()) if len(w) else w
+
+
+@dataclass(frozen=True)
+class Model:
+    """All shards, and the shares of toxic among all training documents and among those without any term."""
 
-    def vote(self, who: np.ndarray, cosine: np.ndarray) -> float:
+    idf: Broadcast
+    shards: list[Broadcast]
+    rate: float
+    empty_rate: float
+
+    def search(self, ids, tf, k: int = NEIGHBOURS, leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, labels, exact cosines) of the k nearest examples but the one left out."""
+        vector = unit(self.idf.value, ids, tf)
+        doc_id, label, cosine, least = np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0.0
+        for number, shard in enumerate(self.shards):
+            index = loaded(number, shard, self.idf)
+            who, near = index.search(*vector, k, least, None if leave_out is None else index.place(leave_out))
+            doc_id, label = np.r_[doc_id, index.doc_id[who]], np.r_[label, index.label[who]]
+            cosine = np.r_[cosine, near]
+            best = np.lexsort((doc_id, -np.round(cosine, 12)))[:k]
+            doc_id, label, cosine = doc_id[best], label[best], cosine[best]
+            least = float(cosine[-1]) if len(cosine) == k else 0.0
+        return doc_id, label, cosine
+
+    def vote(self, label: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic among the nearest, each weighted by closeness, drawn to the base rate by one far neighbour."""
-        if not len(who):
+        if not len(label):
             return self.empty_rate
         w = 1.0 / (1.05 - np.minimum(cosine, 1.0)) ** 2
         prior = 1.0
-        return float((w @ self.label[who] + prior * self.rate) / (w.sum() + prior))
+        return float((w @ label + prior * self.rate) / (w.sum() + prior))
+
+
+_LOADED: dict[int, Index] = {}
+
+
+def loaded(number: int, shard: Broadcast, idf: Broadcast) -> Index:
+    """A shard unpacked once per Python worker; a later model's shard takes its place."""
+    if number not in _LOADED or _LOADED[number].idf is not idf.value:
+        _LOADED[number] = replace(pickle.loads(shard.value), idf=idf.value)
+    return _LOADED[number]
 
 
 def _lists(ids, tf) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -278,19 +347,39 @@ def _spans(start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def build_index(rows: pd.DataFrame, idf: np.ndarray) -> Index:
-    """Index over rows (doc_id, ids, tf, y)."""
-    y = rows["y"].to_numpy(dtype=float)
-    none = rows["ids"].map(len).to_numpy() == 0
-    rate = float(y.mean()) if len(y) else 0.0
-    empty_rate = float((y[none].sum() + rate) / (none.sum() + 1)) if len(y) else 0.0
-    rows, y = rows[~none], y[~none]
-    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
-    rows, y = rows.iloc[order], y[order]
+    """Index over rows (doc_id, ids, tf, y); rows without any term are left out."""
     n = rows["ids"].map(len).to_numpy(dtype=np.int64)
-    term = np.concatenate([np.asarray(x, dtype=np.int32) for x in rows["ids"]] or [np.zeros(0, np.int32)])
-    tf = np.concatenate([np.maximum(x, 1) for x in rows["tf"]] or [np.ones(0, np.int32)])
-    tf = tf.astype(np.min_scalar_type(tf.max(initial=1)))
-    return Index(idf, np.r_[0, np.cumsum(n)], term, tf, rows["doc_id"].to_numpy(), y, empty_rate, rate)
+    term = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows["ids"]] + [np.zeros(0, np.int64)])
+    tf = np.concatenate([np.maximum(np.asarray(x, dtype=np.int64), 1) for x in rows["tf"]] + [np.ones(0, np.int64)])
+    who = np.repeat(np.arange(len(rows)), n)
+    rare = idf[term] > 0
+    kept = rare | (np.bincount(who, rare, len(rows)) < FEW)[who]
+    term, tf, who = term[kept], tf[kept], who[kept]
+    some, who = np.unique(who, return_inverse=True)
+    n, weight = np.bincount(who, minlength=len(some)), (1 + np.log(tf.astype(float))) * np.abs(idf[term])
+    norm = np.sqrt(np.bincount(who, weight * weight, len(some)))
+    weight = weight / norm[who]
+    # alike examples next to each other: by their two strongest terms, then by id
+    start = np.cumsum(n) - n
+    strong = term[np.lexsort((term, -weight, who))]
+    doc_id = rows["doc_id"].to_numpy()[some]
+    order = np.lexsort((doc_id, strong[start + np.minimum(n, 2) - 1], strong[start])) if len(some) else np.zeros(0, np.int64)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    by_row = np.argsort(rank[who], kind="stable")
+    by_term = np.lexsort((rank[who], term))
+    t, example = term[by_term], rank[who][by_term]
+    block = example // BLOCK
+    new = np.ones(len(t), dtype=bool)
+    new[1:] = (t[1:] != t[:-1]) | (block[1:] != block[:-1])
+    new = np.flatnonzero(new)
+    single = weight[by_term].astype(np.float32)
+    lists, first = np.unique(t[new], return_index=True)
+    return Index(idf, np.r_[0, np.cumsum(n[order])], term[by_row].astype(np.int32), tf[by_row].astype(np.min_scalar_type(tf.max(initial=1))),
+                 norm[order], doc_id[order], rows["y"].to_numpy(dtype=float)[some][order],
+                 lists, np.r_[first, len(new)], block[new].astype(np.uint16),
+                 np.maximum.reduceat(single, new) if len(new) else single, np.r_[new, len(t)].astype(np.int32),
+                 example.astype(np.uint16), single)
 
 
 def calibrate(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,64 +399,93 @@ def calibrate(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.array([e for e, _ in knots]), value
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, tuple[np.ndarray, np.ndarray], DataFrame]:
-    """The index, the knots of the calibration, and the stored term counts of all documents."""
+def bounded(texts: DataFrame) -> DataFrame:
+    """Rows of whole ids by hash while their texts fit into ``TRAIN_BYTES``."""
+    sizes = texts.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")).alias("n"))
+    running = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))             # at most TRAIN_ROWS rows
+    return texts.join(sizes.withColumn("n", running).filter(F.col("n") <= TRAIN_BYTES).select("doc_id"), "doc_id", "left_semi")
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np.ndarray], DataFrame]:
+    """The index, the knots of the calibration, and the stored term counts of all documents.
+
+    The shards are built in tasks and stored.  They reach the workers by
+    broadcast, one after the other, packed; ``TRAIN_ROWS`` and ``TRAIN_BYTES``
+    bound their size and that of the vocabulary, whatever the corpus.
+    """
     context = docs.sparkSession.sparkContext
     chosen = stored(labelled(labels, "toxic", FOLDS, HELD_OUT, TRAIN_ROWS), "toxic-labels")
     x = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
-    texts = stored(x.join(F.broadcast(chosen), "doc_id"), "toxic-examples")
+    texts = stored(bounded(x.join(F.broadcast(chosen), "doc_id")), "toxic-examples")
     signals, plain = choose_vocabulary(texts), plain_words(texts)
     counted = stored(count_terms(x, list(signals), plain), "toxic-terms")
     total = counted.count()
     df = counted.select(F.explode("ids").alias("t")).groupBy("t").count().toPandas()     # at most one row per training term
     n = np.zeros(len(signals) + len(plain))
     n[df["t"].to_numpy(dtype=np.int64)] = df["count"].to_numpy()
+    stop = n > np.r_[np.full(len(signals), np.inf), np.full(len(plain), max(MAX_SHARE * total, MIN_DOCUMENTS))]
     idf = (np.log((1 + total) / (1 + n)) + 0.05) * np.r_[list(signals.values()), np.full(len(plain), PLAIN)]
-    examples = stored(counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "toxic-index")
-    shared = context.broadcast(build_index(examples.toPandas(), idf))                     # at most TRAIN_ROWS rows
+    shared = context.broadcast(np.where(stop, -idf, idf))
+    ids = texts.select("doc_id", "y").distinct()
+    examples = stored(counted.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]), "toxic-vectors")
+    shards = -(-max(examples.count(), 1) // SHARD)
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        index = build_index(rows, shared.value)
+        packed = pickle.dumps(replace(index, idf=None), protocol=5)
+        return pd.DataFrame({"n": [len(rows)], "bad": [int(rows["y"].sum())], "empty": [len(rows) - len(index.doc_id)],
+                             "empty_bad": [int(rows["y"].sum() - index.label.sum())], "index": [packed]})
+
+    place = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")) % shards  # ids only, at most TRAIN_ROWS rows
+    numbered = ids.select("doc_id").distinct().withColumn("shard", place)
+    built = stored(examples.join(F.broadcast(numbered), "doc_id").groupBy("shard")
+                   .applyInPandas(build, "n bigint, bad bigint, empty bigint, empty_bad bigint, index binary"), "toxic-index")
+    rows, bad, empty, empty_bad = (v or 0 for v in built.agg(*[F.sum(c) for c in ("n", "bad", "empty", "empty_bad")]).first())
+    rate = bad / rows if rows else 0.0
+    model = Model(shared, [context.broadcast(bytes(r["index"])) for r in built.select("index").toLocalIterator()],
+                  rate, (empty_bad + rate) / (empty + 1) if rows else 0.0)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        m = shared.value
         for b in batches:
-            for part in (b.slice(i, BATCH) for i in range(0, b.num_rows, BATCH)):
-                found = m.search(_lists(part.column(1), part.column(2)), NEIGHBOURS,
-                                 np.searchsorted(m.doc_id, part.column(0).to_numpy()).tolist())
-                yield pa.RecordBatch.from_arrays([pa.array([m.vote(*f) for f in found], pa.float64()), part.column(3)],
-                                                 names=["vote", "y"])
+            votes, y = [], []
+            for doc_id, pair, label in zip(b.column(0).to_pylist(), _lists(b.column(1), b.column(2)), b.column(3).to_pylist()):
+                _, near, cosine = model.search(*pair, leave_out=doc_id)
+                if len(pair[0]):
+                    votes.append(model.vote(near, cosine))
+                    y.append(label)
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(y, pa.int32())], names=["vote", "y"])
 
-    votes = (examples.filter(F.size("ids") > 0).select("doc_id", "ids", "tf", "y")
-             .mapInArrow(run, "vote double, y int").toPandas())                           # at most TRAIN_ROWS rows
-    return shared, calibrate(votes["vote"].to_numpy(), votes["y"].to_numpy(dtype=float)), counted
+    votes = examples.select("doc_id", "ids", "tf", "y").mapInArrow(run, "vote double, y int").toPandas()   # at most TRAIN_ROWS rows
+    return model, calibrate(votes["vote"].to_numpy(), votes["y"].to_numpy(dtype=float)), counted
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (up to three nearest example ids), one row per row of ``docs``.
 
-    Null and empty texts, and texts without any training word, score
-    the smoothed share of toxic among such training documents; a null id is
+    Null and empty texts, and texts without any training word,
+    score the smoothed share of toxic among such training documents; a null id is
     never held out; repeated rows get equal rows; without toxic labels every
     score is the base rate; no documents give no rows.
     """
-    shared, knots, counted = fit(docs, labels)
+    model, knots, counted = fit(docs, labels)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        m = shared.value
         seen: dict[bytes, tuple] = {}
         for b in batches:
             if len(seen) > 50_000:
                 seen.clear()
-            pairs = _lists(b.column(1), b.column(2))
-            keys = [blake2b(np.concatenate([i, t]).tobytes(), digest_size=16).digest() for i, t in pairs]
-            new = list({k: p for k, p in zip(keys, pairs) if k not in seen}.items())
-            for part in (new[i:i + BATCH] for i in range(0, len(new), BATCH)):
-                for (key, _), (who, cosine) in zip(part, m.search([p for _, p in part], NEIGHBOURS)):
-                    vote = m.vote(who, cosine)
-                    s = float(np.interp(vote, *knots)) if len(who) else vote
-                    seen[key] = (min(max(s, 0.0), 1.0), m.doc_id[who[:3]].tolist())
+            keys = []
+            for pair in _lists(b.column(1), b.column(2)):
+                keys.append(blake2b(np.concatenate(pair).tobytes(), digest_size=16).digest())
+                if keys[-1] not in seen:
+                    near, label, cosine = model.search(*pair)
+                    vote = model.vote(label, cosine)
+                    s = float(np.interp(vote, *knots)) if len(near) else vote
+                    seen[keys[-1]] = (min(max(s, 0.0), 1.0), near[:3].tolist())
             scores, evidence = [seen[k][0] for k in keys], [seen[k][1] for k in keys]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()),
                                               pa.array(evidence, pa.list_(pa.int64()))],
