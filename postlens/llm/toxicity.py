@@ -17,7 +17,7 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import cached_property
 from hashlib import blake2b
 
@@ -188,7 +188,7 @@ def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None
 class Index:
     """Block-max inverted index over one shard of labelled examples; alike examples stand in the same block."""
 
-    idf: np.ndarray | None     # weight of each term, negative for stop words; not stored with the shard
+    idf: np.ndarray            # weight of each term, negative for stop words; not packed
     start: np.ndarray          # entries of example e: start[e]:start[e + 1]
     term: np.ndarray
     tf: np.ndarray
@@ -206,6 +206,10 @@ class Index:
     def vector(self, ids, tf) -> tuple[np.ndarray, np.ndarray]:
         return unit(self.idf, ids, tf)
 
+    def packed(self) -> bytes:
+        """What can't be derived; ``with_lists`` derives the rest."""
+        return pickle.dumps((self.start, self.term, self.tf, self.norm, self.doc_id, self.label), protocol=5)
+
     @cached_property
     def scratch(self) -> np.ndarray:
         return np.zeros(len(self.idf))
@@ -328,7 +332,7 @@ _LOADED: dict[int, Index] = {}
 def loaded(number: int, shard: Broadcast, idf: Broadcast) -> Index:
     """A shard unpacked once per Python worker; a later model's shard takes its place."""
     if number not in _LOADED or _LOADED[number].idf is not idf.value:
-        _LOADED[number] = replace(pickle.loads(shard.value), idf=idf.value)
+        _LOADED[number] = with_lists(idf.value, *pickle.loads(shard.value))
     return _LOADED[number]
 
 
@@ -367,19 +371,25 @@ def build_index(rows: pd.DataFrame, idf: np.ndarray) -> Index:
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     by_row = np.argsort(rank[who], kind="stable")
-    by_term = np.lexsort((rank[who], term))
-    t, example = term[by_term], rank[who][by_term]
+    return with_lists(idf, np.r_[0, np.cumsum(n[order])], term[by_row].astype(np.int32),
+                      tf[by_row].astype(np.min_scalar_type(tf.max(initial=1))), norm[order], doc_id[order],
+                      rows["y"].to_numpy(dtype=float)[some][order])
+
+
+def with_lists(idf: np.ndarray, start: np.ndarray, term: np.ndarray, tf: np.ndarray, norm: np.ndarray,
+               doc_id: np.ndarray, label: np.ndarray) -> Index:
+    """The posting lists of ordered examples, in pieces with their greatest weights."""
+    example = np.repeat(np.arange(len(norm), dtype=np.uint16), np.diff(start))
+    by_term = np.argsort(term, kind="stable")
+    t, example = term[by_term], example[by_term]
+    weight = ((1 + np.log(tf.astype(float))) * np.abs(idf[term]) / np.repeat(norm, np.diff(start)))[by_term].astype(np.float32)
     block = example // BLOCK
     new = np.ones(len(t), dtype=bool)
     new[1:] = (t[1:] != t[:-1]) | (block[1:] != block[:-1])
     new = np.flatnonzero(new)
-    single = weight[by_term].astype(np.float32)
     lists, first = np.unique(t[new], return_index=True)
-    return Index(idf, np.r_[0, np.cumsum(n[order])], term[by_row].astype(np.int32), tf[by_row].astype(np.min_scalar_type(tf.max(initial=1))),
-                 norm[order], doc_id[order], rows["y"].to_numpy(dtype=float)[some][order],
-                 lists, np.r_[first, len(new)], block[new].astype(np.uint16),
-                 np.maximum.reduceat(single, new) if len(new) else single, np.r_[new, len(t)].astype(np.int32),
-                 example.astype(np.uint16), single)
+    return Index(idf, start, term, tf, norm, doc_id, label, lists.astype(np.int64), np.r_[first, len(new)], block[new],
+                 np.maximum.reduceat(weight, new) if len(new) else weight, np.r_[new, len(t)].astype(np.int32), example, weight)
 
 
 def calibrate(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -432,9 +442,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         index = build_index(rows, shared.value)
-        packed = pickle.dumps(replace(index, idf=None), protocol=5)
         return pd.DataFrame({"n": [len(rows)], "bad": [int(rows["y"].sum())], "empty": [len(rows) - len(index.doc_id)],
-                             "empty_bad": [int(rows["y"].sum() - index.label.sum())], "index": [packed]})
+                             "empty_bad": [int(rows["y"].sum() - index.label.sum())], "index": [index.packed()]})
 
     place = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")) % shards  # ids only, at most TRAIN_ROWS rows
     numbered = ids.select("doc_id").distinct().withColumn("shard", place)
@@ -442,7 +451,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
                    .applyInPandas(build, "n bigint, bad bigint, empty bigint, empty_bad bigint, index binary"), "toxic-index")
     rows, bad, empty, empty_bad = (v or 0 for v in built.agg(*[F.sum(c) for c in ("n", "bad", "empty", "empty_bad")]).first())
     rate = bad / rows if rows else 0.0
-    model = Model(shared, [context.broadcast(bytes(r["index"])) for r in built.select("index").toLocalIterator()],
+    model = Model(shared, [context.broadcast(r["index"]) for r in built.select("index").toLocalIterator()],
                   rate, (empty_bad + rate) / (empty + 1) if rows else 0.0)
 
     def run(batches: Iterator) -> Iterator:
