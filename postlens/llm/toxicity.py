@@ -127,7 +127,7 @@ def plain_words(rows: DataFrame) -> np.ndarray:
                 words.update(_WORD.findall((t.as_py() or "").lower()))
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(word_keys(list(words))), pa.int64())], names=["word"])
 
-    return np.sort(rows.select("text").mapInArrow(run, "word bigint").distinct().toPandas()["word"].to_numpy(dtype=np.int64))
+    return np.sort(rows.select("text").mapInArrow(run, "word bigint").distinct().toArrow()["word"].to_numpy())
 
 
 def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None = None) -> DataFrame:
@@ -413,7 +413,8 @@ def bounded(texts: DataFrame) -> DataFrame:
     """Rows of whole ids by hash while their texts fit into ``TRAIN_BYTES``."""
     sizes = texts.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")).alias("n"))
     running = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))             # at most TRAIN_ROWS rows
-    return texts.join(sizes.withColumn("n", running).filter(F.col("n") <= TRAIN_BYTES).select("doc_id"), "doc_id", "left_semi")
+    kept = sizes.withColumn("n", running).filter(F.col("n") <= TRAIN_BYTES).select("doc_id")
+    return texts.join(F.broadcast(kept), "doc_id", "left_semi")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np.ndarray], DataFrame]:
@@ -430,9 +431,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
     signals, plain = choose_vocabulary(texts), plain_words(texts)
     counted = stored(count_terms(x, list(signals), plain), "toxic-terms")
     total = counted.count()
-    df = counted.select(F.explode("ids").alias("t")).groupBy("t").count().toPandas()     # at most one row per training term
+    df = counted.select(F.explode("ids").alias("t")).groupBy("t").count().toArrow()      # at most one row per training term
     n = np.zeros(len(signals) + len(plain))
-    n[df["t"].to_numpy(dtype=np.int64)] = df["count"].to_numpy()
+    n[df["t"].to_numpy()] = df["count"].to_numpy()
     stop = n > np.r_[np.full(len(signals), np.inf), np.full(len(plain), max(MAX_SHARE * total, MIN_DOCUMENTS))]
     idf = (np.log((1 + total) / (1 + n)) + 0.05) * np.r_[list(signals.values()), np.full(len(plain), PLAIN)]
     shared = context.broadcast(np.where(stop, -idf, idf))
@@ -466,8 +467,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
                     y.append(label)
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(y, pa.int32())], names=["vote", "y"])
 
-    votes = examples.select("doc_id", "ids", "tf", "y").mapInArrow(run, "vote double, y int").toPandas()   # at most TRAIN_ROWS rows
-    return model, calibrate(votes["vote"].to_numpy(), votes["y"].to_numpy(dtype=float)), counted
+    votes = examples.select("doc_id", "ids", "tf", "y").mapInArrow(run, "vote double, y int").toArrow()    # at most TRAIN_ROWS rows
+    return model, calibrate(votes["vote"].to_numpy(), votes["y"].to_numpy().astype(float)), counted
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
