@@ -44,6 +44,8 @@ NEIGHBOURS = 25
 MAX_SHARE, FEW = 0.01, 64
 #: Examples of a shard and of a block, and what single precision may be off.
 SHARD, BLOCK, SLACK = 16_384, 64, 1e-6
+#: Texts whose words a task holds at once.
+ROWS = 512
 PREFIXES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -145,7 +147,7 @@ def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None
 
         at, stems, plain, signals = shared.value
         lengths = sorted({len(t) for t in stems})
-        for b in batches:
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             rows, all_ids, all_tf, others, other_rows, other_tf = [], [], [], [], [], []
             for row, value in enumerate(b.column(1)):
                 found: dict[int, int] = {}
