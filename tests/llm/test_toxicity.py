@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -51,6 +52,21 @@ def test_nearest_equal_brute_force():
         assert np.allclose(cosine, s[want])
 
 
+def test_shards_equal_one_index():
+    index, frame = make_index()
+    parts = [T.build_index(frame[frame["doc_id"] % 4 == i], index.idf).packed() for i in range(4)]
+    model = T.Model(SimpleNamespace(value=index.idf), [SimpleNamespace(value=p) for p in parts], 0.3, 0.3)
+    r = np.random.default_rng(5)
+    for _ in range(100):
+        ids = sorted(r.choice(len(index.idf), r.integers(1, 8), replace=False).tolist())
+        tf = r.integers(1, 4, len(ids)).tolist()
+        left_out = int(r.choice(index.doc_id))
+        who, cosine = index.nearest(ids, tf, 15, leave_out=index.place(left_out))
+        doc_id, label, near = model.search(ids, tf, 15, leave_out=left_out)
+        assert doc_id.tolist() == index.doc_id[who].tolist() and label.tolist() == index.label[who].tolist()
+        assert np.allclose(near, cosine) and left_out not in doc_id
+
+
 def test_leave_one_out_and_calibration():
     index, _ = make_index()
     who, _ = index.nearest([1, 2], [1, 1], 5)
