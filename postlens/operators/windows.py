@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,11 @@ def duration_micros(text: str) -> int:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
+def bucket_micros(length: str, slide: str) -> int:
+    """Width of the buckets that every window of (length, slide) is made of."""
+    return math.gcd(duration_micros(length), duration_micros(slide))
+
+
 def _to_micros(ts: Column, ntz: bool) -> Column:
     """Microseconds since 1970-01-01; a TIMESTAMP_NTZ is read field by field
     (date, hour, minute, second) so no session time zone is involved."""
@@ -46,9 +52,8 @@ def _to_micros(ts: Column, ntz: bool) -> Column:
 
 
 def _from_micros(us: Column, ntz: bool) -> Column:
-    if ntz:   # TIMESTAMP_NTZ + day-time interval is plain arithmetic
-        return (F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-                + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (us / 1_000_000).cast("decimal(18,6)")))
+    if ntz:   # TIMESTAMP_NTZ + day-time interval is plain arithmetic; the interval is a product of integers
+        return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.expr("INTERVAL '0.000001' SECOND") * us
     return F.timestamp_micros(us)
 
 
@@ -111,6 +116,107 @@ def two_level_agg(df: DataFrame, keys: tuple[str, ...], time_col: str, length1:
     return out.select(*keys, window, *partials)
 
 
+#: A time block is so many times as wide as the span of a row's windows: few rows are copied to two blocks.
+BLOCK_SPANS = 10
+#: Bytes of text that one task counts, and from which the words of a block are dealt over all tasks.
+TASK_BYTES, HOT_BYTES = 4_000_000, 32_000_000
+#: Rows of (word, bucket) counts that one task spreads over its windows.
+TASK_ROWS = 500_000
+
+
+def _blocks(b: Column, before: int, after: int, slide: int) -> Column:
+    """Starts of the blocks that own a window of bucket ``b``: a window is owned by the block it starts in.
+
+    The bucket's windows start after ``b - before`` and not after ``b + after``.
+    """
+    width = F.lit(_block_width(before, after, slide))
+    first, last = b - F.lit(before - 1), b + F.lit(after)
+    return F.sequence(first - F.pmod(first, width), last - F.pmod(last, width), width)
+
+
+def _block_width(before: int, after: int, slide: int) -> int:
+    return slide * -(-BLOCK_SPANS * (before + after) // slide)
+
+
+def _spread(rows: DataFrame, length: int, slide: int, count_col: str = "count") -> DataFrame:
+    """Bucket counts summed over the sliding windows that start in their block (no shuffle if dealt by block)."""
+    width = _block_width(length, 0, slide)
+    return (rows.select("_blk", "word", "_b", count_col, F.explode(F.sequence(F.lit(0), F.lit(-(-length // slide) - 1))).alias("_i"))
+            .withColumn("_s", F.col("_b") - F.pmod("_b", F.lit(slide)) - F.col("_i") * slide)
+            .where((F.col("_s") + length > F.col("_b")) & (F.col("_s") >= F.col("_blk")) & (F.col("_s") < F.col("_blk") + width))
+            .groupBy("_blk", "word", "_s").agg(F.sum(count_col).cast("bigint").alias("count")))
+
+
+def _spread_two_level(rows: DataFrame, length1: int, slide1: int, length2: int, slide2: int) -> DataFrame:
+    """Bucket counts summed over the second-level windows that start in their block.
+
+    A bucket counts in a second-level window once for each first-level window
+    that holds it and whose time (end - 1 microsecond) the other one holds:
+    so many multiples of ``slide1`` lie between the bounds of its start.
+    """
+    width = _block_width(length2, length1 - 1, slide2)
+    b, s = F.col("_b"), F.col("_s")
+    last = b + (length1 - 1)
+    low = F.greatest(b, s) - (length1 - 1)
+    high = F.least(b, s + (length2 - length1))
+    multiple = high - F.pmod(high, F.lit(slide1))
+    below = (low - 1) - F.pmod(low - 1, F.lit(slide1))
+    times = ((multiple - below) / slide1).cast("bigint")
+    n = -(-(length1 + length2) // slide2)
+    return (rows.select("_blk", "word", "_b", "count", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_i"))
+            .withColumn("_s", last - F.pmod(last, F.lit(slide2)) - F.col("_i") * slide2)
+            .where((s >= F.col("_blk")) & (s < F.col("_blk") + width))
+            .withColumn("_n", times).where(F.col("_n") > 0)
+            .groupBy("_blk", "word", "_s").agg(F.sum(F.col("count") * F.col("_n")).cast("bigint").alias("count")))
+
+
+def text_window_counts(posts: DataFrame, words: Callable[..., DataFrame], sizes: DataFrame | None = None,
+                       time_col: str = "created_at", length: str = "25 seconds", slide: str = "5 seconds",
+                       length2: str | None = None, slide2: str | None = None) -> DataFrame:
+    """Words of the posts' texts per sliding window (batch); with ``length2`` per window over these windows.
+
+    ``words(rows, keep=columns)`` splits the texts.  Not the words but the
+    posts are shuffled, to the time blocks whose windows they are in (one or
+    two of them); a block's words are then split, counted per bucket and
+    summed over its windows without another exchange.  The words of a block
+    of very much text are dealt by word as well.  ``sizes``: time and
+    ``n_bytes`` of every text, where there is a cheaper source than the posts.
+    """
+    L, S = duration_micros(length), duration_micros(slide)
+    two = length2 is not None
+    L2, S2 = (duration_micros(length2), duration_micros(slide2)) if two else (L, S)
+    g = math.gcd(L, S)
+    before, after = L2, (L - 1 if two else 0)
+    ntz = isinstance(posts.schema[time_col].dataType, TimestampNTZType)
+
+    def dealt(df: DataFrame, col: str) -> DataFrame:
+        us = _to_micros(F.col(time_col), ntz)
+        rows = df.where(F.col(time_col).isNotNull()).select(col, (us - F.pmod(us, F.lit(g))).alias("_b"))
+        return rows.select(col, "_b", F.explode(_blocks(F.col("_b"), before, after, S2)).alias("_blk"))
+
+    if sizes is None:
+        sizes = posts.select(time_col, F.octet_length("text").alias("n_bytes"))
+    per_block = dealt(sizes, "n_bytes").groupBy("_blk").agg(F.sum("n_bytes").alias("n"))
+    total = per_block.agg(F.sum("n")).first()[0] or 0
+    # at most a thousand blocks
+    hot = [r[0] for r in per_block.where(F.col("n") > max(HOT_BYTES, total / 1000)).collect()] if total > HOT_BYTES else []
+    tasks = max(1, -(-total // TASK_BYTES))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        n = rows.groupBy("_blk", "word", "_b").agg(F.count(F.lit(1)).alias("count"))
+        return _spread_two_level(n, L, S, L2, S2) if two else _spread(n, L, S)
+
+    rows, keep = dealt(posts, "text"), ("_blk", "_b")
+    if hot:
+        is_hot = F.col("_blk").isin(hot)
+        out = counted(words(rows.where(~is_hot).repartition(tasks, "_blk"), keep=keep)).unionByName(
+            counted(words(rows.where(is_hot), keep=keep).repartition(tasks, "_blk", "word")))
+    else:
+        out = counted(words(rows.repartition(tasks, "_blk"), keep=keep))
+    window = F.struct(_from_micros(F.col("_s"), ntz).alias("start"), _from_micros(F.col("_s") + L2, ntz).alias("end"))
+    return out.select("word", window.alias("window"), "count")
+
+
 def sliding_counts(df: DataFrame, keys: tuple[str, ...], time_col: str,
                    length: str = "25 seconds", slide: str = "5 seconds",
                    watermark: str | None = None) -> DataFrame:
@@ -153,8 +259,19 @@ def bucket_rows(partials: DataFrame, keys: tuple[str, ...], count_col: str = "co
 
 def expand_bucket_rows(rows: DataFrame, keys: tuple[str, ...], length: str = "25 seconds", slide: str = "5 seconds",
                        count_col: str = "count") -> DataFrame:
-    """Sliding-window counts from one row per (keys, bucket), as :func:`bucket_rows` gives them: one shuffle."""
+    """Sliding-window counts from rows of (keys, bucket, count), as :func:`bucket_rows` gives them: one shuffle.
+
+    Rows of the same keys and bucket add up.  Words are shuffled with their
+    time block, so the rows are shuffled once and not those of every window.
+    """
     L, S = duration_micros(length), duration_micros(slide)
+    if keys == ("word",):
+        tasks = max(1, -(-rows.count() // TASK_ROWS))
+        dealt = rows.select("word", F.col("bucket_us").alias("_b"), count_col,
+                            F.explode(_blocks(F.col("bucket_us"), L, 0, S)).alias("_blk")).repartition(tasks, "_blk", "word")
+        out = _spread(dealt, L, S, count_col)
+        window = F.struct(_from_micros(F.col("_s"), False).alias("start"), _from_micros(F.col("_s") + L, False).alias("end"))
+        return out.select("word", window.alias("window"), "count")
     b = F.col("bucket_us")
     out = (rows.select(*keys, "bucket_us", count_col, F.explode(F.sequence(F.lit(0), F.lit(-(-L // S) - 1))).alias("_i"))
            .withColumn("_s", b - F.pmod(b, F.lit(S)) - F.col("_i") * S).where(F.col("_s") + L > b)

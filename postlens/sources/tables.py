@@ -142,6 +142,15 @@ class Tables:
         """The posts' times alone, without their texts."""
         return self._get("post_times", lambda: table(self.spark, self.sf_dir, "events").select(F.col("ts").alias("created_at")))
 
+    @property
+    def post_sizes(self):
+        """Time and bytes of text of the posts that have one; the join moves no texts."""
+        def sizes():
+            e = table(self.spark, self.sf_dir, "events").select("event_id", F.col("ts").alias("created_at"))
+            d = table(self.spark, self.sf_dir, "documents").select("doc_id", F.octet_length("text").alias("n_bytes"))
+            return e.join(d, e.event_id == d.doc_id).select("created_at", "n_bytes")
+        return self._get("post_sizes", sizes)
+
     @property
     def users(self):
         return self._get("users", lambda: users(self.spark, self.sf_dir))

@@ -125,28 +125,44 @@ def word_count_partials_job(posts_decoded: DataFrame, watermark: str = WATERMARK
 
 
 def word_count_table(spark: SparkSession, path: str, compact_every: int = 10) -> ResultTable:
-    """The maintained result of :func:`word_count_updates`: one row per (word, bucket), whose count only grows."""
-    return ResultTable(spark, path, ("word", "bucket_us"), compact_every, growing=True)
+    """The maintained result of :func:`word_count_updates`: what each batch adds to a (word, bucket)."""
+    return ResultTable(spark, path, ("word", "bucket_us"), compact_every, adding=True)
+
+
+#: The posts of one bucket are counted in so many parts.
+BUCKET_PARTS = 16
 
 
 def word_count_updates(posts_decoded: DataFrame, watermark: str = WATERMARK, length: str = "25 seconds",
                        slide: str = "5 seconds", clean: bool = False, per_media_rows: bool = False):
-    """The complete result, kept incrementally: (stream for update mode, batch writer, reader).
+    """The complete result, kept incrementally: (stream of posts, batch writer, reader).
 
-    Each micro-batch gives only the (word, bucket) counts it changed; the
-    writer (of a :class:`ResultTable`) adds those rows; the reader merges what
-    was written and spreads it over the sliding windows once.  Late rows count
-    as in complete mode, since the state is kept without a watermark.
+    Counts add up, so no state is kept: the writer (of a :class:`ResultTable`)
+    counts the words of a micro-batch per bucket and adds those rows; the
+    reader spreads what was written over the sliding windows and sums it,
+    once.  Late rows count as in complete mode.  A batch shuffles its texts,
+    by bucket, and not their words.
     """
-    words = _words(posts_decoded, clean, per_media_rows)
-    partials = W.bucket_rows(W.bucket_counts(words, ("word",), "created_at", length, slide), ("word",))
+    posts = posts_stream(posts_decoded, explode_media=per_media_rows).select("created_at", "text")
+    g = F.lit(W.bucket_micros(length, slide))
+    words = WD.clean_words if clean else WD.raw_words
+
+    def counted(batch: DataFrame) -> DataFrame:
+        us = F.unix_micros("created_at")
+        rows = batch.where(F.col("created_at").isNotNull()).select(
+            "text", (us - F.pmod(us, g)).alias("bucket_us"), F.pmod(F.xxhash64("text"), F.lit(BUCKET_PARTS)).alias("_part"))
+        # a number of partitions that is not reduced: texts are several times as large as words
+        n = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (words(rows.repartition(n, "bucket_us", "_part"), keep=("bucket_us", "_part"))
+                .groupBy("word", "bucket_us", "_part").agg(F.count(F.lit(1)).alias("count")).drop("_part"))
 
     def writer(table: ResultTable):
-        return lambda batch, batch_id: table.write_batch(batch, batch_id)
+        return lambda batch, batch_id: table.write_batch(counted(batch), batch_id)
 
     def read(table: ResultTable) -> DataFrame:
-        return W.expand_bucket_rows(table.read(partials.schema), ("word",), length, slide)
-    return partials, writer, read
+        rows = table.read("word string, bucket_us bigint, count bigint", merged=False)
+        return W.expand_bucket_rows(rows, ("word",), length, slide)
+    return posts, writer, read
 
 
 def heavy_authors(posts: DataFrame, share: float = 0.01, author: str = "author_id") -> list[str]:
@@ -506,9 +522,9 @@ def stream_right_outer_x2(spark, sf):
 
 
 def _stream_counts(spark, sf, name: str, clean: bool) -> DataFrame:
-    partials, writer, read = word_count_updates(Replay(spark, sf).posts(), clean=clean)
+    posts, writer, read = word_count_updates(Replay(spark, sf).posts(), clean=clean)
     kept = word_count_table(spark, work_dir(spark, f"stream-out-{name}"))
-    run_available_now(partials, kept.path, work_dir(spark, f"stream-ckpt-{name}"), "update", write=writer(kept))
+    run_available_now(posts, kept.path, work_dir(spark, f"stream-ckpt-{name}"), "update", write=writer(kept))
     return ntz(W.flatten_window(read(kept)))
 
 

@@ -28,6 +28,7 @@ class ResultTable:
 
     ``growing``: the other columns only ever grow (running counts), so the
     greatest is the last and the merge is a plain hash aggregation.
+    ``adding``: the other columns are what a batch adds, and are summed.
     ``compact_every``: after so many batches they are merged into one folder,
     so a reader opens the files of one compaction and of fewer batches than
     that.  Folders that a compaction or a repeated batch has replaced stay
@@ -35,9 +36,9 @@ class ResultTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] | None = None, compact_every: int = 10,
-                 growing: bool = False):
+                 growing: bool = False, adding: bool = False):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
-        self.compact_every, self.growing = compact_every, growing
+        self.compact_every, self.growing, self.adding = compact_every, growing, adding
 
     # -- log --------------------------------------------------------------
 
@@ -89,6 +90,8 @@ class ResultTable:
         if not self.keys:
             return self.spark.read.parquet(*paths)
         rows = self.spark.read.parquet(*paths)
+        if self.adding:
+            return rows.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in self.keys])
         if self.growing:
             return rows.groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in rows.columns if c not in self.keys])
         # which batch a row is from: the folder in its file's name
@@ -98,12 +101,15 @@ class ResultTable:
         last = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*others), BATCH).alias("__last"))
         return last.select(*self.keys, *[F.col("__last")[c].alias(c) for c in others])
 
-    def read(self, schema: StructType | None = None) -> DataFrame:
-        """The result as of the last committed batch (``schema``: of a table that has none yet)."""
+    def read(self, schema: StructType | str | None = None, merged: bool = True) -> DataFrame:
+        """The result as of the last committed batch (``schema``: of a table that has none yet).
+
+        ``merged=False``: the rows as they were written, for a reader that merges them itself.
+        """
         use = self.folders()
         if not use:
             if schema is None:
                 raise ValueError(f"nothing is committed under {self.path}")
             return self.spark.createDataFrame([], schema)
-        return self._merged(use)
+        return self._merged(use) if merged else self.spark.read.parquet(*[f"{self.path}/data/{f}" for _, f in use])
 
