@@ -493,8 +493,8 @@ def word_count_per_media_rows(spark, sf):
 
 @query("word_count_sliding")
 def word_count_sliding(spark, sf):
-    words = WD.raw_words(Tables(spark, sf).posts, keep=("created_at",))
-    return W.flatten_window(W.sliding_counts(words, ("word",), "created_at", "25 seconds", "5 seconds"))
+    t = Tables(spark, sf)
+    return W.flatten_window(W.text_window_counts(t.posts, WD.raw_words, t.post_sizes))
 
 
 @query("word_count_sliding_clean")
