@@ -499,8 +499,8 @@ def word_count_sliding(spark, sf):
 
 @query("word_count_sliding_clean")
 def word_count_sliding_clean(spark, sf):
-    words = WD.clean_words(Tables(spark, sf).posts, keep=("created_at",))
-    return W.flatten_window(W.sliding_counts(words, ("word",), "created_at", "25 seconds", "5 seconds"))
+    t = Tables(spark, sf)
+    return W.flatten_window(W.text_window_counts(t.posts, WD.clean_words, t.post_sizes))
 
 
 @query("word_count_two_level")
