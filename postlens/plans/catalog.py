@@ -505,6 +505,6 @@ def word_count_sliding_clean(spark, sf):
 
 @query("word_count_two_level")
 def word_count_two_level(spark, sf):
-    words = WD.clean_words(Tables(spark, sf).posts, keep=("created_at",))
-    return W.flatten_window(W.two_level_agg(words, ("word",), "created_at", "25 seconds", "5 seconds",
-                                            "1 minute", "30 seconds", {"count": F.count(F.lit(1))}))
+    t = Tables(spark, sf)
+    return W.flatten_window(W.text_window_counts(t.posts, WD.clean_words, t.post_sizes,
+                                                 length2="1 minute", slide2="30 seconds"))
