@@ -34,6 +34,10 @@ WATERMARK = "30 seconds"
 CLOSE = "__close"
 #: Micro-batches of data that a replay of the test tables is cut into.
 REPLAY_BATCHES = 5
+#: Posts of a micro-batch at most, where state is evicted by the watermark: what it holds does not grow with the input.
+BATCH_POSTS = 1_500_000
+#: Posts for each state partition: of one micro-batch, and of all of them where state is kept for good.
+PARTITION_POSTS, PARTITION_KEPT_POSTS, LEAST_PARTITIONS = 25_000, 100_000, 8
 
 
 # -- jobs --------------------------------------------------------------------
@@ -402,10 +406,24 @@ class Replay:
     """Record files for the tables of one data folder, staged in the order of
     event time and opened as streams of several micro-batches."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, closing: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, closing: bool = False, bounded: bool = False):
+        """``bounded``: the job's state is evicted by the watermark, so it is as large as its micro-batches."""
         self.spark, self.t, self.sf_dir = spark, Tables(spark, sf_dir), sf_dir
-        self.closing = closing
-        self._cuts = None
+        self.closing, self.bounded = closing, bounded
+        self._cuts = self._posts = None
+
+    def n_posts(self) -> int:
+        if self._posts is None:
+            self._posts = self.t.post_times.count()
+        return self._posts
+
+    def batches(self) -> int:
+        return max(REPLAY_BATCHES, -(-self.n_posts() // BATCH_POSTS)) if self.bounded else REPLAY_BATCHES
+
+    def partitions(self) -> int:
+        """State partitions by the posts they hold; at most what the session has."""
+        n = -(-self.n_posts() // (self.batches() * PARTITION_POSTS if self.bounded else PARTITION_KEPT_POSTS))
+        return min(max(LEAST_PARTITIONS, n), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     def _max(self) -> DataFrame:
         """The latest time: media and user messages are sent before their posts."""
@@ -415,7 +433,7 @@ class Replay:
     def cuts(self) -> list:
         """Times that cut the posts into equal micro-batches; all streams use the same."""
         if self._cuts is None:
-            self._cuts = time_cuts(self.t.post_times, "created_at", REPLAY_BATCHES)
+            self._cuts = time_cuts(self.t.post_times, "created_at", self.batches())
         return self._cuts
 
     def _open(self, name: str, records: DataFrame, closing_fn) -> DataFrame:
@@ -437,9 +455,10 @@ class Replay:
         return self._open("media", msg.media_records(self.t.media_messages), _closing_media)
 
 
-def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", finish=None) -> DataFrame:
+def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", finish=None,
+         partitions: int | None = None) -> DataFrame:
     out, ckpt = work_dir(spark, f"stream-out-{name}"), work_dir(spark, f"stream-ckpt-{name}")
-    final = run_available_now(df, out, ckpt, mode, finish=finish)
+    final = run_available_now(df, out, ckpt, mode, finish=finish, partitions=partitions)
     return spark.read.parquet(final)
 
 
@@ -477,7 +496,8 @@ def stream_join_users_salted(spark, sf):
     hot = heavy_authors(table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("author_id")))
     rows = join_users_job(r.posts(), r.users(), hot=hot, salts=4, distinct=False)
     kept = DistinctTable(spark, work_dir(spark, "stream-out-join-salted"), rows.columns)
-    run_available_now(rows, kept.path, work_dir(spark, "stream-ckpt-join-salted"), "append", write=kept.write_batch)
+    run_available_now(rows, kept.path, work_dir(spark, "stream-ckpt-join-salted"), "append", write=kept.write_batch,
+                      partitions=r.partitions())
     return ntz(kept.read())
 
 
@@ -491,15 +511,15 @@ def stream_join_users(spark, sf):
 def stream_join_users_media(spark, sf):
     r = Replay(spark, sf, closing=True)
     job = join_users_media_job(r.posts(), r.users(), r.media())
-    out = _run(spark, job, "join-users-media")
+    out = _run(spark, job, "join-users-media", partitions=r.partitions())
     return out.where((F.col("username") != CLOSE) | F.col("username").isNull())
 
 
 @query("stream_full_outer")
 def stream_full_outer(spark, sf):
     """J10's rows: posts FULL OUTER media messages FULL OUTER user messages (users sent before each post)."""
-    r = Replay(spark, sf, closing=True)
-    out = _run(spark, full_outer_job(r.posts(), r.users(per_post=True), r.media()), "full-outer")
+    r = Replay(spark, sf, closing=True, bounded=True)
+    out = _run(spark, full_outer_job(r.posts(), r.users(per_post=True), r.media()), "full-outer", partitions=r.partitions())
     close = [F.coalesce(F.col(x), F.lit("")) == CLOSE for x in ("tweet_id", "media_key", "username")]
     return ntz(out.where(~(close[0] | close[1] | close[2])).withColumnRenamed("dataTimestamp", "created_at"))
 
@@ -507,16 +527,16 @@ def stream_full_outer(spark, sf):
 @query("stream_media_counts_full_outer")
 def stream_media_counts_full_outer(spark, sf):
     """J10: media types per window and user, over posts FULL OUTER media FULL OUTER users."""
-    r = Replay(spark, sf, closing=True)
-    out = _run(spark, media_counts_full_outer_job(r.posts(), r.users(per_post=True), r.media()), "media-counts-full")
+    r = Replay(spark, sf, closing=True, bounded=True)
+    out = _run(spark, media_counts_full_outer_job(r.posts(), r.users(per_post=True), r.media()), "media-counts-full", partitions=r.partitions())
     return ntz(W.flatten_window(out))
 
 
 @query("stream_right_outer_x2")
 def stream_right_outer_x2(spark, sf):
     """J11: users RIGHT OUTER posts RIGHT OUTER media messages."""
-    r = Replay(spark, sf, closing=True)
-    out = _run(spark, right_outer_job(r.posts(), r.users(), r.media()), "right-x2")
+    r = Replay(spark, sf, closing=True, bounded=True)
+    out = _run(spark, right_outer_job(r.posts(), r.users(), r.media()), "right-x2", partitions=r.partitions())
     out = out.where((F.col("c_media_key") != CLOSE) | F.col("c_media_key").isNull())
     return ntz(out.withColumnsRenamed({"dataTimestamp": "created_at", "mediaTimestamp": "media_ts"}))
 

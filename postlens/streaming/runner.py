@@ -70,9 +70,13 @@ def append_records(records: DataFrame, path: str) -> None:
 
 def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
                       timeout_s: float | None = None, query_name: str | None = None,
-                      finish=None, write: Callable[[DataFrame, int], None] | None = None) -> str:
+                      finish=None, write: Callable[[DataFrame, int], None] | None = None,
+                      partitions: int | None = None) -> str:
     """Run ``df`` with ``trigger(availableNow=True)`` to its end (no time limit unless given).
 
+    ``partitions``: state partitions of a new checkpoint (else ``spark.sql.shuffle.partitions``).
+    Each writes its state's files after every batch, however few rows it has.
+
     Returns the folder of the result.  ``write``: a ``foreachBatch`` function
     that keeps the result itself (see :class:`.results.ResultTable`).  Complete mode writes the result table
     of each micro-batch, after ``finish`` (a batch DataFrame -> DataFrame
@@ -93,7 +97,15 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         writer = writer.queryName(query_name)
-    q = writer.start()
+    spark, name = df.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        if partitions:
+            spark.conf.set(name, str(partitions))    # a query keeps the settings it was started with
+        q = writer.start()
+    finally:
+        if partitions:
+            spark.conf.set(name, before)
     try:
         finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination() or True)
         if not finished:
