@@ -4,8 +4,8 @@ A text is split by the vocabulary's pattern.  Per partition, DuckDB holds the
 merge table; every distinct match becomes rows (word, position, token, next),
 and a recursive query contracts each word's leftmost pair of minimum rank until
 no pair is left.  An ordered aggregation collects the ids and, joined to the
-vocabulary, the decoded bytes.  Results of a partition's earlier words are
-remembered (up to a bound), so each is encoded about once.
+vocabulary, the decoded bytes.  Results of the words used last are remembered
+by the worker (up to a bound), so most are encoded once.
 """
 
 from __future__ import annotations
@@ -24,31 +24,33 @@ from .common import by_place, col, free
 
 #: Bytes of text that go through one round of the SQL query.
 ROUND_BYTES = 1_000_000
-#: Words remembered within a partition; beyond it the memory starts afresh (results stay the same).
-REMEMBERED = 300_000
+#: Words remembered by a worker; beyond it those not used since as many others came are forgotten (results stay the same).
+REMEMBERED = 200_000
 #: Words of more bytes than this are merged with a heap, as the query's work on one word grows with its square.
 LONG_WORD = 256
 
-#: A row is a part of a word: its place p, token t, the next part's place q and token u, and what the two merge to.
-#: Words of one token go through it too: their bytes are merged like any others.
+#: A row is a part of a word: its place p (that of its last byte), token t, the next part's place q and token u, and
+#: what the two merge to.  A merge leaves the later part's row, which knows what follows; only the merged part and the
+#: one before it look up what they merge to.  Words of one token go through it too: their bytes are merged like any others.
 _ROUNDS = """
 WITH RECURSIVE state(w, p, t, q, u, merged, round) AS (
-  SELECT s.w, s.p, s.t, s.q, s.u, m.tok, 0 FROM start s LEFT JOIN merges m ON m.pair = s.t * 16777216 + s.u
+  SELECT s.w, s.p, s.t, s.q, s.u, m.tok, 0::INTEGER
+  FROM start s LEFT JOIN merges m ON m.pair = s.t::BIGINT * 16777216 + s.u
   UNION ALL
   (WITH best AS (
-     SELECT w, min(merged * 65536 + p) AS best FROM state WHERE merged IS NOT NULL GROUP BY w),
+     SELECT w, min(merged::BIGINT * 4294967296 + p * 65536::BIGINT + q) AS best FROM state WHERE merged IS NOT NULL GROUP BY w),
    hit AS (
-     SELECT b.w, a.p, a.merged, a.q, n.q AS after, n.u AS follower
-     FROM best b JOIN state a ON a.w = b.w AND a.p = b.best % 65536 JOIN state n ON n.w = a.w AND n.p = a.q),
+     SELECT w, (best // 4294967296)::INTEGER AS t, (best // 65536 % 65536)::INTEGER AS p, (best % 65536)::INTEGER AS q FROM best),
    next AS (
-     SELECT s.w, s.p, CASE WHEN s.p = h.p THEN h.merged ELSE s.t END AS t,
-            CASE WHEN s.p = h.p THEN h.after ELSE s.q END AS q,
-            CASE WHEN s.p = h.p THEN h.follower WHEN s.q = h.p THEN h.merged ELSE s.u END AS u, s.round + 1 AS round
-     FROM state s JOIN hit h ON h.w = s.w WHERE s.p <> h.q)
-   SELECT next.w, next.p, next.t, next.q, next.u, m.tok, next.round
-   FROM next LEFT JOIN merges m ON m.pair = next.t * 16777216 + next.u)
+     SELECT s.w, s.p, CASE WHEN s.p = h.q THEN h.t ELSE s.t END AS t,
+            CASE WHEN s.q = h.p THEN h.q ELSE s.q END AS q,
+            CASE WHEN s.q = h.p THEN h.t ELSE s.u END AS u, s.merged,
+            s.p = h.q OR coalesce(s.q = h.p, false) AS fresh, s.round + 1 AS round
+     FROM state s JOIN hit h ON h.w = s.w WHERE s.p <> h.p)
+   SELECT next.w, next.p, next.t, next.q, next.u, CASE WHEN fresh THEN m.tok ELSE next.merged END, next.round
+   FROM next LEFT JOIN merges m ON m.pair = CASE WHEN fresh THEN next.t::BIGINT * 16777216 + next.u END)
 ),
-last AS (SELECT w, max(round) AS round FROM state WHERE p = 0 GROUP BY w)
+last AS (SELECT w, max(round) AS round FROM state WHERE q IS NULL GROUP BY w)
 SELECT w, list(t ORDER BY p) AS ids, string_agg(piece, '' ORDER BY p) AS decoded
 FROM state JOIN last USING (w, round) JOIN vocabulary v ON v.tok = state.t GROUP BY w
 """
@@ -100,11 +102,14 @@ class Tables:
                 if left is not None and right is not None:
                     pair.append(left * 16777216 + right)
                     tok.append(r)
-        self.merges = pa.table({"pair": pa.array(pair, pa.int64()), "tok": pa.array(tok, pa.int64())})
+        self.merges = pa.table({"pair": pa.array(pair, pa.int64()), "tok": pa.array(tok, pa.int32())})
         # each byte is one Latin-1 character, so any bytes are valid text for the aggregation
-        self.vocabulary = pa.table({"tok": pa.array(list(ranks.values()), pa.int64()),
+        self.vocabulary = pa.table({"tok": pa.array(list(ranks.values()), pa.int32()),
                                     "piece": pa.array([b.decode("latin-1") for b in ranks])})
         self.of_byte = [ranks[bytes([i])] for i in range(256)]
+        # of words: ids as little-endian 32-bit integers, and the bytes decoded from them; the words used of late, and those before
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
 
 class Codec:
@@ -114,8 +119,7 @@ class Codec:
         import duckdb
 
         self.ranks, self.find, self.of_byte = tables.ranks, tables.find, tables.of_byte
-        # of the words known so far: ids as little-endian 32-bit integers, and the bytes decoded from them
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known, self.older, self.long = tables.known, tables.older, []
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         for name in ("merges", "vocabulary"):
             self.db.register("given", getattr(tables, name))
@@ -123,8 +127,7 @@ class Codec:
             self.db.unregister("given")
 
     def close(self) -> None:
-        """Gives the memory back to the worker."""
-        self.known.clear()
+        """Gives the database's memory back to the worker."""
         self.db.close()
 
     def learn(self, words: list[str]) -> None:
@@ -139,14 +142,14 @@ class Codec:
             raw = [w.encode("utf-8") for w in words]
         if not words:
             return
-        n = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        n = np.fromiter(map(len, raw), dtype=np.int32, count=len(raw))
         flat = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        ends = np.cumsum(n)
-        p, t = np.arange(len(flat)) - np.repeat(ends - n, n), np.array(self.of_byte, dtype=np.int64)[flat]
+        ends = np.cumsum(n, dtype=np.int32)
+        p, t = np.arange(len(flat), dtype=np.int32) - np.repeat(ends - n, n), np.array(self.of_byte, dtype=np.int32)[flat]
         last = np.zeros(len(flat), dtype=bool)
         last[ends - 1] = True
-        start = pa.table({"w": np.repeat(np.arange(len(n), dtype=np.int64), n), "p": p, "t": t,
-                          "q": pa.array(p + 1, mask=last), "u": pa.array(np.append(t[1:], 0), mask=last)})
+        start = pa.table({"w": np.repeat(np.arange(len(n), dtype=np.int32), n), "p": p, "t": t,
+                          "q": pa.array(p + 1, mask=last), "u": pa.array(np.append(t[1:], np.int32(0)), mask=last)})
         self.db.register("start", start)
         got = self.db.sql(_ROUNDS).to_arrow_table().combine_chunks()
         self.db.unregister("start")
@@ -163,20 +166,29 @@ class Codec:
 
         ids = merge_long(word.encode("utf-8"), self.ranks)
         self.known[word] = np.array(ids, dtype="<u4").tobytes(), self.decode([ids])[0]
+        self.long.append(word)
         return False
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, bytes decoded from them) per text."""
         split = [self.find(t) for t in texts]
         if len(self.known) > REMEMBERED:
+            self.older.clear()
+            self.older.update(self.known)
             self.known.clear()
         new = set().union(*split).difference(self.known)
+        again = [w for w in new if w in self.older]
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        new.difference_update(again)
         if new:
             self.learn(list(new))
         out = []
         for ws in split:
-            pairs = [self.known[w] for w in ws]
-            out.append((b"".join([x[0] for x in pairs]), b"".join([x[1] for x in pairs])))
+            ids, decoded = zip(*map(self.known.__getitem__, ws)) if ws else ((), ())
+            out.append((b"".join(ids), b"".join(decoded)))
+        for w in self.long:                                # not remembered, as they may be of any size
+            self.known.pop(w, None)
+        self.long.clear()
         return out
 
     def decode(self, documents: list[list[int]]) -> list[bytes]:

@@ -61,6 +61,31 @@ def test_rounds_equal_heap_and_decode(plain):
     assert codec.decode(lists) == [t.encode() for t in texts()]
 
 
+def test_worker_remembers_words(plain, monkeypatch):
+    """A later task of the worker encodes no word that was used of late; the memory stays bounded."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 300)
+    with open(PATH, "rb") as f:
+        tables = bpe.Tables(bpe.parse_ranks(f.read()), P.PATTERN)
+    learned = []
+
+    class Counting(bpe.Codec):
+        def learn(self, words):
+            learned.extend(words)
+            super().learn(words)
+
+    r = random.Random(11)
+    often = "".join(f" often{c}" for c in "abcdefghij")
+    ts = [often + "".join(f" rare{r.randrange(10**9):x}" for _ in range(50)) + " " + "x" * 3000 for _ in range(60)]
+    for part in (ts[:30], ts[30:]):
+        codec = Counting(tables)
+        for t in part:
+            (ids, decoded), = codec.encode([t])
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode_ordinary(t) and decoded == t.encode()
+        codec.close()
+    assert learned.count(" oftena") == 1 and learned.count(" oftenj") == 1
+    assert len(tables.known) + len(tables.older) < 2 * 300 + 1000 and max(map(len, [*tables.known, *tables.older])) <= bpe.LONG_WORD
+
+
 def test_split_is_the_pattern(plain):
     import regex
 
