@@ -5,8 +5,9 @@ words and prefixes among them that go with toxicity or with its absence: these
 signal terms count in full, plain words with a smaller weight, so a rare kind
 of toxicity is near its own examples and a clean text near clean ones.
 Document frequencies are counted over all documents.  All labelled examples
-are searched: common terms by a matrix product, the others by posting lists,
-and the best are scored again in double precision.  The nearest examples vote
+are searched: short posting lists are scored in full, long ones only in blocks
+whose greatest weights allow a neighbour, and the best are scored again in
+double precision.  The nearest examples vote
 by similarity, and the votes are calibrated on the training examples
 themselves, each left out of its own search.
 """
@@ -18,8 +19,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 from hashlib import blake2b
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -42,10 +44,13 @@ PLAIN = 0.03
 NEIGHBOURS = 25
 #: Plain words in more than this share of the documents are stop words; they count in texts with fewer other terms than FEW.
 MAX_SHARE, FEW = 0.01, 64
-#: Examples of a shard and of a block, and what single precision may be off.
-SHARD, BLOCK, SLACK = 16_384, 64, 1e-6
-#: Texts whose words a task holds at once.
-ROWS = 512
+#: Examples of a shard as built and as searched, and of a block; postings from which a list has a bound for each block;
+#: what single precision may be off.
+SHARD, SEARCHED, BLOCK, LONG, SLACK = 16_384, 65_536, 64, 512, 1e-6
+#: Texts whose words a task holds at once, and words whose terms it remembers.
+ROWS, REMEMBERED = 512, 200_000
+#: Terms that a task counts before it hands the counts on.
+COUNTED = 300_000
 PREFIXES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -55,8 +60,8 @@ def dense_levels(n: int, words: int) -> int:
     return (n >= 2 and n >= 0.004 * words) + (n >= 3 and n >= 0.01 * words)
 
 
-def terms(text: str | None) -> Counter:
-    """Term frequencies of a whole text: words, prefixes marked ``*``, and dense prefixes marked ``*+``, ``*++``."""
+def _terms(text: str | None) -> tuple[Counter, Counter, dict[str, int]]:
+    """Words, prefixes marked ``*``, and dense prefixes marked ``*+``, ``*++``, of a whole text."""
     words = Counter(_WORD.findall((text or "").lower()))
     prefixes: Counter = Counter()
     for w, n in words.items():
@@ -64,7 +69,12 @@ def terms(text: str | None) -> Counter:
             if len(w) > k:
                 prefixes[w[:k] + "*"] += n
     total = sum(words.values())
-    dense = {p + "+" * level: 1 for p, n in prefixes.items() if n > 1 for level in range(1, dense_levels(n, total) + 1)}
+    return words, prefixes, {p + "+" * level: 1 for p, n in prefixes.items() if n > 1 for level in range(1, dense_levels(n, total) + 1)}
+
+
+def terms(text: str | None) -> Counter:
+    """Term frequencies of a whole text."""
+    words, prefixes, dense = _terms(text)
     return words + prefixes + Counter(dense)
 
 
@@ -94,11 +104,11 @@ def choose_vocabulary(rows: DataFrame) -> dict[str, float]:
         seen, toxic = Counter(), Counter()
         for b in batches:
             for t, y in zip(b.column(0), b.column(1).to_pylist()):
-                found = terms(t.as_py()).keys()
-                seen.update(found)
-                if y == 1:
-                    toxic.update(found)
-                if len(seen) > 500_000:
+                for found in _terms(t.as_py()):            # no term is of two kinds
+                    seen.update(found.keys())
+                    if y == 1:
+                        toxic.update(found.keys())
+                if len(seen) > COUNTED:
                     yield from counts(seen, toxic)
                     seen, toxic = Counter(), Counter()
         yield from counts(seen, toxic)
@@ -147,36 +157,40 @@ def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None
 
         at, stems, plain, signals = shared.value
         lengths = sorted({len(t) for t in stems})
+        remembered: dict[str, tuple[int, tuple[str, ...]]] = {}     # term of a word or -1, and its prefixes
+
+        def remember(words: list[str]) -> None:
+            keys = word_keys(words) if len(plain) else np.zeros(len(words), np.int64)
+            place = np.minimum(np.searchsorted(plain, keys), len(plain) - 1)
+            term = np.where(plain[place] == keys, signals + place, -1).tolist() if len(plain) else [-1] * len(words)
+            for w, t in zip(words, term):
+                remembered[w] = at.get(w, t), tuple(w[:k] for k in lengths if len(w) > k and w[:k] in stems)
+
         for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            rows, all_ids, all_tf, others, other_rows, other_tf = [], [], [], [], [], []
-            for row, value in enumerate(b.column(1)):
+            texts = [Counter(_WORD.findall((value.as_py() or "").lower())) for value in b.column(1)]
+            if len(remembered) > REMEMBERED:
+                remembered.clear()
+            if new := set().union(*texts).difference(remembered):
+                remember(list(new))
+            all_ids, all_tf, n_terms = [], [], []
+            for counts in texts:
                 found: dict[int, int] = {}
                 dense: Counter = Counter()
-                counts = Counter(_WORD.findall((value.as_py() or "").lower()))
                 for w, n in counts.items():
-                    if w in at:
-                        found[at[w]] = n
-                    else:
-                        others.append(w)
-                        other_tf.append(n)
-                    for k in lengths:
-                        if len(w) > k and (p := w[:k]) in stems:
-                            dense[p] += n
-                other_rows += [row] * (len(others) - len(other_rows))
+                    t, own = remembered[w]
+                    if t >= 0:
+                        found[t] = found.get(t, 0) + n
+                    for p in own:
+                        dense[p] += n
                 total = sum(counts.values()) if dense else 0
                 for p, n in dense.items():
                     for level, i in enumerate(stems[p][:1 + dense_levels(n, total)]):
                         if i >= 0:
                             found[i] = 1 if level else n
-                rows += [row] * len(found)
                 all_ids += found
                 all_tf += found.values()
-            keys = word_keys(others) if len(plain) else np.zeros(0, np.int64)
-            place = np.minimum(np.searchsorted(plain, keys), len(plain) - 1)
-            known = np.flatnonzero(plain[place] == keys)
-            row = np.r_[np.array(rows, np.int32), np.array(other_rows, np.int32)[known]]
-            ids = np.r_[np.array(all_ids, np.int32), (signals + place[known]).astype(np.int32)]
-            tf = np.r_[np.array(all_tf, np.int32), np.array(other_tf, np.int32)[known]]
+                n_terms.append(len(found))
+            ids, tf, row = np.array(all_ids, np.int32), np.array(all_tf, np.int32), np.repeat(np.arange(len(texts)), n_terms)
             order = np.lexsort((ids, row))
             ends = pa.array(np.r_[0, np.cumsum(np.bincount(row, minlength=b.num_rows))].astype(np.int32))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.ListArray.from_arrays(ends, pa.array(v[order])) for v in (ids, tf))],
@@ -197,24 +211,19 @@ class Index:
     norm: np.ndarray           # length of each example's vector
     doc_id: np.ndarray
     label: np.ndarray
-    lists: np.ndarray          # terms that have a posting list, ascending
-    list_start: np.ndarray     # pieces of list l, one per block: list_start[l]:list_start[l + 1]
-    block: np.ndarray          # block and greatest weight of a piece
-    block_max: np.ndarray
-    piece_start: np.ndarray    # postings of a piece
+    list_start: np.ndarray     # postings of term t: list_start[t]:list_start[t + 1]
     example: np.ndarray
     weight: np.ndarray
+    long: np.ndarray           # terms of at least LONG postings, ascending
+    block_max: np.ndarray      # greatest weight of each long list in each block
+    piece_start: np.ndarray    # postings of long list l in block b: piece_start[l, b]:piece_start[l, b + 1]
 
     def vector(self, ids, tf) -> tuple[np.ndarray, np.ndarray]:
         return unit(self.idf, ids, tf)
 
-    def packed(self) -> bytes:
+    def packed(self) -> tuple[np.ndarray, ...]:
         """What can't be derived; ``with_lists`` derives the rest."""
-        return pickle.dumps((self.start, self.term, self.tf, self.norm, self.doc_id, self.label), protocol=5)
-
-    @cached_property
-    def scratch(self) -> np.ndarray:
-        return np.zeros(len(self.idf))
+        return self.start, self.term, self.tf, self.norm, self.doc_id, self.label
 
     @cached_property
     def by_id(self) -> np.ndarray:
@@ -225,19 +234,14 @@ class Index:
         at = np.searchsorted(self.doc_id, doc_id, sorter=self.by_id)
         return int(self.by_id[at]) if at < len(self.doc_id) and self.doc_id[self.by_id[at]] == doc_id else None
 
-    @cached_property
-    def entries(self) -> np.ndarray:
-        """Weights of all examples' terms in double precision."""
-        w = (1 + np.log(self.tf.astype(float))) * np.abs(self.idf[self.term])
-        return w / np.repeat(self.norm, np.diff(self.start))
-
     def exact(self, found: np.ndarray, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Cosines of some examples in double precision."""
         post, n = _spans(self.start, found)
-        self.scratch[ids] = w
-        each = self.scratch[self.term[post]] * self.entries[post]
-        self.scratch[ids] = 0.0
-        return np.bincount(np.repeat(np.arange(len(found)), n), each, len(found))
+        query = scratch(len(self.idf))
+        query[ids] = w * np.abs(self.idf[ids])
+        each = query[self.term[post]] * damped(self.tf[post])
+        query[ids] = 0.0
+        return np.bincount(np.repeat(np.arange(len(found)), n), each, len(found)) / self.norm[found]
 
     def search(self, ids: np.ndarray, w: np.ndarray, k: int, least: float = 0.0,
                leave_out: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -247,34 +251,33 @@ class Index:
         """
         if not len(self.doc_id) or not len(ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        at = np.minimum(np.searchsorted(self.lists, ids), len(self.lists) - 1)
-        known = self.lists[at] == ids
-        pieces, n = _spans(self.list_start, at[known])
-        of = np.repeat(w[known], n)
-        blocks = self.block[pieces]
-        last = (len(self.doc_id) - 1) // BLOCK
-        bound = np.bincount(blocks, of * self.block_max[pieces], last + 1)
-        score = np.zeros(len(self.doc_id))
-
-        def add(chosen: np.ndarray, kth: float) -> tuple[np.ndarray, float]:
-            """Score the examples of the chosen blocks: those that may be among the k nearest so far, and the k-th best."""
-            use = chosen[blocks]
-            post, m = _spans(self.piece_start, pieces[use])
-            score[:] += np.bincount(self.example[post], np.repeat(of[use], m) * self.weight[post], len(score))
-            if leave_out is not None:
-                score[leave_out] = 0.0
+        long = self.list_start[ids + 1] - self.list_start[ids] >= LONG
+        rows, of = np.searchsorted(self.long, ids[long]), w[long]
+        post, n = _spans(self.list_start, ids[~long])
+        score = np.zeros(self.block_max.shape[1] * BLOCK)
+        score += np.bincount(self.example[post], np.repeat(w[~long], n) * self.weight[post], len(score))
+        if leave_out is not None:
+            score[leave_out] = -np.inf
+        bound = score.reshape(-1, BLOCK).max(axis=1) + of @ self.block_max[rows]
+
+        def add(blocks: np.ndarray, kth: float) -> tuple[np.ndarray, float]:
+            """Add the long lists in some blocks: the examples that may be among the k nearest, and the least k-th best so far."""
+            first = self.piece_start[rows[:, None], blocks]
+            each = self.piece_start[rows[:, None], blocks + 1] - first
+            post, _ = _ranges(first.ravel(), each.ravel())
+            score[:] += np.bincount(self.example[post], np.repeat(of, each.sum(axis=1)) * self.weight[post], len(score))
             found = np.flatnonzero(score > max(kth - SLACK, 0.0))
             if len(found) > k:
                 kth = max(kth, float(np.partition(score[found], -k)[-k]))
                 found = found[score[found] >= kth - SLACK]
             return found, kth
 
-        first = np.zeros(last + 1, dtype=bool)
         seeds = 2 * k // BLOCK + 2
-        first[np.argpartition(bound, -seeds)[-seeds:] if seeds <= last else slice(None)] = True
+        first = np.argpartition(bound, -seeds)[-seeds:] if seeds < len(bound) else np.arange(len(bound))
         found, kth = add(first, least)
-        rest = ~first & (bound > max(kth - SLACK, 0.0))
-        if rest.any():
+        bound[first] = 0.0
+        rest = np.flatnonzero(bound > max(kth - SLACK, 0.0))
+        if len(rest):
             found, _ = add(rest, kth)
         cosine = self.exact(found, ids, w)
         best = np.lexsort((self.doc_id[found], -np.round(cosine, 12)))[:k]
@@ -285,6 +288,20 @@ class Index:
         return self.search(*self.vector(ids, tf), k, leave_out=leave_out)
 
 
+@lru_cache(1)
+def scratch(n: int) -> np.ndarray:
+    """Zeros, one place per term; whoever writes to it restores them."""
+    return np.zeros(n)
+
+
+_DAMPED = 1 + np.log(np.maximum(np.arange(256.0), 1.0))
+
+
+def damped(tf: np.ndarray) -> np.ndarray:
+    """1 + log tf."""
+    return _DAMPED[tf] if tf.dtype == np.uint8 else 1 + np.log(tf.astype(float))
+
+
 def unit(idf: np.ndarray, ids, tf) -> tuple[np.ndarray, np.ndarray]:
     """Terms that count and their entries of the unit vector."""
     ids = np.asarray(ids, dtype=np.int64)
@@ -309,8 +326,8 @@ class Model:
         """(ids, labels, exact cosines) of the k nearest examples but the one left out."""
         vector = unit(self.idf.value, ids, tf)
         doc_id, label, cosine, least = np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0.0
-        for number, shard in enumerate(self.shards):
-            index = loaded(number, shard, self.idf)
+        for shard in self.shards:
+            index = loaded(shard, self.idf)
             who, near = index.search(*vector, k, least, None if leave_out is None else index.place(leave_out))
             doc_id, label = np.r_[doc_id, index.doc_id[who]], np.r_[label, index.label[who]]
             cosine = np.r_[cosine, near]
@@ -328,14 +345,11 @@ class Model:
         return float((w @ label + prior * self.rate) / (w.sum() + prior))
 
 
-_LOADED: dict[int, Index] = {}
-
-
-def loaded(number: int, shard: Broadcast, idf: Broadcast) -> Index:
-    """A shard unpacked once per Python worker; a later model's shard takes its place."""
-    if number not in _LOADED or _LOADED[number].idf is not idf.value:
-        _LOADED[number] = with_lists(idf.value, *pickle.loads(shard.value))
-    return _LOADED[number]
+def loaded(shard: Broadcast, idf: Broadcast) -> Index:
+    """A shard with its lists, once per Python worker: kept with the broadcast, which the worker drops when a task does without."""
+    if getattr(shard, "index", None) is None:
+        shard.index = with_lists(idf.value, *shard.value)
+    return shard.index
 
 
 def _lists(ids, tf) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -348,7 +362,11 @@ def _lists(ids, tf) -> list[tuple[np.ndarray, np.ndarray]]:
 def _spans(start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions start[i]:start[i + 1] of all ``which`` in a row, and how many each has."""
     first = start[which]
-    n = start[which + 1] - first
+    return _ranges(first, start[which + 1] - first)
+
+
+def _ranges(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions first[i]:first[i] + n[i] in a row, and ``n``."""
     return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), n
 
 
@@ -380,18 +398,30 @@ def build_index(rows: pd.DataFrame, idf: np.ndarray) -> Index:
 
 def with_lists(idf: np.ndarray, start: np.ndarray, term: np.ndarray, tf: np.ndarray, norm: np.ndarray,
                doc_id: np.ndarray, label: np.ndarray) -> Index:
-    """The posting lists of ordered examples, in pieces with their greatest weights."""
-    example = np.repeat(np.arange(len(norm), dtype=np.uint16), np.diff(start))
+    """The posting lists of ordered examples, and the bounds of the long ones in each block."""
+    weight = damped(tf).astype(np.float32)
+    weight *= np.abs(idf).astype(np.float32)[term]
+    weight /= np.repeat(norm.astype(np.float32), np.diff(start))
     by_term = np.argsort(term, kind="stable")
-    t, example = term[by_term], example[by_term]
-    weight = ((1 + np.log(tf.astype(float))) * np.abs(idf[term]) / np.repeat(norm, np.diff(start)))[by_term].astype(np.float32)
-    block = example // BLOCK
-    new = np.ones(len(t), dtype=bool)
-    new[1:] = (t[1:] != t[:-1]) | (block[1:] != block[:-1])
-    new = np.flatnonzero(new)
-    lists, first = np.unique(t[new], return_index=True)
-    return Index(idf, start, term, tf, norm, doc_id, label, lists.astype(np.int64), np.r_[first, len(new)], block[new],
-                 np.maximum.reduceat(weight, new) if len(new) else weight, np.r_[new, len(t)].astype(np.int32), example, weight)
+    weight, example = weight[by_term], np.repeat(np.arange(len(norm), dtype=np.uint16), np.diff(start))[by_term]
+    n = np.bincount(term, minlength=len(idf))
+    list_start = np.r_[0, np.cumsum(n)]
+    long = np.flatnonzero(n >= LONG)
+    blocks = -(-len(norm) // BLOCK)
+    block_max, piece_start = np.zeros((len(long), blocks), np.float32), np.zeros((len(long), blocks + 1), np.int32)
+    for row, t in enumerate(long):
+        postings = slice(list_start[t], list_start[t + 1])
+        place = example[postings] // BLOCK
+        piece_start[row] = list_start[t] + np.searchsorted(place, np.arange(blocks + 1))
+        np.maximum.at(block_max[row], place, weight[postings])
+    return Index(idf, start, term, tf, norm, doc_id, label, list_start.astype(np.int32), example, weight, long, block_max,
+                 piece_start)
+
+
+def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One packed shard of the examples of several, one after the other."""
+    start, *rest = zip(*parts)
+    return np.r_[0, np.cumsum(np.concatenate([np.diff(x) for x in start]))], *map(np.concatenate, rest)
 
 
 def calibrate(votes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -423,7 +453,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
     """The index, the knots of the calibration, and the stored term counts of all documents.
 
     The shards are built in tasks and stored.  They reach the workers by
-    broadcast, one after the other, packed; ``TRAIN_ROWS`` and ``TRAIN_BYTES``
+    broadcast, a few as one, packed; ``TRAIN_ROWS`` and ``TRAIN_BYTES``
     bound their size and that of the vocabulary, whatever the corpus.
     """
     context = docs.sparkSession.sparkContext
@@ -446,7 +476,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         index = build_index(rows, shared.value)
         return pd.DataFrame({"n": [len(rows)], "bad": [int(rows["y"].sum())], "empty": [len(rows) - len(index.doc_id)],
-                             "empty_bad": [int(rows["y"].sum() - index.label.sum())], "index": [index.packed()]})
+                             "empty_bad": [int(rows["y"].sum() - index.label.sum())], "index": [pickle.dumps(index.packed(), protocol=5)]})
 
     place = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")) % shards  # ids only, at most TRAIN_ROWS rows
     numbered = ids.select("doc_id").distinct().withColumn("shard", place)
@@ -454,8 +484,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
                    .applyInPandas(build, "n bigint, bad bigint, empty bigint, empty_bad bigint, index binary"), "toxic-index")
     rows, bad, empty, empty_bad = (v or 0 for v in built.agg(*[F.sum(c) for c in ("n", "bad", "empty", "empty_bad")]).first())
     rate = bad / rows if rows else 0.0
-    model = Model(shared, [context.broadcast(r["index"]) for r in built.select("index").toLocalIterator()],
-                  rate, (empty_bad + rate) / (empty + 1) if rows else 0.0)
+    parts, searched = built.select("index").toLocalIterator(), []
+    while some := [pickle.loads(r["index"]) for r in islice(parts, SEARCHED // SHARD)]:
+        searched.append(context.broadcast(merged(some)))
+    model = Model(shared, searched, rate, (empty_bad + rate) / (empty + 1) if rows else 0.0)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

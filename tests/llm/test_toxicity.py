@@ -67,6 +67,47 @@ def test_shards_equal_one_index():
         assert np.allclose(near, cosine) and left_out not in doc_id
 
 
+def test_long_lists_equal_brute_force(monkeypatch):
+    """Lists with bounds per block, short lists and merged shards give the nearest of a plain product, left-out ones aside."""
+    monkeypatch.setattr(T, "BLOCK", 16)
+    some, frame = make_index()
+    dense = np.zeros((len(some.doc_id), len(some.idf)))
+    place = {d: i for i, d in enumerate(some.doc_id)}
+    for row in frame.itertuples():
+        if row.ids:
+            ids, w = some.vector(row.ids, row.tf)
+            dense[place[row.doc_id], ids] = w
+    for long in (1, 70, 10_000):                                           # all, some and no lists
+        monkeypatch.setattr(T, "LONG", long)
+        index = T.build_index(frame, some.idf)
+        parts = [T.build_index(frame[frame["doc_id"] % 4 == i], some.idf).packed() for i in range(4)]
+        whole = T.with_lists(some.idf, *T.merged(parts))
+        assert (len(index.long) == 60) == (long == 1) and (len(index.long) == 0) == (long == 10_000)
+        r = np.random.default_rng(7)
+        for _ in range(100):
+            ids = sorted(r.choice(len(some.idf), r.integers(1, 8), replace=False).tolist())
+            tf, left_out = r.integers(1, 4, len(ids)).tolist(), int(r.choice(some.doc_id))
+            q = np.zeros(len(some.idf))
+            q[some.vector(ids, tf)[0]] = some.vector(ids, tf)[1]
+            s = np.round(dense @ q, 12)
+            s[place[left_out]] = 0
+            want = [i for i in np.lexsort((some.doc_id, -s)) if s[i] > 0][:15]
+            for x in (index, whole):
+                who, cosine = x.nearest(ids, tf, 15, leave_out=x.place(left_out))
+                assert x.doc_id[who].tolist() == some.doc_id[want].tolist() and np.allclose(cosine, s[want])
+
+
+def test_index_takes_few_bytes_a_posting():
+    """Beside what is packed a worker holds a place and a weight for each posting, six bytes, and tables that do not grow with them."""
+    r = np.random.default_rng(3)
+    frame = pd.DataFrame([(i, np.sort(r.choice(20_000, 200, replace=False)), np.ones(200, np.int64), i % 2) for i in range(600)],
+                         columns=["doc_id", "ids", "tf", "y"])
+    index = T.build_index(frame, np.ones(20_000))
+    index.nearest([1, 2, 3], [1, 1, 1], 5)
+    held = [v for v in vars(index).values() if isinstance(v, np.ndarray) and not any(v is x for x in (*index.packed(), index.idf))]
+    assert sum(v.nbytes for v in held if len(v) > 20_001) <= 6 * len(index.term)
+
+
 def test_leave_one_out_and_calibration():
     index, _ = make_index()
     who, _ = index.nearest([1, 2], [1, 1], 5)
