@@ -9,19 +9,19 @@ are searched: short posting lists are scored in full, long ones only in blocks
 whose greatest weights allow a neighbour, and the best are scored again in
 double precision.  The nearest examples vote
 by similarity, and the votes are calibrated on the training examples
-themselves, each left out of its own search.
+themselves, each left out of the neighbours that its own search finds.
 """
 
 from __future__ import annotations
 
 import pickle
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from hashlib import blake2b
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -44,20 +44,22 @@ PLAIN = 0.03
 NEIGHBOURS = 25
 #: Plain words in more than this share of the documents are stop words; they count in texts with fewer other terms than FEW.
 MAX_SHARE, FEW = 0.01, 64
-#: Examples of a shard as built and as searched, and of a block; postings from which a list has a bound for each block;
-#: what single precision may be off.
-SHARD, SEARCHED, BLOCK, LONG, SLACK = 16_384, 65_536, 64, 512, 1e-6
-#: Texts whose words a task holds at once, and words whose terms it remembers.
-ROWS, REMEMBERED = 512, 200_000
+#: Examples of a shard as built and as searched, and of a block; postings from which a list has a table of its weights
+#: and a bound for each block, and the most such lists; blocks that are scored first; what weights in single precision may be off.
+SHARD, SEARCHED, BLOCK, LONG, TABLED, SEEDS, SLACK = 16_384, 65_536, 64, 1_024, 256, 16, 1e-6
+#: Texts whose words a task holds at once and, beyond one text, their bytes; chunks whose terms it remembers.
+ROWS, PIECE, REMEMBERED = 512, 2 << 20, 200_000
 #: Terms that a task counts before it hands the counts on.
 COUNTED = 300_000
 PREFIXES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W_]+")
+_SIGMA = "Σ".encode()
+_ASCII = bytes(i if i > 127 else ord(chr(i).lower()) if chr(i).isalnum() else 32 for i in range(256))
 
 
-def dense_levels(n: int, words: int) -> int:
-    """How densely a prefix occurs in a text of so many words: 0, 1 (twice and 0.4 %) or 2 (three times and 1 %)."""
-    return (n >= 2 and n >= 0.004 * words) + (n >= 3 and n >= 0.01 * words)
+def dense_levels(n, words):
+    """How densely a prefix occurs in a text of so many words: 0, 1 (twice and 0.4 %) or 2 (three times and 1 %); numbers or arrays."""
+    return 1 * ((n >= 2) & (n >= 0.004 * words)) + ((n >= 3) & (n >= 0.01 * words))
 
 
 def _terms(text: str | None) -> tuple[Counter, Counter, dict[str, int]]:
@@ -78,6 +80,68 @@ def terms(text: str | None) -> Counter:
     return words + prefixes + Counter(dense)
 
 
+def chunks(text: bytes) -> list[bytes]:
+    """A UTF-8 text cut at all ASCII characters that are in no word, A-Z lower-cased: its words are those of the chunks."""
+    if _SIGMA in text:                                        # its lower case depends on what follows, in other chunks too
+        text = text.decode().lower().encode()
+    return text.translate(_ASCII).split()
+
+
+def pieces(batches: Iterator, text: int) -> Iterator:
+    """The batches in pieces of at most ``ROWS`` rows and, beyond one row, of about ``PIECE`` bytes of text."""
+    import pyarrow.compute as pc
+
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // PIECE
+        cuts = sorted({*range(0, b.num_rows, ROWS), *(np.flatnonzero(np.diff(size)) + 1).tolist(), b.num_rows})
+        for first, end in zip(cuts, cuts[1:]):
+            yield b.slice(first, end - first)
+
+
+class Reader:
+    """Cuts texts into words; what ``entries`` gives for a list of words (numbers, and the place of each one's word) it remembers."""
+
+    def __init__(self, entries: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        self.entries = entries
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: defaultdict[bytes, int] = defaultdict()               # number of each chunk
+        self.known.default_factory = self.known.__len__
+        self.start, self.entry, self.n_words = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.bytes = 0
+
+    @property
+    def full(self) -> bool:
+        return max(len(self.known), len(self.entry) // 8, self.bytes // 32) > REMEMBERED
+
+    def read(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the text, number) of all entries of all its words, repeats included, and how many words each text has."""
+        before, n_chunks, numbers = len(self.known), [], [np.zeros(0, np.int64)]
+        for text in texts.cast("binary"):
+            found = chunks(text.as_py() or b"")
+            n_chunks.append(len(found))
+            numbers.append(np.fromiter(map(self.known.__getitem__, found), np.int64, len(found)))
+        if len(self.known) > before:
+            self.learn(list(islice(self.known, before, None)))
+        chunk, row = np.concatenate(numbers), np.repeat(np.arange(len(n_chunks)), n_chunks)
+        post, n = _spans(self.start, chunk)
+        return np.repeat(row, n), self.entry[post], np.bincount(row, self.n_words[chunk], len(n_chunks))
+
+    def learn(self, new: list[bytes]) -> None:
+        words, of = [c.decode().lower() for c in new], np.arange(len(new))
+        if not all(map(str.isalnum, words)):                              # some are no word, or several
+            each = [[w] if w.isalnum() else _WORD.findall(w) for w in words]
+            words, of = list(chain.from_iterable(each)), np.repeat(of, [len(x) for x in each])
+        entry, whose = self.entries(words)
+        whose = of[whose]
+        n = np.bincount(whose, minlength=len(new))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(n)])
+        self.entry = np.concatenate([self.entry, entry[np.argsort(whose, kind="stable")]])
+        self.n_words = np.concatenate([self.n_words, np.bincount(of, minlength=len(new))])
+        self.bytes += sum(map(len, new))
+
+
 def choose_vocabulary(rows: DataFrame) -> dict[str, float]:
     """Signal terms of labelled rows (doc_id, text, y) and their weights, strongest first.
 
@@ -94,24 +158,41 @@ def choose_vocabulary(rows: DataFrame) -> dict[str, float]:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def counts(seen: Counter, toxic: Counter) -> Iterator:
-            names = list(seen)
-            for i in range(0, len(names), 100_000):
-                part = names[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([seen[t] for t in part], pa.int64()),
-                                                  pa.array([toxic[t] for t in part], pa.int64())], names=["term", "n", "bad"])
-
-        seen, toxic = Counter(), Counter()
-        for b in batches:
-            for t, y in zip(b.column(0), b.column(1).to_pylist()):
-                for found in _terms(t.as_py()):            # no term is of two kinds
-                    seen.update(found.keys())
-                    if y == 1:
-                        toxic.update(found.keys())
-                if len(seen) > COUNTED:
-                    yield from counts(seen, toxic)
-                    seen, toxic = Counter(), Counter()
-        yield from counts(seen, toxic)
+        names: defaultdict[str, int] = defaultdict()           # number of each word and prefix
+        names.default_factory = names.__len__
+
+        def entries(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            own = [[names[w], *(names[w[:k] + "*"] for k in PREFIXES if len(w) > k)] for w in words]
+            return np.fromiter(chain.from_iterable(own), np.int64), np.repeat(np.arange(len(own)), np.array([len(x) for x in own], np.int64))
+
+        def counts(n: np.ndarray) -> Iterator:
+            """Rows of the counted; ``n`` has documents and toxic documents by level of density and number."""
+            every = np.array(list(names), dtype=object)
+            for level, (seen, toxic) in enumerate(n):
+                some = np.flatnonzero(seen)
+                for at in (some[i:i + 100_000] for i in range(0, len(some), 100_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(every[at] + "+" * level, pa.string()), pa.array(seen[at]),
+                                                      pa.array(toxic[at])], names=["term", "n", "bad"])
+
+        reader, n, is_prefix = Reader(entries), np.zeros((3, 2, 0), np.int64), np.zeros(0, bool)
+        for b in pieces(batches, 0):
+            if len(names) > COUNTED or reader.full:
+                yield from counts(n)
+                names.clear()
+                reader.clear()
+                n, is_prefix = n[:, :, :0], is_prefix[:0]
+            row, number, total = reader.read(b.column(0))
+            key, tf = np.unique(row * max(len(names), 1) + number, return_counts=True)
+            row, number = np.divmod(key, max(len(names), 1))
+            new = islice(names, len(is_prefix), None)
+            is_prefix = np.concatenate([is_prefix, np.fromiter((x[-1] == "*" for x in new), bool)])
+            n = np.pad(n, ((0, 0), (0, 0), (0, len(names) - n.shape[2])))
+            bad = b.column(1).to_numpy(zero_copy_only=False) == 1
+            level = np.where(is_prefix[number], dense_levels(tf, total[row]), 0)
+            for i in range(3):
+                for j, one in enumerate((level >= i, (level >= i) & bad[row])):
+                    n[i, j] += np.bincount(number[one], minlength=len(names))
+        yield from counts(n)
 
     chi = (F.col("bad") - F.col("n") * p) / F.sqrt(F.col("n") * F.lit(p * (1 - p)))
     scored = stored(rows.select("text", "y").mapInArrow(run, "term string, n bigint, bad bigint").groupBy("term")
@@ -134,9 +215,10 @@ def plain_words(rows: DataFrame) -> np.ndarray:
         import pyarrow as pa
 
         for b in batches:
-            words = set()
-            for t in b.column(0):
-                words.update(_WORD.findall((t.as_py() or "").lower()))
+            found = set()
+            for t in b.column(0).cast(pa.binary()):
+                found.update(chunks(t.as_py() or b""))
+            words = set(_WORD.findall("\n".join(c.decode().lower() for c in found)))
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(word_keys(list(words))), pa.int64())], names=["word"])
 
     return np.sort(rows.select("text").mapInArrow(run, "word bigint").distinct().toArrow()["word"].to_numpy())
@@ -157,44 +239,43 @@ def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None
 
         at, stems, plain, signals = shared.value
         lengths = sorted({len(t) for t in stems})
-        remembered: dict[str, tuple[int, tuple[str, ...]]] = {}     # term of a word or -1, and its prefixes
-
-        def remember(words: list[str]) -> None:
-            keys = word_keys(words) if len(plain) else np.zeros(len(words), np.int64)
-            place = np.minimum(np.searchsorted(plain, keys), len(plain) - 1)
-            term = np.where(plain[place] == keys, signals + place, -1).tolist() if len(plain) else [-1] * len(words)
-            for w, t in zip(words, term):
-                remembered[w] = at.get(w, t), tuple(w[:k] for k in lengths if len(w) > k and w[:k] in stems)
-
-        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            texts = [Counter(_WORD.findall((value.as_py() or "").lower())) for value in b.column(1)]
-            if len(remembered) > REMEMBERED:
-                remembered.clear()
-            if new := set().union(*texts).difference(remembered):
-                remember(list(new))
-            all_ids, all_tf, n_terms = [], [], []
-            for counts in texts:
-                found: dict[int, int] = {}
-                dense: Counter = Counter()
-                for w, n in counts.items():
-                    t, own = remembered[w]
-                    if t >= 0:
-                        found[t] = found.get(t, 0) + n
-                    for p in own:
-                        dense[p] += n
-                total = sum(counts.values()) if dense else 0
-                for p, n in dense.items():
-                    for level, i in enumerate(stems[p][:1 + dense_levels(n, total)]):
-                        if i >= 0:
-                            found[i] = 1 if level else n
-                all_ids += found
-                all_tf += found.values()
-                n_terms.append(len(found))
-            ids, tf, row = np.array(all_ids, np.int32), np.array(all_tf, np.int32), np.repeat(np.arange(len(texts)), n_terms)
-            order = np.lexsort((ids, row))
-            ends = pa.array(np.r_[0, np.cumsum(np.bincount(row, minlength=b.num_rows))].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.ListArray.from_arrays(ends, pa.array(v[order])) for v in (ids, tf))],
-                                             names=["doc_id", "ids", "tf"])
+        roots = {t[:lengths[0]] for t in stems}
+        stem_number = {t: signals + len(plain) + i for i, t in enumerate(stems)}           # after all terms
+        places = np.array(list(stems.values()), np.int64).reshape(-1, 3)
+        every = signals + len(plain) + len(stems)
+
+        def entries(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            term = np.fromiter((at.get(w, -1) for w in words), np.int64, len(words))
+            if len(plain) and words:
+                keys = word_keys(words)
+                place = np.minimum(np.searchsorted(plain, keys), len(plain) - 1)
+                term = np.where((term < 0) & (plain[place] == keys), signals + place, term)
+            short = lengths[0] if lengths else 0
+            rooted = [i for i, w in enumerate(words) if w[:short] in roots]
+            own = [[stem_number[words[i][:k]] for k in lengths if len(words[i]) > k and words[i][:k] in stems] for i in rooted]
+            some = np.flatnonzero(term >= 0)
+            return (np.concatenate([term[some], np.fromiter(chain.from_iterable(own), np.int64)]),
+                    np.concatenate([some, np.repeat(np.array(rooted, np.int64), np.array([len(x) for x in own], np.int64))]))
+
+        reader = Reader(entries)
+        for b in pieces(batches, 1):
+            if reader.full:
+                reader.clear()
+            row, number, total = reader.read(b.column(1))
+            key, tf = np.unique(row * every + number, return_counts=True)
+            row, number = np.divmod(key, max(every, 1))
+            stem = number >= signals + len(plain)
+            found = [(row[~stem], number[~stem], tf[~stem])]
+            row, tf, own = row[stem], tf[stem], places[number[stem] - signals - len(plain)]
+            level = dense_levels(tf, total[row])
+            for i in range(3):
+                one = (own[:, i] >= 0) & (level >= i)
+                found.append((row[one], own[one, i], np.ones(one.sum(), np.int64) if i else tf[one]))
+            row, ids, tf = map(np.concatenate, zip(*found))
+            order = np.argsort(row * every + ids, kind="stable")
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))]).astype(np.int32))
+            lists = (pa.ListArray.from_arrays(ends, pa.array(v[order].astype(np.int32))) for v in (ids, tf))
+            yield pa.RecordBatch.from_arrays([b.column(0), *lists], names=["doc_id", "ids", "tf"])
 
     x = docs.select(col("doc_id").alias("doc_id"), col("text").alias("text"))
     return x.mapInArrow(run, "doc_id bigint, ids array<int>, tf array<int>")
@@ -214,9 +295,10 @@ class Index:
     list_start: np.ndarray     # postings of term t: list_start[t]:list_start[t + 1]
     example: np.ndarray
     weight: np.ndarray
-    long: np.ndarray           # terms of at least LONG postings, ascending
+    long: np.ndarray           # terms of at least LONG postings, ascending; of more than TABLED the longest
+    row: np.ndarray            # of each term, its place among the long ones or -1
+    table: np.ndarray          # weights of the long lists in each block, list after list
     block_max: np.ndarray      # greatest weight of each long list in each block
-    piece_start: np.ndarray    # postings of long list l in block b: piece_start[l, b]:piece_start[l, b + 1]
 
     def vector(self, ids, tf) -> tuple[np.ndarray, np.ndarray]:
         return unit(self.idf, ids, tf)
@@ -237,10 +319,11 @@ class Index:
     def exact(self, found: np.ndarray, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Cosines of some examples in double precision."""
         post, n = _spans(self.start, found)
-        query = scratch(len(self.idf))
-        query[ids] = w * np.abs(self.idf[ids])
-        each = query[self.term[post]] * damped(self.tf[post])
-        query[ids] = 0.0
+        place = scratch(len(self.idf), np.uint16 if len(ids) < 1 << 16 else np.int32)
+        place[ids] = np.arange(1, len(ids) + 1)
+        each = np.append(0.0, w * np.abs(self.idf[ids])).take(place.take(self.term.take(post)))
+        each *= damped(self.tf.take(post))
+        place[ids] = 0
         return np.bincount(np.repeat(np.arange(len(found)), n), each, len(found)) / self.norm[found]
 
     def search(self, ids: np.ndarray, w: np.ndarray, k: int, least: float = 0.0,
@@ -251,34 +334,38 @@ class Index:
         """
         if not len(self.doc_id) or not len(ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        long = self.list_start[ids + 1] - self.list_start[ids] >= LONG
-        rows, of = np.searchsorted(self.long, ids[long]), w[long]
-        post, n = _spans(self.list_start, ids[~long])
-        score = np.zeros(self.block_max.shape[1] * BLOCK)
-        score += np.bincount(self.example[post], np.repeat(w[~long], n) * self.weight[post], len(score))
+        rows = self.row.take(ids)
+        long = rows >= 0
+        short, rows, of = ids[~long], rows[long].astype(np.int64), w[long].astype(np.float32)
+        size = self.block_max.shape[1] * BLOCK
+        post, n = _spans(self.list_start, short)
+        each = np.repeat(w[~long], n)
+        each *= self.weight.take(post)
+        score = np.bincount(self.example.take(post), each, size).astype(float, copy=False)
         if leave_out is not None:
             score[leave_out] = -np.inf
-        bound = score.reshape(-1, BLOCK).max(axis=1) + of @ self.block_max[rows]
-
-        def add(blocks: np.ndarray, kth: float) -> tuple[np.ndarray, float]:
-            """Add the long lists in some blocks: the examples that may be among the k nearest, and the least k-th best so far."""
-            first = self.piece_start[rows[:, None], blocks]
-            each = self.piece_start[rows[:, None], blocks + 1] - first
-            post, _ = _ranges(first.ravel(), each.ravel())
-            score[:] += np.bincount(self.example[post], np.repeat(of, each.sum(axis=1)) * self.weight[post], len(score))
-            found = np.flatnonzero(score > max(kth - SLACK, 0.0))
+        score = score.reshape(-1, BLOCK)
+        bound = score.max(axis=1) + of @ self.block_max.take(rows, axis=0)
+        slack = SLACK + len(rows) * 2.0 ** -22                # single precision adds up the long lists
+        order = np.argsort(-bound)
+        found, so_far, kth, done, step = np.zeros(0, np.int64), np.zeros(0), least, 0, SEEDS
+        while done < len(order):
+            enough = max(kth - slack, 0.0)
+            blocks = order[done:done + step]
+            blocks = blocks[bound[blocks] > enough]
+            if not len(blocks):                               # nor does any later one
+                break
+            part = score.take(blocks, axis=0)
+            if len(rows):
+                part += (of @ self.table.take(np.add.outer(rows * len(score), blocks), axis=0).reshape(len(rows), -1)).reshape(part.shape)
+            part = part.ravel()
+            hit = np.flatnonzero(part > enough)
+            found, so_far = np.concatenate([found, blocks[hit // BLOCK] * BLOCK + hit % BLOCK]), np.concatenate([so_far, part[hit]])
             if len(found) > k:
-                kth = max(kth, float(np.partition(score[found], -k)[-k]))
-                found = found[score[found] >= kth - SLACK]
-            return found, kth
-
-        seeds = 2 * k // BLOCK + 2
-        first = np.argpartition(bound, -seeds)[-seeds:] if seeds < len(bound) else np.arange(len(bound))
-        found, kth = add(first, least)
-        bound[first] = 0.0
-        rest = np.flatnonzero(bound > max(kth - SLACK, 0.0))
-        if len(rest):
-            found, _ = add(rest, kth)
+                kth = max(kth, float(np.partition(so_far, -k)[-k]))
+                near = so_far >= kth - slack
+                found, so_far = found[near], so_far[near]
+            done, step = done + step, 2 * step
         cosine = self.exact(found, ids, w)
         best = np.lexsort((self.doc_id[found], -np.round(cosine, 12)))[:k]
         return found[best], cosine[best]
@@ -289,9 +376,9 @@ class Index:
 
 
 @lru_cache(1)
-def scratch(n: int) -> np.ndarray:
+def scratch(n: int, kind: type) -> np.ndarray:
     """Zeros, one place per term; whoever writes to it restores them."""
-    return np.zeros(n)
+    return np.zeros(n, kind)
 
 
 _DAMPED = 1 + np.log(np.maximum(np.arange(256.0), 1.0))
@@ -299,7 +386,7 @@ _DAMPED = 1 + np.log(np.maximum(np.arange(256.0), 1.0))
 
 def damped(tf: np.ndarray) -> np.ndarray:
     """1 + log tf."""
-    return _DAMPED[tf] if tf.dtype == np.uint8 else 1 + np.log(tf.astype(float))
+    return _DAMPED.take(tf) if tf.dtype == np.uint8 else 1 + np.log(tf.astype(float))
 
 
 def unit(idf: np.ndarray, ids, tf) -> tuple[np.ndarray, np.ndarray]:
@@ -329,13 +416,24 @@ class Model:
         for shard in self.shards:
             index = loaded(shard, self.idf)
             who, near = index.search(*vector, k, least, None if leave_out is None else index.place(leave_out))
-            doc_id, label = np.r_[doc_id, index.doc_id[who]], np.r_[label, index.label[who]]
-            cosine = np.r_[cosine, near]
+            near = index.doc_id[who], index.label[who], near
+            doc_id, label, cosine = map(np.concatenate, zip((doc_id, label, cosine), near)) if len(doc_id) else near
             best = np.lexsort((doc_id, -np.round(cosine, 12)))[:k]
             doc_id, label, cosine = doc_id[best], label[best], cosine[best]
             least = float(cosine[-1]) if len(cosine) == k else 0.0
         return doc_id, label, cosine
 
+    def label(self, doc_id: int | None, ids, tf) -> float | None:
+        """Label of the example of this id, None if there is none or its terms are others (of another row with the id)."""
+        for shard in self.shards if doc_id is not None and len(ids) else ():
+            index = loaded(shard, self.idf)
+            if (at := index.place(doc_id)) is not None:
+                own, w = slice(index.start[at], index.start[at + 1]), index.idf[ids]
+                kept = w > 0 if (w > 0).sum() >= FEW else np.ones(len(ids), bool)
+                same = np.array_equal(index.term[own], ids[kept]) and np.array_equal(index.tf[own], tf[kept])
+                return float(index.label[at]) if same else None
+        return None
+
     def vote(self, label: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic among the nearest, each weighted by closeness, drawn to the base rate by one far neighbour."""
         if not len(label):
@@ -405,17 +503,18 @@ def with_lists(idf: np.ndarray, start: np.ndarray, term: np.ndarray, tf: np.ndar
     by_term = np.argsort(term, kind="stable")
     weight, example = weight[by_term], np.repeat(np.arange(len(norm), dtype=np.uint16), np.diff(start))[by_term]
     n = np.bincount(term, minlength=len(idf))
-    list_start = np.r_[0, np.cumsum(n)]
+    list_start = np.concatenate([[0], np.cumsum(n)])
     long = np.flatnonzero(n >= LONG)
-    blocks = -(-len(norm) // BLOCK)
-    block_max, piece_start = np.zeros((len(long), blocks), np.float32), np.zeros((len(long), blocks + 1), np.int32)
+    long = np.sort(long[np.argsort(-n[long], kind="stable")[:TABLED]])
+    table = np.zeros((len(long), -(-len(norm) // BLOCK) * BLOCK), np.float32)
     for row, t in enumerate(long):
         postings = slice(list_start[t], list_start[t + 1])
-        place = example[postings] // BLOCK
-        piece_start[row] = list_start[t] + np.searchsorted(place, np.arange(blocks + 1))
-        np.maximum.at(block_max[row], place, weight[postings])
-    return Index(idf, start, term, tf, norm, doc_id, label, list_start.astype(np.int32), example, weight, long, block_max,
-                 piece_start)
+        table[row, example[postings]] = weight[postings]
+    places = np.full(len(idf), -1, np.int16)
+    places[long] = np.arange(len(long))
+    table = table.reshape(-1, BLOCK)
+    return Index(idf, start, term, tf, norm, doc_id, label, list_start.astype(np.int32), example, weight, long, places, table,
+                 table.max(axis=1).reshape(len(long), -(-len(norm) // BLOCK)))
 
 
 def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -449,8 +548,8 @@ def bounded(texts: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(kept), "doc_id", "left_semi")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np.ndarray], DataFrame]:
-    """The index, the knots of the calibration, and the stored term counts of all documents.
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
+    """The index and the stored term counts of all documents.
 
     The shards are built in tasks and stored.  They reach the workers by
     broadcast, a few as one, packed; ``TRAIN_ROWS`` and ``TRAIN_BYTES``
@@ -489,20 +588,37 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, tuple[np.ndarray, np
         searched.append(context.broadcast(merged(some)))
     model = Model(shared, searched, rate, (empty_bad + rate) / (empty + 1) if rows else 0.0)
 
+    return model, counted
+
+
+def votes(model: Model, counted: DataFrame) -> DataFrame:
+    """One row per row of ``counted``: doc_id, vote, known (any term is an example's), the three nearest, and of an example
+    its label and its vote when it is left out: the nearest one more, without itself."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        seen: dict[bytes, tuple] = {}
         for b in batches:
-            votes, y = [], []
-            for doc_id, pair, label in zip(b.column(0).to_pylist(), _lists(b.column(1), b.column(2)), b.column(3).to_pylist()):
-                _, near, cosine = model.search(*pair, leave_out=doc_id)
-                if len(pair[0]):
-                    votes.append(model.vote(near, cosine))
-                    y.append(label)
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(y, pa.int32())], names=["vote", "y"])
-
-    votes = examples.select("doc_id", "ids", "tf", "y").mapInArrow(run, "vote double, y int").toArrow()    # at most TRAIN_ROWS rows
-    return model, calibrate(votes["vote"].to_numpy(), votes["y"].to_numpy().astype(float)), counted
+            if len(seen) > 50_000:
+                seen.clear()
+            rows = []
+            for doc_id, pair in zip(b.column(0).to_pylist(), _lists(b.column(1), b.column(2))):
+                key, y, left_out = blake2b(np.concatenate(pair).tobytes(), digest_size=16).digest(), None, None
+                own = model.label(doc_id, *pair)
+                if own is not None or key not in seen:
+                    near, label, cosine = model.search(*pair, NEIGHBOURS + (own is not None))
+                    if own is not None:
+                        rest = np.flatnonzero(near != doc_id)[:NEIGHBOURS]
+                        y, left_out = int(own), model.vote(label[rest], cosine[rest])
+                        near, label, cosine = near[:NEIGHBOURS], label[:NEIGHBOURS], cosine[:NEIGHBOURS]
+                    seen[key] = model.vote(label, cosine), len(near) > 0, near[:3].tolist()
+                rows.append((*seen[key], y, left_out))
+            if rows:
+                kinds = pa.float64(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.float64()
+                yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, zip(*rows), kinds)],
+                                                 names=["doc_id", "vote", "known", "evidence", "y", "left_out"])
+
+    return counted.mapInArrow(run, "doc_id bigint, vote double, known boolean, evidence array<bigint>, y int, left_out double")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -513,28 +629,19 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     never held out; repeated rows get equal rows; without toxic labels every
     score is the base rate; no documents give no rows.
     """
-    model, knots, counted = fit(docs, labels)
+    found = stored(votes(*fit(docs, labels)), "toxic-votes")
+    own = found.filter("y IS NOT NULL").select("doc_id", "left_out", "y").distinct().toArrow()             # at most TRAIN_ROWS rows
+    knots = calibrate(own["left_out"].to_numpy(), own["y"].to_numpy().astype(float))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        seen: dict[bytes, tuple] = {}
         for b in batches:
-            if len(seen) > 50_000:
-                seen.clear()
-            keys = []
-            for pair in _lists(b.column(1), b.column(2)):
-                keys.append(blake2b(np.concatenate(pair).tobytes(), digest_size=16).digest())
-                if keys[-1] not in seen:
-                    near, label, cosine = model.search(*pair)
-                    vote = model.vote(label, cosine)
-                    s = float(np.interp(vote, *knots)) if len(near) else vote
-                    seen[keys[-1]] = (min(max(s, 0.0), 1.0), near[:3].tolist())
-            scores, evidence = [seen[k][0] for k in keys], [seen[k][1] for k in keys]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()),
-                                              pa.array(evidence, pa.list_(pa.int64()))],
+            vote = b.column(1).to_numpy()
+            score = np.where(b.column(2).to_numpy(zero_copy_only=False), np.interp(vote, *knots), vote)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.clip(score, 0.0, 1.0)), b.column(3)],
                                              names=["doc_id", "score", "evidence"])
 
-    scored = counted.mapInArrow(run, "doc_id bigint, score double, evidence array<bigint>")
+    scored = found.select("doc_id", "vote", "known", "evidence").mapInArrow(run, "doc_id bigint, score double, evidence array<bigint>")
     return scored.select("doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score",
                          (F.col("score") >= ACCEPT).cast("int").alias("predicted"), "evidence")

@@ -4,6 +4,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from postlens.llm import toxicity as T
 
@@ -117,6 +118,62 @@ def test_leave_one_out_and_calibration():
     assert (np.diff(v) >= 0).all() and (np.diff(x) >= 0).all()
 
 
+def test_one_search_gives_score_and_left_out_vote(monkeypatch):
+    """A document is searched once, also a training example: its left-out vote comes from the same neighbours."""
+    index, frame = make_index()
+    model = T.Model(SimpleNamespace(value=index.idf), [SimpleNamespace(value=index.packed())], 0.3, 0.3)
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+    run, searched = T.votes(model, Rows()), []
+    search = T.Model.search
+    monkeypatch.setattr(T.Model, "search", lambda *a, **k: searched.append(a) or search(*a, **k))
+    some = frame[frame["doc_id"] < 10_000].head(200)
+    new = [(None, [3, 5], [1, 1]), (1, [3, 5], [2, 1]), (2, [], []), (some["doc_id"].iloc[0], [7, 9, 11], [1, 1, 1])]
+    rows = [*zip(some["doc_id"], some["ids"], some["tf"]), *new]
+    kinds = pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())
+    batch = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "ids", "tf"])
+    got = pa.Table.from_batches(run(iter([batch]))).to_pylist()
+    assert len(got) == len(rows) and len(searched) <= len(rows)
+    labels = dict(zip(frame["doc_id"], frame["y"]))
+    for (doc_id, ids, tf), x in zip(rows, got):
+        near, label, cosine = search(model, ids, tf)
+        assert x["vote"] == model.vote(label, cosine) and x["evidence"] == near[:3].tolist() and x["known"] == (len(near) > 0)
+        if (doc_id, ids, tf) in new or not ids:
+            assert x["y"] is None and x["left_out"] is None
+        else:
+            _, label, cosine = search(model, ids, tf, leave_out=doc_id)
+            assert x["y"] == labels[doc_id] and x["left_out"] == model.vote(label, cosine)
+
+
+def test_words_of_chunks():
+    """Texts cut at bytes have the words of the pattern on the lower-cased text; each chunk is looked up once."""
+    texts = ["İstanbul ΣΑΣ ΑΣ.x ΑΣ b_c don't", "a\x1cb c\u3000d Ç'est «Été» ½ﬁ", "漢字。かな", "x," * 9, "", None, "A a a-A ΟΔΟΣ"]
+    looked_up = []
+
+    def entries(words):
+        looked_up.extend(words)
+        return np.arange(len(looked_up) - len(words), len(looked_up)), np.arange(len(words))
+    reader = T.Reader(entries)
+    for _ in range(2):
+        row, number, total = reader.read(pa.array(texts, pa.string()))
+        for i, text in enumerate(texts):
+            want = T._WORD.findall((text or "").lower())
+            assert [looked_up[n] for n in number[row == i]] == want and total[i] == len(want)
+        once = len(looked_up)
+    assert len(looked_up) == once and looked_up.count("a") == 1
+
+
+def test_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(T, "ROWS", 4)
+    monkeypatch.setattr(T, "PIECE", 100)
+    texts = ["x" * 30] * 9 + ["y" * 500, None, "", "z"] + ["x" * 30] * 6
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    cut = list(T.pieces(iter([batch, batch.slice(0, 0)]), 0))
+    assert [t for b in cut for t in b.column(0).to_pylist()] == texts
+    assert all(b.num_rows <= 4 and sum(map(len, filter(None, b.column(0).to_pylist()))) <= 630 for b in cut)
+
+
 def test_vocabulary_and_counts(spark):
     r = random.Random(1)
     words = [f"w{i}" for i in range(200)]
