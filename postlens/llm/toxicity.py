@@ -293,7 +293,7 @@ class Index:
     doc_id: np.ndarray
     label: np.ndarray
     list_start: np.ndarray     # postings of term t: list_start[t]:list_start[t + 1]
-    example: np.ndarray
+    at: np.ndarray             # example of each posting: place in its block times the number of blocks, and the block
     weight: np.ndarray
     long: np.ndarray           # terms of at least LONG postings, ascending; of more than TABLED the longest
     row: np.ndarray            # of each term, its place among the long ones or -1
@@ -337,35 +337,35 @@ class Index:
         rows = self.row.take(ids)
         long = rows >= 0
         short, rows, of = ids[~long], rows[long].astype(np.int64), w[long].astype(np.float32)
-        size = self.block_max.shape[1] * BLOCK
+        blocks = self.block_max.shape[1]
         post, n = _spans(self.list_start, short)
         each = np.repeat(w[~long], n)
         each *= self.weight.take(post)
-        score = np.bincount(self.example.take(post), each, size).astype(float, copy=False)
+        score = np.bincount(self.at.take(post), each, blocks * BLOCK).astype(float, copy=False)
         if leave_out is not None:
-            score[leave_out] = -np.inf
-        score = score.reshape(-1, BLOCK)
-        bound = score.max(axis=1) + of @ self.block_max.take(rows, axis=0)
+            score[leave_out % BLOCK * blocks + leave_out // BLOCK] = -np.inf
+        score = score.reshape(BLOCK, blocks)
+        less = -score.max(axis=0)
+        if len(rows):
+            less -= of @ self.block_max.take(rows, axis=0)
+        order = np.argsort(less)
+        less = less.take(order)                               # of the bounds
         slack = SLACK + len(rows) * 2.0 ** -22                # single precision adds up the long lists
-        order = np.argsort(-bound)
         found, so_far, kth, done, step = np.zeros(0, np.int64), np.zeros(0), least, 0, SEEDS
-        while done < len(order):
-            enough = max(kth - slack, 0.0)
-            blocks = order[done:done + step]
-            blocks = blocks[bound[blocks] > enough]
-            if not len(blocks):                               # nor does any later one
-                break
-            part = score.take(blocks, axis=0)
+        # best bound first, while it allows a neighbour
+        while (end := min(done + step, int(less.searchsorted(-max(kth - slack, 0.0))))) > done:
+            some = order[done:end]
+            part = score.take(some, axis=1).T.ravel()
             if len(rows):
-                part += (of @ self.table.take(np.add.outer(rows * len(score), blocks), axis=0).reshape(len(rows), -1)).reshape(part.shape)
-            part = part.ravel()
-            hit = np.flatnonzero(part > enough)
-            found, so_far = np.concatenate([found, blocks[hit // BLOCK] * BLOCK + hit % BLOCK]), np.concatenate([so_far, part[hit]])
+                part += of @ self.table.take(np.add.outer(rows * blocks, some), axis=0).reshape(len(rows), -1)
+            hit = np.flatnonzero(part > max(kth - slack, 0.0))
+            found, so_far = np.concatenate([found, hit + done * BLOCK]), np.concatenate([so_far, part.take(hit)])
             if len(found) > k:
                 kth = max(kth, float(np.partition(so_far, -k)[-k]))
                 near = so_far >= kth - slack
                 found, so_far = found[near], so_far[near]
-            done, step = done + step, 2 * step
+            done, step = end, 2 * step
+        found = order.take(found // BLOCK) * BLOCK + found % BLOCK
         cosine = self.exact(found, ids, w)
         best = np.lexsort((self.doc_id[found], -np.round(cosine, 12)))[:k]
         return found[best], cosine[best]
@@ -392,9 +392,9 @@ def damped(tf: np.ndarray) -> np.ndarray:
 def unit(idf: np.ndarray, ids, tf) -> tuple[np.ndarray, np.ndarray]:
     """Terms that count and their entries of the unit vector."""
     ids = np.asarray(ids, dtype=np.int64)
-    w = (1 + np.log(np.asarray(tf, dtype=float))) * idf[ids]
+    w = (1 + np.log(np.asarray(tf, dtype=float))) * idf.take(ids)
     rare = w > 0
-    if rare.sum() >= FEW:
+    if np.count_nonzero(rare) >= FEW:
         ids, w = ids[rare], w[rare]
     w = np.abs(w)
     return ids, w / np.sqrt((w * w).sum()) if len(w) else w
@@ -417,9 +417,11 @@ class Model:
             index = loaded(shard, self.idf)
             who, near = index.search(*vector, k, least, None if leave_out is None else index.place(leave_out))
             near = index.doc_id[who], index.label[who], near
-            doc_id, label, cosine = map(np.concatenate, zip((doc_id, label, cosine), near)) if len(doc_id) else near
-            best = np.lexsort((doc_id, -np.round(cosine, 12)))[:k]
-            doc_id, label, cosine = doc_id[best], label[best], cosine[best]
+            if len(doc_id):
+                doc_id, label, cosine = map(np.concatenate, zip((doc_id, label, cosine), near))
+                best = np.lexsort((doc_id, -np.round(cosine, 12)))[:k]
+                near = doc_id[best], label[best], cosine[best]
+            doc_id, label, cosine = near
             least = float(cosine[-1]) if len(cosine) == k else 0.0
         return doc_id, label, cosine
 
@@ -428,8 +430,9 @@ class Model:
         for shard in self.shards if doc_id is not None and len(ids) else ():
             index = loaded(shard, self.idf)
             if (at := index.place(doc_id)) is not None:
-                own, w = slice(index.start[at], index.start[at + 1]), index.idf[ids]
-                kept = w > 0 if (w > 0).sum() >= FEW else np.ones(len(ids), bool)
+                own, kept = slice(index.start[at], index.start[at + 1]), index.idf[ids] > 0
+                if np.count_nonzero(kept) < FEW:
+                    kept[:] = True
                 same = np.array_equal(index.term[own], ids[kept]) and np.array_equal(index.tf[own], tf[kept])
                 return float(index.label[at]) if same else None
         return None
@@ -465,7 +468,9 @@ def _spans(start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _ranges(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions first[i]:first[i] + n[i] in a row, and ``n``."""
-    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()), n
+    at = np.repeat(first - np.cumsum(n) + n, n)
+    at += np.arange(len(at))
+    return at, n
 
 
 def build_index(rows: pd.DataFrame, idf: np.ndarray) -> Index:
@@ -501,20 +506,22 @@ def with_lists(idf: np.ndarray, start: np.ndarray, term: np.ndarray, tf: np.ndar
     weight *= np.abs(idf).astype(np.float32)[term]
     weight /= np.repeat(norm.astype(np.float32), np.diff(start))
     by_term = np.argsort(term, kind="stable")
-    weight, example = weight[by_term], np.repeat(np.arange(len(norm), dtype=np.uint16), np.diff(start))[by_term]
+    blocks = -(-len(norm) // BLOCK)
+    block, place = np.divmod(np.arange(len(norm)), BLOCK)
+    at = np.repeat((place * blocks + block).astype(np.uint16), np.diff(start))[by_term]
+    weight = weight[by_term]
     n = np.bincount(term, minlength=len(idf))
     list_start = np.concatenate([[0], np.cumsum(n)])
     long = np.flatnonzero(n >= LONG)
     long = np.sort(long[np.argsort(-n[long], kind="stable")[:TABLED]])
-    table = np.zeros((len(long), -(-len(norm) // BLOCK) * BLOCK), np.float32)
+    table = np.zeros((len(long), blocks, BLOCK), np.float32)
     for row, t in enumerate(long):
         postings = slice(list_start[t], list_start[t + 1])
-        table[row, example[postings]] = weight[postings]
-    places = np.full(len(idf), -1, np.int16)
-    places[long] = np.arange(len(long))
-    table = table.reshape(-1, BLOCK)
-    return Index(idf, start, term, tf, norm, doc_id, label, list_start.astype(np.int32), example, weight, long, places, table,
-                 table.max(axis=1).reshape(len(long), -(-len(norm) // BLOCK)))
+        table[row, at[postings] % blocks, at[postings] // blocks] = weight[postings]
+    rows = np.full(len(idf), -1, np.int16)
+    rows[long] = np.arange(len(long))
+    return Index(idf, start, term, tf, norm, doc_id, label, list_start.astype(np.int32), at, weight, long, rows,
+                 table.reshape(-1, BLOCK), table.max(axis=2))
 
 
 def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
