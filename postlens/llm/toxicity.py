@@ -281,6 +281,21 @@ def count_terms(docs: DataFrame, vocabulary: list[str], plain: np.ndarray | None
     return x.mapInArrow(run, "doc_id bigint, ids array<int>, tf array<int>")
 
 
+def document_counts(counted: DataFrame, terms: int) -> DataFrame:
+    """t, n: in how many rows each term is; a task adds up its rows before the shuffle."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        n = np.zeros(terms, np.int64)
+        for b in batches:
+            n += np.bincount(b.column(0).flatten().to_numpy(), minlength=terms)
+        some = np.flatnonzero(n)
+        for at in (some[i:i + 100_000] for i in range(0, len(some), 100_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["t", "n"])
+
+    return counted.select("ids").mapInArrow(run, "t int, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
+
+
 @dataclass(frozen=True)
 class Index:
     """Block-max inverted index over one shard of labelled examples; alike examples stand in the same block."""
@@ -569,9 +584,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     signals, plain = choose_vocabulary(texts), plain_words(texts)
     counted = stored(count_terms(x, list(signals), plain), "toxic-terms")
     total = counted.count()
-    df = counted.select(F.explode("ids").alias("t")).groupBy("t").count().toArrow()      # at most one row per training term
+    df = document_counts(counted, len(signals) + len(plain)).toArrow()                   # at most one row per training term
     n = np.zeros(len(signals) + len(plain))
-    n[df["t"].to_numpy()] = df["count"].to_numpy()
+    n[df["t"].to_numpy()] = df["n"].to_numpy()
     stop = n > np.r_[np.full(len(signals), np.inf), np.full(len(plain), max(MAX_SHARE * total, MIN_DOCUMENTS))]
     idf = (np.log((1 + total) / (1 + n)) + 0.05) * np.r_[list(signals.values()), np.full(len(plain), PLAIN)]
     shared = context.broadcast(np.where(stop, -idf, idf))

@@ -174,6 +174,13 @@ def test_pieces_are_bounded(monkeypatch):
     assert all(b.num_rows <= 4 and sum(map(len, filter(None, b.column(0).to_pylist()))) <= 630 for b in cut)
 
 
+def test_document_counts(spark):
+    rows = [(1, [0, 2]), (1, [0, 2]), (None, []), (4, [2, 6])]
+    got = T.document_counts(spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(3), 7).collect()
+    assert sorted(map(tuple, got)) == [(0, 2), (2, 3), (6, 1)]
+    assert T.document_counts(spark.createDataFrame([], "doc_id long, ids array<int>"), 0).count() == 0
+
+
 def test_vocabulary_and_counts(spark):
     r = random.Random(1)
     words = [f"w{i}" for i in range(200)]
