@@ -4,12 +4,12 @@ The documents are indexed in shards of bounded size, one stored row per shard.
 Document frequencies and lengths are summed over all shards, so every shard
 scores with the global statistics and the shards' best merge exactly.
 
-Within a shard, documents come in blocks.  The lists of rare terms are scored
-first; their k-th score is the first threshold.  The common terms, which could
-not lift a document alone, carry their largest contribution per block: a block
-whose best partial score plus the sum of those maxima stays below the
-threshold is skipped, the others are completed best bound first while the
-threshold rises.
+Within a shard, documents come in blocks.  The lists of rare terms are added up
+query by query, those of common terms for many queries at once, as a product of
+single-precision matrices.  Widened by the product's largest error, the sums are
+upper bounds: a block whose largest stays below the threshold is skipped, in the
+others the documents that reach it are scored exactly, best block first while
+the threshold rises.
 
 Shards are searched in rounds, each of as many shards as all rounds before it:
 a query's k-th score so far is the threshold that it takes into the next round.
@@ -38,6 +38,8 @@ SHARD_DOCS, SHARD_BYTES = 8_192, 32_000_000
 BLOCK = 64
 #: A term is common in a shard from this share of its documents on.
 COMMON = 1 / 16
+#: Queries that go through a shard's common terms in one product.
+TOGETHER = 256
 #: Queries that go through the index together.
 QUERY_ROWS = 4_096
 #: Shards of the first round.
@@ -137,20 +139,37 @@ class _Loaded:
         self.start[here[asked]] = np.cumsum(size) - size
         self.size = np.zeros(len(idf), dtype=np.int64)
         self.size[here[asked]] = size
-        # common terms as rows over all documents, cut into blocks
+        # common terms as rows over all documents: contributions, and the places of the exact ones (the last is 0)
         common = np.flatnonzero(self.size > max(4, COMMON * self.n))
         self.blocks = -(-self.n // BLOCK)
-        dense = np.zeros((len(common), self.blocks * BLOCK))
+        self.dense = np.zeros((len(common), self.blocks * BLOCK), dtype=np.float32)
+        self.post = np.full(self.dense.shape, -1, dtype=np.int32)
         for i, t in enumerate(common):
             span = slice(self.start[t], self.start[t] + self.size[t])
-            dense[i, self.doc[span]] = self.value[span]
-        self.dense = dense.reshape(len(common), self.blocks, BLOCK)
-        self.block_max = self.dense.max(axis=2) if len(common) else np.zeros((0, self.blocks))
+            self.dense[i, self.doc[span]] = self.value[span]
+            self.post[i, self.doc[span]] = np.arange(span.start, span.stop)
+        self.value = np.append(self.value, 0.0)
+        # of a sum of positive numbers, each rounded: twice the largest relative error
+        self.error = 2 * (len(common) + 8) * 2.0 ** -24
         self.row_of = np.full(len(idf), -1, dtype=np.int64)
         self.row_of[common] = np.arange(len(common))
 
-    def best(self, terms: np.ndarray, own: int, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """(doc ids, scores) of the k best documents with a positive score of at least ``least``, own id left out."""
+    def search(self, asked: list[np.ndarray], own: list[int], k: int, least: list[float]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`best` of every query."""
+        for at in range(0, len(asked), TOGETHER):
+            some = asked[at:at + TOGETHER]
+            weights = np.zeros((len(some), len(self.dense)), dtype=np.float32)
+            for i, terms in enumerate(some):
+                rows = self.row_of[terms]
+                weights[i, rows[rows >= 0]] = 1
+            for i, common in enumerate(weights @ self.dense, start=at):
+                yield self.best(asked[i], own[i], k, least[i], common)
+
+    def best(self, terms: np.ndarray, own: int, k: int, least: float, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(doc ids, scores) of the k best documents with a positive score of at least ``least``, own id left out.
+
+        ``common``: for each document, the sum of the common terms' contributions, to ``error``.
+        """
         rows = self.row_of[terms]
         rare = terms[(rows < 0) & (self.size[terms] > 0)]
         rows = rows[rows >= 0]
@@ -159,23 +178,26 @@ class _Loaded:
         part = np.bincount(self.doc[post], self.value[post], self.blocks * BLOCK).astype(float)
         part[:self.n][self.ids == own] = -np.inf
         part[self.n:] = -np.inf
-        part = part.reshape(self.blocks, BLOCK)
-        bound = part.max(axis=1) + self.block_max[rows].sum(axis=0)
-        # partial scores are lower bounds already
-        floor = max(least, np.partition(part.ravel(), -k)[-k]) if part.size > k else least
-        order = np.argsort(-bound, kind="stable")
+        near = part + common * (1 + self.error)
+        floor = least
+        if floor == -np.inf and near.size > k:
+            floor = np.partition(near, -k)[-k] * (1 - 2 * self.error)        # a lower bound of the k-th score
+        near = near.reshape(self.blocks, BLOCK)
+        bound = near.max(axis=1)
+        order = np.flatnonzero((bound >= floor - 1e-9) & (bound > 0))
+        order = order[np.argsort(-bound[order], kind="stable")]
         found, score = np.zeros(0, dtype=np.int64), np.zeros(0)
         done, step = 0, 4
-        while done < len(order) and bound[order[done]] >= floor - 1e-9 and bound[order[done]] > 0:
+        while done < len(order) and bound[order[done]] >= floor - 1e-9:
             take = order[done:done + step]
-            take = take[bound[take] >= floor - 1e-9]
-            whole = part[take]
-            if len(rows):
-                whole = whole + self.dense[np.ix_(rows, take)].sum(axis=0)
-            flat = whole.ravel()
+            flat = near[take].ravel()
             at = np.flatnonzero((flat >= floor - 1e-9) & (flat > 0))
             doc = (take[:, None] * BLOCK + np.arange(BLOCK)).ravel()[at]
-            found, score = np.concatenate([found, self.ids[doc]]), np.concatenate([score, np.round(flat[at], 9)])
+            whole = part[doc]
+            if len(rows):
+                whole = whole + self.value[self.post[np.ix_(rows, doc)]].sum(axis=0)
+            at = (whole >= floor - 1e-9) & (whole > 0)
+            found, score = np.concatenate([found, self.ids[doc[at]]]), np.concatenate([score, np.round(whole[at], 9)])
             if len(found) > k:
                 o = np.lexsort((found, -score))[:k]
                 found, score = found[o], score[o]
@@ -278,7 +300,7 @@ def _search_round(index: DataFrame, shared_place, shared, mean: float, k: int) -
             for i in range(b.num_rows):
                 row = {c: b.column(j)[i].as_py() for j, c in enumerate(b.schema.names)}
                 shard = _Loaded(row, at, weight, mean)
-                got = [shard.best(t, q, k, f) for t, q, f in zip(terms, qid.tolist(), floor.tolist())]
+                got = list(shard.search(terms, qid.tolist(), k, floor.tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(qid, [len(g[0]) for g in got])),
                      pa.array(np.concatenate([g[0] for g in got])), pa.array(np.concatenate([g[1] for g in got]))],

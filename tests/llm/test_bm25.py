@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 from postlens.llm import bm25
@@ -67,3 +68,39 @@ def test_edge_rows(spark):
     assert [x["doc_id"] for x in sorted(mine, key=lambda x: x["rank"])] == [1, 1]     # a repeated row counts twice
     assert bm25.search(docs.limit(0)).count() == 0
     assert bm25.search(documents(spark, [None, "", "!!"])).count() == 0
+
+
+def test_common_terms_of_many_queries_in_one_product(monkeypatch):
+    """Sums of the product are within the stated error, and what reaches a threshold is found whatever the sums' rounding."""
+    monkeypatch.setattr(bm25, "TOGETHER", 7)
+    r = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(r.choices(vocabulary, [1 / (i + 1) for i in range(60)], k=r.randint(1, 60))).encode() for _ in range(500)]
+    texts += [texts[3]] * 20                                                   # equal scores at the threshold
+    shard = bm25._Shard()
+    for i, t in enumerate(texts):
+        shard.add(i, t)
+    row = dict(zip([x.split()[0] for x in bm25._INDEX.split(", ")], shard.row("s")))
+    place = {w.encode(): i for i, w in enumerate(vocabulary)}
+    idf = np.array([r.uniform(1e-3, 12) for _ in vocabulary])
+    loaded = bm25._Loaded(row, place, idf, 30.0)
+    asked = [np.array([place[t] for t in sorted(set(bm25.tokens(t)))]) for t in texts[:40]]
+
+    def score(terms, d):
+        tf = Counter(bm25.tokens(texts[d]))
+        norm = 1.2 * (0.25 + 0.75 * sum(tf.values()) / 30.0)
+        return sum(tf[vocabulary[t].encode()] * 2.2 / (tf[vocabulary[t].encode()] + norm) * idf[t] for t in terms.tolist())
+
+    whole = [[score(t, d) for d in range(len(texts))] for t in asked]
+    seen = []
+    best = loaded.best
+    monkeypatch.setattr(loaded, "best", lambda t, q, k, f, common: seen.append((t, common)) or best(t, q, k, f, common))
+    least = [sorted(x[:i] + x[i + 1:])[-5] for i, x in enumerate(whole)]
+    found = list(loaded.search(asked, list(range(40)), 5, least))
+    assert len(loaded.dense) > 10 and len(found) == len(seen) == 40
+    for q, (docs, scores) in enumerate(found):
+        want = sorted((-round(s, 9), d) for d, s in enumerate(whole[q]) if d != q)[:5]
+        assert sorted(zip((-scores).round(8).tolist(), docs.tolist())) == sorted((round(s, 8), d) for s, d in want)
+        terms, common = seen[q]
+        exact = np.array([score(terms[loaded.row_of[terms] >= 0], d) for d in range(len(texts))])
+        assert (np.abs(common[:len(texts)] - exact) <= loaded.error * exact).all()
