@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,3 +98,28 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if "://" in root and not root.startswith("file:"):
         return root.rstrip("/") + "/" + sub
     return os.path.join(root.replace("file:", "", 1) if root.startswith("file:") else root, sub)
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a sub-folder that :func:`work_dir` named, through Hadoop's file system (any store Spark knows)."""
+    jvm = getattr(spark, "_jvm", None)               # Spark Connect has none: the folder stays
+    if jvm is not None:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings for what is started inside; those of before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Shuffle files go when their job is over, not when the driver happens to collect its garbage.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}

@@ -23,7 +23,7 @@ from ..operators import messages as msg
 from ..operators import windows as W
 from ..operators import words as WD
 from ..plans.catalog import INTERVAL_SECONDS, ntz, query
-from ..session import work_dir
+from ..session import drop_dir, work_dir
 from ..sources.streams import read_stream
 from ..sources.tables import Tables, table
 from .results import ResultTable
@@ -411,6 +411,7 @@ class Replay:
         self.spark, self.t, self.sf_dir = spark, Tables(spark, sf_dir), sf_dir
         self.closing, self.bounded = closing, bounded
         self._cuts = self._posts = None
+        self._staged: list[str] = []
 
     def n_posts(self) -> int:
         if self._posts is None:
@@ -440,9 +441,16 @@ class Replay:
         staged = stage_records(self.spark, records, f"stream-in-{name}", self.cuts(),
                                # the last rows push the watermark past every real row
                                closing_fn(self._max()) if self.closing else None)
+        self._staged.append(staged.path)
         raw = read_stream(self.spark, "files", path=staged.path, max_files_per_trigger=staged.files)
         return msg.decode_records(raw)
 
+    def close(self, *more: str) -> None:
+        """Drop the record files, and ``more`` folders: the streams have ended and nothing reads them again."""
+        for path in (*self._staged, *more):
+            drop_dir(self.spark, path)
+        self._staged = []
+
     def posts(self) -> DataFrame:
         return self._open("posts", msg.post_records(self.t.posts), _closing_posts)
 
@@ -456,9 +464,12 @@ class Replay:
 
 
 def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", finish=None,
-         partitions: int | None = None) -> DataFrame:
+         partitions: int | None = None, replay: Replay | None = None) -> DataFrame:
+    """``replay``: its record files and the checkpoint go when the stream has ended."""
     out, ckpt = work_dir(spark, f"stream-out-{name}"), work_dir(spark, f"stream-ckpt-{name}")
     final = run_available_now(df, out, ckpt, mode, finish=finish, partitions=partitions)
+    if replay is not None:
+        replay.close(ckpt)
     return spark.read.parquet(final)
 
 
@@ -519,7 +530,7 @@ def stream_join_users_media(spark, sf):
 def stream_full_outer(spark, sf):
     """J10's rows: posts FULL OUTER media messages FULL OUTER user messages (users sent before each post)."""
     r = Replay(spark, sf, closing=True, bounded=True)
-    out = _run(spark, full_outer_job(r.posts(), r.users(per_post=True), r.media()), "full-outer", partitions=r.partitions())
+    out = _run(spark, full_outer_job(r.posts(), r.users(per_post=True), r.media()), "full-outer", partitions=r.partitions(), replay=r)
     close = [F.coalesce(F.col(x), F.lit("")) == CLOSE for x in ("tweet_id", "media_key", "username")]
     return ntz(out.where(~(close[0] | close[1] | close[2])).withColumnRenamed("dataTimestamp", "created_at"))
 

@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..session import work_dir
+from ..session import FREE_SHUFFLES, drop_dir, settings, work_dir
 
 #: Files that each micro-batch of a staged replay has at least.
 FILES_PER_BATCH = 4
+#: A run to the end of its input needs the last state only: older versions go as soon as a later one is safe.
+LAST_STATE = {"spark.sql.streaming.minBatchesToRetain": "2", "spark.sql.streaming.stateStore.minDeltasForSnapshot": "3",
+              "spark.sql.streaming.stateStore.maintenanceInterval": "10s", "spark.sql.streaming.stateStore.compression.codec": "zstd"}
 
 
 def time_cuts(df: DataFrame, time_col: str, batches: int) -> list:
@@ -45,19 +48,22 @@ def stage_records(spark: SparkSession, records: DataFrame, purpose: str, cuts: l
     were written, so the slices are then copied one after another into the
     folder of the stream, the same number of files for each (the mean number
     that Spark wrote for a slice): a stream that reads so many files per trigger gets the slices
-    as ordered micro-batches.  ``last``: records of one more slice at the end.
+    as ordered micro-batches.  A slice is dropped once it is copied.  ``last``: records of one more slice at the end.
     """
     path, sliced = work_dir(spark, purpose), work_dir(spark, f"{purpose}-slices")
     t = F.col("timestamp").cast("double")
     number = F.lit(0)
     for cut in cuts or []:
         number = number + F.coalesce((t >= cut).cast("int"), F.lit(0))
-    records.withColumn("slice", number).write.partitionBy("slice").parquet(sliced)
     schema = StructType([*records.schema.fields, StructField("slice", IntegerType())])
-    slices = spark.read.schema(schema).parquet(sliced)
-    files = max(FILES_PER_BATCH, -(-len(slices.inputFiles()) // (len(cuts or []) + 1)))
-    for k in range(len(cuts or []) + 1):
-        slices.where(F.col("slice") == k).drop("slice").repartition(files).write.mode("append").parquet(path)
+    with settings(spark, FREE_SHUFFLES):
+        records.withColumn("slice", number).write.partitionBy("slice").parquet(sliced)
+        slices = spark.read.schema(schema).parquet(sliced)
+        files = max(FILES_PER_BATCH, -(-len(slices.inputFiles()) // (len(cuts or []) + 1)))
+        for k in range(len(cuts or []) + 1):
+            slices.where(F.col("slice") == k).drop("slice").repartition(files).write.mode("append").parquet(path)
+            drop_dir(spark, f"{sliced}/slice={k}")
+    drop_dir(spark, sliced)
     if last is not None:
         append_records(last, path)
     return Staged(path, files)
@@ -71,11 +77,12 @@ def append_records(records: DataFrame, path: str) -> None:
 def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append",
                       timeout_s: float | None = None, query_name: str | None = None,
                       finish=None, write: Callable[[DataFrame, int], None] | None = None,
-                      partitions: int | None = None) -> str:
+                      partitions: int | None = None, conf: dict[str, str] | None = None) -> str:
     """Run ``df`` with ``trigger(availableNow=True)`` to its end (no time limit unless given).
 
     ``partitions``: state partitions of a new checkpoint (else ``spark.sql.shuffle.partitions``).
     Each writes its state's files after every batch, however few rows it has.
+    ``conf``: more settings for the query.
 
     Returns the folder of the result.  ``write``: a ``foreachBatch`` function
     that keeps the result itself (see :class:`.results.ResultTable`).  Complete mode writes the result table
@@ -97,15 +104,9 @@ def run_available_now(df: DataFrame, out_path: str, checkpoint: str, mode: str =
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         writer = writer.queryName(query_name)
-    spark, name = df.sparkSession, "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    try:
-        if partitions:
-            spark.conf.set(name, str(partitions))    # a query keeps the settings it was started with
-        q = writer.start()
-    finally:
-        if partitions:
-            spark.conf.set(name, before)
+    own = {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}
+    with settings(df.sparkSession, {**FREE_SHUFFLES, **LAST_STATE, **(conf or {}), **own}):
+        q = writer.start()                           # a query keeps the settings it was started with
     try:
         finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination() or True)
         if not finished:
