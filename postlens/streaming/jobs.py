@@ -553,9 +553,11 @@ def stream_right_outer_x2(spark, sf):
 
 
 def _stream_counts(spark, sf, name: str, clean: bool) -> DataFrame:
-    posts, writer, read = word_count_updates(Replay(spark, sf).posts(), clean=clean)
+    r, ckpt = Replay(spark, sf), work_dir(spark, f"stream-ckpt-{name}")
+    posts, writer, read = word_count_updates(r.posts(), clean=clean)
     kept = word_count_table(spark, work_dir(spark, f"stream-out-{name}"))
-    run_available_now(posts, kept.path, work_dir(spark, f"stream-ckpt-{name}"), "update", write=writer(kept))
+    run_available_now(posts, kept.path, ckpt, "update", write=writer(kept))
+    r.close(ckpt)
     return ntz(W.flatten_window(read(kept)))
 
 

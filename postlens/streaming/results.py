@@ -68,7 +68,7 @@ class ResultTable:
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``: the rows, then the commit; compacts when due."""
         folder = f"{batch_id}-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(f"{self.path}/data/{folder}")
+        df.write.option("compression", "zstd").parquet(f"{self.path}/data/{folder}")
         self._commit("commits", "batch", batch_id, folder)
         if self.compact_every and len(self.folders()) > self.compact_every:
             self.compact()
@@ -80,7 +80,7 @@ class ResultTable:
             return
         upto = use[-1][0]
         folder = f"upto-{upto}-{uuid.uuid4().hex[:12]}"
-        self._merged(use).write.parquet(f"{self.path}/data/{folder}")
+        self._merged(use).write.option("compression", "zstd").parquet(f"{self.path}/data/{folder}")
         self._commit("compactions", "upto", upto, folder)
 
     # -- read --------------------------------------------------------------

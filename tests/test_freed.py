@@ -40,7 +40,7 @@ def test_staged_records_are_kept_once(spark, folders):
     assert [f for f in folders if os.path.exists(f)] == [staged.path]
 
 
-@pytest.mark.parametrize("query", ["stream_full_outer"])
+@pytest.mark.parametrize("query", ["stream_full_outer", "stream_word_count_sliding"])
 def test_a_replay_leaves_its_result_only(spark, folders, query):
     from postlens.plans.catalog import REGISTRY
     assert REGISTRY[query](spark, SF_SMALL).count() > 0
