@@ -28,7 +28,7 @@ from ..sources.streams import read_stream
 from ..sources.tables import Tables, table
 from .results import ResultTable
 from .seen import DistinctTable
-from .runner import max_time, run_available_now, stage_records, time_cuts
+from .runner import KEPT_STATE, max_time, run_available_now, stage_records, time_cuts
 
 WATERMARK = "30 seconds"
 CLOSE = "__close"
@@ -36,8 +36,8 @@ CLOSE = "__close"
 REPLAY_BATCHES = 5
 #: Posts of a micro-batch at most, where state is evicted by the watermark: what it holds does not grow with the input.
 BATCH_POSTS = 1_500_000
-#: Posts for each state partition: of one micro-batch, and of all of them where state is kept for good.
-PARTITION_POSTS, PARTITION_KEPT_POSTS, LEAST_PARTITIONS = 25_000, 100_000, 8
+#: Posts for each state partition: of one micro-batch, and of all of them where state is kept for good (on disk).
+PARTITION_POSTS, PARTITION_KEPT_POSTS, LEAST_PARTITIONS = 25_000, 1_000_000, 8
 
 
 # -- jobs --------------------------------------------------------------------
@@ -58,12 +58,31 @@ def distinct_by_text_digest(df: DataFrame, text_col: str = "text", time_col: str
     return drop(["_text_digest", *others]).drop("_text_digest")
 
 
-def posts_stream(decoded: DataFrame, explode_media: bool = True) -> DataFrame:
-    """Parsed posts; by default one row per media key (``explode_outer``)."""
+def posts_stream(decoded: DataFrame, explode_media: bool = True, late_text: bool = False) -> DataFrame:
+    """Parsed posts; by default one row per media key (``explode_outer``).
+
+    ``late_text=True``: ``text`` is the digest of the text, which :func:`with_texts` puts back at the end.
+    """
     p = msg.parse_posts(decoded)
+    if late_text:
+        p = p.withColumn("text", F.sha2("text", 256))
     return fl.explode_media(p, outer=True) if explode_media else p
 
 
+def texts_stream(decoded: DataFrame) -> DataFrame:
+    """digest, text of the posts that have one: what :func:`with_texts` needs of the posts' stream."""
+    p = msg.parse_posts(decoded, time_alias=None).where(F.col("text").isNotNull())
+    return p.select(F.sha2("text", 256).alias("digest"), "text")
+
+
+def with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows whose ``text`` is a digest, with the text itself (batch); rows without one stay out of the join."""
+    known = texts.groupBy("digest").agg(F.first("text").alias("__text"))       # equal digests, equal texts
+    keyed, none = J.split_null_keys(rows, "text")
+    keyed = keyed.withColumnRenamed("text", "digest").join(known, "digest", "left").withColumnRenamed("__text", "text")
+    return keyed.select(*rows.columns).unionByName(none.select(*rows.columns))
+
+
 USER_KEY = ["username", "description", "users_id", "name"]
 
 
@@ -217,7 +236,7 @@ def _with_users(b: DataFrame, users_decoded: DataFrame, user_bound: int | None,
 def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
                    user_bound: int | None = None, watermark: str | None = None,
                    distinct_within: bool = False, hot: list[str] | None = None, salts: int = 16,
-                   distinct: bool = True) -> DataFrame:
+                   distinct: bool = True, late_text: bool = False) -> DataFrame:
     """Posts INNER users on author, then the distinct projection.
 
     ``user_bound`` bounds the join state (see ``_with_users``).  ``hot``
@@ -227,8 +246,9 @@ def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
     keeps every row's digest for good unless ``distinct_within``: then equal
     rows are dropped only within the watermark delay, the post's message time
     stays in the result, and the distinct's state is bounded too.
+    ``late_text``: the state and the result hold digests of the texts (see :func:`posts_stream`).
     """
-    b = posts_stream(posts_decoded)
+    b = posts_stream(posts_decoded, late_text=late_text)
     if watermark or user_bound is not None or distinct_within:
         b = b.withWatermark("dataTimestamp", watermark or WATERMARK)
     cols = ["username", "text", "retweet_count", "reply_count", "like_count", "quote_count", "created_at"]
@@ -242,7 +262,8 @@ def join_users_job(posts_decoded: DataFrame, users_decoded: DataFrame,
 def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame | None, media_decoded: DataFrame,
                          watermark: str = WATERMARK, bound: int = INTERVAL_SECONDS,
                          null_safe: bool = True, user_bound: int | None = None,
-                         users_snapshot: DataFrame | None = None, distinct_within: bool = False) -> DataFrame:
+                         users_snapshot: DataFrame | None = None, distinct_within: bool = False,
+                         late_text: bool = False) -> DataFrame:
     """Posts INNER users and LEFT OUTER media messages of the minute before
     the post (null-safe key), then distinct (text, username, media_key).
 
@@ -254,9 +275,10 @@ def join_users_media_job(posts_decoded: DataFrame, users_decoded: DataFrame | No
 
     ``users_snapshot`` (a batch DataFrame with ``users_id`` and ``username``)
     replaces the users stream by a stream-static join: no users state at all,
-    where a snapshot of the users table exists.
+    where a snapshot of the users table exists.  ``late_text``: the states and
+    the result hold digests of the texts (see :func:`posts_stream`).
     """
-    b = posts_stream(posts_decoded).withWatermark("dataTimestamp", watermark) \
+    b = posts_stream(posts_decoded, late_text=late_text).withWatermark("dataTimestamp", watermark) \
         .select("text", "author_id", "media_key", "dataTimestamp")
     c = (media_stream(media_decoded).withWatermark("mediaTimestamp", watermark)
          .withColumnRenamed("media_key", "c_media_key"))
@@ -464,15 +486,24 @@ class Replay:
 
 
 def _run(spark: SparkSession, df: DataFrame, name: str, mode: str = "append", finish=None,
-         partitions: int | None = None, replay: Replay | None = None) -> DataFrame:
+         partitions: int | None = None, replay: Replay | None = None, conf: dict[str, str] | None = None) -> DataFrame:
     """``replay``: its record files and the checkpoint go when the stream has ended."""
     out, ckpt = work_dir(spark, f"stream-out-{name}"), work_dir(spark, f"stream-ckpt-{name}")
-    final = run_available_now(df, out, ckpt, mode, finish=finish, partitions=partitions)
+    final = run_available_now(df, out, ckpt, mode, finish=finish, partitions=partitions, conf=conf)
     if replay is not None:
         replay.close(ckpt)
     return spark.read.parquet(final)
 
 
+def _texts(spark: SparkSession, posts_decoded: DataFrame, name: str) -> DataFrame:
+    """The texts of a posts' stream by digest, kept in files."""
+    kept = ResultTable(spark, work_dir(spark, f"stream-out-{name}-texts"))
+    ckpt = work_dir(spark, f"stream-ckpt-{name}-texts")
+    run_available_now(texts_stream(posts_decoded), kept.path, ckpt, "append", write=kept.write_batch)
+    drop_dir(spark, ckpt)
+    return kept.read("digest string, text string")
+
+
 @query("stream_ingest_posts")
 def stream_ingest_posts(spark, sf):
     """The posts job: parsed posts, one row per media key."""
@@ -505,11 +536,22 @@ def stream_join_users_salted(spark, sf):
     """The users join with its hot authors spread over salts, and the distinct kept in files."""
     r = Replay(spark, sf)
     hot = heavy_authors(table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("author_id")))
-    rows = join_users_job(r.posts(), r.users(), hot=hot, salts=4, distinct=False)
+    posts = r.posts()
+    texts = _texts(spark, posts, "join-salted")
+    rows = join_users_job(posts, r.users(), hot=hot, salts=4, distinct=False, late_text=True)
     kept = DistinctTable(spark, work_dir(spark, "stream-out-join-salted"), rows.columns)
-    run_available_now(rows, kept.path, work_dir(spark, "stream-ckpt-join-salted"), "append", write=kept.write_batch,
-                      partitions=r.partitions())
-    return ntz(kept.read())
+    ckpt = work_dir(spark, "stream-ckpt-join-salted")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # the distinct reads the batch twice; the join is to read and write its state once
+        once = work_dir(spark, "stream-batch-join-salted")
+        batch.write.parquet(once)
+        kept.write_batch(spark.read.schema(batch.schema).parquet(once), batch_id)
+        drop_dir(spark, once)
+
+    run_available_now(rows, kept.path, ckpt, "append", write=write, partitions=r.partitions(), conf=KEPT_STATE)
+    r.close(ckpt)
+    return ntz(with_texts(kept.read(), texts))
 
 
 @query("stream_join_users")

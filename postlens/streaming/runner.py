@@ -15,13 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..session import FREE_SHUFFLES, drop_dir, settings, work_dir
+from ..session import FREE_SHUFFLES, ROCKSDB_STATE_STORE, drop_dir, settings, work_dir
 
 #: Files that each micro-batch of a staged replay has at least.
 FILES_PER_BATCH = 4
 #: A run to the end of its input needs the last state only: older versions go as soon as a later one is safe.
 LAST_STATE = {"spark.sql.streaming.minBatchesToRetain": "2", "spark.sql.streaming.stateStore.minDeltasForSnapshot": "3",
               "spark.sql.streaming.stateStore.maintenanceInterval": "10s", "spark.sql.streaming.stateStore.compression.codec": "zstd"}
+#: State that is kept for good: on the executors' disks, of their memory a fixed share; one store for both sides of a join.
+KEPT_STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_STATE_STORE,
+              "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+              "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+              "spark.sql.streaming.join.stateFormatVersion": "3"}
 
 
 def time_cuts(df: DataFrame, time_col: str, batches: int) -> list:
