@@ -563,9 +563,11 @@ def stream_join_users(spark, sf):
 @query("stream_join_users_media")
 def stream_join_users_media(spark, sf):
     r = Replay(spark, sf, closing=True)
-    job = join_users_media_job(r.posts(), r.users(), r.media())
-    out = _run(spark, job, "join-users-media", partitions=r.partitions())
-    return out.where((F.col("username") != CLOSE) | F.col("username").isNull())
+    posts = r.posts()
+    texts = _texts(spark, posts, "join-users-media")
+    job = join_users_media_job(posts, r.users(), r.media(), late_text=True)
+    out = _run(spark, job, "join-users-media", partitions=r.partitions(), replay=r, conf=KEPT_STATE)
+    return with_texts(out.where((F.col("username") != CLOSE) | F.col("username").isNull()), texts)
 
 
 @query("stream_full_outer")
